@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tractlake.llm import byte_bpe
+from tractlake.llm import byte_bpe, packing, topk
 
-MODULES = (byte_bpe,)
+MODULES = (byte_bpe, packing, topk)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
