@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tractlake.llm import byte_bpe, packing, topk
+from tractlake.llm import byte_bpe, language, packing, topk, toxicity
 
-MODULES = (byte_bpe, packing, topk)
+MODULES = (packing, toxicity, byte_bpe, topk, language)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
