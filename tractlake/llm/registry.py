@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tractlake.llm import byte_bpe, language, packing, topk, toxicity
+from tractlake.llm import byte_bpe, language, packing, quality, topk, toxicity
 
-MODULES = (packing, toxicity, byte_bpe, topk, language)
+MODULES = (packing, toxicity, byte_bpe, topk, language, quality)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
