@@ -18,10 +18,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import WORD_GAPS, table
+from tractlake.llm.common import WORD_GAPS, labelled_texts, table
 
-#: Labelled documents of each kind, and lines of each, that the model is fitted on: the bound of what reaches the driver.
-SAMPLE_DOCS, SAMPLE_LINES = 1000, 40
+#: Labelled documents of each kind, and lines and characters of each, that the model is fitted on: the bound of what reaches the driver.
+SAMPLE_DOCS, SAMPLE_LINES, SAMPLE_CHARS = 1000, 40, 40_000
 #: Least share of content among the word characters of a document that is kept.
 LEAST_CONTENT = 0.5
 LEAST_WORDS, WINDOW, MOST_REPEATED_PERCENT = 10, 5, 20
@@ -167,15 +167,9 @@ def fit(texts: list[str], good: list[int]) -> LineField:
 
 def fit_on(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LineField | None:
     """A model from labelled documents; None if either kind is missing."""
-    text = F.array_join(F.slice(F.split("text", "\n", -1), 1, 4 * SAMPLE_LINES), "\n")
-    rows = docs.where(F.col("text").isNotNull()).select("doc_id", F.substring(text, 1, 40_000).alias("text"))
-    rows = rows.join(labels.select("doc_id", F.col("quality").cast("int").alias("quality")).where(F.col("quality").isin(0, 1)), "doc_id").where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    texts, good = [], []
-    for wanted in (0, 1):
-        found = rows.where(F.col("quality") == wanted).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).select("text").collect()
-        texts += [r["text"] for r in found]
-        good += [wanted] * len(found)
-    return fit(texts, good) if len(set(good)) == 2 else None
+    texts = labelled_texts(docs, labels, "quality", sample_docs, text=F.substring("text", 1, SAMPLE_CHARS))
+    texts = {y: [t for t in some if t.strip(WORD_GAPS)] for y, some in texts.items()}
+    return fit(texts[0] + texts[1], [0] * len(texts[0]) + [1] * len(texts[1])) if texts[0] and texts[1] else None
 
 
 def judge(docs: DataFrame, model: LineField | None) -> DataFrame:

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import held_out, table
+from tractlake.llm.common import held_out, labelled_texts, table
 
 #: Labelled documents of each class that the model is fitted on: the bound of what reaches the driver.
 SAMPLE_DOCS = 2000
@@ -159,13 +159,8 @@ def trained(spans: list[str]) -> bytes:
 
 def fit_on(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """A model from labelled rows that aren't held out; None if a class has no row."""
-    known = docs.select(F.col("doc_id"), F.substring(F.col("text"), 1, SAMPLE_CHARS).alias("text")).where(F.col("text").isNotNull() & ~held_out("doc_id", 3, 1))
-    rows = known.join(labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1)), "doc_id")
-    texts = []
-    for wanted in (1, 0):
-        found = rows.where(F.col("toxic") == wanted).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs).select("text").collect()
-        texts.append([r["text"] for r in found])
-    return fit(*texts) if all(texts) else None
+    texts = labelled_texts(docs, labels, "toxic", sample_docs, ~held_out("doc_id", 3, 1), F.substring("text", 1, SAMPLE_CHARS))
+    return fit(texts[1], texts[0]) if texts[0] and texts[1] else None
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -174,7 +169,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         savings = Savings(model) if model else None
         for batch in batches:
-            got = [model.score(savings.count(t)) if savings else 0.0 for t in batch["text"]]
+            got = [model.score(savings.count(t)) if savings is not None else 0.0 for t in batch["text"]]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "score": np.asarray(got, dtype=np.float64)}).astype({"doc_id": "Int64"})
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInPandas(run, "doc_id long, score double")
