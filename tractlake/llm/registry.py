@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tractlake.llm import byte_bpe, jaccard, language, packing, quality, suffix_dedup, topk, toxicity
+from tractlake.llm import byte_bpe, jaccard, language, line_dedup, packing, quality, suffix_dedup, topk, toxicity
 
-MODULES = (packing, toxicity, byte_bpe, topk, jaccard, language, suffix_dedup, quality)
+MODULES = (line_dedup, packing, toxicity, byte_bpe, topk, jaccard, language, suffix_dedup, quality)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
