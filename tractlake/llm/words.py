@@ -46,8 +46,8 @@ def stretch_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * STEPS[0])
 
 
-def shingle_sets(texts: list[str], width: int = 5) -> list[np.ndarray]:
-    """The set of each text as sorted distinct 64-bit hashes: of runs of `width` words, or of all words if there are fewer."""
+def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, A-Z lower-cased, and where each text's words begin (one more at the end)."""
     blobs = [t.encode("utf-8", "surrogatepass").translate(LOWER_ASCII) for t in texts]
     raw = np.frombuffer(b" ".join(blobs) + b" ", np.uint8)
     gap = GAP_BYTES[raw]
@@ -55,8 +55,14 @@ def shingle_sets(texts: list[str], width: int = 5) -> list[np.ndarray]:
     starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
     with np.errstate(over="ignore"):
         words = stretch_hashes(prefix_sums(raw), starts, ends)
-        text_ends = np.cumsum([len(b) + 1 for b in blobs])
-        first = np.concatenate(([0], np.searchsorted(starts, text_ends)))
+    text_ends = np.cumsum([len(b) + 1 for b in blobs])
+    return words, np.concatenate(([0], np.searchsorted(starts, text_ends)))
+
+
+def shingle_sets(texts: list[str], width: int = 5) -> list[np.ndarray]:
+    """The set of each text as sorted distinct 64-bit hashes: of runs of `width` words, or of all words if there are fewer."""
+    words, first = word_hashes(texts)
+    with np.errstate(over="ignore"):
         n = max(0, len(words) - width + 1)
         runs = mix(sum((words[k : k + n] * STEPS[k] for k in range(1, width)), words[:n] * STEPS[0])) if n else words[:0]
         out = []
