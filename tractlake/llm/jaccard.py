@@ -35,6 +35,10 @@ TOKENS_A_BUCKET, TOKENS_A_BLOB = 400_000, 4_000_000
 KEYS = 3
 #: Larger prefix groups are split into blocks, and pairs of blocks are joined.
 BLOCK, BUCKETS_FOR_GROUPS = 1000, 64
+#: Bits of the filter that says which texts are worth hashing again: a bound on what every task gets.
+FILTER_BITS = 1 << 24
+#: Bytes of a token where sets are compared, and where prefixes are.
+SET_BYTES, PREFIX_BYTES = 6, 5
 LEAF, FANOUT = 16, 8
 
 
@@ -52,8 +56,22 @@ def prefix_of(tokens: np.ndarray, last: np.ndarray, percent: int = PERCENT) -> n
     return tokens[: prefix_length(len(tokens), percent)]
 
 
+def packed(tokens: np.ndarray, size: int) -> bytes:
+    """The leading `size` bytes of each 64-bit token; their order stays the same."""
+    return np.ascontiguousarray((tokens >> np.uint64(64 - 8 * size)).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size]).tobytes()
+
+
+def unpacked(raw: bytes, size: int) -> np.ndarray:
+    out = np.zeros((len(raw) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8).reshape(-1, size)
+    return out.view("<u8").ravel()
+
+
 def text_sets(docs: DataFrame, last: np.ndarray) -> DataFrame:
-    """doc_id, n, the set's digest (h1, h2) and its prefix (packed) of each row; texts without words have n = 0."""
+    """doc_id, n, the set's digest (h1, h2), its prefix (packed), a bitmap of at least two bits a token, and KEYS minimum hashes.
+
+    Texts without words have n = 0.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(last)  # ORDER_TOKENS numbers at most
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -63,11 +81,12 @@ def text_sets(docs: DataFrame, last: np.ndarray) -> DataFrame:
                 with np.errstate(over="ignore"):
                     for (doc, _), tokens in zip(part, shingle_sets([t for _, t in part], WIDTH), strict=True):
                         h = [int(x.view(np.int64)) for x in (tokens.sum(dtype=np.uint64), mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))]
-                        rows.append((doc, len(tokens), *h, prefix_of(tokens, shared.value).tobytes() if len(tokens) else b""))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "prefix"]).astype({"doc_id": "Int64"})
+                        keys = [int(mix(tokens + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)).min().view(np.int64)) for k in range(1, KEYS + 1)] if len(tokens) else []
+                        rows.append((doc, len(tokens), *h, packed(prefix_of(tokens, shared.value), PREFIX_BYTES) if len(tokens) else b"", bitmap(tokens).tobytes() if len(tokens) else b"", keys))
+            yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "prefix", "bits", "keys"]).astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n long, h1 long, h2 long, prefix binary")
+    return rows.mapInPandas(run, "doc_id long, n long, h1 long, h2 long, prefix binary, bits binary, keys array<long>")
 
 
 def frequent_tokens(docs: DataFrame) -> np.ndarray:
@@ -93,19 +112,19 @@ def shared_prefixes(heads: DataFrame, buckets: int) -> DataFrame:
         size = 0
 
         def blobs() -> pd.DataFrame:
-            tokens = np.concatenate([np.frombuffer(p, np.uint64) for _, p in held])
-            docs = np.repeat(np.array([d for d, _ in held], np.int64), [len(p) // 8 for _, p in held])
-            bucket = (tokens >> np.uint64(40)) % np.uint64(buckets)
+            tokens = unpacked(b"".join([p for _, p in held]), PREFIX_BYTES)
+            docs = np.repeat(np.array([d for d, _ in held], np.int64), [len(p) // PREFIX_BYTES for _, p in held])
+            bucket = (tokens * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(40)) % np.uint64(buckets)
             order = np.lexsort((tokens, bucket))
             tokens, docs, bucket = tokens[order], docs[order], bucket[order]
             ids, at = np.unique(bucket, return_index=True)
             ends = [*at[1:].tolist(), len(tokens)]
-            return pd.DataFrame({"bucket": ids.astype(np.int64), "tokens": [tokens[a:b].tobytes() for a, b in zip(at.tolist(), ends, strict=True)], "docs": [docs[a:b].tobytes() for a, b in zip(at.tolist(), ends, strict=True)]})
+            return pd.DataFrame({"bucket": ids.astype(np.int64), "tokens": [tokens[a:b].view(np.uint8).reshape(-1, 8)[:, :PREFIX_BYTES].tobytes() for a, b in zip(at.tolist(), ends, strict=True)], "docs": [docs[a:b].tobytes() for a, b in zip(at.tolist(), ends, strict=True)]})
 
         for batch in batches:
             for doc, prefix in zip(batch["doc_id"].tolist(), batch["prefix"], strict=True):
                 held.append((doc, prefix))
-                size += len(prefix) // 8
+                size += len(prefix) // PREFIX_BYTES
                 if size >= TOKENS_A_BLOB:
                     yield blobs()
                     held, size = [], 0
@@ -113,7 +132,7 @@ def shared_prefixes(heads: DataFrame, buckets: int) -> DataFrame:
             yield blobs()
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
-        tokens = np.concatenate([np.frombuffer(x, np.uint64) for x in group["tokens"]])
+        tokens = unpacked(b"".join(group["tokens"]), PREFIX_BYTES)
         docs = np.concatenate([np.frombuffer(x, np.int64) for x in group["docs"]])
         order = np.argsort(tokens, kind="stable")
         tokens, docs = tokens[order], docs[order]
@@ -124,20 +143,29 @@ def shared_prefixes(heads: DataFrame, buckets: int) -> DataFrame:
     return heads.select("doc_id", "prefix").mapInPandas(send, "bucket long, tokens binary, docs binary").groupBy("bucket").applyInPandas(meet, "token long, doc_id long")
 
 
-def whole_sets(docs: DataFrame) -> DataFrame:
-    """doc_id, n, tokens (packed), a bitmap of at least two bits a token, and KEYS minimum hashes."""
+def filter_of(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of each doc_id; FILTER_BITS / 64 rows at most reach the driver."""
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    words = ids.select(F.floor(spot / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def whole_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """doc_id and tokens (packed) of the documents in pairs(a, b), and of a few others that the filter can't tell from them."""
+    wanted = docs.sparkSession.sparkContext.broadcast(filter_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = []
-            for part in chunks(list(zip(batch["doc_id"], batch["text"], strict=True)), DOCS_A_CALL):
-                for (doc, _), tokens in zip(part, shingle_sets([t for _, t in part], WIDTH), strict=True):
-                    with np.errstate(over="ignore"):
-                        keys = [int(mix(tokens + np.uint64(k) * np.uint64(0x9E3779B97F4A7C15)).min().view(np.int64)) for k in range(1, KEYS + 1)]
-                    rows.append((doc, len(tokens), tokens.tobytes(), bitmap(tokens).tobytes(), keys))
-            yield pd.DataFrame(rows, columns=["doc_id", "n", "tokens", "bits", "keys"])
+            spot = batch["spot"].to_numpy(np.int64)
+            hit = (wanted.value[spot // 64] >> (spot % 64).astype(np.uint64)) & np.uint64(1) == 1
+            for part in chunks(list(zip(batch["doc_id"][hit], batch["text"][hit], strict=True)), DOCS_A_CALL):
+                sets = shingle_sets([t for _, t in part], WIDTH)
+                yield pd.DataFrame({"doc_id": [d for d, _ in part], "tokens": [packed(x, SET_BYTES) for x in sets]})
 
-    return docs.mapInPandas(run, "doc_id long, n long, tokens binary, bits binary, keys array<long>")
+    rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), "text")
+    return rows.withColumn("spot", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))).mapInPandas(run, "doc_id long, tokens binary")
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
@@ -208,6 +236,24 @@ def tree_pairs(sizes: np.ndarray, bits: np.ndarray, groups: np.ndarray, sides: n
     return found
 
 
+def plausible(pairs: DataFrame, marks: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows of pairs(a, b) that the bitmaps of marks(doc_id, n, bits) don't rule out."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            keep = []
+            for n, m, x, y in zip(batch["n"].tolist(), batch["m"].tolist(), batch["x"], batch["y"], strict=True):
+                both = folded([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
+                spare = min(k - int(np.bitwise_count(b).sum()) for k, b in zip((n, m), both, strict=True))
+                common = min(n, m, int(np.bitwise_count(both[0] & both[1]).sum()) + spare)
+                keep.append((100 + percent) * common >= percent * (n + m))
+            yield batch.loc[np.array(keep, dtype=bool), ["a", "b"]]
+
+    left = marks.select(F.col("doc_id").alias("a"), "n", F.col("bits").alias("x"))
+    right = marks.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+    return pairs.join(left, "a").join(right, "b").mapInPandas(run, "a long, b long")
+
+
 def checked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows of pairs(a, b) whose whole sets reach the similarity."""
 
@@ -215,7 +261,7 @@ def checked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
         for batch in batches:
             keep = []
             for x, y in zip(batch["x"], batch["y"], strict=True):
-                s, t = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                s, t = unpacked(x, SET_BYTES), unpacked(y, SET_BYTES)
                 common = 0
                 if 100 * min(len(s), len(t)) >= percent * max(len(s), len(t)):
                     at = np.minimum(np.searchsorted(t, s), len(t) - 1)
@@ -258,21 +304,22 @@ def links_of(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     sets = cut(text_sets(rows, frequent_tokens(rows)))
     heads = cut(sets.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("doc_id").alias("head")))
     members = sets.join(heads, ["n", "h1", "h2"], "left").select("doc_id", "n", F.coalesce("head", "doc_id").alias("head"))
-    own = sets.join(heads.select("n", "h1", "h2", F.col("head").alias("doc_id")), ["n", "h1", "h2", "doc_id"], "left_semi").dropDuplicates(["doc_id"])
-    total = own.agg(F.coalesce(F.sum(F.length("prefix") / 8), F.lit(0))).first()[0]
+    own = cut(sets.join(heads.select("n", "h1", "h2", F.col("head").alias("doc_id")), ["n", "h1", "h2", "doc_id"], "left_semi").dropDuplicates(["doc_id"]).drop("h1", "h2"))
+    total = own.agg(F.coalesce(F.sum(F.length("prefix") / PREFIX_BYTES), F.lit(0))).first()[0]
     shared = cut(shared_prefixes(own, max(1, -(-int(total) // TOKENS_A_BUCKET))))
-    near = shared.select("doc_id").distinct()
-    whole = cut(whole_sets(rows.where(F.col("text").isNotNull()).join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(F.col("doc_id").cast("long"), "text")))
-    keyed = whole.select("doc_id", F.posexplode("keys").alias("k", "key"))
-    centres = cut(keyed.groupBy("k", "key").agg(F.min("doc_id").alias("a")))
+    marks = own.select("doc_id", "n", "bits")
+    keyed = own.select("doc_id", F.posexplode("keys").alias("k", "key"))
+    centres = cut(keyed.groupBy("k", "key").agg(F.min("doc_id").alias("a"), F.count("*").alias("many")).where("many > 1").drop("many"))
     stars = keyed.join(centres, ["k", "key"]).where("a <> doc_id").select("a", F.col("doc_id").alias("b")).distinct()
-    early = cut(checked(stars, whole))
+    stars = cut(plausible(stars, marks))
+    early = cut(checked(stars, whole_sets(rows, stars)))
     roots = components(early)
-    placed = whole.select("doc_id", "n", "bits").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    placed = cut(placed)
-    several = shared.join(placed.select("doc_id", "root"), "doc_id").groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
-    rest = shared.join(cut(several), "token", "left_semi").join(placed, "doc_id")
-    late = cut(checked(group_pairs(rest), whole))
+    named = cut(marks.select("doc_id").join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id")))
+    placed = shared.join(named, "doc_id")
+    several = cut(placed.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token"))
+    rest = placed.join(several, "token", "left_semi").join(marks, "doc_id")
+    later = cut(group_pairs(rest))
+    late = cut(checked(later, whole_sets(rows, later)))
     return members, early.unionByName(late)
 
 
