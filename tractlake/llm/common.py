@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,10 @@ from pyspark.sql import functions as F
 WORD_GAPS = " \t\n\x0b\x0c\r"
 
 
+#: Bits of a filter of ids, which is a bound on what every task gets of it.
+FILTER_BITS = 1 << 24
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -62,3 +68,21 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, most: int, m
     for r in found.orderBy("label", F.xxhash64("doc_id"), "doc_id", "text").collect():
         out[r["label"]].append(r["text"])
     return out
+
+
+def filter_of(ids: DataFrame) -> np.ndarray:
+    """A bit for the hash of each doc_id in ids; FILTER_BITS / 64 rows at most reach the driver.
+
+    It spares work on documents that need none; however full it gets, those that need it pass.
+    """
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    words = ids.select(F.floor(spot / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.uint64)
+    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+    return out
+
+
+def in_filter(bits: np.ndarray, spot: pd.Series) -> np.ndarray:
+    """Which rows, given the places of their ids modulo FILTER_BITS, may be in the filter."""
+    at = spot.to_numpy(np.int64)
+    return (bits[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import chunks, cut, table
+from tractlake.llm.common import FILTER_BITS, chunks, cut, filter_of, in_filter, table
 from tractlake.llm.components import components
 from tractlake.llm.words import mix, shingle_sets
 
@@ -35,8 +35,6 @@ TOKENS_A_BUCKET, TOKENS_A_BLOB = 400_000, 4_000_000
 KEYS = 3
 #: Larger prefix groups are split into blocks, and pairs of blocks are joined.
 BLOCK, BUCKETS_FOR_GROUPS = 1000, 64
-#: Bits of the filter that says which texts are worth hashing again: a bound on what every task gets.
-FILTER_BITS = 1 << 24
 #: Bytes of a token where sets are compared, and where prefixes are.
 SET_BYTES, PREFIX_BYTES = 6, 5
 LEAF, FANOUT = 16, 8
@@ -143,23 +141,13 @@ def shared_prefixes(heads: DataFrame, buckets: int) -> DataFrame:
     return heads.select("doc_id", "prefix").mapInPandas(send, "bucket long, tokens binary, docs binary").groupBy("bucket").applyInPandas(meet, "token long, doc_id long")
 
 
-def filter_of(ids: DataFrame) -> np.ndarray:
-    """A bit for the hash of each doc_id; FILTER_BITS / 64 rows at most reach the driver."""
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = ids.select(F.floor(spot / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
 def whole_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """doc_id and tokens (packed) of the documents in pairs(a, b), and of a few others that the filter can't tell from them."""
     wanted = docs.sparkSession.sparkContext.broadcast(filter_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id"))))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            spot = batch["spot"].to_numpy(np.int64)
-            hit = (wanted.value[spot // 64] >> (spot % 64).astype(np.uint64)) & np.uint64(1) == 1
+            hit = in_filter(wanted.value, batch["spot"])
             for part in chunks(list(zip(batch["doc_id"][hit], batch["text"][hit], strict=True)), DOCS_A_CALL):
                 sets = shingle_sets([t for _, t in part], WIDTH)
                 yield pd.DataFrame({"doc_id": [d for d, _ in part], "tokens": [packed(x, SET_BYTES) for x in sets]})

@@ -22,18 +22,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import cut, table
+from tractlake.llm.common import FILTER_BITS, cut, filter_of, in_filter, table
 from tractlake.llm.suffixes import Entry, front_code, merge_runs
 from tractlake.llm.words import prefix_sums, stretch_hashes
 
 LENGTH, K = 50, 16
-#: Bytes hashed in one call; anchors a task gathers before it sends them; anchors in a group of the exchanges.
-CALL_BYTES, ANCHORS_A_BLOB = 1 << 19, 2_000_000
+#: Bytes hashed in one call; anchors a task gathers before it sends them; anchors in a group of the
+#: first exchange, and groups of the second for each of the first.
+CALL_BYTES, ANCHORS_A_BLOB = 1 << 18, 2_000_000
 DOCS_A_BLOB = 1 << 16
-ANCHORS_A_BUCKET, SUFFIXES_A_BLOB, SUFFIXES_A_BUCKET = 600_000, 150_000, 100_000
+ANCHORS_A_BUCKET, SUFFIXES_A_BLOB, SUFFIX_BUCKETS = 600_000, 150_000, 3
 HASH_BITS = 40
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -83,7 +85,7 @@ def _calls(items: list[tuple], size_of) -> Iterator[list[tuple]]:
 
 
 def send_anchors(docs: DataFrame, buckets: int) -> DataFrame:
-    """Rows of packed anchor hashes by bucket; and, with bucket null, the doc_ids of each blob."""
+    """Rows of sorted anchor hashes by bucket, with the number of each one's document and the doc_ids of these numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids: list[int] = []
@@ -92,91 +94,103 @@ def send_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         size = 0
 
         def blobs() -> pd.DataFrame:
-            name = int.from_bytes(hashlib.blake2b(np.array(ids, np.int64).tobytes(), digest_size=8).digest(), "little", signed=True)
-            number, hashes = np.concatenate([x for x, _ in found]).astype(np.uint16), np.concatenate([x for _, x in found])
-            bucket = (hashes >> np.uint64(HASH_BITS)) % np.uint64(buckets)
-            low = hashes & np.uint64((1 << HASH_BITS) - 1)
-            order = np.lexsort((low, bucket))
-            number, low, bucket = number[order], low[order], bucket[order]
-            keys, at = np.unique(bucket, return_index=True)
-            cuts = [*at.tolist(), len(low)]
-            packed = np.ascontiguousarray(low.view(np.uint8).reshape(-1, 8)[:, : HASH_BITS // 8])
-            rows = [(name, int(b), packed[i:j].tobytes(), number[i:j].tobytes()) for b, i, j in zip(keys.tolist(), cuts[:-1], cuts[1:], strict=True)]
-            rows.append((name, None, b"", np.array(ids, np.int64).tobytes()))
-            return pd.DataFrame(rows, columns=["blob", "bucket", "hashes", "docs"]).astype({"bucket": "Int64"})
+            number, hashes = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+            key = ((hashes >> np.uint64(HASH_BITS)) % np.uint64(buckets) << np.uint64(HASH_BITS)) | (hashes & np.uint64((1 << HASH_BITS) - 1))
+            order = np.argsort(key)
+            number, key = number[order], key[order]
+            cuts = np.searchsorted(key >> np.uint64(HASH_BITS), np.arange(buckets + 1)).tolist()
+            doc_ids = np.array(ids, np.int64)
+            rows = []
+            for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                if i < j:
+                    mine, numbers = np.unique(number[i:j], return_inverse=True)
+                    low = key[i:j].view(np.uint8).reshape(-1, 8)[:, : HASH_BITS // 8]
+                    rows.append((b, low.tobytes(), numbers.astype(np.uint16).tobytes(), doc_ids[mine].tobytes()))
+            return pd.DataFrame(rows, columns=["bucket", "hashes", "numbers", "docs"])
 
         for batch in batches:
-            rows = [(d, t.encode("utf-8", "surrogatepass")) for d, t in zip(batch["doc_id"].tolist(), batch["text"], strict=True)]
-            for part in _calls([r for r in rows if len(r[1]) >= LENGTH], lambda r: len(r[1])):
+            for part in _calls([(d, t) for d, t in zip(batch["doc_id"].tolist(), batch["text"], strict=True) if len(t) >= LENGTH // 4], lambda r: len(r[1])):
                 fresh = []
-                for doc, raw in part:
+                for doc, text in part:
+                    raw = text.encode("utf-8", "surrogatepass")
                     key = hashlib.blake2b(raw, digest_size=16).digest()
-                    if key in seen and seen[key] < doc:
+                    if len(raw) < LENGTH or key in seen and seen[key] < doc:
                         continue  # a copy of an earlier document goes as a whole
                     seen[key] = doc
                     fresh.append((doc, raw))
                 if not fresh:
                     continue
-                doc, hashes, *_ = anchors([raw for _, raw in fresh])
-                keep = np.unique(np.stack((doc.astype(np.uint64), hashes)), axis=1) if len(doc) else np.zeros((2, 0), np.uint64)
-                found.append((keep[0].astype(np.int64) + len(ids), keep[1]))
-                ids += [d for d, _ in fresh]
-                size += keep.shape[1]
-                if size >= ANCHORS_A_BLOB or len(ids) >= DOCS_A_BLOB - 2048 or len(ids) + len(rows) > DOCS_A_BLOB and len(ids) > DOCS_A_BLOB // 2:
+                if size >= ANCHORS_A_BLOB or len(ids) + len(fresh) > DOCS_A_BLOB:
                     yield blobs()
                     ids, found, seen, size = [], [], {}, 0
+                doc, hashes, *_ = anchors([raw for _, raw in fresh])
+                order = np.lexsort((hashes, doc))
+                doc, hashes = doc[order], hashes[order]
+                once = np.concatenate(([True], (doc[1:] != doc[:-1]) | (hashes[1:] != hashes[:-1]))) if len(doc) else np.zeros(0, bool)
+                found.append(((doc[once] + len(ids)).astype(np.uint32), hashes[once]))
+                ids += [d for d, _ in fresh]
+                size += int(once.sum())
         if found:
             yield blobs()
 
-    return docs.mapInPandas(run, "blob long, bucket long, hashes binary, docs binary")
+    return docs.mapInPandas(run, "bucket int, hashes binary, numbers binary, docs binary")
 
 
 def meet_anchors(sent: DataFrame) -> DataFrame:
-    """(blob, number, hashes): anchors that stand in several documents, for the document of that number in its blob."""
+    """(doc_id, bucket, hashes): the anchors of a document that stand in other documents too."""
     size = HASH_BITS // 8
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         low = np.zeros((sum(len(x) for x in group["hashes"]) // size, 8), np.uint8)
         low[:, :size] = np.frombuffer(b"".join(group["hashes"]), np.uint8).reshape(-1, size)
         low = low.view(np.uint64).ravel()
-        number = np.frombuffer(b"".join(group["docs"]), np.uint16)
-        blob = np.repeat(np.arange(len(group)), [len(x) // 2 for x in group["docs"]])
+        tables = [np.frombuffer(x, np.int64) for x in group["docs"]]
+        docs = np.concatenate([t[np.frombuffer(x, np.uint16)] for t, x in zip(tables, group["numbers"], strict=True)])
         order = np.argsort(low, kind="stable")
         same = low[order][1:] == low[order][:-1]
         many = np.zeros(len(low), bool)
         many[order[1:][same]] = True
         many[order[:-1][same]] = True
-        low, number, blob = low[many], number[many], blob[many]
-        order = np.lexsort((low, number, blob))
-        low, number, blob = low[order], number[order], blob[order]
-        new = np.flatnonzero(np.concatenate(([True], (number[1:] != number[:-1]) | (blob[1:] != blob[:-1])))) if len(low) else np.zeros(0, np.int64)
+        low, docs = low[many], docs[many]
+        order = np.lexsort((low, docs))
+        low, docs = low[order], docs[order]
+        new = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1]))) if len(low) else np.zeros(0, np.int64)
         cuts = [*new.tolist(), len(low)]
-        bucket = np.uint64(group["bucket"].iloc[0])
-        names = group["blob"].to_numpy()
-        return pd.DataFrame(
-            {"blob": names[blob[new]], "number": number[new].astype(np.int64), "bucket": np.full(len(new), bucket, np.int64), "hashes": [low[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]}
-        )
+        raw = np.ascontiguousarray(low.view(np.uint8).reshape(-1, 8)[:, :size])
+        return pd.DataFrame({"doc_id": docs[new], "bucket": np.full(len(new), int(group["bucket"].iloc[0])), "hashes": [raw[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]})
 
-    return sent.where(F.col("bucket").isNotNull()).groupBy("bucket").applyInPandas(run, "blob long, number long, bucket long, hashes binary")
+    return sent.groupBy("bucket").applyInPandas(run, "doc_id long, bucket int, hashes binary")
 
 
-def numbers(sent: DataFrame) -> DataFrame:
-    """(blob, number, doc_id): which document has which number in a blob."""
+def packed_texts(rows: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
+    """doc_id, h (a hash of the text) and the compressed text of rows(doc_id, text), of those in a filter if one is given."""
+    wanted = None if bits is None else rows.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS bits
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        squeeze = zstandard.ZstdCompressor(level=1, write_checksum=False)
         for batch in batches:
-            for blob, docs in zip(batch["blob"].tolist(), batch["docs"], strict=True):
-                ids = np.frombuffer(docs, np.int64)
-                yield pd.DataFrame({"blob": np.full(len(ids), blob), "number": np.arange(len(ids)), "doc_id": ids})
+            if wanted is not None:
+                batch = batch[in_filter(wanted.value, batch["spot"])]
+            for at in range(0, len(batch), 500):
+                part = batch.iloc[at : at + 500]
+                yield pd.DataFrame({"doc_id": part["doc_id"], "h": part["h"], "packed": [squeeze.compress(t.encode("utf-8", "surrogatepass")) for t in part["text"]]})
 
-    return sent.where(F.col("bucket").isNull()).select("blob", "docs").mapInPandas(run, "blob long, number long, doc_id long")
+    keyed = rows.withColumn("h", F.xxhash64("text")).withColumn("spot", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)))
+    return keyed.mapInPandas(run, "doc_id long, h long, packed binary")
 
 
 def send_suffixes(docs: DataFrame, anchor_buckets: int, buckets: int) -> DataFrame:
-    """Front-coded runs of suffixes at the anchors that docs(doc_id, text, h, found) share; found holds (bucket, hashes) structs."""
+    """Front-coded runs of suffixes at the anchors that docs(doc_id, h, packed, found) share; found holds (bucket, hashes) structs."""
+    size = HASH_BITS // 8
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[int, Entry, int]] = []
+        expand = zstandard.ZstdDecompressor()
+
+        def hashes_of(x) -> np.ndarray:
+            low = np.zeros((len(x["hashes"]) // size, 8), np.uint8)
+            low[:, :size] = np.frombuffer(x["hashes"], np.uint8).reshape(-1, size)
+            return low.view(np.uint64).ravel() | (np.uint64(x["bucket"]) << np.uint64(HASH_BITS))
 
         def blobs() -> pd.DataFrame:
             held.sort(key=lambda x: (x[0], x[1][0], x[1][1], x[1][2]))
@@ -196,8 +210,9 @@ def send_suffixes(docs: DataFrame, anchor_buckets: int, buckets: int) -> DataFra
             return pd.DataFrame(rows, columns=["bucket", "run", "done"])
 
         for batch in batches:
-            rows = [(d, t.encode("utf-8", "surrogatepass"), h, f) for d, t, h, f in zip(batch["doc_id"].tolist(), batch["text"], batch["h"].tolist(), batch["found"], strict=True)]
-            for part in _calls(rows, lambda r: len(r[1])):
+            rows = list(zip(batch["doc_id"].tolist(), batch["packed"], batch["h"].tolist(), batch["found"], strict=True))
+            for part in _calls(rows, lambda r: 3 * len(r[1])):
+                part = [(d, expand.decompress(t), h, f) for d, t, h, f in part]
                 doc, hashes, place, first, last = anchors([r[1] for r in part])
                 bucket, low = (hashes >> np.uint64(HASH_BITS)) % np.uint64(anchor_buckets), hashes & np.uint64((1 << HASH_BITS) - 1)
                 bounds = np.searchsorted(doc, np.arange(len(part) + 1)).tolist()
@@ -205,8 +220,8 @@ def send_suffixes(docs: DataFrame, anchor_buckets: int, buckets: int) -> DataFra
                     a, b = bounds[k], bounds[k + 1]
                     if a == b:
                         continue
-                    want = np.unique(np.concatenate([np.frombuffer(x["hashes"], np.uint64) ^ (np.uint64(x["bucket"]) << np.uint64(HASH_BITS)) for x in wanted]))
-                    mine = low[a:b] ^ (bucket[a:b] << np.uint64(HASH_BITS))
+                    want = np.unique(np.concatenate([hashes_of(x) for x in wanted]))
+                    mine = low[a:b] | (bucket[a:b] << np.uint64(HASH_BITS))
                     at = np.minimum(np.searchsorted(want, mine), len(want) - 1)
                     for i in (a + np.flatnonzero(want[at] == mine)).tolist():
                         p, f, e = int(place[i]), int(first[i]), int(last[i]) + LENGTH
@@ -295,25 +310,22 @@ def dedup(docs: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFram
     size = facts.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     anchor_buckets = max(1, -(-int(size) * 2 // ((LENGTH - K + 2) * ANCHORS_A_BUCKET)))
     named = rows.where(F.col("doc_id").isNotNull())
-    sent = cut(send_anchors(named, anchor_buckets))
-    found = meet_anchors(sent)
-    numbered = numbers(sent)
-    shared = cut(found.join(numbered, ["blob", "number"]).join(facts.where("copy").select("doc_id"), "doc_id", "left_anti").groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "hashes")).alias("found")))
-    total = shared.agg(F.coalesce(F.sum(F.aggregate("found", F.lit(0).cast("long"), lambda a, x: a + F.floor(F.length(x["hashes"]) / 8))), F.lit(0))).first()[0]
-    wanted = cut(named.join(shared, "doc_id").select("doc_id", "text", F.xxhash64("text").alias("h"), "found"))
-    spans = meet_suffixes(send_suffixes(wanted, anchor_buckets, max(1, -(-int(total) // SUFFIXES_A_BUCKET))))
-    spans = spans.groupBy("doc_id", "h").agg(F.collect_list("spans").alias("spans"))
+    found = meet_anchors(send_anchors(named, anchor_buckets)).groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "hashes")).alias("found"))
+    found = found.join(facts.where("copy").select("doc_id"), "doc_id", "left_anti")
+    sent = send_suffixes(packed_texts(named).join(found, "doc_id"), anchor_buckets, SUFFIX_BUCKETS * anchor_buckets)
+    spans = cut(meet_suffixes(sent).groupBy("doc_id", "h").agg(F.collect_list("spans").alias("spans")))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        expand = zstandard.ZstdDecompressor()
         for batch in batches:
             out = []
-            for text, found in zip(batch["text"], batch["spans"], strict=True):
-                kept, gone, runs = kept_bytes(text.encode("utf-8", "surrogatepass"), list(found))
+            for text, found in zip(batch["packed"], batch["spans"], strict=True):
+                kept, gone, runs = kept_bytes(expand.decompress(text), list(found))
                 out.append((gone, runs, hashlib.sha256(kept).hexdigest(), *([kept] if with_text else [])))
             got = pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])])
             yield pd.concat([batch[["doc_id", "h"]].reset_index(drop=True), got], axis=1)
 
-    texts = wanted.select("doc_id", "h", "text").dropDuplicates(["doc_id", "h"])
+    texts = packed_texts(named, filter_of(spans))
     changed = texts.join(spans, ["doc_id", "h"]).mapInPandas(run, "doc_id long, h long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
     return facts, changed
 
@@ -322,7 +334,7 @@ def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of each row of docs(doc_id, text)."""
     facts, changed = dedup(docs)
     all_of_it = F.col("copy")
-    joined = facts.join(changed, ["doc_id", "h"], "left")
+    joined = facts.join(changed.dropDuplicates(["doc_id", "h"]), ["doc_id", "h"], "left")
     return joined.select(
         "doc_id",
         "n_bytes",

@@ -30,20 +30,24 @@ def front_code(entries: list[Entry]) -> bytes:
         tails.append(suffix[n:])
         before = suffix
     heads = np.array([shared, [len(t) for t in tails], [len(e[1]) for e in entries]], dtype="<u2")
-    places = np.array([e[2:] for e in entries], dtype="<i8").T
-    return b"".join((np.array([len(entries)], "<u4").tobytes(), heads.tobytes(), np.ascontiguousarray(places).tobytes(), *tails, *[e[1] for e in entries]))
+    numbers: dict[tuple[int, int], int] = {}
+    owners = [numbers.setdefault(e[2:4], len(numbers)) for e in entries]
+    places = np.array([owners, [e[4] for e in entries]], dtype="<u4")
+    texts = np.array(list(numbers), "<i8").reshape(-1, 2)
+    return b"".join((np.array([len(entries), len(texts)], "<u4").tobytes(), heads.tobytes(), places.tobytes(), texts.tobytes(), *tails, *[e[1] for e in entries]))
 
 
 def read_run(blob: bytes) -> Iterator[tuple[int, Entry]]:
     """The entries of a run, each with the length its suffix shares with the one before."""
-    n = int(np.frombuffer(blob, "<u4", 1)[0])
-    shared, tails, lefts = np.frombuffer(blob, "<u2", 3 * n, 4).reshape(3, n).tolist()
-    docs, hashes, starts = np.frombuffer(blob, "<i8", 3 * n, 4 + 6 * n).reshape(3, n).tolist()
-    at = 4 + 30 * n
+    n, m = np.frombuffer(blob, "<u4", 2).tolist()
+    shared, tails, lefts = np.frombuffer(blob, "<u2", 3 * n, 8).reshape(3, n).tolist()
+    owners, starts = np.frombuffer(blob, "<u4", 2 * n, 8 + 6 * n).reshape(2, n).tolist()
+    texts = np.frombuffer(blob, "<i8", 2 * m, 8 + 14 * n).reshape(m, 2).tolist()
+    at = 8 + 14 * n + 16 * m
     left_at, before = at + sum(tails), b""
     for k in range(n):
         before = before[: shared[k]] + blob[at : at + tails[k]]
-        yield shared[k], (before, blob[left_at : left_at + lefts[k]], docs[k], hashes[k], starts[k])
+        yield shared[k], (before, blob[left_at : left_at + lefts[k]], *texts[owners[k]], starts[k])
         at += tails[k]
         left_at += lefts[k]
 
