@@ -86,3 +86,14 @@ def in_filter(bits: np.ndarray, spot: pd.Series) -> np.ndarray:
     """Which rows, given the places of their ids modulo FILTER_BITS, may be in the filter."""
     at = spot.to_numpy(np.int64)
     return (bits[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """docs with maybe__: false for rows whose doc_id certainly isn't in ids, so that only the others need a join."""
+    bits = docs.sparkSession.sparkContext.broadcast(filter_of(ids))
+
+    @F.pandas_udf("boolean")
+    def test(spot: pd.Series) -> pd.Series:
+        return pd.Series(in_filter(bits.value, spot))
+
+    return docs.withColumn("maybe__", test(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))))

@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import FILTER_BITS, chunks, cut, filter_of, in_filter, table
+from tractlake.llm.common import FILTER_BITS, chunks, cut, filter_of, in_filter, maybe_in, table
 from tractlake.llm.components import components
 from tractlake.llm.words import mix, shingle_sets
 
@@ -322,6 +322,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return joined
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of docs, all columns, that stand for their component: those of its smallest doc_id, once each.
+
+    Rows without doc_id stay.
+    """
+    others = cut(near_duplicates(docs).where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("component_id").alias("head"), F.count("*").alias("n")).where("doc_id <> head or n > 1"))
+    tested = maybe_in(docs, others.select("doc_id"))
+    doubted = tested.where("maybe__").join(others.where("doc_id <> head").select("doc_id"), "doc_id", "left_anti")
+    once = doubted.where(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(doubted.where(F.col("doc_id").isNull()))
+    return tested.where("not maybe__").unionByName(once).select(*docs.columns)
+
+
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 

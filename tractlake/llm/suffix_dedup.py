@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import FILTER_BITS, cut, filter_of, in_filter, table
+from tractlake.llm.common import FILTER_BITS, cut, filter_of, in_filter, maybe_in, table
 from tractlake.llm.suffixes import Entry, front_code, merge_runs
 from tractlake.llm.words import prefix_sums, stretch_hashes
 
@@ -344,6 +344,27 @@ def digest(docs: DataFrame) -> DataFrame:
     )
 
 
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """docs, all columns, with what is left of each text; documents of which no word is left go.
+
+    A character that loses only some of its bytes goes with them.
+    """
+    facts, changed = dedup(docs, with_text=True)
+    left = changed.select(F.col("doc_id").alias("doc__"), F.col("h").alias("h__"), "kept")
+    gone = facts.where("copy").select(F.col("doc_id").alias("doc__"), F.col("h").alias("h__"), F.lit(b"").alias("kept"))
+    edits = cut(left.unionByName(gone).dropDuplicates(["doc__", "h__"]))
+
+    @F.pandas_udf("string")
+    def decoded(raw: pd.Series) -> pd.Series:
+        return raw.map(lambda b: b.decode("utf-8", "ignore"))
+
+    tested = maybe_in(docs, edits.select(F.col("doc__").alias("doc_id")))
+    joined = tested.where("maybe__").withColumn("doc__", F.col("doc_id").cast("long")).withColumn("h__", F.xxhash64(F.coalesce("text", F.lit("")))).join(edits, ["doc__", "h__"], "left")
+    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(decoded(F.coalesce("kept", F.lit(b""))))
+    edited = joined.withColumn("text", text).where(F.col("kept").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return tested.where("not maybe__").select(*docs.columns).unionByName(edited.select(*docs.columns))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
