@@ -2,5 +2,8 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE: dict[str, str] = {}
+from tractlake.plans import relations, scalars, spaces
+
+MODULES = (scalars, relations, spaces)
+QUERIES = {name: query for module in MODULES for name, query in module.BOOK.queries.items()}
+ORACLE = {name: sql for module in MODULES for name, sql in module.BOOK.oracle.items()}
