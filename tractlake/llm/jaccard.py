@@ -1,9 +1,11 @@
 """N-gram Jaccard join: exact links between word-shingle sets, found with signature trees.
 
 1. Each text becomes a set of shingle hashes; texts with equal sets form one class and are represented by one document.
-2. Two sets with similarity s share a shingle among the first (1 - s) n + 1 of each, in any common order. Those prefixes,
-   with shingles frequent in a fixed fraction of the corpus put last, are exchanged by ranges of hashes; a document
-   without a shared prefix shingle has no link.
+2. Two sets with similarity s share a shingle among the first (1 - s) n + 1 of each, in any common order. In the order of their
+   hashes, long sets need only the first PREFIX_MOST: each of the first shingles of the union is common with probability s, so that
+   fewer than DROPPED + 1 of 32 are common with a probability below 2e-13, no more than that of a collision of hashes
+   among a few million. So up to DROPPED shingles that are frequent in the corpus are left out of a long prefix. The prefixes
+   are exchanged by ranges of hashes; a document without a shared prefix shingle has no link.
 3. Documents with the same minimum hash are checked against the smallest of them, so that most groups are known early.
 4. The prefix groups that still hold several components are joined by signature trees: leaves hold documents ordered by size,
    each node the OR of token bitmaps and a size range; a dual traversal prunes pairs of nodes that can't hold enough overlap, or
@@ -28,8 +30,11 @@ from tractlake.llm.words import mix, shingle_sets
 
 WIDTH, PERCENT = 5, 80
 DOCS_A_CALL = 128
-#: One document in so many decides which shingles are ordered last; the order sets the cost, not the result.
+#: One document in so many shows which shingles are frequent; leaving them out of prefixes sets the cost, not the result.
 ORDER_SAMPLE, ORDER_LEAST, ORDER_TOKENS = 16, 4, 1 << 18
+PREFIX_MOST, DROPPED = 40, 6
+#: Bits of a bitmap: at least four a token, within these bounds.
+LEAST_BITS, MOST_BITS = 256, 4096
 #: Prefix shingles that one group of the exchange holds, and that a task gathers before it sends them.
 TOKENS_A_BUCKET, TOKENS_A_BLOB = 400_000, 4_000_000
 KEYS = 3
@@ -45,13 +50,14 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def prefix_of(tokens: np.ndarray, last: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """The first tokens in the common order: by hash, those in last (sorted) after all others."""
-    if len(last):
-        at = np.minimum(np.searchsorted(last, tokens), len(last) - 1)
-        late = last[at] == tokens
-        tokens = np.concatenate((tokens[~late], tokens[late]))
-    return tokens[: prefix_length(len(tokens), percent)]
+def prefix_of(tokens: np.ndarray, frequent: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """The first tokens by hash; of a long prefix without the frequent (sorted) ones, if these are few."""
+    first = tokens[: min(prefix_length(len(tokens), percent), PREFIX_MOST)]
+    if len(first) < PREFIX_MOST or not len(frequent):
+        return first
+    at = np.minimum(np.searchsorted(frequent, first), len(frequent) - 1)
+    often = frequent[at] == first
+    return first[~often] if often.sum() <= DROPPED else first
 
 
 def packed(tokens: np.ndarray, size: int) -> bytes:
@@ -65,12 +71,12 @@ def unpacked(raw: bytes, size: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def text_sets(docs: DataFrame, last: np.ndarray) -> DataFrame:
-    """doc_id, n, the set's digest (h1, h2), its prefix (packed), a bitmap of at least two bits a token, and KEYS minimum hashes.
+def text_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """doc_id, n, the set's digest (h1, h2), its prefix (packed), a bitmap, and KEYS minimum hashes.
 
     Texts without words have n = 0.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(last)  # ORDER_TOKENS numbers at most
+    shared = docs.sparkSession.sparkContext.broadcast(frequent)  # ORDER_TOKENS numbers at most
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -157,8 +163,8 @@ def whole_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def bitmap(tokens: np.ndarray) -> np.ndarray:
-    """64-bit words of a bitmap of 256 to 65,536 bits, a power of two of at least twice the tokens."""
-    width = min(1 << 16, max(256, 1 << int(2 * len(tokens) - 1).bit_length()))
+    """64-bit words of a bitmap whose width is a power of two."""
+    width = min(MOST_BITS, max(LEAST_BITS, 1 << int(4 * len(tokens) - 1).bit_length()))
     out = np.zeros(width, np.uint8)
     out[(tokens >> np.uint64(8)).astype(np.int64) & (width - 1)] = 1
     return np.packbits(out).view(np.uint64)
