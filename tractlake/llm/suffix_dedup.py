@@ -137,7 +137,7 @@ def send_anchors(docs: DataFrame, buckets: int) -> DataFrame:
 
 
 def meet_anchors(sent: DataFrame) -> DataFrame:
-    """(doc_id, bucket, hashes): the anchors of a document that stand in other documents too."""
+    """(doc_id, anchor): the anchors, as bucket and hash in one number, that stand in several documents."""
     size = HASH_BITS // 8
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
@@ -151,15 +151,10 @@ def meet_anchors(sent: DataFrame) -> DataFrame:
         many = np.zeros(len(low), bool)
         many[order[1:][same]] = True
         many[order[:-1][same]] = True
-        low, docs = low[many], docs[many]
-        order = np.lexsort((low, docs))
-        low, docs = low[order], docs[order]
-        new = np.flatnonzero(np.concatenate(([True], docs[1:] != docs[:-1]))) if len(low) else np.zeros(0, np.int64)
-        cuts = [*new.tolist(), len(low)]
-        raw = np.ascontiguousarray(low.view(np.uint8).reshape(-1, 8)[:, :size])
-        return pd.DataFrame({"doc_id": docs[new], "bucket": np.full(len(new), int(group["bucket"].iloc[0])), "hashes": [raw[i:j].tobytes() for i, j in zip(cuts[:-1], cuts[1:], strict=True)]})
+        bucket = np.uint64(group["bucket"].iloc[0]) << np.uint64(HASH_BITS)
+        return pd.DataFrame({"doc_id": docs[many], "anchor": (low[many] | bucket).view(np.int64)})
 
-    return sent.groupBy("bucket").applyInPandas(run, "doc_id long, bucket int, hashes binary")
+    return sent.groupBy("bucket").applyInPandas(run, "doc_id long, anchor long")
 
 
 def packed_texts(rows: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
@@ -180,18 +175,12 @@ def packed_texts(rows: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
 
 
 def send_suffixes(docs: DataFrame, anchor_buckets: int, buckets: int) -> DataFrame:
-    """Front-coded runs of suffixes at the anchors that docs(doc_id, h, packed, found) share; found holds (bucket, hashes) structs."""
-    size = HASH_BITS // 8
+    """Front-coded runs of suffixes at the anchors that docs(doc_id, h, packed, found) share; found holds their numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[int, Entry, int]] = []
         expand = zstandard.ZstdDecompressor()
 
-        def hashes_of(x) -> np.ndarray:
-            low = np.zeros((len(x["hashes"]) // size, 8), np.uint8)
-            low[:, :size] = np.frombuffer(x["hashes"], np.uint8).reshape(-1, size)
-            return low.view(np.uint64).ravel() | (np.uint64(x["bucket"]) << np.uint64(HASH_BITS))
-
         def blobs() -> pd.DataFrame:
             held.sort(key=lambda x: (x[0], x[1][0], x[1][1], x[1][2]))
             rows, at = [], 0
@@ -220,7 +209,7 @@ def send_suffixes(docs: DataFrame, anchor_buckets: int, buckets: int) -> DataFra
                     a, b = bounds[k], bounds[k + 1]
                     if a == b:
                         continue
-                    want = np.unique(np.concatenate([hashes_of(x) for x in wanted]))
+                    want = np.sort(np.asarray(wanted, np.int64).view(np.uint64))
                     mine = low[a:b] | (bucket[a:b] << np.uint64(HASH_BITS))
                     at = np.minimum(np.searchsorted(want, mine), len(want) - 1)
                     for i in (a + np.flatnonzero(want[at] == mine)).tolist():
@@ -310,7 +299,7 @@ def dedup(docs: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFram
     size = facts.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     anchor_buckets = max(1, -(-int(size) * 2 // ((LENGTH - K + 2) * ANCHORS_A_BUCKET)))
     named = rows.where(F.col("doc_id").isNotNull())
-    found = meet_anchors(send_anchors(named, anchor_buckets)).groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "hashes")).alias("found"))
+    found = meet_anchors(send_anchors(named, anchor_buckets)).groupBy("doc_id").agg(F.collect_list("anchor").alias("found"))
     found = found.join(facts.where("copy").select("doc_id"), "doc_id", "left_anti")
     sent = send_suffixes(packed_texts(named).join(found, "doc_id"), anchor_buckets, SUFFIX_BUCKETS * anchor_buckets)
     spans = cut(meet_suffixes(sent).groupBy("doc_id", "h").agg(F.collect_list("spans").alias("spans")))
