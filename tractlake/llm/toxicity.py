@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -39,8 +40,12 @@ CACHE_ENTRIES = 600_000
 PUNCTUATION = dict.fromkeys(map(ord, ".,;:!?\"()[]{}<>|*#$%&=+/\\-_~`"), " ")
 #: Savings of a window, in bytes, count as at least LOW and at most HIGH.
 LOW, HIGH = -1, 6
-#: A span is telling if in so many toxic documents at least, and so many times commoner there than in ordinary ones.
-LEAST_DOCS, LEAST_RATIO = 8, 12.0
+RIDGE = 0.3
+#: A span is telling if in so many toxic documents, and such a share of them, at least, and so many times commoner there than in
+#: ordinary ones; for the commonest spans a lower ratio will do.
+LEAST_DOCS, LEAST_SHARE, LEAST_RATIO = 3, 0.03, 15.0
+COMMON_SHARE, COMMON_RATIO = 0.1, 5.0
+PREFIXES = range(5, 11)
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -52,7 +57,7 @@ def windows(text: str) -> list[str]:
 def spans_of(text: str) -> set[str]:
     """Words between spaces, and their beginnings, which are shared by inflected forms."""
     words = set(WORD.findall(text.lower()))
-    return {f" {w} " for w in words} | {f" {w[:k]}" for w in words for k in (4, 5, 6) if len(w) > k}
+    return {f" {w} " for w in words} | {f" {w[:k]}" for w in words for k in PREFIXES if len(w) > k}
 
 
 @dataclass
@@ -64,7 +69,7 @@ class Model:
     def compressors(self) -> tuple[zstandard.ZstdCompressor, zstandard.ZstdCompressor]:
         def make(content: bytes) -> zstandard.ZstdCompressor:
             found = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            settings = zstandard.ZstdCompressionParameters(window_log=15, hash_log=14, chain_log=14, search_log=8, min_match=5, target_length=256, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
+            settings = zstandard.ZstdCompressionParameters(window_log=15, hash_log=14, chain_log=14, search_log=8, min_match=6, target_length=256, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
             return zstandard.ZstdCompressor(dict_data=found, compression_params=settings)
 
         return make(self.ordinary), make(self.toxic + self.ordinary)
@@ -89,15 +94,15 @@ class Savings(dict):
         return gain
 
     def count(self, text: str) -> np.ndarray:
-        """How many windows of the text save how many bytes, from LOW or fewer to HIGH or more."""
+        """Logarithms of one plus how many windows of the text save how many bytes, from LOW or fewer to HIGH or more."""
         gains = np.fromiter(map(self.__getitem__, windows(text)), dtype=np.int64)
-        return np.bincount(gains - LOW, minlength=HIGH - LOW + 1).astype(np.float64)
+        return np.log1p(np.bincount(gains - LOW, minlength=HIGH - LOW + 1))
 
 
 def _fit_curve(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Weights of a logistic curve on the window counts, the last one its offset; damped Newton steps with a ridge."""
     x = np.hstack([x, np.ones((len(x), 1))])
-    ridge = np.full(x.shape[1], 1.0)
+    ridge = np.full(x.shape[1], RIDGE)
     ridge[-1] = 0.01
     b = np.zeros(x.shape[1])
 
@@ -117,15 +122,30 @@ def _fit_curve(x: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     return b
 
 
-def fit(toxic: list[str], ordinary: list[str]) -> Model:
-    """Dictionaries from even-numbered sample rows, threshold and curve from the odd ones."""
+def without_copies(texts: list[str]) -> list[str]:
+    """Texts none of whose three minimum hashes over runs of three words was seen before: near copies would make their words telling."""
+    seen: set[tuple[int, int]] = set()
+    out = []
+    for t in texts:
+        words = t.lower().split()
+        runs = [" ".join(words[i : i + 3]).encode() for i in range(max(1, len(words) - 2))]
+        keys = {(k, min(zlib.crc32(r, k) for r in runs)) for k in (1, 2, 3)}
+        if not keys & seen:
+            out.append(t)
+        seen |= keys
+    return out
+
+
+def dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
+    """A model with trained dictionaries, and no weights yet."""
     count = [Counter(), Counter()]
-    for k, texts in enumerate((ordinary[::2], toxic[::2])):
+    for k, texts in enumerate((ordinary, toxic)):
         for t in texts:
             count[k].update(spans_of(t))
-    n_o, n_t = max(1, len(ordinary[::2])), max(1, len(toxic[::2]))
-    least = min(LEAST_DOCS, max(2, n_t // 10))
-    telling = {s: n / n_t * math.log(n * n_o / ((count[0][s] + 0.5) * n_t)) for s, n in count[1].items() if n >= least and n * n_o >= LEAST_RATIO * (count[0][s] + 0.5) * n_t}
+    n_o, n_t = max(1, len(ordinary)), max(1, len(toxic))
+    least = max(LEAST_DOCS, n_t * LEAST_SHARE)
+    ratio = {s: n * n_o / ((count[0][s] + 0.5) * n_t) for s, n in count[1].items() if n >= least}
+    telling = {s: count[1][s] / n_t * math.log(r) for s, r in ratio.items() if r >= (COMMON_RATIO if count[1][s] >= COMMON_SHARE * n_t else LEAST_RATIO)}
     picked, size = [], 0
     for s in sorted(shortest(telling, count[1]), key=lambda s: (-telling[s], s)):
         if size + len(s.encode()) <= TOXIC_BYTES:
@@ -133,7 +153,13 @@ def fit(toxic: list[str], ordinary: list[str]) -> Model:
             size += len(s.encode())
     common = sorted((s for s in count[0] if s.endswith(" ")), key=lambda s: (-count[0][s], s))
     plain = "".join(common)[: ORDINARY_BYTES // 2].encode() if common else b" the "
-    model = Model(plain, trained(picked), np.zeros(HIGH - LOW + 2))
+    return Model(plain, trained(picked), np.zeros(HIGH - LOW + 2))
+
+
+def fit(toxic: list[str], ordinary: list[str]) -> Model:
+    """Dictionaries from one half of the sample, the curve from savings of the other half."""
+    toxic, ordinary = without_copies(toxic), without_copies(ordinary)
+    model = dictionaries(toxic[::2], ordinary[::2])
     savings = Savings(model)
     rows = [(t, 0.0) for t in ordinary[1::2] or ordinary] + [(t, 1.0) for t in toxic[1::2] or toxic]
     model.weights = _fit_curve(np.stack([savings.count(t) for t, _ in rows]), np.array([y for _, y in rows]))
@@ -145,7 +171,7 @@ def shortest(telling: dict[str, float], docs: Counter) -> list[str]:
     kept = []
     for s in telling:
         stem = s.strip()
-        shorter = [f" {stem[:k]}" for k in (4, 5, 6) if k < len(stem)]
+        shorter = [f" {stem[:k]}" for k in PREFIXES if k < len(stem)]
         longer = [x for x in telling if x != s and x.startswith(s)] if not s.endswith(" ") else []
         if not any(docs[x] > 1.3 * docs[s] and x in telling for x in shorter) and not any(1.3 * docs[x] >= docs[s] for x in longer):
             kept.append(s)
