@@ -58,7 +58,6 @@ def test_points_on_an_edge_are_in_no_polygon(spark):
 
 
 def test_average_rank_of_ties_and_nulls(spark):
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir"))
     df = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 1.0), (4, 9.0), (5, None)], "id long, v double")
     got = {r["id"]: r["r"] for r in spatial.average_rank(df, "v", "r").collect()}
     assert got == {1: 2.5, 2: 2.5, 3: 1.0, 4: 4.0, 5: None}

@@ -5,15 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _cut(df: DataFrame) -> DataFrame:
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        import tempfile
-
-        named = df.sparkSession.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
-    return df.checkpoint()
+from tractlake.operators.keeping import cut
 
 
 def segments(ways: DataFrame) -> DataFrame:
@@ -29,13 +21,13 @@ def two_way(edges: DataFrame) -> DataFrame:
 
 def component_labels(edges: DataFrame) -> DataFrame:
     """(node, label): label is the smallest node that it reaches; labels of labels shorten long chains."""
-    both = _cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    labels = _cut(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("label")))
+    both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
+    labels = cut(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("label")))
     while True:
         heard = both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("label").alias("heard"))
-        told = _cut(labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("near")))
+        told = cut(labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("near")))
         far = told.select(F.col("node").alias("near"), F.col("near").alias("far"))
-        new = _cut(told.join(far, "near", "left").select("node", "old", F.least("near", F.coalesce("far", "near")).alias("label")))
+        new = cut(told.join(far, "near", "left").select("node", "old", F.least("near", F.coalesce("far", "near")).alias("label")))
         labels = new.select("node", "label")
         if not new.where("old <> label").limit(1).count():
             return labels
@@ -54,12 +46,12 @@ def shortest(edges: DataFrame, sources: DataFrame, radius: float) -> DataFrame:
 
     Each round relaxes the edges out of the nodes that got nearer in the round before; it ends when none did.
     """
-    reached = _cut(sources.select("source", "node", F.lit(0.0).alias("distance")))
+    reached = cut(sources.select("source", "node", F.lit(0.0).alias("distance")))
     front = reached
     while True:
         step = front.join(edges, front["node"] == edges["src"]).select("source", F.col("dst").alias("node"), (F.col("distance") + F.col("length")).alias("distance")).where(F.col("distance") <= radius)
         step = step.groupBy("source", "node").agg(F.min("distance").alias("new"))
-        merged = _cut(reached.join(step, ["source", "node"], "full_outer").withColumn("better", F.coalesce(F.col("new") < F.col("distance"), F.col("distance").isNull())))
+        merged = cut(reached.join(step, ["source", "node"], "full_outer").withColumn("better", F.coalesce(F.col("new") < F.col("distance"), F.col("distance").isNull())))
         now = F.when(F.col("better"), F.col("new")).otherwise(F.col("distance"))
         reached = merged.select("source", "node", now.alias("distance"))
         front = merged.where("better").select("source", "node", F.col("new").alias("distance"))

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tractlake.functions import geometry as G
+from tractlake.operators.keeping import cut
 
 
 def edges(polygons: DataFrame, key: str, ring: str) -> DataFrame:
@@ -105,7 +106,7 @@ def outer_edges(polygons: DataFrame, key: str, ring: str) -> DataFrame:
 def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """Adds the average rank of a column: counts by value, running sums over the distinct values in ranges, and a join back."""
     sizes = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n__"))
-    ranged = sizes.repartitionByRange(F.col(value)).withColumn("part__", F.spark_partition_id()).checkpoint()
+    ranged = cut(sizes.repartitionByRange(F.col(value)).withColumn("part__", F.spark_partition_id()))
     totals = ranged.groupBy("part__").agg(F.sum("n__").alias("t__"))
     before = totals.withColumn("base__", F.coalesce(F.sum("t__").over(Window.orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each task
     inside = F.coalesce(F.sum("n__").over(Window.partitionBy("part__").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tractlake.functions import expr as X
 from tractlake.operators import catalog, contracts, network
 from tractlake.operators.contracts import Contract, Field
+from tractlake.operators.keeping import shared_folder
 from tractlake.plans.base import Book
 from tractlake.plans.relations import M, NEW, OLD, versions
 from tractlake.plans.standins import CAP, matrix, origins, read, sites, with_sql
@@ -21,10 +22,7 @@ query = BOOK.add
 
 def scratch(spark) -> str:
     """A new folder in the shared one."""
-    import tempfile
-
-    top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-    return f"{top.rstrip('/')}/tables-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/tables-{uuid.uuid4().hex}"
 
 
 # --- sources and sinks: what is written is read back
