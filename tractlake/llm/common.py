@@ -22,6 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches of at most 1,000 rows between Spark and Python: a row can hold a long text."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the cluster shares; one of our own only where none is named, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)

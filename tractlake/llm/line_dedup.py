@@ -30,6 +30,11 @@ def with_words(lines: Column) -> Column:
     return F.filter(lines, lambda x: x.rlike(A_WORD))
 
 
+def once(value: Column) -> Column:
+    """The same value, worked out once a row: a generator keeps it out of the lambdas and filters that use it."""
+    return F.explode(F.array(value))
+
+
 def repeated(positions: DataFrame) -> DataFrame:
     """The positions(doc_id, h, pos, rank) whose rank occurs again, and later: whether an earlier position has it too."""
     groups = positions.groupBy("rank").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "h", "pos")).alias("first")).where("n > 1")
@@ -63,12 +68,13 @@ def marked(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     """docs with gone__ (places among the lines with a word), all__ (the lines) and kept__ (those that stay)."""
     gone = deleted_lines(docs, min_lines).select(F.col("doc_id").alias("doc__"), F.col("h").alias("h__"), F.col("gone").alias("gone__"))
     keyed = docs.withColumn("h__", F.xxhash64("text")).withColumn("doc__", F.col("doc_id").cast("long"))
-    joined = keyed.join(gone, ["doc__", "h__"], "left").withColumn("all__", lines_of(F.col("text")))
-    spots = F.filter(F.sequence(F.lit(0), F.size("all__") - 1), lambda i: F.get("all__", i).rlike(A_WORD))
-    removed = F.transform("gone__", lambda k: F.get("spots__", k))
-    stay = F.array_except(F.sequence(F.lit(0), F.size("all__") - 1), "removed__")
-    kept = F.when(F.col("gone__").isNull(), F.col("all__")).otherwise(F.transform("stay__", lambda i: F.get("all__", i)))
-    return joined.withColumn("spots__", F.when(F.col("gone__").isNotNull(), spots)).withColumn("removed__", removed).withColumn("stay__", F.when(F.col("gone__").isNotNull(), stay)).withColumn("kept__", kept)
+    joined = keyed.join(gone, ["doc__", "h__"], "left").withColumn("all__", once(lines_of(F.col("text"))))
+    places = F.sequence(F.lit(0), F.size("all__") - 1)
+    spots = F.filter(places, lambda i: F.get("all__", i).rlike(A_WORD))
+    with_spots = joined.withColumn("spots__", once(F.when(F.col("gone__").isNotNull(), spots)))
+    stay = F.array_except(places, F.transform("gone__", lambda k: F.get("spots__", k)))
+    kept = with_spots.withColumn("stay__", once(F.when(F.col("gone__").isNotNull(), stay)))
+    return kept.withColumn("kept__", once(F.when(F.col("gone__").isNull(), F.col("all__")).otherwise(F.transform("stay__", lambda i: F.get("all__", i)))))
 
 
 def remove_repeats(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:

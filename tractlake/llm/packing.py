@@ -31,7 +31,7 @@ from tractlake.llm.common import chunks, cut, table
 CAPACITY = 2048
 END_ID = 0
 #: Words whose ids a worker keeps at most; beyond that, new ones are encoded again each time.
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 250_000
 DOCS_A_CALL = 128
 #: Pieces that one task numbers; a length with more is split into salted groups.
 PIECES_A_GROUP = 100_000
@@ -66,8 +66,7 @@ class WordCoder:
     """Token ids of texts as packed little-endian unsigned 32-bit integers, each distinct word encoded once."""
 
     def __init__(self, file: str) -> None:
-        self.full = Tokenizer.from_file(file)
-        self.full.encode_special_tokens = True
+        self.file, self.full = file, None
         self.words = Tokenizer.from_file(file)
         self.words.encode_special_tokens = True
         self.words.normalizer = None
@@ -101,13 +100,20 @@ class WordCoder:
         for x, found in mixed.items():
             self.cache.put(x, b"".join([known[p] for p in found]))
 
+    def _whole(self, text: str) -> bytes:
+        """The ids of an odd text, by the tokenizer as it is; few workers ever need it."""
+        if self.full is None:
+            self.full = Tokenizer.from_file(self.file)
+            self.full.encode_special_tokens = True
+        return np.asarray(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [None if ODD.search(x) else (x if x.isascii() else unicodedata.normalize("NFC", x)).lower().split() for x in texts]
         self.cache.extra = {}
         cache = self.cache
         self._learn(list({w for words in split if words for w in words if w not in cache}))
         return [
-            np.asarray(self.full.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() if words is None else b"".join(map(cache.__getitem__, words))
+            self._whole(x) if words is None else b"".join(map(cache.__getitem__, words))
             for x, words in zip(texts, split, strict=True)
         ]
 
