@@ -38,8 +38,8 @@ LEAST_BITS, MOST_BITS = 256, 4096
 #: Prefix shingles that one group of the exchange holds, and that a task gathers before it sends them.
 TOKENS_A_BUCKET, TOKENS_A_BLOB = 400_000, 4_000_000
 KEYS = 3
-#: Larger prefix groups are split into blocks, and pairs of blocks are joined.
-BLOCK, BUCKETS_FOR_GROUPS = 1000, 64
+#: Larger prefix groups are split into blocks, and pairs of blocks are joined; smaller ones share a task's group of about so many rows.
+BLOCK, ROWS_A_HOME = 1000, 2000
 #: Bytes of a token where sets are compared, and where prefixes are.
 SET_BYTES, PREFIX_BYTES = 6, 5
 LEAF, FANOUT = 16, 8
@@ -271,12 +271,14 @@ def checked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
 def group_pairs(rows: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) from rows(token, doc_id, n, bits, root) by signature trees, one for each token or pair of blocks."""
     sized = rows.groupBy("token").agg(F.count("*").alias("members"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    sized = cut(sized)
+    homes = max(16, -(-int(sized.agg(F.coalesce(F.sum("members"), F.lit(0))).first()[0]) // ROWS_A_HOME))
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    dealt = rows.join(cut(sized), "token").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")).cast("int"))
+    dealt = rows.join(sized, "token").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks").cast("long")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select("token", "doc_id", "n", "bits", "root", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     small = F.col("i") + F.col("j") == 0  # a group of one block shares a task with others; a pair of blocks has its own
-    dealt = dealt.withColumn("home", F.when(small, F.pmod(F.xxhash64("token"), F.lit(BUCKETS_FOR_GROUPS * 16))).otherwise(F.xxhash64("token", "i", "j")))
+    dealt = dealt.withColumn("home", F.when(small, F.pmod(F.xxhash64("token"), F.lit(homes))).otherwise(F.xxhash64("token", "i", "j")))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         found: set[tuple[int, int]] = set()
