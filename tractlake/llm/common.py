@@ -61,6 +61,20 @@ def chunks(items: list, size: int) -> Iterable[list]:
         yield items[at : at + size]
 
 
+def text_calls(rows: list[tuple], most: int = 1 << 18) -> Iterable[list[tuple]]:
+    """Lists of rows (id, text) of about so many characters together, so that what is worked out at once stays small."""
+    part: list[tuple] = []
+    size = 0
+    for row in rows:
+        part.append(row)
+        size += len(row[1])
+        if size >= most:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, most: int, may_learn: Column | None = None, text: Column | None = None) -> dict[int, list[str]]:
     """Texts of documents labelled 0 and 1 in a column: those of `most` labelled ids of each kind, in the order of a hash of the id."""
     usable = labels.select("doc_id", F.col(column).cast("int").alias("label")).where(F.col("doc_id").isNotNull())

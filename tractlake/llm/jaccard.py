@@ -24,12 +24,11 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import FILTER_BITS, chunks, cut, filter_of, in_filter, maybe_in, table
+from tractlake.llm.common import FILTER_BITS, cut, filter_of, in_filter, maybe_in, table, text_calls
 from tractlake.llm.components import components
 from tractlake.llm.words import mix, shingle_sets
 
 WIDTH, PERCENT = 5, 80
-DOCS_A_CALL = 128
 #: One document in so many shows which shingles are frequent; leaving them out of prefixes sets the cost, not the result.
 ORDER_SAMPLE, ORDER_LEAST, ORDER_TOKENS = 16, 4, 1 << 18
 PREFIX_MOST, DROPPED = 40, 6
@@ -81,7 +80,7 @@ def text_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for part in chunks(list(zip(batch["doc_id"], batch["text"], strict=True)), DOCS_A_CALL):
+            for part in text_calls(list(zip(batch["doc_id"], batch["text"], strict=True))):
                 with np.errstate(over="ignore"):
                     for (doc, _), tokens in zip(part, shingle_sets([t for _, t in part], WIDTH), strict=True):
                         h = [int(x.view(np.int64)) for x in (tokens.sum(dtype=np.uint64), mix(tokens ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))]
@@ -98,8 +97,8 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for part in chunks(list(batch["text"]), DOCS_A_CALL):
-                every, n = np.unique(np.concatenate(shingle_sets(part, WIDTH)), return_counts=True)
+            for part in text_calls([(0, t) for t in batch["text"]]):
+                every, n = np.unique(np.concatenate(shingle_sets([t for _, t in part], WIDTH)), return_counts=True)
                 yield pd.DataFrame({"token": every.view(np.int64), "n": n})
 
     sample = docs.where((F.pmod(F.xxhash64("doc_id"), F.lit(ORDER_SAMPLE)) == 0) & F.col("text").isNotNull()).select("text")
@@ -154,7 +153,7 @@ def whole_sets(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             hit = in_filter(wanted.value, batch["spot"])
-            for part in chunks(list(zip(batch["doc_id"][hit], batch["text"][hit], strict=True)), DOCS_A_CALL):
+            for part in text_calls(list(zip(batch["doc_id"][hit], batch["text"][hit], strict=True))):
                 sets = shingle_sets([t for _, t in part], WIDTH)
                 yield pd.DataFrame({"doc_id": [d for d, _ in part], "tokens": [packed(x, SET_BYTES) for x in sets]})
 

@@ -100,6 +100,11 @@ class WordCoder:
         for x, found in mixed.items():
             self.cache.put(x, b"".join([known[p] for p in found]))
 
+    def forget(self) -> None:
+        """Gives back the memory of the cached words."""
+        self.cache.clear()
+        self.cache.extra = {}
+
     def _whole(self, text: str) -> bytes:
         """The ids of an odd text, by the tokenizer as it is; few workers ever need it."""
         if self.full is None:
@@ -143,6 +148,7 @@ def pieces(docs: DataFrame, file: str | None = None, capacity: int = CAPACITY, e
                         rows.append((doc, k, at // 4, len(ids) // 4, zlib.crc32(ids), *([ids] if with_ids else [])))
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
             yield out.astype({"doc_id": "Int64"})
+        words.forget()  # the worker may serve other operators next
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInPandas(run, schema)
 
