@@ -79,3 +79,23 @@ def test_components_and_shortest_paths(spark):
     start = spark.createDataFrame([(0, 1)], "source long, node long")
     got = {r["node"]: r["distance"] for r in network.shortest(network.two_way(edges), start, 2.5).collect()}
     assert got == {1: 0.0, 2: 1.0, 3: 2.0}
+
+
+def test_whole_matrix_has_all_pairs_and_the_nearest_sites(spark):
+    from tractlake.plans import registry, standins
+    from tractlake.plans.base import RESIDUE
+
+    data = "/root/testdata/sf0.001"
+    o, s = standins.origins(spark, data).collect(), standins.sites(spark, data).collect()
+    want = {(a["origin_id"], b["site_id"]): (abs(a["x"] - b["x"]) + abs(a["y"] - b["y"])) / 80 + 1 for a in o for b in s}
+    for name in ("c9_grid_completion_whole", "b26_proxy_times_whole", "g6_distance_whole"):
+        rows = registry.QUERIES[name](spark, data).select("origin_id", "site_id").collect()
+        assert len(rows) == len(want) and {tuple(r) for r in rows} == set(want)
+    got = {(r["origin_id"], r["site_id"]): r["minutes"] for r in standins.matrix(spark, data, whole=True).collect()}
+    assert got.keys() == want.keys()
+    finite = {k: v for k, v in got.items() if v is not None}
+    for a in o:
+        k = a["origin_id"]
+        assert min(v for (i, _), v in finite.items() if i == k) == pytest.approx(min(v for (i, j), v in want.items() if i == k and (i + j) % 17))
+    whole = [n for n in registry.QUERIES if n.endswith("_whole")]
+    assert len(whole) == 20 and all("CROSS JOIN sites s" in registry.ORACLE[n] and not RESIDUE.search(registry.ORACLE[n]) for n in whole)

@@ -39,9 +39,13 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "nation").select(n.alias("cell_id"), x0.alias("x0"), y0.alias("y0"), (x0 + 5400).alias("x1"), (y0 + 5600).alias("y1"))
 
 
-def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Manhattan minutes of origins and sites of one residue; every 17th pair has no time."""
-    o = origins(spark, sf_dir).withColumn("part", F.col("origin_id") % 5).withColumnsRenamed({"x": "ox", "y": "oy"})
-    s = sites(spark, sf_dir).withColumn("part", F.col("site_id") % 5)
+def pairs(o: DataFrame, s: DataFrame, divisor: int, whole: bool) -> DataFrame:
+    """Origins beside sites: all pairs, or those whose ids have the same residue."""
+    return o.crossJoin(s) if whole else o.join(s, F.col("origin_id") % divisor == F.col("site_id") % divisor)
+
+
+def matrix(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Manhattan minutes of all origins and sites, or of those of one residue; every 17th pair has no time."""
+    o = origins(spark, sf_dir).withColumnsRenamed({"x": "ox", "y": "oy"})
     minutes = (F.abs(F.col("ox") - F.col("x")) + F.abs(F.col("oy") - F.col("y"))) / F.lit(80.0) + 1
-    return o.join(s, "part").select("origin_id", "site_id", F.when((F.col("origin_id") + F.col("site_id")) % 17 != 0, minutes).alias("minutes"))
+    return pairs(o, sites(spark, sf_dir), 5, whole).select("origin_id", "site_id", F.when((F.col("origin_id") + F.col("site_id")) % 17 != 0, minutes).alias("minutes"))
