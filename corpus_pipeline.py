@@ -29,9 +29,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of lines go; documents stay, unless no word is left of them."""
+    """Later copies of repeated runs of lines and of long repeated lines go; documents stay, unless no word is left of them."""
     small_batches(spark)
-    return _counted(line_dedup.remove_repeats(docs)).where(F.col("text").rlike(line_dedup.A_WORD))
+    return _counted(line_dedup.remove_repeats(docs, min_words=line_dedup.MIN_WORDS)).where(F.col("text").rlike(line_dedup.A_WORD))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

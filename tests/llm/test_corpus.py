@@ -10,6 +10,7 @@ import re
 import zlib
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 import public_tokenizers
@@ -116,6 +117,38 @@ def test_line_runs_match_brute_force(spark, odd, least):
         assert (r["n_lines"], r["n_removed"], r["kept_sha256"]) == (n, gone, hashlib.sha256(kept.encode()).hexdigest())
 
 
+@pytest.mark.parametrize("least, enough", [(3, 50), (3, 20), (5, 70)])
+def test_long_passages_of_few_lines_match_brute_force(spark, odd, least, enough):
+    dice = random.Random(8)
+    prose = lambda n: " ".join(f"{dice.choice('abcdefgh')}{dice.randint(0, 99)}" for _ in range(n))
+    one, two, four, short = prose(60), prose(30) + "\n" + prose(30), "\n".join(prose(18) for _ in range(4)), prose(8)
+    extra = [(200 + k, "\n".join([prose(12), part, prose(9)] if k % 2 else [prose(12), part])) for k, part in enumerate([one, one, two, two, four, four, short, short])]
+    df = odd.unionByName(spark.createDataFrame([(d, t, "en", "s", len(t), 1, "k", "h") for d, t in extra], SCHEMA))
+    lines = {d: [x for x in (t or "").split("\n") if WORD.search(x)] for d, t in {(d, t) for d, t in odd_texts() + extra if d is not None}}
+    gone = {d: set() for d in lines}
+    for size in range(1, least + 1):
+        seen = set()
+        for d in sorted(lines):
+            for i in range(len(lines[d]) - size + 1):
+                run = tuple(lines[d][i : i + size])
+                if size == least or len(WORD.findall("\n".join(run))) >= enough:
+                    if run in seen:
+                        gone[d].update(range(i, i + size))
+                    seen.add(run)
+    got = {r["doc_id"]: r["n_removed"] for r in rows_of(line_dedup.digest(df, least, enough)) if r["doc_id"] is not None}
+    assert got == {d: len(x) for d, x in gone.items()}
+    if least == 3 and enough == 50:
+        assert [got[200 + k] for k in (1, 3, 5, 7)] == [1, 2, 4, 0]
+
+
+def test_passages_match_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    want = con.execute(line_dedup.ORACLE["passages_line_dedup"]).fetchall()
+    got = [tuple(r) for r in rows_of(line_dedup.passages_line_dedup(spark, DATA))]
+    assert sorted(got) == sorted(want)
+
+
 def test_line_removal_keeps_columns_and_empty_tables(odd, empty):
     assert line_dedup.remove_repeats(odd).columns == odd.columns
     assert {r["doc_id"]: r["text"] for r in rows_of(line_dedup.remove_repeats(odd)) if r["doc_id"] == 6} == {6: None}

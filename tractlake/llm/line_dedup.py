@@ -5,6 +5,8 @@ twice the length are pairs of ranks, (rank at i, rank at i + length), so log2(mi
 last step overlaps if min_lines is no power of two). After each step only ranks that occur more than once go on, which are the
 suffix-array intervals whose longest common prefix is at least that length. At the end each interval keeps its first position,
 by doc_id and place; the lines of all others are deleted. Runs that overlap or follow each other are one maximal repeated run.
+With min_words, shorter runs that hold at least so many words count too, one long line among them; ranks then grow line by line, so that
+no length below min_lines is passed over. Longer runs are covered by their parts of min_lines lines.
 
 DataFrame functions only. Defined results: a null text counts as empty; lines without a word are never deleted and don't part a
 run; rows without doc_id keep all lines and match nothing; equal rows (doc_id and text) count as one document; an empty table gives
@@ -19,6 +21,8 @@ from pyspark.sql import functions as F
 from tractlake.llm.common import cut, table
 
 MIN_LINES = 3
+#: Words from which a run of fewer lines is a repeated passage.
+MIN_WORDS = 50
 A_WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -39,34 +43,46 @@ def repeated(positions: DataFrame) -> DataFrame:
     """The positions(doc_id, h, pos, rank) whose rank occurs again, and later: whether an earlier position has it too."""
     groups = positions.groupBy("rank").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "h", "pos")).alias("first")).where("n > 1")
     found = positions.join(cut(groups).select("rank", "first"), "rank")
-    return found.select("doc_id", "h", "pos", "rank", (F.struct("doc_id", "h", "pos") > F.col("first")).alias("later"))
+    return found.select(*positions.columns, (F.struct("doc_id", "h", "pos") > F.col("first")).alias("later"))
 
 
-def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """(doc_id, h, pos, rank, later): where runs of min_lines lines start that occur more than once; h is a hash of the text."""
-    ids = F.posexplode(F.transform(with_words(lines_of(F.col("text"))), lambda x: F.xxhash64(x))).alias("pos", "rank")
-    active = cut(docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), ids))
+def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
+    """(doc_id, h, pos, length, later): where runs of min_lines lines, or of min_words words in fewer lines, start that occur more
+    than once; h is a hash of the text."""
+    lines = with_words(lines_of(F.col("text")))
+    named = lambda x: F.struct(F.xxhash64(x).alias("rank"), F.regexp_count(x, F.lit(f"{A_WORD}+")).alias("last"))
+    ids = F.posexplode(F.transform(lines, named if min_words else lambda x: F.struct(F.xxhash64(x).alias("rank")))).alias("pos", "line")
+    active = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), ids)
+    active = cut(active.select("doc_id", "h", "pos", "line.*"))
     active = cut(repeated(active).dropDuplicates(["doc_id", "h", "pos"]))
-    length = 1
+    if min_words:
+        active = active.withColumn("words", F.col("last"))
+    length, short = 1, []
     while length < min_lines:
-        step = min(length, min_lines - length)
-        ahead = active.select("doc_id", "h", (F.col("pos") - step).alias("pos"), F.col("rank").alias("next"))
-        paired = cut(active.join(ahead, ["doc_id", "h", "pos"]).select("doc_id", "h", "pos", F.xxhash64("rank", "next").alias("rank")))
+        step = 1 if min_words else min(length, min_lines - length)
+        ahead = active.select("doc_id", "h", (F.col("pos") - step).alias("pos"), F.col("rank").alias("next"), *([F.col("last").alias("more")] if min_words else []))
+        sums = [F.col("more").alias("last"), (F.col("words") + F.col("more")).alias("words")] if min_words else []
+        if min_words:
+            short.append(active.where(F.col("words") >= min_words).select("doc_id", "h", "pos", F.lit(length).alias("length"), "later"))
+        paired = cut(active.join(ahead, ["doc_id", "h", "pos"]).select("doc_id", "h", "pos", F.xxhash64("rank", "next").alias("rank"), *sums))
         active = cut(repeated(paired))
         length += step
-    return active
+    found = active.select("doc_id", "h", "pos", F.lit(min_lines).alias("length"), "later")
+    for runs in short:
+        found = found.unionByName(runs)
+    return found
 
 
-def deleted_lines(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def deleted_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """(doc_id, h, gone): the places, among the lines with a word, that later copies of repeated runs cover."""
-    later = repeated_runs(docs, min_lines).where("later")
-    places = F.flatten(F.transform(F.collect_list("pos"), lambda p: F.sequence(p, p + (min_lines - 1))))
+    later = repeated_runs(docs, min_lines, min_words).where("later")
+    places = F.flatten(F.transform(F.collect_list(F.struct("pos", "length")), lambda p: F.sequence(p["pos"], p["pos"] + p["length"] - 1)))
     return later.groupBy("doc_id", "h").agg(F.array_sort(F.array_distinct(places)).alias("gone"))
 
 
-def marked(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def marked(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """docs with gone__ (places among the lines with a word), all__ (the lines) and kept__ (those that stay)."""
-    gone = deleted_lines(docs, min_lines).select(F.col("doc_id").alias("doc__"), F.col("h").alias("h__"), F.col("gone").alias("gone__"))
+    gone = deleted_lines(docs, min_lines, min_words).select(F.col("doc_id").alias("doc__"), F.col("h").alias("h__"), F.col("gone").alias("gone__"))
     keyed = docs.withColumn("h__", F.xxhash64("text")).withColumn("doc__", F.col("doc_id").cast("long"))
     joined = keyed.join(gone, ["doc__", "h__"], "left").withColumn("all__", once(lines_of(F.col("text"))))
     places = F.sequence(F.lit(0), F.size("all__") - 1)
@@ -77,17 +93,17 @@ def marked(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     return kept.withColumn("kept__", once(F.when(F.col("gone__").isNull(), F.col("all__")).otherwise(F.transform("stay__", lambda i: F.get("all__", i)))))
 
 
-def remove_repeats(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def remove_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """docs, all columns, without the lines of later copies; texts that lose nothing stay as they are, null ones too."""
     text = F.when(F.col("gone__").isNull(), F.col("text")).otherwise(F.array_join("kept__", "\n"))
-    return marked(docs, min_lines).withColumn("text", text).select(*docs.columns)
+    return marked(docs, min_lines, min_words).withColumn("text", text).select(*docs.columns)
 
 
-def digest(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def digest(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """doc_id, n_lines (with a word), n_removed, n_runs (maximal removed runs) and kept_sha256 of each row."""
     gone = F.coalesce(F.col("gone__"), F.array().cast("array<int>"))
     runs = F.size(F.array_except(gone, F.transform(gone, lambda p: p + 1)))
-    return marked(docs.select("doc_id", "text"), min_lines).select(
+    return marked(docs.select("doc_id", "text"), min_lines, min_words).select(
         F.col("doc__").alias("doc_id"),
         F.size(with_words(F.col("all__"))).cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_removed"),
@@ -100,7 +116,12 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op1_line_dedup": op1_line_dedup}
+def passages_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """op1_line_dedup with runs of fewer lines that hold MIN_WORDS words or more."""
+    return digest(table(spark, sf_dir, "documents"), min_words=MIN_WORDS)
+
+
+QUERIES = {"op1_line_dedup": op1_line_dedup, "passages_line_dedup": passages_line_dedup}
 ORACLE = {
     "op1_line_dedup": """
 WITH l AS (
@@ -124,3 +145,19 @@ SELECT kept.doc_id, count(pos) AS n_lines, count(*) FILTER (out) AS n_removed, C
 FROM kept LEFT JOIN runs ON runs.doc_id = kept.doc_id GROUP BY kept.doc_id
 """
 }
+#: The same with runs of one and two lines.
+_RUNS = """r AS (
+  SELECT doc_id, pos, row_number() OVER (PARTITION BY line, b, c ORDER BY doc_id, pos) AS n FROM k WHERE c IS NOT NULL
+), gone AS (
+  SELECT DISTINCT doc_id, pos + s AS pos FROM r, (VALUES (0), (1), (2)) AS steps(s) WHERE n > 1
+)"""
+_PASSAGES = f"""r AS (
+  SELECT doc_id, pos, 3 AS size, row_number() OVER (PARTITION BY line, b, c ORDER BY doc_id, pos) AS n FROM k WHERE c IS NOT NULL
+  UNION ALL SELECT doc_id, pos, 2, row_number() OVER (PARTITION BY line, b ORDER BY doc_id, pos) FROM k
+    WHERE b IS NOT NULL AND len(regexp_extract_all(line || chr(10) || b, '[^\\x20\\x09-\\x0D]+')) >= {MIN_WORDS}
+  UNION ALL SELECT doc_id, pos, 1, row_number() OVER (PARTITION BY line ORDER BY doc_id, pos) FROM k
+    WHERE len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) >= {MIN_WORDS}
+), gone AS (
+  SELECT DISTINCT doc_id, pos + s AS pos FROM r, (VALUES (0), (1), (2)) AS steps(s) WHERE n > 1 AND s < size
+)"""
+ORACLE["passages_line_dedup"] = ORACLE["op1_line_dedup"].replace(_RUNS, _PASSAGES)
