@@ -12,6 +12,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 import public_tokenizers
 import tiktoken
@@ -482,6 +483,24 @@ def test_base_scores_match_brute_force(odd, monkeypatch, common):
     assert sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
 
 
+def test_each_training_document_trains_once(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(400)], "doc_id long, text string")
+    encoded = lm_scoring.subword_ids(lm_scoring.with_key(docs), public_tokenizers.path(lm_scoring.TOKENIZER))
+    trained = spark.sparkContext.accumulator(0)
+
+    def seen(sent, rate, number):
+        def learn(group):
+            trained.add(len(group))
+            return pd.DataFrame({"name": pd.Series([], dtype=str), "values": pd.Series([], dtype=object)})
+
+        return learn
+
+    monkeypatch.setattr(lm_scoring, "local_training", seen)
+    counts = np.ones(lm_scoring.VOCABULARY_SIZE) * 1e5  # as of a large table
+    lm_scoring.train(encoded, counts)
+    assert trained.value == encoded.where("not held_out").count() > 0
+
+
 def test_language_model_scores_every_row(odd, empty):
     got = rows_of(lm_scoring.score(odd))
     assert len(got) == len(odd_texts()) and all(r["score"] < 0 and math.isfinite(r["score"]) for r in got)

@@ -1,10 +1,10 @@
 """Language-model scoring of whole texts, beside a word-unigram base.
 
 Texts become subword ids once; a causal self-attention model (causal_lm) starts from the id counts of all training documents and is
-trained by rounds of local training and averaging: each round takes a fixed share of the training documents (plus about
-ROUND_TOKENS tokens, so that small tables train too), deals them to groups of about GROUP_TOKENS tokens, trains a copy of the model in
-each group, and averages the copies. So counts, samples and groups all grow with the table. Then every text is scored in
-overlapping windows that score each id once, its end included.
+trained by rounds of local training and averaging: the training documents are parted over the rounds, so that each one trains in one
+group of one round, whatever the size of the table. A round deals its documents to groups of about GROUP_TOKENS tokens, trains a
+copy of the model in each group, and averages the copies. Then every text is scored in overlapping windows that score each id
+once, its end included.
 
 The base counts the words of all training documents. A bounded table of the commonest words goes to every task; all other words
 meet their counts in a join.
@@ -31,7 +31,7 @@ from tractlake.llm.words import word_hashes
 
 TOKENIZER, VOCABULARY_SIZE, END_ID = "word_bpe_49k.json", 49408, 49407
 ROUNDS = ((0.04, 0), (0.03, 1), (0.02, 2), (0.012, 3), (0.006, 4))  # learning rate, number
-ROUND_SHARE, ROUND_TOKENS, GROUP_TOKENS = 1 / 128, 1_500_000, 500_000
+GROUP_TOKENS = 500_000
 #: The commonest words, at most so many, that every task gets with their counts.
 COMMON_WORDS = 1 << 19
 #: Stands for the end of a text among the hashes of words.
@@ -88,6 +88,12 @@ def local_training(sent, rate: float, number: int):
     return learn
 
 
+def parted(encoded: DataFrame, groups: int) -> DataFrame:
+    """The training rows with the one round and the group in it where each of them trains."""
+    at = F.pmod(F.xxhash64("key", F.lit(100)), F.lit(groups * len(ROUNDS)))
+    return encoded.where(~F.col("held_out")).withColumn("round", at % len(ROUNDS)).withColumn("group", F.floor(at / len(ROUNDS)))
+
+
 def train(encoded: DataFrame, counts: np.ndarray) -> tuple[causal_lm.Params, causal_lm.Vocabulary]:
     """The averaged model after all rounds."""
     vocabulary = causal_lm.Vocabulary.of(counts, END_ID)
@@ -96,14 +102,11 @@ def train(encoded: DataFrame, counts: np.ndarray) -> tuple[causal_lm.Params, cau
     if not total:
         return params, vocabulary
     spark = encoded.sparkSession
-    share = min(1.0, ROUND_SHARE + ROUND_TOKENS / total)
-    groups = max(1, round(share * total / GROUP_TOKENS))
+    dealt = parted(encoded, max(1, round(total / len(ROUNDS) / GROUP_TOKENS)))
     for rate, number in ROUNDS:
         sent = spark.sparkContext.broadcast((params, vocabulary))
         learn = local_training(sent, rate, number)
-        dice = F.pmod(F.xxhash64("key", F.lit(number)), F.lit(1 << 30))
-        taken = encoded.where(~F.col("held_out") & (dice < int(share * (1 << 30)))).withColumn("group", F.pmod(F.xxhash64("key", F.lit(number + 100)), F.lit(groups)))
-        learned = taken.select("key", "n", "ids", "group").groupBy("group").applyInPandas(learn, "name string, values array<double>")
+        learned = dealt.where(F.col("round") == number).select("key", "n", "ids", "group").groupBy("group").applyInPandas(learn, "name string, values array<double>")
         mean = learned.select("name", F.posexplode("values").alias("at", "value")).groupBy("name", "at").agg(F.avg("value").alias("value")).toPandas()
         if len(mean):
             by_name = {name: part.sort_values("at")["value"].to_numpy(np.float32) for name, part in mean.groupby("name")}
