@@ -25,8 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tractlake.llm import causal_lm
-from tractlake.llm.common import chunks, cut, held_out, table
-from tractlake.llm.packing import coder
+from tractlake.llm.common import chunks, cut, held_out, table, text_calls
+from tractlake.llm.packing import CHARS_A_CALL, coder
 from tractlake.llm.words import word_hashes
 
 TOKENIZER, VOCABULARY_SIZE, END_ID = "word_bpe_49k.json", 49408, 49407
@@ -51,7 +51,7 @@ def subword_ids(rows: DataFrame, file: str) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = coder(file)
         for batch in batches:
-            ids = [np.frombuffer(x, "<u4").astype("<u2").tobytes() for part in chunks(list(batch["text"]), DOCS_A_CALL) for x in words.encode(part)]
+            ids = [x.astype("<u2").tobytes() for part in text_calls([(0, t) for t in batch["text"]], CHARS_A_CALL) for x in words.encode([t for _, t in part])]
             yield pd.DataFrame({"key": batch["key"], "held_out": batch["held_out"], "n": [len(x) // 2 for x in ids], "ids": ids})
 
     return rows.select("key", "held_out", "text").mapInPandas(run, "key long, held_out boolean, n long, ids binary")

@@ -14,56 +14,71 @@ written out in a text are ordinary text.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
 import public_tokenizers
-import regex
-import unicodedata
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tractlake.llm.common import chunks, cut, table
+from tractlake.llm.common import chunks, cut, table, text_calls
+from tractlake.llm.words import prefix_sums, stretch_hashes
 
 CAPACITY = 2048
 END_ID = 0
-#: Words whose ids a worker keeps at most; beyond that, new ones are encoded again each time.
-CACHE_ENTRIES = 600_000
-DOCS_A_CALL = 128
+#: Distinct words whose ids a worker keeps at most; when they are so many, the table starts anew.
+TABLE_WORDS = 1 << 20
+CHARS_A_CALL = 1 << 20
+#: Pre-tokens of more characters are left to the tokenizer, with their whole text.
+LONGEST_WORD = 256
 #: Pieces that one task numbers; a length with more is split into salted groups.
 PIECES_A_GROUP = 100_000
 
-#: The pre-token pattern of the tokenizer file, which never crosses white space.
-PRETOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Python takes these for white space, the tokenizer does not; such texts go to the tokenizer whole. The final sigma
-#: is lower-cased by its neighbours in Python, but not by the tokenizer.
-ODD = regex.compile("[\x1c-\x1fΣ]")
+#: Kinds of code points in the pre-token pattern of the tokenizer file: runs of letters, single numbers, runs of all else but space.
+SPACE, LETTER, NUMBER, OTHER = range(4)
+#: What the pattern splits off after an apostrophe of its own.
+SUFFIXES = ("s", "t", "re", "ve", "m", "ll", "d")
 
 _coders: dict[str, "WordCoder"] = {}
 
 
-class _Cache(dict):
-    """Ids of words up to CACHE_ENTRIES; the rest lives for one call only, in extra."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.extra: dict[str, bytes] = {}
-
-    def __missing__(self, key: str) -> bytes:
-        return self.extra[key]
-
-    def put(self, key: str, value: bytes) -> None:
-        if len(self) < CACHE_ENTRIES and len(key) <= 64:
-            self[key] = value
-        else:
-            self.extra[key] = value
+@cache
+def kinds() -> np.ndarray:
+    """The kind of every code point; white space by Unicode's property, as the tokenizer has it."""
+    category = np.frombuffer("".join(map(unicodedata.category, map(chr, range(0x110000)))).encode(), np.uint8)[::2]
+    out = np.select([category == ord("L"), category == ord("N"), category == ord("Z")], [LETTER, NUMBER, SPACE], OTHER).astype(np.uint8)
+    out[[*range(0x09, 0x0E), 0x85]] = SPACE
+    return out
+
+
+def pretokens(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the pre-tokens of some lower-cased code points start and end; a space stands last."""
+    kind = kinds()[codes]
+    first = np.concatenate(([True], (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)))
+    edge = np.flatnonzero(first)
+    quote = edge[:-1][(codes[edge[:-1]] == ord("'")) & (np.diff(edge) == 1) & (kind[edge[1:]] == LETTER)]
+    if len(quote):
+        padded = np.concatenate((codes, np.zeros(2, codes.dtype)))
+        taken = np.zeros(len(quote), np.int64)
+        for suffix in SUFFIXES:
+            fits = (taken == 0) & np.logical_and.reduce([padded[quote + 1 + k] == ord(x) for k, x in enumerate(suffix)])
+            taken[fits] = len(suffix)
+        cut_at = quote[taken > 0]
+        first[cut_at + 1] = False
+        first[cut_at + 1 + taken[taken > 0]] = True
+    starts = np.flatnonzero(first)
+    ends = np.append(starts[1:], len(codes))
+    on = kind[starts] != SPACE
+    return starts[on], ends[on]
 
 
 class WordCoder:
-    """Token ids of texts as packed little-endian unsigned 32-bit integers, each distinct word encoded once."""
+    """Token ids of texts. Pre-tokens are told apart by 64-bit hashes of their code points; each is encoded once while the table holds it."""
 
     def __init__(self, file: str) -> None:
         self.file, self.full = file, None
@@ -73,54 +88,70 @@ class WordCoder:
         ends = [i for token, i in self.words.get_vocab().items() if token.endswith("</w>")]
         self.closes = np.zeros(max(self.words.get_vocab().values()) + 1, bool)
         self.closes[ends] = True
-        self.cache = _Cache()
-
-    def _encode_pretokens(self, words: list[str]) -> list[bytes]:
-        """The ids of pre-tokens; many in one call, as each ends with the first id that closes a word."""
-        out: list[bytes] = []
-        for part in chunks(words, 2000):
-            ids = np.asarray(self.words.encode(" ".join(part), add_special_tokens=False).ids, dtype="<u4")
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) == len(part) and (not len(ends) or ends[-1] == len(ids)):
-                raw, starts = ids.tobytes(), [0, *(4 * ends[:-1]).tolist()]
-                out += [raw[a:b] for a, b in zip(starts, (4 * ends).tolist(), strict=True)]
-            else:
-                out += [np.asarray(self.words.encode(x, add_special_tokens=False).ids, dtype="<u4").tobytes() for x in part]
-        return out
-
-    def _learn(self, words: list[str]) -> None:
-        alone = [x for x in words if x.isalpha()]  # each is one pre-token
-        for x, ids in zip(alone, self._encode_pretokens(alone), strict=True):
-            self.cache.put(x, ids)
-        mixed = {x: PRETOKEN.findall(x) for x in words if not x.isalpha()}
-        parts = list({p for found in mixed.values() for p in found})
-        known = {p: self.cache[p] for p in parts if p in self.cache}
-        parts = [p for p in parts if p not in known]
-        known |= dict(zip(parts, self._encode_pretokens(parts), strict=True))
-        for x, found in mixed.items():
-            self.cache.put(x, b"".join([known[p] for p in found]))
+        self.forget()
 
     def forget(self) -> None:
-        """Gives back the memory of the cached words."""
-        self.cache.clear()
-        self.cache.extra = {}
+        """Empties the table."""
+        self.keys, self.first, self.many = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, "<u4")
 
-    def _whole(self, text: str) -> bytes:
+    def _encode_pretokens(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pre-tokens, and how many each has; many in one call, as each ends with the first id that closes a word."""
+        found, many = [], []
+        for part in chunks(words, 2000):
+            ids = np.asarray(self.words.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) != len(part) or ends[-1] != len(ids):
+                each = [np.asarray(self.words.encode(x, add_special_tokens=False).ids, dtype="<u4") for x in part]
+                ids, ends = np.concatenate(each), np.cumsum([len(x) for x in each])
+            found.append(ids)
+            many.append(np.diff(ends, prepend=0))
+        return np.concatenate(found), np.concatenate(many)
+
+    def _learn(self, keys: np.ndarray, words: list[str]) -> None:
+        """Adds words by their hashes, which are sorted and not in the table."""
+        ids, many = self._encode_pretokens(words)
+        first = len(self.flat) + np.cumsum(many) - many
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.first, self.many = np.insert(self.keys, at, keys), np.insert(self.first, at, first), np.insert(self.many, at, many)
+        self.flat = np.concatenate((self.flat, ids))
+
+    def _whole(self, text: str) -> np.ndarray:
         """The ids of an odd text, by the tokenizer as it is; few workers ever need it."""
         if self.full is None:
             self.full = Tokenizer.from_file(self.file)
             self.full.encode_special_tokens = True
-        return np.asarray(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [None if ODD.search(x) else (x if x.isascii() else unicodedata.normalize("NFC", x)).lower().split() for x in texts]
-        self.cache.extra = {}
-        cache = self.cache
-        self._learn(list({w for words in split if words for w in words if w not in cache}))
-        return [
-            self._whole(x) if words is None else b"".join(map(cache.__getitem__, words))
-            for x, words in zip(texts, split, strict=True)
-        ]
+        return np.asarray(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text, unsigned 32-bit."""
+        odd = {i for i, x in enumerate(texts) if "Σ" in x}  # Python lower-cases it by its neighbours
+        plain = ["" if i in odd else (x if x.isascii() else unicodedata.normalize("NFC", x)).lower() for i, x in enumerate(texts)]
+        text_ends = np.cumsum([len(x) + 1 for x in plain])
+        joined = " ".join([*plain, ""])
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
+        starts, ends = pretokens(codes)
+        odd.update(np.searchsorted(text_ends, starts[ends - starts > LONGEST_WORD], side="right").tolist())
+        with np.errstate(over="ignore"):
+            hashes, place, inverse = np.unique(stretch_hashes(prefix_sums(codes), starts, ends), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.keys, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = np.flatnonzero(at < len(self.keys))
+        new[inside] = self.keys[at[inside]] != hashes[inside]
+        if new.any():
+            if len(self.keys) + int(new.sum()) > TABLE_WORDS:  # the table starts anew, with all words of this call
+                self.forget()
+                new[:] = True
+            self._learn(hashes[new], [joined[a:b] for a, b in zip(starts[place[new]].tolist(), ends[place[new]].tolist(), strict=True)])
+            at = np.searchsorted(self.keys, hashes)
+        first, many = self.first[at][inverse], self.many[at][inverse]
+        after = np.cumsum(many)
+        ids = self.flat[np.repeat(first - (after - many), many) + np.arange(int(after[-1]) if len(after) else 0)]
+        bounds = np.concatenate(([0], after))[np.searchsorted(starts, text_ends)].tolist()
+        out = [ids[a:b] for a, b in zip([0, *bounds[:-1]], bounds, strict=True)]
+        for i in odd:
+            out[i] = self._whole(texts[i])
+        return out
 
 
 def coder(file: str) -> WordCoder:
@@ -140,15 +171,14 @@ def pieces(docs: DataFrame, file: str | None = None, capacity: int = CAPACITY, e
         words = coder(file)
         for batch in batches:
             rows: list[tuple] = []
-            for part in chunks(list(zip(batch["doc_id"], batch["text"], strict=True)), DOCS_A_CALL):
-                for (doc, _), raw in zip(part, words.encode([x for _, x in part]), strict=True):
-                    raw += end
+            for part in text_calls(list(zip(batch["doc_id"], batch["text"], strict=True)), CHARS_A_CALL):
+                for (doc, _), ids in zip(part, words.encode([x for _, x in part]), strict=True):
+                    raw = ids.tobytes() + end
                     for k, at in enumerate(range(0, len(raw), 4 * capacity)):
                         ids = raw[at : at + 4 * capacity]
                         rows.append((doc, k, at // 4, len(ids) // 4, zlib.crc32(ids), *([ids] if with_ids else [])))
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
             yield out.astype({"doc_id": "Int64"})
-        words.forget()  # the worker may serve other operators next
 
     return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInPandas(run, schema)
 

@@ -46,13 +46,18 @@ def stretch_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np
     return mix((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64) * STEPS[0])
 
 
+def word_bounds(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some bytes start, and where each ends."""
+    gap = GAP_BYTES[raw]
+    edges = np.diff(np.concatenate(([1], gap.view(np.int8), [1])))
+    return np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of all texts, A-Z lower-cased, and where each text's words begin (one more at the end)."""
     blobs = [t.encode("utf-8", "surrogatepass").translate(LOWER_ASCII) for t in texts]
     raw = np.frombuffer(b" ".join(blobs) + b" ", np.uint8)
-    gap = GAP_BYTES[raw]
-    edges = np.diff(np.concatenate(([1], gap.view(np.int8), [1])))
-    starts, ends = np.flatnonzero(edges == -1), np.flatnonzero(edges == 1)
+    starts, ends = word_bounds(raw)
     with np.errstate(over="ignore"):
         words = stretch_hashes(prefix_sums(raw), starts, ends)
     text_ends = np.cumsum([len(b) + 1 for b in blobs])
