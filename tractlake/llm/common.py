@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 WORD_GAPS = " \t\n\x0b\x0c\r"
 
 
-#: Bits of a filter of ids, which is a bound on what every task gets of it.
-FILTER_BITS = 1 << 24
+#: Bits of a filter for each of its ids, and the most that a filter has; more ids are met by a join.
+BITS_AN_ID, FILTER_MOST = 16, 1 << 28
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,11 +28,13 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the cluster shares; one of our own only where none is named, as in tests."""
+    """The folder that the cluster shares; one of our own only on a local master, as in tests."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named is None:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named is None:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -89,30 +91,68 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, most: int, m
     return out
 
 
-def filter_of(ids: DataFrame) -> np.ndarray:
-    """A bit for the hash of each doc_id in ids; FILTER_BITS / 64 rows at most reach the driver.
-
-    It spares work on documents that need none; however full it gets, those that need it pass.
-    """
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    words = ids.select(F.floor(spot / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(FILTER_BITS // 64, np.uint64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with underscores behind it until no column of df has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        out.append(name)
     return out
 
 
-def in_filter(bits: np.ndarray, spot: pd.Series) -> np.ndarray:
-    """Which rows, given the places of their ids modulo FILTER_BITS, may be in the filter."""
-    at = spot.to_numpy(np.int64)
-    return (bits[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1
+class IdFilter:
+    """A bit for the hash of each of some ids: spares work on rows that need none; those that need it always pass."""
+
+    def __init__(self, bits: np.ndarray) -> None:
+        self.bits, self.size = bits, 64 * len(bits)
+
+    @staticmethod
+    def spot_of(col: str, size: int) -> Column:
+        return F.pmod(F.xxhash64(F.col(col).cast("long")), F.lit(size))
+
+    @staticmethod
+    def of(ids: DataFrame) -> IdFilter | None:
+        """Of the doc_id of ids; at most FILTER_MOST / 64 rows reach the driver. None if there are too many ids for that."""
+        size = 1 << max(10, (BITS_AN_ID * ids.count() - 1).bit_length())
+        if size > FILTER_MOST:
+            return None
+        spot = IdFilter.spot_of("doc_id", size)
+        words = ids.select(F.floor(spot / 64).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), (spot % 64).cast("int")).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
+        out = np.zeros(size // 64, np.uint64)
+        out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64).view(np.uint64)
+        return IdFilter(out)
+
+    def passes(self, spot: pd.Series) -> np.ndarray:
+        at = spot.to_numpy(np.int64)
+        return (self.bits[at // 64] >> (at % 64).astype(np.uint64)) & np.uint64(1) == 1
+
+
+def likely_in(rows: DataFrame, ids: DataFrame, run, schema: str) -> DataFrame:
+    """run(batches) over the rows (doc_id long, no null) whose doc_id is in ids, and a few others that a filter can't tell from them."""
+    found = IdFilter.of(ids)
+    if found is None:
+        return rows.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*rows.columns).mapInPandas(run, schema)
+    sent = rows.sparkSession.sparkContext.broadcast(found)  # FILTER_MOST bits at most
+    names = rows.columns
+    (spot,) = unused(rows, "spot")
+
+    def filtered(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        yield from run(batch.loc[sent.value.passes(batch[spot]), names].reset_index(drop=True) for batch in batches)
+
+    return rows.withColumn(spot, IdFilter.spot_of("doc_id", found.size)).mapInPandas(filtered, schema)
 
 
-def maybe_in(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """docs with maybe__: false for rows whose doc_id certainly isn't in ids, so that only the others need a join."""
-    bits = docs.sparkSession.sparkContext.broadcast(filter_of(ids))
+def split_by(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """docs with a boolean column of that name: false for rows whose doc_id certainly isn't in ids, so that only the others need a join."""
+    found = IdFilter.of(ids)
+    if found is None:
+        return docs.withColumn(name, F.lit(True))
+    sent = docs.sparkSession.sparkContext.broadcast(found)  # FILTER_MOST bits at most
 
     @F.pandas_udf("boolean")
     def test(spot: pd.Series) -> pd.Series:
-        return pd.Series(in_filter(bits.value, spot))
+        return pd.Series(sent.value.passes(spot))
 
-    return docs.withColumn("maybe__", test(F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))))
+    return docs.withColumn(name, test(IdFilter.spot_of("doc_id", found.size)))

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import FILTER_BITS, cut, filter_of, in_filter, maybe_in, table
+from tractlake.llm.common import cut, likely_in, split_by, table, unused
 from tractlake.llm.suffixes import Entry, front_code, merge_runs
 from tractlake.llm.words import prefix_sums, stretch_hashes
 
@@ -157,21 +157,18 @@ def meet_anchors(sent: DataFrame) -> DataFrame:
     return sent.groupBy("bucket").applyInPandas(run, "doc_id long, anchor long")
 
 
-def packed_texts(rows: DataFrame, bits: np.ndarray | None = None) -> DataFrame:
-    """doc_id, h (a hash of the text) and the compressed text of rows(doc_id, text), of those in a filter if one is given."""
-    wanted = None if bits is None else rows.sparkSession.sparkContext.broadcast(bits)  # FILTER_BITS bits
+def packed_texts(rows: DataFrame, ids: DataFrame | None = None) -> DataFrame:
+    """doc_id, h (a hash of the text) and the compressed text of rows(doc_id, text); with ids, of theirs and a few others."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         squeeze = zstandard.ZstdCompressor(level=1, write_checksum=False)
         for batch in batches:
-            if wanted is not None:
-                batch = batch[in_filter(wanted.value, batch["spot"])]
             for at in range(0, len(batch), 500):
                 part = batch.iloc[at : at + 500]
                 yield pd.DataFrame({"doc_id": part["doc_id"], "h": part["h"], "packed": [squeeze.compress(t.encode("utf-8", "surrogatepass")) for t in part["text"]]})
 
-    keyed = rows.withColumn("h", F.xxhash64("text")).withColumn("spot", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)))
-    return keyed.mapInPandas(run, "doc_id long, h long, packed binary")
+    keyed, schema = rows.withColumn("h", F.xxhash64("text")), "doc_id long, h long, packed binary"
+    return keyed.mapInPandas(run, schema) if ids is None else likely_in(keyed, ids.select("doc_id").distinct(), run, schema)
 
 
 def send_suffixes(docs: DataFrame, anchor_buckets: int, buckets: int) -> DataFrame:
@@ -314,7 +311,7 @@ def dedup(docs: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFram
             got = pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])])
             yield pd.concat([batch[["doc_id", "h"]].reset_index(drop=True), got], axis=1)
 
-    texts = packed_texts(named, filter_of(spans))
+    texts = packed_texts(named, spans)
     changed = texts.join(spans, ["doc_id", "h"]).mapInPandas(run, "doc_id long, h long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
     return facts, changed
 
@@ -339,19 +336,20 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     A character that loses only some of its bytes goes with them.
     """
     facts, changed = dedup(docs, with_text=True)
-    left = changed.select(F.col("doc_id").alias("doc__"), F.col("h").alias("h__"), "kept")
-    gone = facts.where("copy").select(F.col("doc_id").alias("doc__"), F.col("h").alias("h__"), F.lit(b"").alias("kept"))
-    edits = cut(left.unionByName(gone).dropDuplicates(["doc__", "h__"]))
+    doc, h, maybe, kept = unused(docs, "doc", "h", "maybe", "kept")
+    left = changed.select(F.col("doc_id").alias(doc), F.col("h").alias(h), F.col("kept").alias(kept))
+    gone = facts.where("copy").select(F.col("doc_id").alias(doc), F.col("h").alias(h), F.lit(b"").alias(kept))
+    edits = cut(left.unionByName(gone).dropDuplicates([doc, h]))
 
     @F.pandas_udf("string")
     def decoded(raw: pd.Series) -> pd.Series:
         return raw.map(lambda b: b.decode("utf-8", "ignore"))
 
-    tested = maybe_in(docs, edits.select(F.col("doc__").alias("doc_id")))
-    joined = tested.where("maybe__").withColumn("doc__", F.col("doc_id").cast("long")).withColumn("h__", F.xxhash64(F.coalesce("text", F.lit("")))).join(edits, ["doc__", "h__"], "left")
-    text = F.when(F.col("kept").isNull(), F.col("text")).otherwise(decoded(F.coalesce("kept", F.lit(b""))))
-    edited = joined.withColumn("text", text).where(F.col("kept").isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return tested.where("not maybe__").select(*docs.columns).unionByName(edited.select(*docs.columns))
+    tested = split_by(docs, edits.select(F.col(doc).alias("doc_id")), maybe)
+    joined = tested.where(F.col(maybe)).withColumn(doc, F.col("doc_id").cast("long")).withColumn(h, F.xxhash64(F.coalesce("text", F.lit("")))).join(edits, [doc, h], "left")
+    text = F.when(F.col(kept).isNull(), F.col("text")).otherwise(decoded(F.coalesce(kept, F.lit(b""))))
+    edited = joined.withColumn("text", text).where(F.col(kept).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return tested.where(~F.col(maybe)).select(*docs.columns).unionByName(edited.select(*docs.columns))
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
