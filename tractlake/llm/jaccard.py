@@ -153,7 +153,11 @@ def from_planes(raw: bytes, size: int, n: int) -> np.ndarray:
 
 
 def met_in_exchange(heads: DataFrame, buckets: int) -> DataFrame:
-    """(token, doc_id, root, reach) for the rare prefix tokens that documents of several roots in heads(doc_id, root, n, prefix, frequent) have."""
+    """What documents of several roots in heads(doc_id, root, n, prefix, frequent) have in common among their rare prefix tokens.
+
+    Of a token of at most LEAF documents, which are one leaf, the pairs (a, b) whose sizes and reach allow a link; of others rows
+    (token, doc_id, root, reach).
+    """
 
     def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple[int, int, int, bytes]] = []
@@ -171,7 +175,7 @@ def met_in_exchange(heads: DataFrame, buckets: int) -> DataFrame:
             rows = []
             for b, here in zip(ids.tolist(), np.split(order, at[1:]), strict=True):
                 here = here[np.argsort(tokens[here])]
-                blob = b"".join((planes(tokens[here], PREFIX_BYTES), planes(docs[here], 8), planes(docs[here] - roots[here], 8), planes(reach[here], 4)))
+                blob = b"".join((planes(tokens[here], PREFIX_BYTES), planes(docs[here], 8), planes(docs[here] - roots[here], 8), planes(reach[here], 4), planes(sizes[here] - reach[here], 4)))
                 rows.append((b, len(here), squeeze.compress(blob)))
             return pd.DataFrame(rows, columns=["bucket", "n", "blob"])
 
@@ -188,22 +192,42 @@ def met_in_exchange(heads: DataFrame, buckets: int) -> DataFrame:
 
     def meet(group: pd.DataFrame) -> pd.DataFrame:
         expand = zstandard.ZstdDecompressor()
-        tokens, docs, roots, reach = [], [], [], []
+        tokens, docs, roots, reach, before = [], [], [], [], []
         for n, blob in zip(group["n"].tolist(), group["blob"], strict=True):
             raw, at = expand.decompress(blob), 0
-            for out, width in ((tokens, PREFIX_BYTES), (docs, 8), (roots, 8), (reach, 4)):
+            for out, width in ((tokens, PREFIX_BYTES), (docs, 8), (roots, 8), (reach, 4), (before, 4)):
                 out.append(from_planes(raw[at : at + width * n], width, n))
                 at += width * n
-        tokens, docs, reach = np.concatenate(tokens), np.concatenate(docs).view(np.int64), np.concatenate(reach).view(np.int64)
+        tokens, docs, reach, before = np.concatenate(tokens), *(np.concatenate(x).view(np.int64) for x in (docs, reach, before))
         roots = docs - np.concatenate(roots).view(np.int64)
         order = np.argsort(tokens, kind="stable")
         first = np.flatnonzero(np.concatenate(([True], tokens[order][1:] != tokens[order][:-1])))
         several = np.minimum.reduceat(roots[order], first) < np.maximum.reduceat(roots[order], first)
-        on = order[np.repeat(several, np.diff(np.append(first, len(order))))]
-        return pd.DataFrame({"token": tokens[on].view(np.int64), "doc_id": docs[on], "root": roots[on], "reach": reach[on]})
+        many = np.diff(np.append(first, len(order)))
+        few = np.repeat(several & (many <= LEAF), many)
+        on = order[few]
+        a, b = leaf_pairs(tokens[on], docs[on], roots[on], reach[on] + before[on], reach[on])
+        found = pd.DataFrame({"a": a, "b": b})
+        on = order[np.repeat(several, many) & ~few]
+        return pd.concat([found, pd.DataFrame({"token": tokens[on].view(np.int64), "doc_id": docs[on], "root": roots[on], "reach": reach[on]})]).astype("Int64")
 
     sent = heads.select("doc_id", "root", "n", "prefix", "frequent").mapInPandas(send, "bucket long, n long, blob binary")
-    return sent.groupBy("bucket").applyInPandas(meet, "token long, doc_id long, root long, reach long")
+    return sent.groupBy("bucket").applyInPandas(meet, "a long, b long, token long, doc_id long, root long, reach long")
+
+
+def leaf_pairs(tokens: np.ndarray, docs: np.ndarray, roots: np.ndarray, sizes: np.ndarray, reach: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct pairs of documents, smaller first, of different roots that have the same token (sorted) at places that allow a link."""
+    found = []
+    for step in range(1, LEAF):
+        i = np.flatnonzero(tokens[step:] == tokens[:-step])
+        if not len(i):
+            break
+        j = i + step
+        fits = (roots[i] != roots[j]) & (100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j]))
+        fits &= (100 + percent) * np.minimum(reach[i], reach[j]) >= percent * (sizes[i] + sizes[j])
+        found.append(np.sort(np.stack([docs[i[fits]], docs[j[fits]]], 1), axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+    return pairs[:, 0], pairs[:, 1]
 
 
 def frequent_rows(heads: DataFrame) -> DataFrame:
@@ -390,8 +414,10 @@ def spanning_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     roots = components(early)
     placed = own.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("doc_id", "n", "prefix", "frequent", F.coalesce("root", "doc_id").alias("root"))
     total = own.agg(F.coalesce(F.sum(F.length("prefix") / PREFIX_BYTES - F.col("frequent")), F.lit(0))).first()[0]
-    shared = met_in_exchange(placed, max(1, -(-int(total) // TOKENS_A_BUCKET))).unionByName(frequent_rows(placed))
-    later = cut(group_pairs(shared, marks))
+    met = cut(met_in_exchange(placed, max(1, -(-int(total) // TOKENS_A_BUCKET))))
+    single = plausible(met.where("a is not null").select("a", "b").distinct(), marks)
+    grouped = group_pairs(met.where("token is not null").select("token", "doc_id", "root", "reach").unionByName(frequent_rows(placed)), marks)
+    later = cut(single.unionByName(grouped).distinct())
     late = cut(checked(later, whole_sets(rows, later)))
     return members, early.unionByName(late)
 
