@@ -77,14 +77,25 @@ def text_calls(rows: list[tuple], most: int = 1 << 18) -> Iterable[list[tuple]]:
         yield part
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, most: int, may_learn: Column | None = None, text: Column | None = None) -> dict[int, list[str]]:
-    """Texts of documents labelled 0 and 1 in a column: those of `most` labelled ids of each kind, in the order of a hash of the id."""
+def planes(values: np.ndarray, size: int) -> bytes:
+    """The bytes of little-endian numbers, first all of the lowest ones, and so on: small numbers then compress well."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
+
+
+def from_planes(raw: bytes, size: int, n: int) -> np.ndarray:
+    out = np.zeros((n, 8), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8).reshape(size, n).T
+    return out.view("<u8").ravel()
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, most: int, may_learn: Column | None = None) -> dict[int, list[str]]:
+    """Whole texts of documents labelled 0 and 1 in a column: those of `most` labelled ids of each kind, in the order of a hash of the id."""
     usable = labels.select("doc_id", F.col(column).cast("int").alias("label")).where(F.col("doc_id").isNotNull())
     if may_learn is not None:
         usable = usable.where(may_learn)
     ids = [usable.where(F.col("label") == x).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for x in (0, 1)]
     chosen = F.broadcast(ids[0].unionByName(ids[1]))  # 2 * most rows at most
-    found = docs.select("doc_id", (F.col("text") if text is None else text).alias("text")).where(F.col("text").isNotNull()).join(chosen, "doc_id")
+    found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(chosen, "doc_id")
     out: dict[int, list[str]] = {0: [], 1: []}
     for r in found.orderBy("label", F.xxhash64("doc_id"), "doc_id", "text").collect():
         out[r["label"]].append(r["text"])

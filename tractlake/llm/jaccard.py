@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import cut, likely_in, split_by, table, text_calls, unused
+from tractlake.llm.common import cut, from_planes, likely_in, planes, split_by, table, text_calls, unused
 from tractlake.llm.components import components
 from tractlake.llm.words import mix, shingle_sets
 
@@ -141,17 +141,6 @@ def common_order(docs: DataFrame) -> Order:
     return Order(rows["token"].to_numpy(np.int64).view(np.uint64), rows["n"].to_numpy(np.int64))
 
 
-def planes(values: np.ndarray, size: int) -> bytes:
-    """The bytes of little-endian numbers, first all of the lowest ones, and so on: small numbers then compress well."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].T).tobytes()
-
-
-def from_planes(raw: bytes, size: int, n: int) -> np.ndarray:
-    out = np.zeros((n, 8), np.uint8)
-    out[:, :size] = np.frombuffer(raw, np.uint8).reshape(size, n).T
-    return out.view("<u8").ravel()
-
-
 def met_in_exchange(heads: DataFrame, buckets: int) -> DataFrame:
     """What documents of several roots in heads(doc_id, root, n, prefix, frequent) have in common among their rare prefix tokens.
 

@@ -5,14 +5,18 @@ hash, at a place that depends on the string alone; so equal strings have equal a
 one document only needs no further look.
 
 1. Copies: a text that equals that of an earlier document goes as a whole.
-2. Tasks send the hashes of their anchors, sorted, by ranges; those found in several documents return to their documents.
+2. Tasks send the hashes of their anchors, sorted, by ranges; those found in several documents return to their documents. An
+   anchor that several documents of a task share is known at once: one of them is sent on for all, so that an anchor of every
+   document is met once a task.
 3. These documents send the suffixes at such anchors as sorted, front-coded runs (equal contexts of a task as one, that of the
-   least document). Loser trees merge the runs by their known common prefixes; stretches that share K bytes are the
-   intervals of the suffix array in which equal strings can lie, and there each 50-byte string finds its earliest document.
+   least document). Loser trees merge the runs by their known common prefixes. A string that starts `o` bytes left of its anchor
+   equals another one if their suffixes share 50 - o bytes, which the merged prefix lengths tell, and their left parts share o
+   bytes, which the same lengths of the sorted left parts tell; in each class of equal strings the least document keeps its bytes.
 
 Defined results: a null text counts as empty; texts below 50 bytes lose nothing; rows without doc_id lose nothing and
 are nobody's earlier document; rows that repeat a doc_id don't match each other, whatever their texts; an empty table gives no
-rows; extra columns are not looked at. Hashes have 64 bits, and 128 or more where they alone decide about texts.
+rows; extra columns are not looked at. Anchors and equal texts are told apart by hashes (of 64, and of 128 bits or more where
+they alone decide about texts); strings are compared as they are.
 """
 
 from __future__ import annotations
@@ -26,17 +30,17 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import cut, likely_in, split_by, table, unused
-from tractlake.llm.suffixes import Entry, front_code, merge_runs
+from tractlake.llm.common import cut, from_planes, likely_in, planes, split_by, table, unused
+from tractlake.llm.suffixes import LEFT, WIDTH, Suffixes, front_code, merge_runs, read_run, shared_with_last
 from tractlake.llm.words import prefix_sums, stretch_hashes
 
-LENGTH, K = 50, 16
+LENGTH, K = WIDTH, WIDTH - LEFT
 #: Bytes hashed in one call; anchors a task gathers before it sends them; anchors in a group of the
 #: first exchange, and groups of the second for each of the first.
 CALL_BYTES, ANCHORS_A_BLOB = 1 << 18, 2_000_000
 DOCS_A_BLOB = 1 << 16
 ANCHORS_A_BUCKET, SUFFIXES_A_BLOB, SUFFIX_BUCKETS = 600_000, 150_000, 3
-HASH_BITS = 40
+HASH_BITS = 32
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
@@ -92,21 +96,28 @@ def send_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         found: list[tuple[np.ndarray, np.ndarray]] = []
         seen: dict[bytes, int] = {}
         size = 0
+        squeeze = zstandard.ZstdCompressor(level=1, write_checksum=False)
 
         def blobs() -> pd.DataFrame:
             number, hashes = np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
             key = ((hashes >> np.uint64(HASH_BITS)) % np.uint64(buckets) << np.uint64(HASH_BITS)) | (hashes & np.uint64((1 << HASH_BITS) - 1))
-            order = np.argsort(key)
+            order = np.argsort(key, kind="stable")
             number, key = number[order], key[order]
-            cuts = np.searchsorted(key >> np.uint64(HASH_BITS), np.arange(buckets + 1)).tolist()
             doc_ids = np.array(ids, np.int64)
+            fresh = np.concatenate(([True], key[1:] != key[:-1]))
+            many = np.repeat(np.diff(np.append(np.flatnonzero(fresh), len(key))), np.diff(np.append(np.flatnonzero(fresh), len(key)))) > 1
             rows = []
-            for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
-                if i < j:
-                    mine, numbers = np.unique(number[i:j], return_inverse=True)
-                    low = key[i:j].view(np.uint8).reshape(-1, 8)[:, : HASH_BITS // 8]
-                    rows.append((b, low.tobytes(), numbers.astype(np.uint16).tobytes(), doc_ids[mine].tobytes()))
-            return pd.DataFrame(rows, columns=["bucket", "hashes", "numbers", "docs"])
+            for kind, on in ((0, fresh), (1, many)):
+                k, m, local = key[on], number[on], many[on]
+                cuts = np.searchsorted(k >> np.uint64(HASH_BITS), np.arange(buckets + 1)).tolist()
+                for b, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+                    if i < j:
+                        mine, numbers = np.unique(m[i:j], return_inverse=True)
+                        low = k[i:j] & np.uint64((1 << HASH_BITS) - 1)
+                        blob = b"".join((planes(np.diff(low, prepend=np.uint64(0)), HASH_BITS // 8), planes(numbers, 2), planes(np.diff(doc_ids[mine], prepend=0), 8), np.packbits(local[i:j]).tobytes()))
+                        to = b if kind == 0 else (b + int(doc_ids[mine[0]])) % buckets  # known ones pass through any bucket
+                        rows.append((to, b if kind else -1, j - i, len(mine), squeeze.compress(blob)))
+            return pd.DataFrame(rows, columns=["bucket", "of", "n", "docs", "blob"])
 
         for batch in batches:
             for part in _calls([(d, t) for d, t in zip(batch["doc_id"].tolist(), batch["text"], strict=True) if len(t) >= LENGTH // 4], lambda r: len(r[1])):
@@ -133,26 +144,37 @@ def send_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         if found:
             yield blobs()
 
-    return docs.mapInPandas(run, "bucket int, hashes binary, numbers binary, docs binary")
+    return docs.mapInPandas(run, "bucket int, of int, n int, docs int, blob binary")
 
 
 def meet_anchors(sent: DataFrame) -> DataFrame:
     """(doc_id, anchor): the anchors, as bucket and hash in one number, that stand in several documents."""
-    size = HASH_BITS // 8
+
+    def read(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        expand = zstandard.ZstdDecompressor()
+        low, docs, known = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+        for n, m, blob in zip(rows["n"].tolist(), rows["docs"].tolist(), rows["blob"], strict=True):
+            raw, a = expand.decompress(blob), HASH_BITS // 8 * n
+            low.append(np.cumsum(from_planes(raw[:a], HASH_BITS // 8, n)))
+            ids = np.cumsum(from_planes(raw[a + 2 * n : a + 2 * n + 8 * m], 8, m).view(np.int64))
+            docs.append(ids[from_planes(raw[a : a + 2 * n], 2, n).astype(np.int64)])
+            known.append(np.unpackbits(np.frombuffer(raw[a + 2 * n + 8 * m :], np.uint8), count=n).astype(bool))
+        return np.concatenate(low), np.concatenate(docs), np.concatenate(known)
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        low = np.zeros((sum(len(x) for x in group["hashes"]) // size, 8), np.uint8)
-        low[:, :size] = np.frombuffer(b"".join(group["hashes"]), np.uint8).reshape(-1, size)
-        low = low.view(np.uint64).ravel()
-        tables = [np.frombuffer(x, np.int64) for x in group["docs"]]
-        docs = np.concatenate([t[np.frombuffer(x, np.uint16)] for t, x in zip(tables, group["numbers"], strict=True)])
+        low, docs, known = read(group[group["of"] < 0])
         order = np.argsort(low, kind="stable")
         same = low[order][1:] == low[order][:-1]
         many = np.zeros(len(low), bool)
         many[order[1:][same]] = True
         many[order[:-1][same]] = True
-        bucket = np.uint64(group["bucket"].iloc[0]) << np.uint64(HASH_BITS)
-        return pd.DataFrame({"doc_id": docs[many], "anchor": (low[many] | bucket).view(np.int64)})
+        many &= ~known  # those are told by the rows that pass through
+        anchor, doc = [low[many] | np.uint64(group["bucket"].iloc[0]) << np.uint64(HASH_BITS)], [docs[many]]
+        for bucket, rows in group[group["of"] >= 0].groupby("of"):
+            low, docs, _ = read(rows)
+            anchor.append(low | np.uint64(bucket) << np.uint64(HASH_BITS))
+            doc.append(docs)
+        return pd.DataFrame({"doc_id": np.concatenate(doc), "anchor": np.concatenate(anchor).view(np.int64)})
 
     return sent.groupBy("bucket").applyInPandas(run, "doc_id long, anchor long")
 
@@ -175,102 +197,112 @@ def send_suffixes(docs: DataFrame, anchor_buckets: int, buckets: int) -> DataFra
     """Front-coded runs of suffixes at the anchors that docs(doc_id, h, packed, found) share; found holds their numbers."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[tuple[int, Entry, int]] = []
+        held: list[tuple[np.ndarray, Suffixes]] = []
+        size = 0
         expand = zstandard.ZstdDecompressor()
 
         def blobs() -> pd.DataFrame:
-            held.sort(key=lambda x: (x[0], x[1][0], x[1][1], x[1][2]))
-            rows, at = [], 0
-            while at < len(held):
-                bucket, kept, done = held[at][0], [], []
-                head: Entry | None = None
-                while at < len(held) and held[at][0] == bucket:
-                    _, entry, end = held[at]
-                    if head is not None and entry[0] == head[0] and entry[1] == head[1] and entry[2] != head[2]:
-                        done.append((entry[2], entry[3], entry[4], end))  # the same context stands in an earlier document
-                    else:
-                        kept.append(entry)
-                        head = entry
-                    at += 1
-                rows.append((bucket, front_code(kept), np.array(done, "<i8").tobytes()))
+            bucket, every = np.concatenate([b for b, _ in held]), Suffixes.joined([x for _, x in held])
+            suffix, left = every.keys()
+            order = np.lexsort((every.doc, left, suffix, bucket))
+            bucket, every = bucket[order], every.take(order)
+            other = np.ones(len(order), bool)
+            other[1:] = (bucket[1:] != bucket[:-1]) | (every.length[1:] != every.length[:-1]) | (every.left_length[1:] != every.left_length[:-1]) | (every.rows[1:] != every.rows[:-1]).any(1) | (every.left[1:] != every.left[:-1]).any(1)
+            head = np.flatnonzero(other)[np.cumsum(other) - 1]
+            again = every.doc != every.doc[head]  # the same context stands in an earlier document
+            cuts = np.flatnonzero(np.concatenate(([True], bucket[1:] != bucket[:-1]))).tolist()
+            rows = []
+            for i, j in zip(cuts, [*cuts[1:], len(bucket)], strict=True):
+                mine = np.arange(i, j)
+                gone = mine[again[i:j]]
+                done = np.stack([every.doc[gone], every.text[gone], every.start[gone], every.start[gone] + every.left_length[gone] + every.length[gone]], 1)
+                rows.append((int(bucket[i]), front_code(every.take(mine[~again[i:j]])), done.astype("<i8").tobytes()))
             return pd.DataFrame(rows, columns=["bucket", "run", "done"])
 
         for batch in batches:
             rows = list(zip(batch["doc_id"].tolist(), batch["packed"], batch["h"].tolist(), batch["found"], strict=True))
             for part in _calls(rows, lambda r: 3 * len(r[1])):
-                part = [(d, expand.decompress(t), h, f) for d, t, h, f in part]
-                doc, hashes, place, first, last = anchors([r[1] for r in part])
-                bucket, low = (hashes >> np.uint64(HASH_BITS)) % np.uint64(anchor_buckets), hashes & np.uint64((1 << HASH_BITS) - 1)
+                texts = [expand.decompress(t) for _, t, _, _ in part]
+                doc, hashes, place, first, last = anchors(texts)
+                mine = hashes & np.uint64((1 << HASH_BITS) - 1) | (hashes >> np.uint64(HASH_BITS)) % np.uint64(anchor_buckets) << np.uint64(HASH_BITS)
                 bounds = np.searchsorted(doc, np.arange(len(part) + 1)).tolist()
-                for k, (d, raw, h, wanted) in enumerate(part):
-                    a, b = bounds[k], bounds[k + 1]
-                    if a == b:
-                        continue
-                    want = np.sort(np.asarray(wanted, np.int64).view(np.uint64))
-                    mine = low[a:b] | (bucket[a:b] << np.uint64(HASH_BITS))
-                    at = np.minimum(np.searchsorted(want, mine), len(want) - 1)
-                    for i in (a + np.flatnonzero(want[at] == mine)).tolist():
-                        p, f, e = int(place[i]), int(first[i]), int(last[i]) + LENGTH
-                        held.append((int(hashes[i]) % buckets, (raw[p:e], raw[f:p], d, h, f), e))
-                if len(held) >= SUFFIXES_A_BLOB:
+                wanted = np.zeros(len(doc), bool)
+                for k, (_, _, _, found) in enumerate(part):
+                    want = np.sort(np.asarray(found, np.int64).view(np.uint64))
+                    here = slice(bounds[k], bounds[k + 1])
+                    wanted[here] = want[np.minimum(np.searchsorted(want, mine[here]), len(want) - 1)] == mine[here]
+                if not wanted.any():
+                    continue
+                raw = np.frombuffer(b"".join(texts) + bytes(WIDTH), np.uint8)
+                base = np.cumsum([0, *map(len, texts)])[doc[wanted]]
+                p, f, e = place[wanted], first[wanted], last[wanted] + LENGTH
+                right, left = np.arange(WIDTH), np.arange(LEFT)
+                rights = np.where(right < (e - p)[:, None], raw[(base + p)[:, None] + right], 0).astype(np.uint8)
+                lefts = np.where(left < (p - f)[:, None], raw[np.maximum((base + p)[:, None] - 1 - left, 0)], 0).astype(np.uint8)
+                of = doc[wanted]
+                ids, hs = np.array([r[0] for r in part], np.int64), np.array([r[2] for r in part], np.int64)
+                held.append(((hashes[wanted] % np.uint64(buckets)).astype(np.int64), Suffixes(rights, e - p, lefts, p - f, ids[of], hs[of], f)))
+                size += len(of)
+                if size >= SUFFIXES_A_BLOB:
                     yield blobs()
-                    held = []
+                    held, size = [], 0
         if held:
             yield blobs()
 
     return docs.mapInPandas(run, "bucket long, run binary, done binary")
 
 
-def removed_spans(merged: Iterator[tuple[int, Entry]]) -> list[tuple[int, int, int, int]]:
-    """(doc, text hash, start, end) of what earlier documents cover, from suffixes in their order."""
-    interval: list[Entry] = []
-    units: list[Entry] = []
-
-    def close() -> None:
-        if len(interval) > 1 and any(e[2] != interval[0][2] for e in interval):
-            units.extend(interval)
-
-    for shared, entry in merged:
-        if shared < K and interval:
-            close()
-            interval = []
-        interval.append(entry)
-    close()
-    if not units:
-        return []
-    lengths = np.array([len(e[0]) + len(e[1]) for e in units])
-    raw = np.frombuffer(b"".join([e[1] + e[0] for e in units]), np.uint8)
-    base = np.concatenate(([0], np.cumsum(lengths)[:-1]))
-    many = lengths - LENGTH + 1
-    owner = np.repeat(np.arange(len(units)), many)
-    step = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
-    with np.errstate(over="ignore"):
-        at = base[owner] + step
-        hashes = stretch_hashes(prefix_sums(raw), at, at + LENGTH)
-    docs = np.array([e[2] for e in units], np.int64)[owner]
-    order = np.lexsort((docs, hashes))
-    new = np.concatenate(([True], hashes[order][1:] != hashes[order][:-1]))
-    earliest = np.empty(len(docs), np.int64)
-    earliest[order] = docs[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-    hit = np.flatnonzero(docs > earliest)
-    if not len(hit):
-        return []
-    start = np.array([e[4] for e in units], np.int64)[owner[hit]] + step[hit]
-    fresh = np.flatnonzero(np.concatenate(([True], (owner[hit][1:] != owner[hit][:-1]) | (np.diff(start) != 1))))
-    ends = np.concatenate((fresh[1:] - 1, [len(hit) - 1]))
-    return [(units[owner[hit[i]]][2], units[owner[hit[i]]][3], int(start[i]), int(start[j]) + LENGTH) for i, j in zip(fresh.tolist(), ends.tolist(), strict=True)]
+def removed_spans(every: Suffixes, order: np.ndarray, shared: np.ndarray) -> np.ndarray:
+    """(doc, text hash, start, end) of what earlier documents cover, from suffixes and their merged order with the lengths shared there."""
+    near = np.append(shared[1:], 0) >= K
+    near |= shared >= K  # suffixes without a neighbour of K equal bytes match nothing
+    kept = np.flatnonzero(near)
+    if not len(kept):
+        return np.zeros((0, 4), np.int64)
+    right = np.where(np.concatenate(([True], np.diff(kept) != 1)), 0, shared[kept])
+    every = every.take(order[kept])
+    n = len(every)
+    left_order = np.argsort(every.keys()[1], kind="stable")
+    left = shared_with_last(every.left[left_order])
+    left_after, right_after = np.append(left[1:], 0), np.append(right[1:], 0)
+    covered = np.zeros((n, LEFT + 2), bool)  # by bytes left of the anchor, and one more that stays False
+    left_class = np.empty(n, np.int64)
+    for o in range(LEFT + 1):
+        fits = (every.left_length >= o) & (every.length >= LENGTH - o) & (np.maximum(right, right_after) >= LENGTH - o)
+        if o:
+            alone = np.zeros(n, bool)
+            alone[left_order] = np.maximum(left, left_after) < o
+            fits &= ~alone
+        at = np.flatnonzero(fits)
+        if not len(at):
+            continue
+        left_class[left_order] = np.cumsum(left < o)
+        key = np.cumsum(right < LENGTH - o)[at] * (n + 1) + left_class[at]
+        by_key = np.argsort(key, kind="stable")
+        new = np.concatenate(([True], key[by_key][1:] != key[by_key][:-1]))
+        docs = every.doc[at[by_key]]
+        least = np.minimum.reduceat(docs, np.flatnonzero(new))[np.cumsum(new) - 1]
+        covered[at[by_key[docs > least]], o] = True
+    edge = np.diff(covered.astype(np.int8), axis=1, prepend=0)
+    who, low = np.nonzero(edge == 1)
+    high = np.nonzero(edge == -1)[1] - 1
+    place = every.start[who] + every.left_length[who]
+    return np.stack([every.doc[who], every.text[who], place - high, place - low + LENGTH], 1)
 
 
 def meet_suffixes(sent: DataFrame) -> DataFrame:
     """(doc_id, h, spans): packed [start, end) pairs to remove."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        spans = removed_spans(merge_runs([x for x in group["run"] if len(x) > 4]))
-        out: dict[tuple[int, int], list[int]] = {}
-        done = np.frombuffer(b"".join(group["done"]), "<i8").reshape(-1, 4).tolist()
-        for doc, h, start, end in (*spans, *done):
-            out.setdefault((doc, h), []).extend((start, end))
-        return pd.DataFrame([(d, h, np.array(x, "<i8").tobytes()) for (d, h), x in out.items()], columns=["doc_id", "h", "spans"])
+        runs = [read_run(x) for x in group["run"]]
+        order, shared = merge_runs(runs)
+        every = Suffixes.joined([r for r, _ in runs])
+        del runs
+        spans = np.concatenate((removed_spans(every, order, shared), np.frombuffer(b"".join(group["done"]), "<i8").reshape(-1, 4)))
+        spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
+        first = np.flatnonzero(np.concatenate(([True], (spans[1:, :2] != spans[:-1, :2]).any(1)))) if len(spans) else np.zeros(0, np.int64)
+        pairs = [x[:, 2:].astype("<i8").tobytes() for x in np.split(spans, first[1:])] if len(first) else []
+        return pd.DataFrame({"doc_id": spans[first, 0], "h": spans[first, 1], "spans": pairs})
 
     return sent.groupBy("bucket").applyInPandas(run, "doc_id long, h long, spans binary")
 
