@@ -3,6 +3,9 @@
 One attention layer over windows of WINDOW subword ids, then a two-level softmax: the FREQUENT commonest ids in classes of CLASS_SIZE,
 and one more class for all other ids, within which an id has its smoothed share of the training ids. So the
 probabilities of all ids sum to one, and a score costs two short softmaxes.
+
+The logits are the sum of what the layers say and of the smoothed logarithms of how often each id follows the last one in training
+(Pairs), so that training starts from the best guess by the last id alone and learns what the rest of the window tells.
 """
 
 from __future__ import annotations
@@ -13,7 +16,7 @@ import numpy as np
 
 WINDOW, OVERLAP = 32, 6
 WIDTH, HIDDEN = 16, 32
-FREQUENT, CLASS_SIZE, RARE_INPUTS = 1024, 32, 64
+FREQUENT, CLASS_SIZE, RARE_INPUTS = 2048, 64, 64
 CLASSES = FREQUENT // CLASS_SIZE + 1
 BATCH = 256
 SHAPES = {
@@ -30,6 +33,7 @@ SHAPES = {
     "member": (CLASSES - 1, WIDTH, CLASS_SIZE),
     "member_bias": (CLASSES - 1, CLASS_SIZE),
 }
+INPUTS = FREQUENT + RARE_INPUTS + 1
 CAUSAL = np.tril(np.ones((WINDOW, WINDOW), np.float32))
 ONES = np.ones((WINDOW, 1), np.float32)
 MEMBERS = np.ones(CLASS_SIZE, np.float32)
@@ -60,28 +64,48 @@ class Vocabulary:
         return np.where(slot < 0, FREQUENT + ids % RARE_INPUTS, slot)
 
 
-def initial(counts: np.ndarray, vocabulary: Vocabulary, seed: int = 7) -> Params:
-    """Small random weights, and biases that start from the counts."""
+@dataclass
+class Pairs:
+    """For each input slot the logarithms of the shares of classes, and of ids in their class, that follow it."""
+
+    classes: np.ndarray
+    members: np.ndarray
+
+    @staticmethod
+    def of(followers: np.ndarray) -> Pairs:
+        """From how often each target (a slot, or FREQUENT for another id) follows each input slot; Witten and Bell's smoothing by how many
+        different slots each target follows, and one half more each."""
+        alone = (followers > 0).sum(0) + 0.5
+        alone /= alone.sum()
+        kinds = (followers > 0).sum(1, keepdims=True) + 1.0
+        joint = (followers + kinds * alone) / (followers.sum(1, keepdims=True) + kinds)
+        inside = joint[:, :FREQUENT].reshape(len(joint), CLASSES - 1, CLASS_SIZE)
+        sums = inside.sum(2)
+        members = np.log(inside / sums[:, :, None]).reshape(len(joint), FREQUENT)
+        return Pairs(np.log(np.concatenate((sums, joint[:, FREQUENT:]), 1)).astype(np.float32), members.astype(np.float32))
+
+
+def pair_counts(inputs: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """How often each target follows each input slot."""
+    return np.bincount(inputs.astype(np.int64) * (FREQUENT + 1) + np.where(slots < 0, FREQUENT, slots), minlength=INPUTS * (FREQUENT + 1)).reshape(INPUTS, FREQUENT + 1)
+
+
+def initial(seed: int = 7) -> Params:
+    """Small random weights; the softmaxes start from the pairs alone."""
     dice = np.random.default_rng(seed)
     params = {k: (dice.standard_normal(s) * (0.3 if k in ("token", "place") else 1 / np.sqrt(s[-2] if len(s) > 1 else 1)) * (0.1 if k in ("down", "out") else 1)).astype(np.float32) for k, s in SHAPES.items()}
-    frequent = np.full(FREQUENT, 0.5)
-    known = vocabulary.slot >= 0
-    frequent[vocabulary.slot[known]] += counts[known]
-    groups = frequent.reshape(CLASSES - 1, CLASS_SIZE)
-    params["member_bias"] = np.log(groups / groups.sum(1, keepdims=True)).astype(np.float32)
-    sums = np.append(groups.sum(1), counts[~known].sum() + 0.5)
-    params["class_bias"] = np.log(sums / sums.sum()).astype(np.float32)
-    params["member"] *= np.float32(0.3)
+    for k in ("class", "class_bias", "member", "member_bias"):
+        params[k] *= np.float32(0)
     return params
 
 
-def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def windows_of(lengths: np.ndarray, overlap: int = OVERLAP) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Positions (windows x WINDOW) into the concatenated targets, which of them exist, and which of them a window scores.
 
-    Windows step by WINDOW - OVERLAP; all but the first leave the first OVERLAP targets to the window before, so that each
+    Windows step by WINDOW - overlap; all but the first leave the first `overlap` targets to the window before, so that each
     target is scored once.
     """
-    step = WINDOW - OVERLAP
+    step = WINDOW - overlap
     many = np.where(lengths <= WINDOW, 1, 1 + -(-(lengths - WINDOW) // step))
     many = np.where(lengths == 0, 0, many)
     base = np.concatenate(([0], np.cumsum(lengths)[:-1]))
@@ -89,7 +113,7 @@ def windows_of(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     nth = np.arange(len(owner)) - np.repeat(np.cumsum(many) - many, many)
     local = nth[:, None] * step + np.arange(WINDOW)[None, :]
     exists = local < lengths[owner][:, None]
-    scored = exists & ((nth[:, None] == 0) | (np.arange(WINDOW)[None, :] >= OVERLAP))
+    scored = exists & ((nth[:, None] == 0) | (np.arange(WINDOW)[None, :] >= overlap))
     return np.minimum(base[owner][:, None] + local, max(0, int(lengths.sum()) - 1)), exists, scored
 
 
@@ -116,11 +140,12 @@ def attend(p: Params, x_in: np.ndarray, for_gradient: bool = False) -> dict[str,
     return {"x": x, "q": q, "k": k, "v": v, "weights": weights, "z": z, "mid": mid, "up": up, "top": mid + up @ p["down"]}
 
 
-def log_probabilities(p: Params, top: np.ndarray, slot: np.ndarray, want_gradient: bool = False):
-    """Natural log of the two softmaxes at each row of top for its target slot (-1: one of the other ids), and gradients."""
+def log_probabilities(p: Params, pairs: Pairs, top: np.ndarray, last: np.ndarray, slot: np.ndarray, want_gradient: bool = False):
+    """Natural log of the two softmaxes at each row of top, after the input slot last, for its target slot (-1: one of the other ids), and gradients."""
     cls = np.where(slot < 0, CLASSES - 1, slot // CLASS_SIZE)
     logits = top @ p["class"]
     logits += p["class_bias"]
+    logits += pairs.classes[last]
     np.minimum(logits, np.float32(80), out=logits)
     np.exp(logits, out=logits)
     total = logits @ np.ones(CLASSES, np.float32)
@@ -143,6 +168,7 @@ def log_probabilities(p: Params, top: np.ndarray, slot: np.ndarray, want_gradien
         h = top[here]
         inner = h @ p["member"][c]
         inner += p["member_bias"][c]
+        inner += pairs.members[last[here], c * CLASS_SIZE : (c + 1) * CLASS_SIZE]
         np.minimum(inner, np.float32(80), out=inner)
         np.exp(inner, out=inner)
         sums = inner @ MEMBERS
@@ -158,11 +184,11 @@ def log_probabilities(p: Params, top: np.ndarray, slot: np.ndarray, want_gradien
     return (out, d_top, grads) if want_gradient else out
 
 
-def gradients(p: Params, x_in: np.ndarray, slot: np.ndarray, exists: np.ndarray) -> tuple[float, Params]:
+def gradients(p: Params, pairs: Pairs, x_in: np.ndarray, slot: np.ndarray, exists: np.ndarray) -> tuple[float, Params]:
     """Mean negative log probability over the existing targets, and its gradient."""
     s = attend(p, x_in, True)
     on = np.flatnonzero(exists.ravel())
-    logp, d_on, g = log_probabilities(p, s["top"][on], slot.ravel()[on], True)
+    logp, d_on, g = log_probabilities(p, pairs, s["top"][on], x_in.ravel()[on], slot.ravel()[on], True)
     d_top = np.zeros_like(s["top"])
     d_top[on] = d_on
     n = len(x_in)
@@ -188,7 +214,7 @@ def gradients(p: Params, x_in: np.ndarray, slot: np.ndarray, exists: np.ndarray)
     return float(-logp.mean()), {k: (v * scale).astype(np.float32) for k, v in g.items()}
 
 
-def train(params: Params, x_in: np.ndarray, slot: np.ndarray, exists: np.ndarray, rate: float = 0.01, batch: int = 64, seed: int = 1) -> Params:
+def train(params: Params, pairs: Pairs, x_in: np.ndarray, slot: np.ndarray, exists: np.ndarray, rate: float = 0.01, batch: int = 128, seed: int = 1) -> Params:
     """One pass of Adam over shuffled windows, the rate falling to a tenth."""
     p = {k: v.copy() for k, v in params.items()}
     m = {k: np.zeros_like(v) for k, v in p.items()}
@@ -197,7 +223,7 @@ def train(params: Params, x_in: np.ndarray, slot: np.ndarray, exists: np.ndarray
     steps = -(-len(order) // batch)
     for t in range(steps):
         pick = order[t * batch : (t + 1) * batch]
-        _, g = gradients(p, x_in[pick], slot[pick], exists[pick])
+        _, g = gradients(p, pairs, x_in[pick], slot[pick], exists[pick])
         now = rate * (1 - 0.9 * t / steps)
         for k in p:
             m[k] = 0.9 * m[k] + 0.1 * g[k]
@@ -215,7 +241,7 @@ def framed(texts: list[np.ndarray], end: int, vocabulary: Vocabulary) -> tuple[n
     return lengths, inputs, targets
 
 
-def score(params: Params, vocabulary: Vocabulary, texts: list[np.ndarray], end: int) -> np.ndarray:
+def score(params: Params, pairs: Pairs, vocabulary: Vocabulary, texts: list[np.ndarray], end: int) -> np.ndarray:
     """log10 probability of each text of ids, its end included."""
     if not texts:
         return np.zeros(0)
@@ -226,5 +252,5 @@ def score(params: Params, vocabulary: Vocabulary, texts: list[np.ndarray], end:
     for k in range(0, len(at), BATCH):
         part, on = at[k : k + BATCH], scored[k : k + BATCH].ravel()
         places = part.ravel()[on]
-        each[places] += log_probabilities(params, attend(params, inputs[part])["top"][on], slots[places]) / np.log(10)
+        each[places] += log_probabilities(params, pairs, attend(params, inputs[part])["top"][on], inputs[places], slots[places]) / np.log(10)
     return np.add.reduceat(each, np.concatenate(([0], np.cumsum(lengths)[:-1])))

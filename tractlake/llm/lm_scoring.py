@@ -1,9 +1,9 @@
 """Language-model scoring of whole texts, beside a word-unigram base.
 
-Texts become subword ids once; a causal self-attention model (causal_lm) starts from the id counts of all training documents and is
-trained by rounds of local training and averaging: the training documents are parted over the rounds, so that each one trains in one
-group of one round, whatever the size of the table. A round deals its documents to groups of about GROUP_TOKENS tokens, trains a
-copy of the model in each group, and averages the copies. Then every text is scored in overlapping windows that score each id
+Texts become subword ids once; a causal self-attention model (causal_lm) starts from how often each id follows which in all training
+documents and is trained by rounds of local training and averaging: the training documents are parted over the rounds, so that each
+one trains, whole, in one group of one round, whatever the size of the table. A round deals its documents to groups of about
+GROUP_TOKENS tokens, trains a copy of the model in each group, and averages the copies, as whole numbers, so that no order matters. Then every text is scored in overlapping windows that score each id
 once, its end included.
 
 The base counts the words of all training documents. A bounded table of the commonest words goes to every task; all other words
@@ -17,6 +17,7 @@ extra columns are not looked at. Words are told apart by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -30,7 +31,9 @@ from tractlake.llm.packing import CHARS_A_CALL, coder
 from tractlake.llm.words import word_hashes
 
 TOKENIZER, VOCABULARY_SIZE, END_ID = "word_bpe_49k.json", 49408, 49407
-ROUNDS = ((0.04, 0), (0.03, 1), (0.02, 2), (0.012, 3), (0.006, 4))  # learning rate, number
+ROUNDS = ((0.05, 0), (0.04, 1), (0.025, 2), (0.015, 3), (0.008, 4))  # learning rate, number
+#: Weights are averaged in steps of one part in so many.
+STEPS = 1 << 24
 GROUP_TOKENS = 500_000
 #: The commonest words, at most so many, that every task gets with their counts.
 COMMON_WORDS = 1 << 19
@@ -74,16 +77,36 @@ def id_counts(encoded: DataFrame) -> np.ndarray:
     return out
 
 
-def local_training(sent, rate: float, number: int):
-    """A function that trains a copy of the sent model on the texts of one group."""
+def pairs_of(encoded: DataFrame, vocabulary: causal_lm.Vocabulary) -> causal_lm.Pairs:
+    """How often each id follows which in training documents; at most causal_lm.INPUTS x (FREQUENT + 1) rows reach the driver."""
+    sent = encoded.sparkSession.sparkContext.broadcast(vocabulary)
+    width = causal_lm.FREQUENT + 1
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((causal_lm.INPUTS, width), np.int64)
+        for batch in batches:
+            if len(batch):
+                _, inputs, targets = causal_lm.framed([np.frombuffer(x, "<u2") for x in batch["ids"]], END_ID, sent.value)
+                total += causal_lm.pair_counts(inputs, sent.value.slot[targets])
+        at = np.flatnonzero(total)
+        yield pd.DataFrame({"pair": at.astype(np.int32), "n": total.ravel()[at]})
+
+    found = encoded.where(~F.col("held_out")).select("ids").mapInPandas(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(causal_lm.INPUTS * width)
+    out[found["pair"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
+    return causal_lm.Pairs.of(out.reshape(causal_lm.INPUTS, width))
+
+
+def local_training(sent, params: causal_lm.Params, rate: float, number: int):
+    """A function that trains a copy of params on the texts of one group; sent: vocabulary and pairs."""
 
     def learn(group: pd.DataFrame) -> pd.DataFrame:
-        start, vocabulary = sent.value
+        vocabulary, pairs = sent.value
         texts = [np.frombuffer(x, "<u2") for x in group.sort_values(["key", "n"])["ids"]]
         lengths, inputs, targets = causal_lm.framed(texts, END_ID, vocabulary)
-        at, exists, _ = causal_lm.windows_of(lengths)
-        done = causal_lm.train(start, inputs[at], vocabulary.slot[targets][at], exists, rate=rate, seed=number)
-        return pd.DataFrame({"name": list(done), "values": [v.ravel().astype(np.float64).tolist() for v in done.values()]})
+        at, exists, _ = causal_lm.windows_of(lengths, 0)
+        done = causal_lm.train(params, pairs, inputs[at], vocabulary.slot[targets][at], exists, rate=rate, seed=number)
+        return pd.DataFrame({"name": list(done), "values": [np.rint(v.ravel().astype(np.float64) * STEPS).astype(np.int64).tolist() for v in done.values()]})
 
     return learn
 
@@ -94,41 +117,48 @@ def parted(encoded: DataFrame, groups: int) -> DataFrame:
     return encoded.where(~F.col("held_out")).withColumn("round", at % len(ROUNDS)).withColumn("group", F.floor(at / len(ROUNDS)))
 
 
-def train(encoded: DataFrame, counts: np.ndarray) -> tuple[causal_lm.Params, causal_lm.Vocabulary]:
-    """The averaged model after all rounds."""
+@dataclass
+class Model:
+    vocabulary: causal_lm.Vocabulary
+    pairs: causal_lm.Pairs
+    params: causal_lm.Params
+
+
+def train(encoded: DataFrame) -> Model:
+    """The averaged model after all rounds; without a training document, the one it starts from."""
+    counts = id_counts(encoded)
     vocabulary = causal_lm.Vocabulary.of(counts, END_ID)
-    params = causal_lm.initial(counts, vocabulary)
+    pairs, params = pairs_of(encoded, vocabulary), causal_lm.initial()
     total = counts.sum()
     if not total:
-        return params, vocabulary
-    spark = encoded.sparkSession
+        return Model(vocabulary, pairs, params)
+    sent = encoded.sparkSession.sparkContext.broadcast((vocabulary, pairs))  # sizes fixed by causal_lm
     dealt = parted(encoded, max(1, round(total / len(ROUNDS) / GROUP_TOKENS)))
     for rate, number in ROUNDS:
-        sent = spark.sparkContext.broadcast((params, vocabulary))
-        learn = local_training(sent, rate, number)
-        learned = dealt.where(F.col("round") == number).select("key", "n", "ids", "group").groupBy("group").applyInPandas(learn, "name string, values array<double>")
-        mean = learned.select("name", F.posexplode("values").alias("at", "value")).groupBy("name", "at").agg(F.avg("value").alias("value")).toPandas()
+        learn = local_training(sent, params, rate, number)
+        learned = dealt.where(F.col("round") == number).select("key", "n", "ids", "group").groupBy("group").applyInPandas(learn, "name string, values array<long>")
+        mean = learned.select("name", F.posexplode("values").alias("at", "value")).groupBy("name", "at").agg((F.sum("value") / F.count("*") / STEPS).alias("value")).toPandas()
         if len(mean):
             by_name = {name: part.sort_values("at")["value"].to_numpy(np.float32) for name, part in mean.groupby("name")}
             params = {k: by_name[k].reshape(causal_lm.SHAPES[k]) for k in params}
-    return params, vocabulary
+    return Model(vocabulary, pairs, params)
 
 
-def model_scores(encoded: DataFrame, params: causal_lm.Params, vocabulary: causal_lm.Vocabulary) -> DataFrame:
+def model_scores(encoded: DataFrame, model: Model) -> DataFrame:
     """key and the model's log10 probability of the text, its end included."""
-    sent = encoded.sparkSession.sparkContext.broadcast((params, vocabulary))
+    sent = encoded.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        p, vocab = sent.value
+        m = sent.value
         for batch in batches:
             out, part, size = [], [], 0
             for ids in batch["ids"]:
                 part.append(np.frombuffer(ids, "<u2"))
                 size += len(ids)
                 if size > 1 << 19:
-                    out.append(causal_lm.score(p, vocab, part, END_ID))
+                    out.append(causal_lm.score(m.params, m.pairs, m.vocabulary, part, END_ID))
                     part, size = [], 0
-            out.append(causal_lm.score(p, vocab, part, END_ID))
+            out.append(causal_lm.score(m.params, m.pairs, m.vocabulary, part, END_ID))
             yield pd.DataFrame({"key": batch["key"], "score": np.concatenate(out)})
 
     return encoded.select("key", "ids").mapInPandas(run, "key long, score double")
@@ -204,7 +234,7 @@ def score(docs: DataFrame, file: str | None = None) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of each row of docs(doc_id, text)."""
     rows = with_key(docs)
     encoded = cut(subword_ids(rows, file or public_tokenizers.path(TOKENIZER)))
-    scored = model_scores(encoded, *train(encoded, id_counts(encoded)))
+    scored = model_scores(encoded, train(encoded))
     return base_scores(rows).join(scored.dropDuplicates(["key"]), "key").select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
