@@ -6,8 +6,8 @@ For each language the grams of a text that it contains are counted, the expected
 its slice is, are taken off, and the largest corrected count decides; the score is its share of all corrected counts.
 
 Defined results: a null text and one without a letter are `und` with score 0.0; a text none of whose grams is known gets the
-commonest language learned, with score 0.0; without any training row every text is `und`; rows with null lang or doc_id teach nothing; at
-most 64 languages are learned, the commonest ones; repeated rows are judged once each; extra columns are not looked at.
+first language learned (the commonest), with score 0.0; without any training row every text is `und`; rows with null lang or doc_id
+teach nothing; repeated rows are judged once each; extra columns are not looked at.
 """
 
 from __future__ import annotations
@@ -17,19 +17,20 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tractlake.llm.common import held_out, table
 
-#: About so many documents of each language, and so many characters of each, are learned from: the bound of what reaches the driver.
-SAMPLE_DOCS, SAMPLE_CHARS = 1500, 4000
-MOST_LANGUAGES = 64
+#: About so many documents of each language are learned from, whole.
+SAMPLE_DOCS = 1500
 SIZES = (2, 3, 4)
-#: Grams kept for each language; a gram belongs to a language that uses it at least SHARE times as often as the language that uses it most.
+#: Grams kept for each language, which bounds what reaches the driver; a gram belongs to a language that uses it at least SHARE times as often as the language that uses it most.
 GRAMS, SHARE, LEAST = 30_000, 0.3, 3
 SLOTS_LOG2, HASHES = 20, 3
 UNKNOWN = "und"
+#: The eight bits of each byte.
+BITS = np.arange(256)[:, None] >> np.arange(8) & 1
 
 
 @cache
@@ -62,12 +63,11 @@ def grams(codes: np.ndarray) -> np.ndarray:
 
 
 class Filter:
-    """A Bloom filter with a bit for each language in every slot."""
+    """A Bloom filter with a bit for each language in every slot; a slot has as many bytes as the languages need."""
 
     def __init__(self, languages: list[str]) -> None:
         self.languages = languages
-        self.kind = next(t for bits, t in ((8, np.uint8), (16, np.uint16), (32, np.uint32), (64, np.uint64)) if len(languages) <= bits)
-        self.slots = np.zeros(1 << SLOTS_LOG2, self.kind)
+        self.slots = np.zeros((1 << SLOTS_LOG2, max(1, -(-len(languages) // 8))), np.uint8)
 
     @staticmethod
     def places(hashes: np.ndarray) -> list[np.ndarray]:
@@ -76,27 +76,26 @@ class Filter:
 
     def add(self, hashes: np.ndarray, language: int) -> None:
         for at in self.places(hashes):
-            self.slots[at] |= self.kind(1 << language)
+            self.slots[at, language // 8] |= np.uint8(1 << language % 8)
 
     def languages_of(self, hashes: np.ndarray) -> np.ndarray:
-        """Bit masks of all languages that contain each gram."""
+        """Bit masks, a byte for eight languages, of all languages that contain each gram."""
         found = None
         for at in self.places(hashes):
             found = self.slots[at] if found is None else found & self.slots[at]
         return found
 
     def false_positives(self) -> np.ndarray:
-        return np.array([(((self.slots >> self.kind(k)) & self.kind(1)).mean()) ** HASHES for k in range(len(self.languages))])
+        return (self.hits(self.slots) / len(self.slots)) ** HASHES
+
+    def hits(self, masks: np.ndarray) -> np.ndarray:
+        """In how many of the masks each language is."""
+        by_byte = [np.bincount(masks[:, k], minlength=256) @ BITS for k in range(masks.shape[1])]
+        return np.concatenate(by_byte)[: len(self.languages)].astype(np.float64)
 
     def count(self, hashes: np.ndarray) -> np.ndarray:
         """Grams in each language, false positives taken off."""
-        found = self.languages_of(hashes)
-        if self.kind is np.uint8:
-            by_mask = np.bincount(found, minlength=256)
-            hits = np.array([by_mask[np.arange(256) >> k & 1 == 1].sum() for k in range(len(self.languages))], dtype=np.float64)
-        else:
-            hits = np.array([int(((found >> self.kind(k)) & self.kind(1)).sum()) for k in range(len(self.languages))], dtype=np.float64)
-        return np.maximum(0, (hits - len(hashes) * self.wrong) / (1 - self.wrong))
+        return np.maximum(0, (self.hits(self.languages_of(hashes)) - len(hashes) * self.wrong) / (1 - self.wrong))
 
     def close(self) -> Filter:
         self.wrong = np.minimum(self.false_positives(), 0.99)
@@ -111,41 +110,47 @@ class Filter:
         return self.languages[best], float(counts[best] / counts.sum()) if counts.sum() > 0 else 0.0
 
 
-def learn(samples: dict[str, list[str]]) -> Filter:
-    """A filter from texts of each language; the languages in the order of their names in samples."""
-    model = Filter(list(samples))
-    shares: dict[str, tuple[np.ndarray, np.ndarray]] = {}
-    for name, texts in samples.items():
-        found = [grams(codes_of(t)) for t in texts]
-        keys, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
-        total = max(1, n.sum())
-        keep = np.lexsort((keys, -n))[:GRAMS]
-        keep = keep[n[keep] >= LEAST]
-        shares[name] = (keys[keep], n[keep] / total)
-    every = np.unique(np.concatenate([k for k, _ in shares.values()])) if shares else np.zeros(0, np.uint64)
+def counted(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of some texts and how often each occurs."""
+    found = [grams(codes_of(t)) for t in texts]
+    return np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
+
+
+def learn(counts: dict[str, tuple[np.ndarray, np.ndarray, int]]) -> Filter:
+    """A filter from the commonest grams of each language, their counts, and the number of all grams of its texts."""
+    model = Filter(list(counts))
+    every = np.unique(np.concatenate([k for k, _, _ in counts.values()])) if counts else np.zeros(0, np.uint64)
     most = np.zeros(len(every))
-    for keys, share in shares.values():
+    for keys, n, total in counts.values():
         at = np.searchsorted(every, keys)
-        most[at] = np.maximum(most[at], share)
-    for i, (keys, share) in enumerate(shares.values()):
-        model.add(keys[share >= SHARE * most[np.searchsorted(every, keys)]], i)
+        most[at] = np.maximum(most[at], n / max(1, total))
+    for i, (keys, n, total) in enumerate(counts.values()):
+        model.add(keys[n / max(1, total) >= SHARE * most[np.searchsorted(every, keys)]], i)
     return model.close()
 
 
 def fit_on(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Filter:
-    """A filter from documents that aren't held out."""
+    """A filter from documents that aren't held out; GRAMS grams of each language reach the driver."""
     known = docs.select("doc_id", "text", F.col("lang").cast("string").alias("lang")).where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out("doc_id", 4, 2))
-    sizes = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()
-    if not sizes:
-        return learn({})
+    sizes = known.groupBy("lang").count()
     dice = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    chosen = F.lit(False)
-    for r in sizes:
-        chosen = chosen | ((F.col("lang") == r["lang"]) & (dice < int((1 << 20) * min(1.0, sample_docs / r["count"]))))
-    samples: dict[str, list[str]] = {r["lang"]: [] for r in sizes}
-    for r in known.where(chosen).select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text")).orderBy("doc_id").collect():
-        samples[r["lang"]].append(r["text"])
-    return learn(samples)
+    chosen = known.join(F.broadcast(sizes), "lang").where(dice * F.col("count") < (1 << 20) * sample_docs)  # a row for each language
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for lang, part in batch.groupby("lang"):
+                keys, n = counted(list(part["text"]))
+                yield pd.DataFrame({"lang": lang, "gram": keys.view(np.int64), "n": n})
+
+    found = chosen.select("lang", "text").mapInPandas(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("lang"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
+    rows = found.select("*", total.alias("total"), place.alias("place")).where((F.col("place") <= GRAMS) & (F.col("n") >= LEAST)).toPandas()
+    counts = {}
+    for r in sizes.orderBy(F.desc("count"), "lang").collect():
+        mine = rows[rows["lang"] == r["lang"]].sort_values("gram")
+        counts[r["lang"]] = (mine["gram"].to_numpy(np.int64).view(np.uint64), mine["n"].to_numpy(np.int64), int(mine["total"].max()) if len(mine) else 0)
+    return learn(counts)
 
 
 def predict(docs: DataFrame, model: Filter) -> DataFrame:

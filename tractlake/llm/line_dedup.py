@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import cut, table
+from tractlake.llm.common import cut, table, unused
 
 MIN_LINES = 3
 #: Words from which a run of fewer lines is a repeated passage.
@@ -80,35 +80,39 @@ def deleted_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int |
     return later.groupBy("doc_id", "h").agg(F.array_sort(F.array_distinct(places)).alias("gone"))
 
 
-def marked(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
-    """docs with gone__ (places among the lines with a word), all__ (the lines) and kept__ (those that stay)."""
-    gone = deleted_lines(docs, min_lines, min_words).select(F.col("doc_id").alias("doc__"), F.col("h").alias("h__"), F.col("gone").alias("gone__"))
-    keyed = docs.withColumn("h__", F.xxhash64("text")).withColumn("doc__", F.col("doc_id").cast("long"))
-    joined = keyed.join(gone, ["doc__", "h__"], "left").withColumn("all__", once(lines_of(F.col("text"))))
-    places = F.sequence(F.lit(0), F.size("all__") - 1)
-    spots = F.filter(places, lambda i: F.get("all__", i).rlike(A_WORD))
-    with_spots = joined.withColumn("spots__", once(F.when(F.col("gone__").isNotNull(), spots)))
-    stay = F.array_except(places, F.transform("gone__", lambda k: F.get("spots__", k)))
-    kept = with_spots.withColumn("stay__", once(F.when(F.col("gone__").isNotNull(), stay)))
-    return kept.withColumn("kept__", once(F.when(F.col("gone__").isNull(), F.col("all__")).otherwise(F.transform("stay__", lambda i: F.get("all__", i)))))
+def marked(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """docs with five columns more, and their names: doc (doc_id), gone (places among the lines with a word), all (the lines), kept (those
+    that stay)."""
+    doc, h, gone, every, spots, stay, kept = names = unused(docs, "doc", "h", "gone", "all", "spots", "stay", "kept")
+    deleted = deleted_lines(docs, min_lines, min_words).select(F.col("doc_id").alias(doc), F.col("h").alias(h), F.col("gone").alias(gone))
+    keyed = docs.withColumn(h, F.xxhash64("text")).withColumn(doc, F.col("doc_id").cast("long"))
+    joined = keyed.join(deleted, [doc, h], "left").withColumn(every, once(lines_of(F.col("text"))))
+    places = F.sequence(F.lit(0), F.size(every) - 1)
+    with_spots = joined.withColumn(spots, once(F.when(F.col(gone).isNotNull(), F.filter(places, lambda i: F.get(every, i).rlike(A_WORD)))))
+    left = F.array_except(places, F.transform(gone, lambda k: F.get(spots, k)))
+    with_stay = with_spots.withColumn(stay, once(F.when(F.col(gone).isNotNull(), left)))
+    out = with_stay.withColumn(kept, once(F.when(F.col(gone).isNull(), F.col(every)).otherwise(F.transform(stay, lambda i: F.get(every, i)))))
+    return out, dict(zip(("doc", "h", "gone", "all", "spots", "stay", "kept"), names, strict=True))
 
 
 def remove_repeats(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """docs, all columns, without the lines of later copies; texts that lose nothing stay as they are, null ones too."""
-    text = F.when(F.col("gone__").isNull(), F.col("text")).otherwise(F.array_join("kept__", "\n"))
-    return marked(docs, min_lines, min_words).withColumn("text", text).select(*docs.columns)
+    found, names = marked(docs, min_lines, min_words)
+    text = F.when(F.col(names["gone"]).isNull(), F.col("text")).otherwise(F.array_join(names["kept"], "\n"))
+    return found.withColumn("text", text).select(*docs.columns)
 
 
 def digest(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """doc_id, n_lines (with a word), n_removed, n_runs (maximal removed runs) and kept_sha256 of each row."""
-    gone = F.coalesce(F.col("gone__"), F.array().cast("array<int>"))
+    found, names = marked(docs.select("doc_id", "text"), min_lines, min_words)
+    gone = F.coalesce(F.col(names["gone"]), F.array().cast("array<int>"))
     runs = F.size(F.array_except(gone, F.transform(gone, lambda p: p + 1)))
-    return marked(docs.select("doc_id", "text"), min_lines, min_words).select(
-        F.col("doc__").alias("doc_id"),
-        F.size(with_words(F.col("all__"))).cast("long").alias("n_lines"),
+    return found.select(
+        F.col(names["doc"]).alias("doc_id"),
+        F.size(with_words(F.col(names["all"]))).cast("long").alias("n_lines"),
         F.size(gone).cast("long").alias("n_removed"),
         runs.cast("long").alias("n_runs"),
-        F.sha2(F.array_join("kept__", "\n"), 256).alias("kept_sha256"),
+        F.sha2(F.array_join(names["kept"], "\n"), 256).alias("kept_sha256"),
     )
 
 

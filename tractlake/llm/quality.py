@@ -18,10 +18,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import WORD_GAPS, labelled_texts, table
+from tractlake.llm.common import WORD_GAPS, labelled_texts, table, unused
 
-#: Labelled documents of each kind, and lines and characters of each, that the model is fitted on: the bound of what reaches the driver.
-SAMPLE_DOCS, SAMPLE_LINES, SAMPLE_CHARS = 1000, 40, 40_000
+#: Labelled documents of each kind that the model is fitted on: the bound of what reaches the driver.
+SAMPLE_DOCS = 1000
+#: For the fit, a document of more lines counts as several chains of so many.
+CHAIN = 64
 #: Least share of content among the word characters of a document that is kept.
 LEAST_CONTENT = 0.5
 LEAST_WORDS, WINDOW, MOST_REPEATED_PERCENT = 10, 5, 20
@@ -134,8 +136,8 @@ class LineField:
 
 def fit(texts: list[str], good: list[int]) -> LineField:
     """Adam on the mean conditional log likelihood of the line labels, exact gradients by the forward-backward recursion."""
-    rows = [[x for x in t.split("\n") if x.strip(WORD_GAPS)][:SAMPLE_LINES] for t in texts]
-    pairs = [(line_features(x)[0], y) for x, y in zip(rows, good, strict=True) if x]
+    rows = [[x for x in t.split("\n") if x.strip(WORD_GAPS)] for t in texts]
+    pairs = [(f[at : at + CHAIN], y) for x, y in zip(rows, good, strict=True) if x for f in [line_features(x)[0]] for at in range(0, len(f), CHAIN)]
     n, longest = len(pairs), max(len(x) for x, _ in pairs)
     x, y, on = np.zeros((n, longest, FEATURES)), np.zeros((n, longest), np.int64), np.zeros((n, longest), bool)
     for i, (f, label) in enumerate(pairs):
@@ -167,7 +169,7 @@ def fit(texts: list[str], good: list[int]) -> LineField:
 
 def fit_on(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> LineField | None:
     """A model from labelled documents; None if either kind is missing."""
-    texts = labelled_texts(docs, labels, "quality", sample_docs, text=F.substring("text", 1, SAMPLE_CHARS))
+    texts = labelled_texts(docs, labels, "quality", sample_docs)
     texts = {y: [t for t in some if t.strip(WORD_GAPS)] for y, some in texts.items()}
     return fit(texts[0] + texts[1], [0] * len(texts[0]) + [1] * len(texts[1])) if texts[0] and texts[1] else None
 
@@ -195,17 +197,17 @@ def judge(docs: DataFrame, model: LineField | None) -> DataFrame:
 def keep_good(docs: DataFrame, model: LineField | None) -> DataFrame:
     """The rows of docs that are kept, all columns as they are."""
     names = docs.columns
+    (whole,) = unused(docs, "whole")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             kept = []
-            for text in batch["text__"]:
+            for text in batch[whole]:
                 n, *_, repeated = counts_of(text)
                 kept.append(n >= LEAST_WORDS and 100 * repeated <= MOST_REPEATED_PERCENT * n and (model is None or model.content_share(text) >= LEAST_CONTENT))
             yield batch.loc[np.array(kept, dtype=bool), names]
 
-    with_text = docs.withColumn("text__", F.coalesce(F.col("text"), F.lit("")))
-    return with_text.mapInPandas(run, docs.schema)
+    return docs.withColumn(whole, F.coalesce(F.col("text"), F.lit(""))).mapInPandas(run, docs.schema)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

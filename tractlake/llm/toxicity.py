@@ -30,8 +30,6 @@ from tractlake.llm.common import held_out, labelled_texts, table
 
 #: Labelled documents of each class that the model is fitted on: the bound of what reaches the driver.
 SAMPLE_DOCS = 2000
-#: A document of the sample counts with so many characters (the scoring itself reads whole texts).
-SAMPLE_CHARS = 20_000
 ORDINARY_BYTES, TOXIC_BYTES = 8192, 4096
 #: Each window is compressed before so many bytes of ordinary content.
 TRAIL_BYTES = 64
@@ -185,7 +183,7 @@ def trained(spans: list[str]) -> bytes:
 
 def fit_on(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """A model from labelled rows that aren't held out; None if a class has no row."""
-    texts = labelled_texts(docs, labels, "toxic", sample_docs, ~held_out("doc_id", 3, 1), F.substring("text", 1, SAMPLE_CHARS))
+    texts = labelled_texts(docs, labels, "toxic", sample_docs, ~held_out("doc_id", 3, 1))
     return fit(texts[1], texts[0]) if texts[0] and texts[1] else None
 
 
