@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 from collections.abc import Iterable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_libc = ctypes.CDLL(None)
+
 #: Bytes that separate words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_GAPS = " \t\n\x0b\x0c\r"
 
@@ -48,6 +52,23 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def give_back() -> None:
+    """Returns memory that the work before has freed: Python workers live on and serve other operators."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+def tidy(run):
+    """run(batches), and then give_back."""
+
+    def whole(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def crc_text(col: Column | str) -> Column:
     """crc32 of an id written as decimal text."""
     return F.crc32(F.col(col).cast("string") if isinstance(col, str) else col.cast("string"))
@@ -144,7 +165,7 @@ def likely_in(rows: DataFrame, ids: DataFrame, run, schema: str) -> DataFrame:
     """run(batches) over the rows (doc_id long, no null) whose doc_id is in ids, and a few others that a filter can't tell from them."""
     found = IdFilter.of(ids)
     if found is None:
-        return rows.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*rows.columns).mapInPandas(run, schema)
+        return rows.join(ids.select("doc_id").distinct(), "doc_id", "left_semi").select(*rows.columns).mapInPandas(tidy(run), schema)
     sent = rows.sparkSession.sparkContext.broadcast(found)  # FILTER_MOST bits at most
     names = rows.columns
     (spot,) = unused(rows, "spot")
@@ -152,7 +173,7 @@ def likely_in(rows: DataFrame, ids: DataFrame, run, schema: str) -> DataFrame:
     def filtered(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         yield from run(batch.loc[sent.value.passes(batch[spot]), names].reset_index(drop=True) for batch in batches)
 
-    return rows.withColumn(spot, IdFilter.spot_of("doc_id", found.size)).mapInPandas(filtered, schema)
+    return rows.withColumn(spot, IdFilter.spot_of("doc_id", found.size)).mapInPandas(tidy(filtered), schema)
 
 
 def split_by(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:

@@ -26,7 +26,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import cut, from_planes, likely_in, planes, split_by, table, text_calls, unused
+from tractlake.llm.common import cut, from_planes, likely_in, planes, split_by, table, text_calls, tidy, unused
 from tractlake.llm.components import components
 from tractlake.llm.words import mix, shingle_sets
 
@@ -123,7 +123,7 @@ def text_sets(docs: DataFrame, order: Order) -> DataFrame:
             yield pd.DataFrame(rows, columns=["doc_id", "n", "h1", "h2", "prefix", "frequent", "bits", "keys"]).astype({"doc_id": "Int64"})
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, n long, h1 long, h2 long, prefix binary, frequent long, bits binary, keys array<long>")
+    return rows.mapInPandas(tidy(run), "doc_id long, n long, h1 long, h2 long, prefix binary, frequent long, bits binary, keys array<long>")
 
 
 def common_order(docs: DataFrame) -> Order:
@@ -200,7 +200,7 @@ def met_in_exchange(heads: DataFrame, buckets: int) -> DataFrame:
         on = order[np.repeat(several, many) & ~few]
         return pd.concat([found, pd.DataFrame({"token": tokens[on].view(np.int64), "doc_id": docs[on], "root": roots[on], "reach": reach[on]})]).astype("Int64")
 
-    sent = heads.select("doc_id", "root", "n", "prefix", "frequent").mapInPandas(send, "bucket long, n long, blob binary")
+    sent = heads.select("doc_id", "root", "n", "prefix", "frequent").mapInPandas(tidy(send), "bucket long, n long, blob binary")
     return sent.groupBy("bucket").applyInPandas(meet, "a long, b long, token long, doc_id long, root long, reach long")
 
 
@@ -335,7 +335,7 @@ def plausible(pairs: DataFrame, marks: DataFrame, percent: int = PERCENT) -> Dat
 
     left = marks.select(F.col("doc_id").alias("a"), "n", F.col("bits").alias("x"))
     right = marks.select(F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
-    return pairs.join(left, "a").join(right, "b").mapInPandas(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").mapInPandas(tidy(run), "a long, b long")
 
 
 def checked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -355,7 +355,7 @@ def checked(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFr
 
     left = sets.select(F.col("doc_id").alias("a"), F.col("tokens").alias("x"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("tokens").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInPandas(tidy(run), "a long, b long")
 
 
 def group_pairs(rows: DataFrame, marks: DataFrame) -> DataFrame:

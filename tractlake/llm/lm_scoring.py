@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tractlake.llm import causal_lm
-from tractlake.llm.common import chunks, cut, held_out, table, text_calls
+from tractlake.llm.common import chunks, cut, held_out, table, text_calls, tidy
 from tractlake.llm.packing import CHARS_A_CALL, coder
 from tractlake.llm.words import word_hashes
 
@@ -57,7 +57,7 @@ def subword_ids(rows: DataFrame, file: str) -> DataFrame:
             ids = [x.astype("<u2").tobytes() for part in text_calls([(0, t) for t in batch["text"]], CHARS_A_CALL) for x in words.encode([t for _, t in part])]
             yield pd.DataFrame({"key": batch["key"], "held_out": batch["held_out"], "n": [len(x) // 2 for x in ids], "ids": ids})
 
-    return rows.select("key", "held_out", "text").mapInPandas(run, "key long, held_out boolean, n long, ids binary")
+    return rows.select("key", "held_out", "text").mapInPandas(tidy(run), "key long, held_out boolean, n long, ids binary")
 
 
 def id_counts(encoded: DataFrame) -> np.ndarray:
@@ -161,7 +161,7 @@ def model_scores(encoded: DataFrame, model: Model) -> DataFrame:
             out.append(causal_lm.score(m.params, m.pairs, m.vocabulary, part, END_ID))
             yield pd.DataFrame({"key": batch["key"], "score": np.concatenate(out)})
 
-    return encoded.select("key", "ids").mapInPandas(run, "key long, score double")
+    return encoded.select("key", "ids").mapInPandas(tidy(run), "key long, score double")
 
 
 def word_counts(rows: DataFrame) -> DataFrame:

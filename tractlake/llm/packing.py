@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from tractlake.llm.common import chunks, cut, table, text_calls
+from tractlake.llm.common import chunks, cut, table, text_calls, tidy
 from tractlake.llm.words import prefix_sums, stretch_hashes
 
 CAPACITY = 2048
@@ -180,7 +180,7 @@ def pieces(docs: DataFrame, file: str | None = None, capacity: int = CAPACITY, e
             out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])])
             yield out.astype({"doc_id": "Int64"})
 
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInPandas(tidy(run), schema)
 
 
 def fullest(first: int, counts: dict[int, int], capacity: int) -> dict[int, int]:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import WORD_GAPS, labelled_texts, table, unused
+from tractlake.llm.common import WORD_GAPS, labelled_texts, table, tidy, unused
 
 #: Labelled documents of each kind that the model is fitted on: the bound of what reaches the driver.
 SAMPLE_DOCS = 1000
@@ -191,7 +191,7 @@ def judge(docs: DataFrame, model: LineField | None) -> DataFrame:
             yield out.astype({"doc_id": "Int64"})
 
     schema = "doc_id long, " + ", ".join(f"{x} long" for x in names) + ", base_failed boolean, content_share double, kept boolean"
-    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInPandas(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text")).mapInPandas(tidy(run), schema)
 
 
 def keep_good(docs: DataFrame, model: LineField | None) -> DataFrame:
@@ -207,7 +207,7 @@ def keep_good(docs: DataFrame, model: LineField | None) -> DataFrame:
                 kept.append(n >= LEAST_WORDS and 100 * repeated <= MOST_REPEATED_PERCENT * n and (model is None or model.content_share(text) >= LEAST_CONTENT))
             yield batch.loc[np.array(kept, dtype=bool), names]
 
-    return docs.withColumn(whole, F.coalesce(F.col("text"), F.lit(""))).mapInPandas(run, docs.schema)
+    return docs.withColumn(whole, F.coalesce(F.col("text"), F.lit(""))).mapInPandas(tidy(run), docs.schema)
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tractlake.llm.common import cut, from_planes, likely_in, planes, split_by, table, unused
+from tractlake.llm.common import cut, from_planes, give_back, likely_in, planes, split_by, table, tidy, unused
 from tractlake.llm.suffixes import LEFT, WIDTH, Suffixes, front_code, merge_runs, read_run, shared_with_last
 from tractlake.llm.words import prefix_sums, stretch_hashes
 
@@ -144,7 +144,7 @@ def send_anchors(docs: DataFrame, buckets: int) -> DataFrame:
         if found:
             yield blobs()
 
-    return docs.mapInPandas(run, "bucket int, of int, n int, docs int, blob binary")
+    return docs.mapInPandas(tidy(run), "bucket int, of int, n int, docs int, blob binary")
 
 
 def meet_anchors(sent: DataFrame) -> DataFrame:
@@ -190,7 +190,7 @@ def packed_texts(rows: DataFrame, ids: DataFrame | None = None) -> DataFrame:
                 yield pd.DataFrame({"doc_id": part["doc_id"], "h": part["h"], "packed": [squeeze.compress(t.encode("utf-8", "surrogatepass")) for t in part["text"]]})
 
     keyed, schema = rows.withColumn("h", F.xxhash64("text")), "doc_id long, h long, packed binary"
-    return keyed.mapInPandas(run, schema) if ids is None else likely_in(keyed, ids.select("doc_id").distinct(), run, schema)
+    return keyed.mapInPandas(tidy(run), schema) if ids is None else likely_in(keyed, ids.select("doc_id").distinct(), run, schema)
 
 
 def send_suffixes(docs: DataFrame, anchor_buckets: int, buckets: int) -> DataFrame:
@@ -249,7 +249,7 @@ def send_suffixes(docs: DataFrame, anchor_buckets: int, buckets: int) -> DataFra
         if held:
             yield blobs()
 
-    return docs.mapInPandas(run, "bucket long, run binary, done binary")
+    return docs.mapInPandas(tidy(run), "bucket long, run binary, done binary")
 
 
 def removed_spans(every: Suffixes, order: np.ndarray, shared: np.ndarray) -> np.ndarray:
@@ -302,6 +302,8 @@ def meet_suffixes(sent: DataFrame) -> DataFrame:
         spans = spans[np.lexsort((spans[:, 1], spans[:, 0]))]
         first = np.flatnonzero(np.concatenate(([True], (spans[1:, :2] != spans[:-1, :2]).any(1)))) if len(spans) else np.zeros(0, np.int64)
         pairs = [x[:, 2:].astype("<i8").tobytes() for x in np.split(spans, first[1:])] if len(first) else []
+        del every, order, shared
+        give_back()
         return pd.DataFrame({"doc_id": spans[first, 0], "h": spans[first, 1], "spans": pairs})
 
     return sent.groupBy("bucket").applyInPandas(run, "doc_id long, h long, spans binary")
@@ -344,7 +346,7 @@ def dedup(docs: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFram
             yield pd.concat([batch[["doc_id", "h"]].reset_index(drop=True), got], axis=1)
 
     texts = packed_texts(named, spans)
-    changed = texts.join(spans, ["doc_id", "h"]).mapInPandas(run, "doc_id long, h long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
+    changed = texts.join(spans, ["doc_id", "h"]).mapInPandas(tidy(run), "doc_id long, h long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
     return facts, changed
 
 
