@@ -25,14 +25,15 @@ def bounds(polygons: DataFrame, key: str, ring: str) -> DataFrame:
 def containing(points: DataFrame, polygons: DataFrame, point_key: str, key: str, ring: str, cell: float) -> DataFrame:
     """(point_key, key) for each polygon that a point lies inside of; points on an edge are inside of nothing.
 
-    Polygons are dealt to all cells of their bounds; a point meets those of its own cell, edge by edge, and is inside if the
-    number of edges east of it is odd.
+    Polygons are dealt to all cells of their bounds, their edges to the rows of cells that they cross; a point meets the polygons of its own
+    cell, of each the edges of its own row only, and is inside if the number of edges east of it is odd.
     """
     spread = bounds(polygons, key, ring)
     cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell)))
     spread = spread.select(key, cells("x0", "x1").alias("cx"), "y0", "y1").select(key, "cx", cells("y0", "y1").alias("cy"))
     dealt = points.select(point_key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
-    e = dealt.join(spread, ["cx", "cy"]).join(edges(polygons, key, ring), key)
+    row = F.explode(F.sequence(F.floor(F.least("y1", "y2") / cell), F.floor(F.greatest("y1", "y2") / cell)))
+    e = dealt.join(spread, ["cx", "cy"]).join(edges(polygons, key, ring).withColumn("cy", row), [key, "cy"])
     c = [F.col(n) for n in ("x", "y", "x1", "y1", "x2", "y2")]
     tested = e.groupBy(point_key, key).agg(F.sum(G.crosses_ray(*c).cast("int")).alias("n"), F.max(G.on_edge(*c)).alias("edge"))
     return tested.where((F.col("n") % 2 == 1) & ~F.col("edge")).select(point_key, key)
@@ -66,11 +67,12 @@ def nearest(points: DataFrame, targets: DataFrame, point_key: str, target_key: s
         met = near.join(dealt, ["cx", "cy"]).withColumn("distance", F.hypot(F.col("px") - F.col("x"), F.col("py") - F.col("y")))
         best = met.groupBy(point_key).agg(F.min(F.struct("distance", target_key)).alias("b")).select(point_key, f"b.{target_key}", "b.distance")
         last = size >= widest
-        done = best if last else best.where(F.col("distance") <= size)
+        done = cut(best if last else best.where(F.col("distance") <= size))
         found = done if found is None else found.unionByName(done)
-        if last:
+        if not last:
+            left = cut(left.join(done.select(point_key), point_key, "left_anti"))
+        if last or not left.limit(1).count():
             return points.select(point_key).join(found, point_key, "left")
-        left = left.join(done.select(point_key), point_key, "left_anti")
         size *= 4
 
 
@@ -84,15 +86,17 @@ def within(points: DataFrame, targets: DataFrame, point_key: str, target_key: st
     return met.withColumn("distance", F.hypot(F.col("px") - F.col("x"), F.col("py") - F.col("y"))).where(F.col("distance") <= radius).select(point_key, target_key, "distance")
 
 
-def self_crossings(polygons: DataFrame, key: str, ring: str) -> DataFrame:
-    """key and number of proper crossings of a ring's own edges; edges of one ring meet by key only."""
-    a = edges(polygons, key, ring)
-    b = a.select(key, *[F.col(c).alias(f"{c}_") for c in ("seq", "x1", "y1", "x2", "y2")])
-    both = a.join(b, key).where("seq < seq_")
+def self_crossings(polygons: DataFrame, key: str, ring: str, cell: float = 1000.0) -> DataFrame:
+    """key and number of proper crossings of a ring's own edges; edges meet those of their ring that share a cell with them."""
+    span = lambda p, q: F.explode(F.sequence(F.floor(F.least(p, q) / cell), F.floor(F.greatest(p, q) / cell)))
+    a = edges(polygons, key, ring).withColumn("cx", span("x1", "x2")).withColumn("cy", span("y1", "y2"))
+    b = a.select(key, "cx", "cy", *[F.col(c).alias(f"{c}_") for c in ("seq", "x1", "y1", "x2", "y2")])
+    both = a.join(b, [key, "cx", "cy"]).where("seq < seq_")
     c = {n: F.col(n) for n in both.columns}
     apart = lambda p, q, r, s: G.side(c[f"x1{p}"], c[f"y1{p}"], c[f"x2{p}"], c[f"y2{p}"], c[q], c[r]) * G.side(c[f"x1{p}"], c[f"y1{p}"], c[f"x2{p}"], c[f"y2{p}"], c[s[0]], c[s[1]]) < 0
     crossed = apart("", "x1_", "y1_", ("x2_", "y2_")) & apart("_", "x1", "y1", ("x2", "y2"))
-    return both.groupBy(key).agg(F.sum(crossed.cast("int")).alias("crossings"))
+    found = both.where(crossed).select(key, "seq", "seq_").distinct().groupBy(key).agg(F.count("*").alias("n"))
+    return polygons.select(key).distinct().join(found, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("crossings"))
 
 
 def outer_edges(polygons: DataFrame, key: str, ring: str) -> DataFrame:
@@ -103,12 +107,30 @@ def outer_edges(polygons: DataFrame, key: str, ring: str) -> DataFrame:
     return e.select(low.alias("a"), high.alias("b")).groupBy("a", "b").agg(F.count("*").alias("n")).where("n = 1").select(F.col("a.x1").alias("x1"), F.col("a.y1").alias("y1"), F.col("b.x2").alias("x2"), F.col("b.y2").alias("y2"))
 
 
+def _value_counts(df: DataFrame, value: str) -> DataFrame:
+    """The distinct values of a column with their counts, and how many rows lie before each: ranges of values, and running counts inside."""
+    sizes = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    ranged = cut(sizes.repartitionByRange(F.col("v")).withColumn("part", F.spark_partition_id()))
+    totals = ranged.groupBy("part").agg(F.sum("n").alias("t"))
+    before = totals.select("part", F.coalesce(F.sum("t").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))  # a row for each task
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return ranged.withColumn("in", inside).join(before, "part").select("v", "n", (F.col("base") + F.col("in")).alias("before"))
+
+
+def quantiles(df: DataFrame, value: str, shares: list[float]) -> DataFrame:
+    """One row: q, the values at these shares of the sorted non-null values, between two of them by straight line; nulls without a value."""
+    counts = cut(_value_counts(df, value))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    at = lambda k: F.max(F.when((F.col("before") <= k) & (F.col("before") + F.col("n") > k), F.col("v").cast("double")))
+    out = []
+    for share in shares:
+        place = share * (total - 1) if total else 0.0
+        low = int(place)
+        out.append(at(low) + (at(min(low + 1, max(total - 1, 0))) - at(low)) * (place - low))
+    return counts.agg(F.array(*out).alias("q"))
+
+
 def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """Adds the average rank of a column: counts by value, running sums over the distinct values in ranges, and a join back."""
-    sizes = df.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n__"))
-    ranged = cut(sizes.repartitionByRange(F.col(value)).withColumn("part__", F.spark_partition_id()))
-    totals = ranged.groupBy("part__").agg(F.sum("n__").alias("t__"))
-    before = totals.withColumn("base__", F.coalesce(F.sum("t__").over(Window.orderBy("part__").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each task
-    inside = F.coalesce(F.sum("n__").over(Window.partitionBy("part__").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranks = ranged.withColumn("in__", inside).join(before, "part__").select(value, (F.col("base__") + F.col("in__") + (F.col("n__") + 1) / 2).alias(name))
+    ranks = _value_counts(df, value).select(F.col("v").alias(value), (F.col("before") + (F.col("n") + 1) / 2).alias(name))
     return df.join(ranks, value, "left")

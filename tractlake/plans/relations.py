@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
+from tractlake.operators import spatial
 from tractlake.plans.base import Book
 from tractlake.plans.standins import CAP, matrix, origins, pairs, read, sites, with_sql
 
@@ -162,22 +163,23 @@ def _(spark, d):
 
 @query("d5_metric_summary", M + " SELECT count(*) AS n, count(*) FILTER (minutes IS NULL) AS nulls, min(minutes) AS low, median(minutes) AS mid, max(minutes) AS high FROM matrix")
 def _(spark, d, whole=False):
-    return matrix(spark, d, whole).agg(F.count("*").alias("n"), F.count_if(F.col("minutes").isNull()).alias("nulls"), F.min("minutes").alias("low"), F.percentile("minutes", 0.5).alias("mid"), F.max("minutes").alias("high"))
+    m = matrix(spark, d, whole)
+    mid = spatial.quantiles(m, "minutes", [0.5])  # one row, as the counts
+    counts = m.agg(F.count("*").alias("n"), F.count_if(F.col("minutes").isNull()).alias("nulls"), F.min("minutes").alias("low"), F.max("minutes").alias("high"))
+    return counts.join(F.broadcast(mid)).select("n", "nulls", "low", F.get("q", F.lit(0)).alias("mid"), "high")
 
 
 @query("d6_matrix_sanity", M + " SELECT count(*) AS n, count(*) FILTER (minutes IS NULL) AS unreachable, count(*) FILTER (minutes > 120) AS censored, round(count(minutes) / count(*), 6) AS finite_share, round(quantile_cont(minutes, 0.25), 6) AS q1, round(quantile_cont(minutes, 0.75), 6) AS q3 FROM matrix")
 def _(spark, d, whole=False):
-    m = F.col("minutes")
-    q = F.percentile("minutes", [0.25, 0.75])
-    return matrix(spark, d, whole).agg(F.count("*").alias("n"), F.count_if(m.isNull()).alias("unreachable"), F.count_if(m > CAP).alias("censored"), F.round(F.count("minutes") / F.count("*"), 6).alias("finite_share"), F.round(F.get(q, F.lit(0)), 6).alias("q1"), F.round(F.get(q, F.lit(1)), 6).alias("q3"))
+    table, m = matrix(spark, d, whole), F.col("minutes")
+    counts = table.agg(F.count("*").alias("n"), F.count_if(m.isNull()).alias("unreachable"), F.count_if(m > CAP).alias("censored"), F.round(F.count("minutes") / F.count("*"), 6).alias("finite_share"))
+    return counts.join(F.broadcast(spatial.quantiles(table, "minutes", [0.25, 0.75]))).select(*counts.columns, *[F.round(F.get("q", F.lit(k)), 6).alias(n) for k, n in ((0, "q1"), (1, "q3"))])
 
 
 @query("d7_rank_correlation", "WITH v AS (SELECT o_custkey, count(*) AS a, CAST(sum(o_orderkey) % 97 AS BIGINT) AS b FROM orders GROUP BY 1), r AS (SELECT rank() OVER (ORDER BY a) + (count(*) OVER (PARTITION BY a) - 1) / 2.0 AS ra, rank() OVER (ORDER BY b) + (count(*) OVER (PARTITION BY b) - 1) / 2.0 AS rb, a, b FROM v) SELECT round(corr(ra, rb), 6) AS spearman, round(corr(a, b), 6) AS pearson FROM r")
 def _(spark, d):
-    from tractlake.operators.spatial import average_rank
-
     v = read(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("a"), (F.sum("o_orderkey") % 97).alias("b"))
-    ranked = average_rank(average_rank(v, "a", "ra"), "b", "rb")
+    ranked = spatial.average_rank(spatial.average_rank(v, "a", "ra"), "b", "rb")
     return ranked.agg(F.round(F.corr("ra", "rb"), 6).alias("spearman"), F.round(F.corr("a", "b"), 6).alias("pearson"))
 
 
@@ -306,10 +308,8 @@ def _(spark, d):
 
 @query("e4_average_rank", "SELECT o_custkey, rank() OVER (ORDER BY n) + (count(*) OVER (PARTITION BY n) - 1) / 2.0 AS rank FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)")
 def _(spark, d):
-    from tractlake.operators.spatial import average_rank
-
     n = read(spark, d, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
-    return average_rank(n, "n", "rank").select("o_custkey", "rank")
+    return spatial.average_rank(n, "n", "rank").select("o_custkey", "rank")
 
 
 @query("e5_priority_order", "SELECT p_partkey, CASE p_type WHEN 'PROMO' THEN 1 WHEN 'LARGE' THEN 2 ELSE 3 END AS place FROM part")

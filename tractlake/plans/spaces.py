@@ -162,7 +162,7 @@ def _(spark, d):
 def nearest_access(spark, d):
     flagged = sites(spark, d).where("flagged")
     near = spatial.nearest(origins(spark, d), flagged, "origin_id", "site_id", CELL).select(F.col("origin_id").alias("geoid"), F.round("distance", 1).alias("estimate"))
-    edges = near.agg(F.array_distinct(F.transform(F.percentile("estimate", [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]), lambda x: F.round(x, 6))).alias("edges"))
+    edges = spatial.quantiles(near, "estimate", [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]).select(F.array_distinct(F.transform("q", lambda x: F.round(x, 6))).alias("edges"))
     return near.join(F.broadcast(edges)).select("geoid", F.lit("qa_nearest_m").alias("metric_id"), "estimate", X.class_of("estimate", F.col("edges")).alias("class"))  # edges is one row
 
 
