@@ -2,12 +2,19 @@
 
 Components become integers floor(1024 x), so scores are exact. Each vector's distances to a fixed number of pivots are
 computed once; for a query q and a vector x, the largest |d(q,p) - d(x,p)| is a lower bound of their distance, and
-with the norms an upper bound of their inner product. Blocks of queries meet blocks of vectors; inside a pair of blocks
-the candidates of each query are evaluated in the order of their bounds, until the next bound is below the k-th best score.
+with the norms an upper bound of their inner product.
+
+1. Vectors are dealt to blocks of neighbours: those with the same nearest pivot, parted by a hash where they are many. A block has the
+   range of its vectors' distances to every pivot, so it has bounds too.
+2. Each query searches the block of the best bound first; its k-th best score there is what every other candidate has to reach.
+3. A query then goes to those blocks only whose bound reaches that score. Every vector stays in its block: queries travel, and
+   vectors are copied only where a block is asked by more than QUERIES_A_PART queries. In a block the candidates of each query are
+   evaluated in the order of their bounds, until the next bound is below the k-th best score.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components, and rows without vec_id, take no
 part; vectors of different dimension never meet; equal scores go to the smaller vec_id; repeated rows count once each,
-though none is a candidate of its own vec_id; an empty table gives no rows; extra columns are not looked at.
+though none is a candidate of its own vec_id; a score that has no 64-bit integer is an error; an empty table gives no rows; extra
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -21,7 +28,9 @@ from tractlake.llm.common import cut, table
 
 #: Pivots are chosen, far from each other, among so many vectors.
 PIVOTS, PIVOT_SAMPLE = 32, 512
-VECTORS_A_BLOCK, QUERIES_A_BLOCK = 4096, 1024
+VECTORS_A_BLOCK, QUERIES_A_PART = 4096, 4096
+#: Blocks whose ranges reach every task; a table with more gets larger blocks.
+MOST_BLOCKS = 1 << 15
 #: Candidates that are evaluated between two looks at the bounds.
 STEP = 256
 
@@ -64,14 +73,33 @@ def pivot_table(vectors: DataFrame, points: np.ndarray) -> DataFrame:
     return vectors.mapInPandas(run, "vec_id long, v array<bigint>, d array<double>")
 
 
-def search_block(q_ids: np.ndarray, q: np.ndarray, q_d: np.ndarray, ids: np.ndarray, x: np.ndarray, x_d: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query, vector, score) of the k best of this block for each query."""
-    lower = np.zeros((len(q), len(x)))
+def scores_of(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Exact inner products of integer vectors: in floats where every sum stays a whole number below 2**53, else in 64 bits, else in Python's integers."""
+    most = int(np.abs(x).max(initial=0)) * int(np.abs(q).max(initial=0)) * x.shape[1]
+    if most < 1 << 53:
+        return (x.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
+    if most < 1 << 63:
+        return x @ q
+    return x.astype(object) @ q.astype(object)
+
+
+def upper_bounds(q_norm: np.ndarray, q_d: np.ndarray, norm: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For each query and each range of pivot distances (a vector has low = high) the largest inner product that may be there."""
+    apart = np.zeros((len(q_d), len(low)))
     for p in range(q_d.shape[1]):
-        np.maximum(lower, np.abs(q_d[:, p, None] - x_d[None, :, p]), out=lower)
-    lower = np.maximum(lower - 1e-6 * (1 + lower), 0)  # rounding never makes a bound too tight
-    bound = ((q**2).sum(1)[:, None] + (x**2).sum(1)[None, :] - lower**2) / 2
+        d = q_d[:, p, None]
+        np.maximum(apart, np.maximum(low[None, :, p] - d, d - high[None, :, p]), out=apart)
+    apart = np.maximum(apart - 1e-6 * (1 + apart), 0)  # rounding never makes a bound too tight
+    bound = (q_norm[:, None] + norm[None, :] - apart**2) / 2
+    return bound + 1e-9 * np.abs(bound) + 1
+
+
+def search_block(q_ids: np.ndarray, q: np.ndarray, q_d: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, x_d: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+    """(query, vector, score) of the k best of this block for each query, of those that reach its floor."""
+    square = lambda v: (v.astype(np.float64) ** 2).sum(1)
+    bound = upper_bounds(square(q), q_d, square(x), x_d, x_d)
     bound[q_ids[:, None] == ids[None, :]] = -np.inf
+    bound[bound < floor[:, None]] = -np.inf
     order = np.argsort(-bound, axis=1, kind="stable")
     out = []
     for i in range(len(q)):
@@ -82,32 +110,85 @@ def search_block(q_ids: np.ndarray, q: np.ndarray, q_d: np.ndarray, ids: np.ndar
                 break
             now = order[i, at : at + STEP]
             now = now[bound[i, now] > -np.inf]
-            scores = (x[now] @ q[i]).astype(np.int64)  # whole numbers below 2**53
-            keep = np.lexsort((ids[now], -scores))[:k]
-            best = sorted(best + [(-int(scores[j]), int(ids[now[j]])) for j in keep])[:k]
+            scores = scores_of(x[now], q[i])
+            keep = sorted(range(len(now)), key=lambda j: (-scores[j], ids[now[j]]))[:k] if scores.dtype == object else np.lexsort((ids[now], -scores))[:k]
+            best = sorted(best + [(-int(scores[j]), int(ids[now[j]])) for j in keep if scores[j] >= floor[i]])[:k]
         out += [(int(q_ids[i]), vec, -score) for score, vec in best]
     return out
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, points: np.ndarray, k: int) -> DataFrame:
-    """query_id, rank, vec_id, score; both inputs as pivot_table gives them."""
-    n, m = vectors.count(), queries.count()
-    blocks, groups = max(1, -(-n // VECTORS_A_BLOCK)), max(1, -(-m // QUERIES_A_BLOCK))
-    every = lambda count: F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    rows = vectors.select("vec_id", "v", "d", F.lit(False).alias("asks"), F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int").alias("block"), every(groups).alias("part"))
-    asked = queries.select("vec_id", "v", "d", F.lit(True).alias("asks"), every(blocks).alias("block"), F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("part"))
-    both = rows.unionByName(asked).withColumn("dim", F.size("v"))
-
-    def run(block: pd.DataFrame) -> pd.DataFrame:
-        part = {asks: x for asks, x in block.groupby("asks")}
+def in_blocks(vectors: DataFrame, points: np.ndarray) -> tuple[DataFrame, pd.DataFrame]:
+    """vectors(vec_id, v, d) with dim and block, and of each dim and block the ranges of its distances, its largest norm and its size."""
+    nearest = F.array_position("d", F.array_min("d")) if len(points) else F.lit(0).cast("long")
+    placed = vectors.withColumn("dim", F.size("v")).withColumn("home", F.coalesce(nearest, F.lit(0)))
+    sizes = placed.groupBy("dim", "home").agg(F.count("*").alias("many")).collect()  # a row for each dimension and pivot
+    size = max(VECTORS_A_BLOCK, -(-sum(r["many"] for r in sizes) // MOST_BLOCKS))
+    parts = F.lit(1)
+    for r in sizes:
+        if r["many"] > size:
+            parts = F.when((F.col("dim") == r["dim"]) & (F.col("home") == r["home"]), -(-r["many"] // size)).otherwise(parts)
+    placed = placed.withColumn("block", F.col("home") * MOST_BLOCKS + F.pmod(F.xxhash64("vec_id"), parts.cast("long"))).drop("home")
+    norm = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
+    ranges = [f(F.get("d", F.lit(p))).alias(f"{n}{p}") for p in range(len(points)) for n, f in (("low", F.min), ("high", F.max))]
+    return placed, placed.groupBy("dim", "block").agg(F.max(norm).alias("norm"), F.count("*").alias("many"), *ranges).toPandas()  # about MOST_BLOCKS rows at most
+
+
+def asked_blocks(queries: DataFrame, ranges: pd.DataFrame, pivots: int, first: bool) -> DataFrame:
+    """queries(vec_id, v, d, dim, floor) with the block of the best bound (first), or with each other block that reaches their floor."""
+    sent = queries.sparkSession.sparkContext.broadcast({dim: part for dim, part in ranges.groupby("dim")})
+
+    def run(batches):
+        for batch in batches:
+            for dim, part in batch.groupby("dim"):
+                blocks = sent.value[dim]
+                table = lambda n: blocks[[f"{n}{p}" for p in range(pivots)]].to_numpy(np.float64).reshape(len(blocks), pivots)  # noqa: E731, B023
+                low, high, norm, names = table("low"), table("high"), blocks["norm"].to_numpy(np.float64), blocks["block"].to_numpy()
+                for at in range(0, len(part), 256):
+                    some = part.iloc[at : at + 256]
+                    q_norm = np.array([(np.asarray(v, np.float64) ** 2).sum() for v in some["v"]])
+                    bound = upper_bounds(q_norm, np.stack(some["d"].to_numpy()).reshape(len(some), pivots), norm, low, high)
+                    best = bound.argmax(1)
+                    if first:
+                        yield some.assign(block=names[best])
+                    else:
+                        reach = bound >= some["floor"].to_numpy(np.float64)[:, None]
+                        reach[np.arange(len(some)), best] = False
+                        who, which = np.nonzero(reach)
+                        yield some.iloc[who].assign(block=names[which])
+
+    return queries.mapInPandas(run, "vec_id long, v array<bigint>, d array<double>, dim int, floor double, block long")
+
+
+def searched(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score) of the k best of each block for the queries that ask it."""
+    load = asked.groupBy("dim", "block").agg(F.ceil(F.count("*") / QUERIES_A_PART).cast("int").alias("parts"))
+    load = cut(load)
+    queries = asked.join(load, ["dim", "block"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts").cast("long")).cast("int"))
+    vectors = placed.join(load, ["dim", "block"]).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+
+    def run(_, a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         found = []
-        if len(part) == 2:
-            a, b = part[True], part[False]
-            stack = lambda c: np.stack(c.to_numpy()).astype(np.float64)
-            found = search_block(a["vec_id"].to_numpy(), stack(a["v"]), stack(a["d"]), b["vec_id"].to_numpy(), stack(b["v"]), stack(b["d"]), k)
+        if len(a) and len(b):
+            whole, real = (lambda c: np.stack(c.to_numpy()).astype(np.int64)), (lambda c: np.stack(c.to_numpy()).astype(np.float64))
+            for at in range(0, len(a), 512):
+                some = a.iloc[at : at + 512]
+                found += search_block(some["vec_id"].to_numpy(), whole(some["v"]), real(some["d"]), some["floor"].to_numpy(np.float64), b["vec_id"].to_numpy(), whole(b["v"]), real(b["d"]), k)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
-    best = both.groupBy("block", "part", "dim").applyInPandas(run, "query_id long, vec_id long, score long")
+    keys = ["dim", "block", "part"]
+    return queries.groupBy(*keys).cogroup(vectors.groupBy(*keys)).applyInPandas(run, "query_id long, vec_id long, score long")
+
+
+def top_k(vectors: DataFrame, queries: DataFrame, points: np.ndarray, k: int) -> DataFrame:
+    """query_id, rank, vec_id, score; both inputs as pivot_table gives them."""
+    placed, ranges = in_blocks(vectors, points)
+    placed = cut(placed)
+    asking = queries.select("vec_id", "v", "d", F.size("v").alias("dim"), F.lit(float("-inf")).alias("floor"))
+    first = cut(searched(placed, asked_blocks(asking, ranges, len(points), True), k))
+    kth = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"), F.min("score").alias("least"))
+    floor = F.when(F.col("n") >= k, F.col("least").cast("double")).otherwise(F.lit(float("-inf")))
+    rest = asking.drop("floor").join(kth, "vec_id", "left").select("vec_id", "v", "d", "dim", F.coalesce(floor, F.lit(float("-inf"))).alias("floor"))
+    best = first.unionByName(searched(placed, asked_blocks(rest, ranges, len(points), False), k))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
