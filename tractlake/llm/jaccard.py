@@ -36,7 +36,7 @@ ORDER_SAMPLE, ORDER_LEAST, ORDER_TOKENS = 16, 4, 1 << 19
 #: Bits of a bitmap: at least four a token, within these bounds.
 LEAST_BITS, MOST_BITS = 256, 4096
 #: Prefix shingles that one group of the exchange holds, and that a task gathers before it sends them.
-TOKENS_A_BUCKET, TOKENS_A_BLOB = 400_000, 1_500_000
+TOKENS_A_BUCKET, TOKENS_A_BLOB = 400_000, 750_000
 KEYS = 3
 #: Larger prefix groups are split by size and into blocks, and pairs of blocks are joined; smaller ones share a task's group of about so many rows.
 BLOCK, ROWS_A_HOME = 1000, 2000

@@ -33,7 +33,7 @@ CAPACITY = 2048
 END_ID = 0
 #: Distinct words whose ids a worker keeps at most; when they are so many, the table starts anew.
 TABLE_WORDS = 1 << 20
-CHARS_A_CALL = 1 << 20
+CHARS_A_CALL = 1 << 19
 #: Pre-tokens of more characters are left to the tokenizer, with their whole text.
 LONGEST_WORD = 256
 #: Pieces that one task numbers; a length with more is split into salted groups.

@@ -37,9 +37,9 @@ from tractlake.llm.words import prefix_sums, stretch_hashes
 LENGTH, K = WIDTH, WIDTH - LEFT
 #: Bytes hashed in one call; anchors a task gathers before it sends them; anchors in a group of the
 #: first exchange, and groups of the second for each of the first.
-CALL_BYTES, ANCHORS_A_BLOB = 1 << 18, 2_000_000
+CALL_BYTES, ANCHORS_A_BLOB = 1 << 18, 1_000_000
 DOCS_A_BLOB = 1 << 16
-ANCHORS_A_BUCKET, SUFFIXES_A_BLOB, SUFFIX_BUCKETS = 600_000, 150_000, 3
+ANCHORS_A_BUCKET, SUFFIXES_A_BLOB, SUFFIX_BUCKETS = 600_000, 100_000, 3
 HASH_BITS = 32
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -322,7 +322,7 @@ def kept_bytes(raw: bytes, spans: list[bytes]) -> tuple[bytes, int, int]:
 
 def dedup(docs: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFrame]:
     """(facts, changed): facts has doc_id, h, n_bytes, sha256 and copy for every row; changed has doc_id, h, n_removed, n_spans,
-    kept_sha256, and with_text the kept bytes, of the documents that lose some bytes but aren't copies."""
+    kept_sha256, and with_text the kept text, of the documents that lose some bytes but aren't copies."""
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     facts = cut(rows.select("doc_id", F.xxhash64("text").alias("h"), F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha256")))
     firsts = cut(facts.where(F.col("doc_id").isNotNull() & (F.col("n_bytes") >= LENGTH)).groupBy("sha256").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("sha256", "first"))
@@ -341,12 +341,12 @@ def dedup(docs: DataFrame, with_text: bool = False) -> tuple[DataFrame, DataFram
             out = []
             for text, found in zip(batch["packed"], batch["spans"], strict=True):
                 kept, gone, runs = kept_bytes(expand.decompress(text), list(found))
-                out.append((gone, runs, hashlib.sha256(kept).hexdigest(), *([kept] if with_text else [])))
+                out.append((gone, runs, hashlib.sha256(kept).hexdigest(), *([kept.decode("utf-8", "ignore")] if with_text else [])))
             got = pd.DataFrame(out, columns=["n_removed", "n_spans", "kept_sha256", *(["kept"] if with_text else [])])
             yield pd.concat([batch[["doc_id", "h"]].reset_index(drop=True), got], axis=1)
 
     texts = packed_texts(named, spans)
-    changed = texts.join(spans, ["doc_id", "h"]).mapInPandas(tidy(run), "doc_id long, h long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text)
+    changed = texts.join(spans, ["doc_id", "h"]).mapInPandas(tidy(run), "doc_id long, h long, n_removed long, n_spans long, kept_sha256 string" + ", kept string" * with_text)
     return facts, changed
 
 
@@ -372,16 +372,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     facts, changed = dedup(docs, with_text=True)
     doc, h, maybe, kept = unused(docs, "doc", "h", "maybe", "kept")
     left = changed.select(F.col("doc_id").alias(doc), F.col("h").alias(h), F.col("kept").alias(kept))
-    gone = facts.where("copy").select(F.col("doc_id").alias(doc), F.col("h").alias(h), F.lit(b"").alias(kept))
+    gone = facts.where("copy").select(F.col("doc_id").alias(doc), F.col("h").alias(h), F.lit("").alias(kept))
     edits = cut(left.unionByName(gone).dropDuplicates([doc, h]))
 
-    @F.pandas_udf("string")
-    def decoded(raw: pd.Series) -> pd.Series:
-        return raw.map(lambda b: b.decode("utf-8", "ignore"))
-
     tested = split_by(docs, edits.select(F.col(doc).alias("doc_id")), maybe)
     joined = tested.where(F.col(maybe)).withColumn(doc, F.col("doc_id").cast("long")).withColumn(h, F.xxhash64(F.coalesce("text", F.lit("")))).join(edits, [doc, h], "left")
-    text = F.when(F.col(kept).isNull(), F.col("text")).otherwise(decoded(F.coalesce(kept, F.lit(b""))))
+    text = F.when(F.col(kept).isNull(), F.col("text")).otherwise(F.col(kept))
     edited = joined.withColumn("text", text).where(F.col(kept).isNull() | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     return tested.where(~F.col(maybe)).select(*docs.columns).unionByName(edited.select(*docs.columns))
 
