@@ -85,9 +85,14 @@ class Pairs:
         return Pairs(np.log(np.concatenate((sums, joint[:, FREQUENT:]), 1)).astype(np.float32), members.astype(np.float32))
 
 
+def pairs_in(inputs: np.ndarray, slots: np.ndarray) -> np.ndarray:
+    """The number of each pair of an input slot and the target that follows it."""
+    return inputs.astype(np.int64) * (FREQUENT + 1) + np.where(slots < 0, FREQUENT, slots)
+
+
 def pair_counts(inputs: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """How often each target follows each input slot."""
-    return np.bincount(inputs.astype(np.int64) * (FREQUENT + 1) + np.where(slots < 0, FREQUENT, slots), minlength=INPUTS * (FREQUENT + 1)).reshape(INPUTS, FREQUENT + 1)
+    return np.bincount(pairs_in(inputs, slots), minlength=INPUTS * (FREQUENT + 1)).reshape(INPUTS, FREQUENT + 1)
 
 
 def initial(seed: int = 7) -> Params:

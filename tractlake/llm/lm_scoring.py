@@ -16,7 +16,7 @@ extra columns are not looked at. Words are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -60,6 +60,20 @@ def subword_ids(rows: DataFrame, file: str) -> DataFrame:
     return rows.select("key", "held_out", "text").mapInPandas(tidy(run), "key long, held_out boolean, n long, ids binary")
 
 
+def parts_of(packed: Iterable[bytes], most: int = 1 << 18) -> Iterator[list[np.ndarray]]:
+    """Lists of texts of about so many ids together, so that what is worked out at once stays small."""
+    part: list[np.ndarray] = []
+    size = 0
+    for ids in packed:
+        part.append(np.frombuffer(ids, "<u2"))
+        size += len(part[-1])
+        if size >= most:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
+
+
 def id_counts(encoded: DataFrame) -> np.ndarray:
     """How often each id occurs in training documents, ends included; VOCABULARY_SIZE rows at most reach the driver."""
 
@@ -83,15 +97,16 @@ def pairs_of(encoded: DataFrame, vocabulary: causal_lm.Vocabulary) -> causal_lm.
     width = causal_lm.FREQUENT + 1
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros((causal_lm.INPUTS, width), np.int64)
+        total = np.zeros(causal_lm.INPUTS * width, np.int32)
         for batch in batches:
-            if len(batch):
-                _, inputs, targets = causal_lm.framed([np.frombuffer(x, "<u2") for x in batch["ids"]], END_ID, sent.value)
-                total += causal_lm.pair_counts(inputs, sent.value.slot[targets])
+            for part in parts_of(batch["ids"]):
+                _, inputs, targets = causal_lm.framed(part, END_ID, sent.value)
+                at, n = np.unique(causal_lm.pairs_in(inputs, sent.value.slot[targets]), return_counts=True)
+                total[at] += n
         at = np.flatnonzero(total)
-        yield pd.DataFrame({"pair": at.astype(np.int32), "n": total.ravel()[at]})
+        yield pd.DataFrame({"pair": at.astype(np.int32), "n": total[at].astype(np.int64)})
 
-    found = encoded.where(~F.col("held_out")).select("ids").mapInPandas(run, "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
+    found = encoded.where(~F.col("held_out")).select("ids").mapInPandas(tidy(run), "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
     out = np.zeros(causal_lm.INPUTS * width)
     out[found["pair"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
     return causal_lm.Pairs.of(out.reshape(causal_lm.INPUTS, width))
@@ -151,15 +166,8 @@ def model_scores(encoded: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = sent.value
         for batch in batches:
-            out, part, size = [], [], 0
-            for ids in batch["ids"]:
-                part.append(np.frombuffer(ids, "<u2"))
-                size += len(ids)
-                if size > 1 << 19:
-                    out.append(causal_lm.score(m.params, m.pairs, m.vocabulary, part, END_ID))
-                    part, size = [], 0
-            out.append(causal_lm.score(m.params, m.pairs, m.vocabulary, part, END_ID))
-            yield pd.DataFrame({"key": batch["key"], "score": np.concatenate(out)})
+            out = [causal_lm.score(m.params, m.pairs, m.vocabulary, part, END_ID) for part in parts_of(batch["ids"])]
+            yield pd.DataFrame({"key": batch["key"], "score": np.concatenate(out) if out else np.zeros(0)})
 
     return encoded.select("key", "ids").mapInPandas(tidy(run), "key long, score double")
 
