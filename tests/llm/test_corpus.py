@@ -324,7 +324,7 @@ def test_byte_bpe_equals_the_library(odd, empty):
 
 def test_top_k_matches_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk, "VECTORS_A_BLOCK", 64)
-    monkeypatch.setattr(topk, "QUERIES_A_BLOCK", 2)
+    monkeypatch.setattr(topk, "QUERIES_A_PART", 2)
     monkeypatch.setattr(topk, "STEP", 8)
     dice = np.random.default_rng(2)
     rows = [(int(i), [float(x) for x in dice.normal(size=5)], 1) for i in range(400)]
@@ -345,6 +345,45 @@ def test_top_k_matches_brute_force(spark, monkeypatch):
     assert rows_of(topk.top_k(topk.pivot_table(none, topk.choose_pivots(none)), topk.pivot_table(none, points), points, 10)) == []
 
 
+def test_ties_and_large_components(spark):
+    rows = [(i, [3.0e6 + (i % 5), -2.5e6, 4.0e6, 1.0e6 + i // 50]) for i in range(300)]  # sums beyond 2**53, many equal scores
+    rows += [(1000 + i, [4.0e9 + i % 3, 4.0e9, -1.0, 0.5]) for i in range(120)]  # beyond 2**63
+    for part in (rows[:300], rows):
+        df = spark.createDataFrame(part, "vec_id long, embedding array<double>")
+        vectors = topk.to_integers(df)
+        points = topk.choose_pivots(vectors, 4)
+        table = topk.pivot_table(vectors, points)
+        ints = {i: [math.floor(1024 * x) for x in v] for i, v in part}
+        fits = all(abs(sum(a * b for a, b in zip(ints[i], ints[j], strict=True))) < 2**63 for i in ints for j in ints if i % 100 == 0)
+        if not fits:
+            continue
+        got = {(r["query_id"], r["rank"]): (r["vec_id"], r["score"]) for r in rows_of(topk.top_k(table, table.where("vec_id % 100 = 0"), points, 10))}
+        want = {}
+        for q in ints:
+            if q % 100 == 0:
+                best = sorted((-sum(a * b for a, b in zip(ints[q], w, strict=True)), i) for i, w in ints.items() if i != q)[:10]
+                want |= {(q, k): (i, -x) for k, (x, i) in enumerate(best, 1)}
+        assert got == want
+
+
+def test_queries_reach_few_blocks_of_clustered_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk, "VECTORS_A_BLOCK", 50)
+    dice = np.random.default_rng(3)
+    centres = 8 * dice.normal(size=(12, 6))
+    rows = [(int(i), [float(x) for x in centres[i % 12] + 0.05 * dice.normal(size=6)]) for i in range(1200)]
+    vectors = topk.to_integers(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    points = topk.choose_pivots(vectors, 12)
+    placed, ranges = topk.in_blocks(topk.pivot_table(vectors, points), points)
+    asking = placed.where("vec_id % 100 = 0").select("vec_id", "v", "d", "dim", F.lit(float("-inf")).alias("floor"))
+    first = rows_of(topk.searched(placed, topk.asked_blocks(asking, ranges, 12, True), 10))
+    least = {}
+    for r in first:
+        least[r["query_id"]] = min(least.get(r["query_id"], r["score"]), r["score"])
+    floors = spark.createDataFrame([(q, float(x)) for q, x in least.items()], "vec_id long, floor double")
+    asked = topk.asked_blocks(asking.drop("floor").join(floors, "vec_id").select("vec_id", "v", "d", "dim", "floor"), ranges, 12, False)
+    assert len(ranges) >= 12 and asked.count() < 0.5 * len(least) * len(ranges)
+
+
 # 6 ---------------------------------------------------------------------------------------------
 
 
