@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractlake.operators.keeping import cut
@@ -19,6 +19,55 @@ def two_way(edges: DataFrame) -> DataFrame:
     return edges.select("src", "dst", "length").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "length"))
 
 
+#: Values that results depend on: classes of ways nobody walks on, and access words that close a way (as parts of the value).
+NOT_WALKED = ("motorway", "motorway_link", "trunk", "trunk_link", "construction", "proposed", "raceway", "bus_guideway", "abandoned", "platform", "corridor", "elevator", "escalator")
+CLOSED = ("private", "no")
+
+
+def walkable(tags: Column) -> Column:
+    """Whether a way with these tags can be walked: it is a highway of another class than those closed to walkers, no area, not private,
+    and neither foot nor service says no."""
+    tag = lambda name: F.coalesce(F.try_element_at(tags, F.lit(name)), F.lit(""))
+    closed = lambda c: F.exists(F.array(*map(F.lit, CLOSED)), lambda t: F.contains(c, t))
+    barred = F.exists(F.array(*map(F.lit, NOT_WALKED)), lambda t: F.contains(tag("highway"), t))
+    return (tag("highway") != "") & ~barred & ~F.contains(tag("area"), F.lit("yes")) & ~closed(tag("access")) & ~F.contains(tag("foot"), F.lit("no")) & ~F.contains(tag("service"), F.lit("private"))
+
+
+def walkable_network(ways: DataFrame, nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The walkable ones of ways(way_id, refs, tags), and those of nodes(node_id, ...) that they use."""
+    kept = ways.where(walkable(F.col("tags")))
+    return kept, nodes.join(kept.select(F.explode("refs").alias("node_id")).distinct(), "node_id", "left_semi")
+
+
+def measured(ways: DataFrame, nodes: DataFrame) -> DataFrame:
+    """src, dst and length in metres, both ways, of the shortest segment between neighbours of ways(way_id, refs), from nodes(node_id, x, y)."""
+    at = lambda end: nodes.select(F.col("node_id").alias(end), F.col("x").cast("double").alias(f"x_{end}"), F.col("y").cast("double").alias(f"y_{end}"))
+    placed = segments(ways).where("src <> dst").join(at("src"), "src").join(at("dst"), "dst")
+    one_way = placed.select("src", "dst", F.hypot(F.col("x_dst") - F.col("x_src"), F.col("y_dst") - F.col("y_src")).alias("length"))
+    return two_way(one_way).groupBy("src", "dst").agg(F.min("length").alias("length"))
+
+
+def walk_times(edges: DataFrame, origins: DataFrame, sites: DataFrame, origin_snaps: DataFrame, site_snaps: DataFrame, speed: float, cap: float) -> DataFrame:
+    """origin_id, site_id, minutes of all pairs: snap, shortest path and snap again at a speed in metres a minute; null beyond the cap.
+
+    Snaps are (id, node_id, distance). Paths are searched up to the radius of the cap only.
+    """
+    starts = origin_snaps.select(F.col("node_id").alias("source"), F.col("node_id").alias("node")).distinct()
+    paths = shortest(edges, starts, speed * cap)
+    a = origin_snaps.select("origin_id", F.col("node_id").alias("source"), F.col("distance").alias("before"))
+    b = site_snaps.select("site_id", F.col("node_id").alias("node"), F.col("distance").alias("after"))
+    found = a.join(paths, "source").join(b, "node").select("origin_id", "site_id", ((F.col("before") + F.col("distance") + F.col("after")) / speed).alias("minutes")).where(F.col("minutes") <= cap)
+    return origins.select("origin_id").crossJoin(sites.select("site_id")).join(found, ["origin_id", "site_id"], "left")  # the whole product is the result
+
+
+def graph_counts(edges: DataFrame, snaps: DataFrame) -> DataFrame:
+    """One row: nodes, edges (each once), metres, and the largest and the mean of the snap distances."""
+    once = edges.where("src < dst")
+    nodes = edges.select("src").distinct().agg(F.count("*").alias("nodes"))
+    sums = once.agg(F.count("*").alias("edges"), F.coalesce(F.sum("length"), F.lit(0.0)).alias("metres"))
+    return nodes.join(sums).join(snaps.agg(F.max("distance").alias("snap_max"), F.avg("distance").alias("snap_mean")))  # one row each
+
+
 def component_labels(edges: DataFrame) -> DataFrame:
     """(node, label): label is the smallest node that it reaches; labels of labels shorten long chains."""
     both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())

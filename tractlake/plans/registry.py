@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tractlake.plans import domains, relations, scalars, spaces
+from tractlake.plans import domains, operations, relations, scalars, spaces
 
-MODULES = (scalars, relations, spaces, domains)
+MODULES = (scalars, relations, spaces, domains, operations)
 QUERIES = {name: query for module in MODULES for name, query in module.BOOK.queries.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.BOOK.oracle.items()}
