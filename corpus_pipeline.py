@@ -2,6 +2,10 @@
 
 Each stage is a function of (spark, docs, sf_dir); docs is what the stage before kept, with the columns of `documents`. The last stage
 returns the pieces of the sequences. A stage that changes a text brings n_chars up to date.
+
+Defined results: rows whose text is null or has no word don't get past the first stage, nor past a stage that leaves them without a
+word; rows without doc_id are judged by their text alone and are nobody's copy; of repeated rows one stays after the third stage; an
+empty table stays empty; columns of any other name stay as they are up to the last stage.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ def _counted(docs: DataFrame) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that fail the base rules or the line labelling go."""
+    """Documents that fail the base rules or the line labelling go, null and empty texts among them."""
     small_batches(spark)
     return quality.keep_good(docs, quality.fit_on(docs, table(spark, sf_dir, "labels")))
 
@@ -35,7 +39,7 @@ def line_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays, the one with the smallest doc_id, once; documents without words or doc_id stay too."""
     small_batches(spark)
     return jaccard.keep_one(docs)
 

@@ -28,6 +28,25 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     assert {r["doc_id"] for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} == set(last)
 
 
+def test_stages_on_no_rows_and_on_columns_of_any_name(spark, tmp_path):
+    names = ["h", "doc", "maybe", "kept", "gone", "text__", "h__", "length", "key"]
+    schema = "doc_id long, text string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    spark.createDataFrame([(0, 1, 0), (1, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    words = [" ".join(f"word{i}x{k}" for k in range(40)) + "." for i in range(6)]
+    rows = [(i, w, len(w), *[f"{n}{i}" for n in names]) for i, w in enumerate([*words, words[2]])] + [(None, words[5], 9, *names), (9, None, None, *names)]
+    for some in ([], rows):
+        docs = spark.createDataFrame(some, schema)
+        for _, stage in corpus_pipeline.STAGES[:4]:
+            out = stage(spark, docs, str(tmp_path))
+            assert out.columns == docs.columns
+            kept = out.collect()
+            assert {r["doc_id"] for r in kept} <= {r[0] for r in some}
+            assert all(r[n] == f"{n}{r['doc_id']}" for r in kept if r["doc_id"] in range(7) for n in names)
+            docs = spark.createDataFrame(kept, schema)
+        assert [r["doc_id"] for r in kept if r["doc_id"] == 6] == []
+        assert len(stage_rows := corpus_pipeline.STAGES[4][1](spark, docs, str(tmp_path)).collect()) == len(kept), stage_rows
+
+
 def test_each_dealt_operator_has_a_query():
     names = list(registry.QUERIES)
     assert all(sum(n.startswith(f"op{k}_") for n in names) == 1 for k in range(1, 11)) and "pipeline" in names
