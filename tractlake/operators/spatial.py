@@ -134,3 +134,38 @@ def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """Adds the average rank of a column: counts by value, running sums over the distinct values in ranges, and a join back."""
     ranks = _value_counts(df, value).select(F.col("v").alias(value), (F.col("before") + (F.col("n") + 1) / 2).alias(name))
     return df.join(ranks, value, "left")
+
+
+def outside_lengths(lines: DataFrame, polygons: DataFrame, line_key: str, key: str, ring: str, cell: float) -> DataFrame:
+    """line_key, length, length outside of all polygons and touches, of straight lines(line_key, x1, y1, x2, y2).
+
+    A line is cut where it crosses polygon edges that share a cell with it; the middle of each part tells whether the part lies inside.
+    """
+    span = lambda a, b: F.explode(F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell)))
+    own = lines.select(line_key, *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")])
+    dealt = own.withColumn("cx", span("x1", "x2")).withColumn("cy", span("y1", "y2"))
+    e = edges(polygons, key, ring).select(*[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")]).withColumn("cx", span("ex1", "ex2")).withColumn("cy", span("ey1", "ey2"))
+    dx, dy, ex, ey = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("ex2") - F.col("ex1"), F.col("ey2") - F.col("ey1")
+    turn = dx * ey - dy * ex
+    t = ((F.col("ex1") - F.col("x1")) * ey - (F.col("ey1") - F.col("y1")) * ex) / turn
+    u = ((F.col("ex1") - F.col("x1")) * dy - (F.col("ey1") - F.col("y1")) * dx) / turn
+    cuts = dealt.join(e, ["cx", "cy"]).where((turn != 0) & t.between(0, 1) & u.between(0, 1)).groupBy(line_key).agg(F.collect_set(t).alias("cuts"))
+    at = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.coalesce("cuts", F.array().cast("array<double>")))))
+    parts = own.join(cuts, line_key, "left").withColumn("at", at).withColumn("k", F.explode(F.sequence(F.lit(0), F.size("at") - 2)))
+    low, high = F.get("at", F.col("k")), F.get("at", F.col("k") + 1)
+    parts = parts.withColumn("part", F.concat_ws("-", F.col(line_key).cast("string"), F.col("k").cast("string"))).withColumn("share", high - low)
+    parts = parts.withColumn("x", F.col("x1") + dx * (low + high) / 2).withColumn("y", F.col("y1") + dy * (low + high) / 2)
+    inside = containing(parts.select("part", "x", "y"), polygons, "part", key, ring, cell).select("part").distinct().withColumn("in", F.lit(True))
+    length = F.hypot(dx, dy)
+    out = parts.join(inside, "part", "left").groupBy(line_key).agg(F.max(length).alias("length"), F.sum(F.when(F.col("in").isNull(), length * F.col("share")).otherwise(0.0)).alias("outside"), F.max(F.col("in").isNotNull() | F.col("cuts").isNotNull()).alias("touches"))
+    return out
+
+
+def outer_rings(polygons: DataFrame, key: str, ring: str) -> DataFrame:
+    """ring_id and the number of edges and length of each closed outline of a coverage: outer edges that hang together, each ring named by its smallest corner."""
+    e = outer_edges(polygons, key, ring)
+    name = lambda x, y: F.concat_ws(" ", F.format_string("%020.6f", x), F.format_string("%020.6f", y))
+    links = e.select(name(F.col("x1").cast("double"), F.col("y1").cast("double")).alias("src"), name(F.col("x2").cast("double"), F.col("y2").cast("double")).alias("dst"), F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")).alias("length"))
+    from tractlake.operators.network import component_labels
+
+    return links.join(component_labels(links), links["src"] == F.col("node")).groupBy(F.col("label").alias("ring_id")).agg(F.count("*").alias("edges"), F.sum("length").alias("length"))

@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
-from tractlake.operators import catalog, hours, joins, layers, lineage, network, publishing
+from tractlake.operators import catalog, hours, joins, layers, lineage, network, publishing, runs, spatial
 from tractlake.operators import matrix as matrices
 from tractlake.operators.keeping import shared_folder
 from tractlake.plans.base import Book
-from tractlake.plans.domains import GRID, _ways, grid
+from tractlake.plans.domains import GRID, _ways, grid, scratch
 from tractlake.plans.relations import M, NEW, OLD, versions
 from tractlake.plans.spaces import CELL, _polygons
 from tractlake.plans.standins import cells, matrix, origins, read, sites, with_sql
+from tractlake.sources import tables
 
 BOOK = Book()
 query = BOOK.add
@@ -447,3 +448,118 @@ def _(spark, d):
     files = read(spark, d, "orders").select("o_orderkey", path.alias("path"))
     listed = files.where(k % 7 != 0).select("path", F.lit("x").alias("digest"))
     return lineage.snapshot_report(listed, files.where(k % 5 != 0).select("path", F.when(k % 11 == 0, "y").otherwise("x").alias("digest")))
+
+
+# --- sources
+
+@query("a1_estimates_by_line", "SELECT lpad(CAST(s_suppkey AS VARCHAR), 11, '0') AS geoid, CASE WHEN s_suppkey % 5 <> 0 THEN CAST(s_suppkey * 3 AS DOUBLE) END AS estimate_1, CAST(s_suppkey % 7 AS DOUBLE) AS moe_1, CAST(s_nationkey AS DOUBLE) AS estimate_3, CAST(1 AS DOUBLE) AS moe_3 FROM supplier WHERE s_suppkey % 4 <> 0")
+def _(spark, d):
+    k = F.col("s_suppkey")
+    level = F.when(k % 4 == 0, "0500000US").otherwise("1400000US")
+    raw = read(spark, d, "supplier").select(F.concat(level, F.lpad(k.cast("string"), 11, "0")).alias("GEO_ID"), F.when(k % 5 == 0, "-555555555").otherwise((k * 3).cast("string")).alias("B1_E001"), (k % 7).alias("B1_M001"), F.lit("x").alias("B1_E002"), F.lit("x").alias("B1_M002"), F.col("s_nationkey").alias("B1_E003"), F.lit(1).alias("B1_M003"))
+    raw.write.csv(path := scratch(spark), sep="|", header=True)
+    return tables.read_estimates(spark, path, "B1", [1, 3], raw.columns, codes=("-555555555",))
+
+
+@query("a4_lines_and_polygons", with_sql("cells") + " SELECT CAST(cell_id AS VARCHAR) AS cell_id, CASE WHEN cell_id % 2 = 0 THEN 'Polygon' ELSE 'LineString' END AS type, CASE WHEN cell_id % 2 = 0 THEN 5 ELSE 2 END AS points, CAST(x1 AS DOUBLE) AS east FROM cells")
+def _(spark, d):
+    p = lambda x, y: F.array(F.col(x).cast("double"), F.col(y).cast("double"))
+    line, ring = F.array(p("x0", "y0"), p("x1", "y1")), F.array(F.array(p("x0", "y0"), p("x1", "y0"), p("x1", "y1"), p("x0", "y1"), p("x0", "y0")))
+    even = F.col("cell_id") % 2 == 0
+    text = F.concat(F.lit('{"properties":{"cell_id":"'), F.col("cell_id").cast("string"), F.lit('"},"geometry":{"type":"'), F.when(even, "Polygon").otherwise("LineString"), F.lit('","coordinates":'), F.when(even, F.to_json(ring)).otherwise(F.to_json(line)), F.lit("}}"))
+    cells(spark, d).select(text.alias("value")).write.text(path := scratch(spark))
+    first = F.get("paths", F.lit(0))
+    return tables.geojson_shapes(spark, path).select(F.try_element_at("properties", F.lit("cell_id")).alias("cell_id"), "type", F.size(first).alias("points"), F.array_max(F.transform(first, lambda q: q["x"])).alias("east"))
+
+
+@query("a6_feed_tables", "SELECT 'stops' AS part, count(*) AS n, count(*) FILTER (event_id % 9 <> 0) AS placed FROM events UNION ALL SELECT 'problem: calendar: file missing', 1, 0 UNION ALL SELECT 'problem: stops: column missing: stop_name', 1, 0")
+def _(spark, d):
+    k = F.col("event_id")
+    stops = read(spark, d, "events").select(k.alias("stop_id"), F.when(k % 9 == 0, "n/a").otherwise((k % 90).cast("string")).alias("stop_lat"), F.lit("-75").alias("stop_lon"))
+    stops.write.csv(f"{(folder := scratch(spark))}/stops.txt", header=True)
+    found, problems = tables.read_feed(spark, folder, {"stops": ["stop_id", "stop_lat", "stop_lon", "stop_name"], "calendar": ["service_id"]})
+    counts = found["stops"].agg(F.lit("stops").alias("part"), F.count("*").alias("n"), F.count("stop_lat").alias("placed"))
+    return counts.unionByName(problems.select(F.concat(F.lit("problem: "), "name", F.lit(": "), "problem").alias("part"), F.lit(1).alias("n"), F.lit(0).alias("placed")))
+
+
+# --- runs, summaries, margins
+
+@query("c9_completed_grid", M + " SELECT o.origin_id, s.site_id, least(coalesce(m.minutes, 120.0), 120.0) AS minutes FROM origins o CROSS JOIN sites s LEFT JOIN matrix m ON m.origin_id = o.origin_id AND m.site_id = s.site_id")
+def _(spark, d):
+    return runs.completed(matrix(spark, d), origins(spark, d), sites(spark, d), 120.0)
+
+
+_METRE = "(abs(o.x - s.x) + abs(o.y - s.y))"
+
+
+@query("b26_percentiles_by_mode", with_sql("origins", "sites") + f" SELECT o.origin_id, s.site_id, round(least({_METRE} / 80.0, 120), 6) AS walk_p50, round(least({_METRE} / 80.0, 120), 6) AS walk_p85, round(least({_METRE} / 80.0, {_METRE} / 300.0 + 6, 120), 6) AS walk_transit_p50, round(least({_METRE} / 80.0, least({_METRE} / 80.0, {_METRE} / 300.0 + 6) * 1.3, 120), 6) AS walk_transit_p85 FROM origins o CROSS JOIN sites s")
+def _(spark, d):
+    pairs = origins(spark, d).withColumnsRenamed({"x": "ox", "y": "oy"}).crossJoin(sites(spark, d))
+    times = runs.proxy_minutes(F.abs(F.col("ox") - F.col("x")) + F.abs(F.col("oy") - F.col("y")), 120.0)
+    return pairs.select("origin_id", "site_id", *[F.round(c, 6).alias(n) for n, c in times.items()])
+
+
+@query("d17_peak_inside_interval", "SELECT event_type, count(*) AS samples, max(value) AS peak, arg_min(event_id, (-value, event_id)) AS peak_at, min(CASE WHEN value >= 200 THEN event_id END) AS first_over, max(CASE WHEN event_id BETWEEN 100 AND 5000 THEN value END) AS peak_inside FROM events WHERE value IS NOT NULL GROUP BY 1")
+def _(spark, d):
+    return runs.series_summary(read(spark, d, "events"), "event_type", "event_id", "value", 200.0, 100, 5000)
+
+
+_SPANS = "WITH p AS (SELECT user_id, event_type, epoch(max(date_trunc('second', ts))) - epoch(min(date_trunc('second', ts))) AS s FROM events GROUP BY 1, 2) SELECT user_id, count(*) AS phases, sum(s) AS seconds, round(sum(CASE WHEN event_type = 'click' THEN s * 408 / 6 ELSE s END), 6) AS projected FROM p GROUP BY 1"
+
+
+@query("d18_phases_and_projection", _SPANS)
+def _(spark, d):
+    out = runs.phases(read(spark, d, "events"), "user_id", "event_type", "ts", 6, 408, "click")
+    return out.select("user_id", F.size("phases").cast("bigint").alias("phases"), "seconds", F.round("projected", 6).alias("projected"))
+
+
+@query("d22_agreement_of_repeats", "SELECT l_partkey, count(DISTINCT l_linenumber) = 7 AND count(DISTINCT l_returnflag) = 1 AS agrees, array_to_string(list_sort(list(DISTINCT l_returnflag)), '|') AS digests FROM lineitem GROUP BY 1")
+def _(spark, d):
+    out = runs.repeat_agreement(read(spark, d, "lineitem"), "l_partkey", "l_linenumber", "l_returnflag", 7)
+    return out.select("l_partkey", "agrees", F.array_join("digests", "|").alias("digests"))
+
+
+_LAYER = "WITH p AS (SELECT s_suppkey % 3 = 0 AS flag, CASE WHEN s_suppkey % 8 <> 0 THEN s_nationkey END AS area, 'k' || (s_suppkey % 4) AS kind, 'g' || (s_suppkey % 2) AS grp FROM supplier) SELECT 'all' AS part, 'rows' AS value, count(*) AS n FROM p UNION ALL SELECT 'all', 'flagged', count(*) FILTER (flag) FROM p UNION ALL SELECT 'all', 'unassigned', count(*) FILTER (area IS NULL) FROM p UNION ALL SELECT 'all', 'areas', count(DISTINCT area) FROM p UNION ALL SELECT 'all', 'flagged areas', count(DISTINCT CASE WHEN flag THEN area END) FROM p UNION ALL SELECT 'kind', kind, count(*) FROM p GROUP BY 2 UNION ALL SELECT 'grp', grp, count(*) FROM p GROUP BY 2"
+
+
+@query("d3_layer_parts", _LAYER)
+def _(spark, d):
+    k = F.col("s_suppkey")
+    p = read(spark, d, "supplier").select((k % 3 == 0).alias("flag"), F.when(k % 8 != 0, F.col("s_nationkey")).alias("area"), F.concat(F.lit("k"), (k % 4).cast("string")).alias("kind"), F.concat(F.lit("g"), (k % 2).cast("string")).alias("grp"))
+    return runs.layer_summary(p, "flag", "area", "kind", "grp")
+
+
+_MARGINS = "WITH t AS (SELECT c_nationkey AS area, CAST(sum(c_custkey % 50) AS DOUBLE) AS part, sqrt(sum(power(c_custkey % 9, 2))) AS part_moe, CAST(sum(c_custkey % 50 + 10) AS DOUBLE) AS whole, sqrt(sum(power(c_custkey % 11, 2))) AS whole_moe FROM customer GROUP BY 1), r AS (SELECT *, sqrt(power(part_moe, 2) + power(part / whole, 2) * power(whole_moe, 2)) / whole AS ratio, power(part_moe, 2) - power(part / whole, 2) * power(whole_moe, 2) AS under FROM t) SELECT area, round(part_moe, 6) AS part_moe, round(ratio, 6) AS ratio_moe, round(CASE WHEN under >= 0 THEN sqrt(greatest(under, 0)) / whole ELSE ratio END, 6) AS proportion_moe FROM r"
+
+
+@query("m4_margins_of_derived", _MARGINS)
+def _(spark, d):
+    k = F.col("c_custkey")
+    t = read(spark, d, "customer").groupBy(F.col("c_nationkey").alias("area")).agg(F.sum(k % 50).cast("double").alias("part"), runs.moe_of_sum((k % 9).cast("double")).alias("part_moe"), F.sum(k % 50 + 10).cast("double").alias("whole"), runs.moe_of_sum((k % 11).cast("double")).alias("whole_moe"))
+    c = [F.col(n) for n in ("part", "part_moe", "whole", "whole_moe")]
+    return t.select("area", F.round("part_moe", 6).alias("part_moe"), F.round(runs.moe_of_ratio(*c), 6).alias("ratio_moe"), F.round(runs.moe_of_proportion(*c), 6).alias("proportion_moe"))
+
+
+@query("d16_feeds_with_gaps", "SELECT event_type AS feed, array_to_string(list_sort(list_filter(['u0', 'u1', 'u2', 'zz'], lambda x: NOT list_contains(there, x))), '|') AS missing, first_day, last_day, DATE '2024-01-15' BETWEEN first_day AND last_day AS inside FROM (SELECT event_type, list(DISTINCT 'u' || (user_id % 3)) AS there, CAST(min(ts) AS DATE) AS first_day, CAST(max(ts) AS DATE) AS last_day FROM events GROUP BY 1)")
+def _(spark, d):
+    e = read(spark, d, "events")
+    feeds = e.groupBy(F.col("event_type").alias("feed")).agg(F.min("ts").cast("date").alias("first"), F.max("ts").cast("date").alias("last"))
+    present = e.select(F.col("event_type").alias("feed"), F.concat(F.lit("u"), (F.col("user_id") % 3).cast("string")).alias("name"))
+    return runs.feed_summary(feeds, present, ["u0", "u1", "u2", "zz"], "2024-01-15", "first", "last").withColumn("missing", F.array_join("missing", "|"))
+
+
+# --- lines against areas
+
+_CROSSED = with_sql("origins") + " SELECT origin_id, CAST(9000 AS DOUBLE) AS length, CAST(greatest(0, x + 9000 - 27000) AS DOUBLE) AS outside, true AS touches FROM origins WHERE y % 5600 <> 0 AND x % 5400 <> 0"
+
+
+@query("g10_lengths_outside", _CROSSED)
+def _(spark, d):
+    lines = origins(spark, d).where("y % 5600 <> 0 AND x % 5400 <> 0").select("origin_id", F.col("x").alias("x1"), F.col("y").alias("y1"), (F.col("x") + 9000).alias("x2"), F.col("y").alias("y2"))
+    out = spatial.outside_lengths(lines, _polygons(spark, d), "origin_id", "cell_id", "ring", CELL)
+    return out.select("origin_id", F.round("length", 3).alias("length"), F.round("outside", 3).alias("outside"), "touches")
+
+
+@query("g11_outer_rings", "SELECT 1 AS rings, 20 AS edges, CAST(2 * 27000 + 2 * 28000 AS DOUBLE) AS length FROM nation HAVING count(*) = 25")
+def _(spark, d):
+    return spatial.outer_rings(_polygons(spark, d), "cell_id", "ring").agg(F.count("*").alias("rings"), F.sum("edges").alias("edges"), F.sum("length").alias("length"))

@@ -51,3 +51,51 @@ def canonical_rows(df: DataFrame, key: list[str]) -> DataFrame:
     kinds = dict(df.dtypes)
     show = lambda c: X.canonical(c).alias(c) if kinds[c] in ("double", "float") else F.col(c).cast("string").alias(c)
     return df.orderBy(*key).select(*[show(c) for c in [*key, *[c for c in df.columns if c not in key]]])
+
+
+def asserted(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
+    """A delimited file, every cell as text, whose header has to be these columns in this order; a byte order mark before the first is dropped."""
+    first = spark.read.text(path).where(F.length("value") > 0).limit(1).collect()  # the header of one of the files
+    found = first[0]["value"].lstrip("\ufeff").replace('"', "").split(sep) if first else columns
+    if found != columns:
+        raise ValueError(f"header {found} instead of {columns}")
+    return spark.read.csv(path, schema=", ".join(f"`{c}` string" for c in columns), sep=sep, header=True, enforceSchema=True, encoding="UTF-8")
+
+
+def read_estimates(spark: SparkSession, path: str, table: str, lines: list[int], header: list[str], level: str = "1400000US", codes: tuple[str, ...] = ()) -> DataFrame:
+    """geoid and the estimate and margin of each wanted line of a pipe-delimited survey table, of rows of one summary level; annotation codes are null."""
+    rows = asserted(spark, path, header, "|").where(F.col("GEO_ID").startswith(level))
+    named = lambda kind, n: F.col(f"{table}_{kind}{n:03}")
+    values = [X.lenient_number(X.codes_to_null(named(kind, n), codes) if codes else named(kind, n)).alias(f"{name}_{n}") for n in lines for kind, name in (("E", "estimate"), ("M", "moe"))]
+    return rows.select(F.right("GEO_ID", F.lit(11)).alias("geoid"), *values)
+
+
+def read_feed(spark: SparkSession, folder: str, required: dict[str, list[str]]) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The tables <name>.txt of a feed that are there, and (name, problem) for required files and columns that aren't; coordinates are lenient numbers."""
+    found, problems = {}, []
+    for name, columns in required.items():
+        try:
+            df = spark.read.csv(f"{folder}/{name}.txt", header=True, encoding="UTF-8")
+        except Exception as error:  # noqa: BLE001  Spark has no other way to say that a path isn't there
+            if "PATH_NOT_FOUND" not in str(error):
+                raise
+            problems.append((name, "file missing"))
+            continue
+        problems += [(name, f"column missing: {c}") for c in columns if c not in df.columns]
+        found[name] = df.select(*[X.lenient_number(c).alias(c) if c.endswith(("_lat", "_lon")) else F.col(c) for c in df.columns])
+    return found, spark.createDataFrame(problems, "name string, problem string")
+
+
+def geojson_shapes(spark: SparkSession, path: str) -> DataFrame:
+    """properties, type and paths (arrays of x, y points) of the line and polygon features of newline-delimited GeoJSON."""
+    schema = "properties map<string, string>, geometry struct<type: string, coordinates: string>"
+    f = spark.read.schema(schema).json(path).select("properties", "geometry.*")
+    line, polygon = F.from_json("coordinates", "array<array<double>>"), F.from_json("coordinates", "array<array<array<double>>>")
+    points = lambda path: F.transform(path, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
+    paths = F.when(F.col("type") == "LineString", F.array(points(line))).when(F.col("type") == "Polygon", F.transform(polygon, points))
+    return f.select("properties", "type", paths.alias("paths"))
+
+
+def read_roads(df: DataFrame, classes: tuple[str, ...], class_column: str, key: str) -> DataFrame:
+    """The rows of some classes in the order of their identifier."""
+    return df.where(F.col(class_column).isin(*classes)).orderBy(key)
