@@ -307,8 +307,7 @@ def _(spark, d):
     n, r = read(spark, d, "nation"), read(spark, d, "region")
     edges = n.select(F.concat(F.lit("n"), "n_nationkey").alias("child"), F.concat(F.lit("r"), "n_regionkey").alias("parent"))
     edges = edges.unionByName(r.select(F.concat(F.lit("r"), "r_regionkey").alias("child"), F.lit("PLANET").alias("parent"))).unionByName(r.select(F.concat(F.lit("r"), "r_regionkey").alias("child"), F.col("r_name").alias("parent")))
-    edges.createOrReplaceTempView("lineage_edges")
-    closure = spark.sql("WITH RECURSIVE up AS (SELECT child AS root, parent FROM lineage_edges WHERE child LIKE 'n%' UNION ALL SELECT up.root, e.parent FROM up JOIN lineage_edges e ON up.parent = e.child) SELECT DISTINCT root, parent FROM up WHERE parent NOT RLIKE '^r[0-9]+$'")
+    closure = spark.sql("WITH RECURSIVE up AS (SELECT child AS root, parent FROM {edges} WHERE child LIKE 'n%' UNION ALL SELECT up.root, e.parent FROM up JOIN {edges} e ON up.parent = e.child) SELECT DISTINCT root, parent FROM up WHERE parent NOT RLIKE '^r[0-9]+$'", edges=edges)
     return closure.select(F.substring("root", 2, 10).cast("int").alias("n_nationkey"), F.col("parent").alias("source"))
 
 

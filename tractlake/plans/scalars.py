@@ -116,6 +116,25 @@ def _(spark, d):
     return _cells(spark, d).select("doc_id", X.safe_cell("cell").alias("safe"))
 
 
+WHOLE_CELL = CELL.replace("substr(text, 1, 30)", "text")
+
+
+def _whole_cells(spark, d):
+    """The same cells with whole texts in them."""
+    lead = F.when(F.col("doc_id") % 6 == 0, "=").when(F.col("doc_id") % 6 == 1, "+").when(F.col("doc_id") % 6 == 2, "-").when(F.col("doc_id") % 6 == 3, "@").otherwise("")
+    return read(spark, d, "documents").select("doc_id", F.concat(lead, F.when(F.col("doc_id") % 5 == 0, F.col("doc_id").cast("string")).otherwise(F.col("text"))).alias("cell"))
+
+
+@query("b14_whole_cells", f"SELECT doc_id, CASE WHEN regexp_matches(cell, '^[=+\\-@\\t\\r]') THEN '''' || cell ELSE cell END AS cell FROM (SELECT doc_id, {WHOLE_CELL} AS cell FROM documents)")
+def _(spark, d):
+    return _whole_cells(spark, d).select("doc_id", X.escaped_formula("cell").alias("cell"))
+
+
+@query("b15_whole_cells", f"SELECT doc_id, NOT regexp_matches(cell, '^[=+\\-@\\t\\r]') OR (starts_with(cell, '-') AND regexp_matches(cell, '^-?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][-+]?[0-9]+)?$')) AS safe FROM (SELECT doc_id, {WHOLE_CELL} AS cell FROM documents)")
+def _(spark, d):
+    return _whole_cells(spark, d).select("doc_id", X.safe_cell("cell").alias("safe"))
+
+
 @query("b16_name_rule", "SELECT p_partkey, regexp_matches(name, '^[a-z][a-z0-9_]*$') AND NOT regexp_matches(name, 'healthy|unhealthy|nutritious|quality|desert|insecur|score|rank|index') AS ok FROM (SELECT p_partkey, replace(p_name, ' ', CASE WHEN p_partkey % 3 = 0 THEN '_' ELSE ' ' END) || CASE WHEN p_partkey % 7 = 0 THEN '_rank' ELSE '' END AS name FROM part)")
 def _(spark, d):
     name = F.concat(F.when(F.col("p_partkey") % 3 == 0, F.replace(F.col("p_name"), F.lit(" "), F.lit("_"))).otherwise(F.col("p_name")), F.when(F.col("p_partkey") % 7 == 0, "_rank").otherwise(""))

@@ -28,7 +28,7 @@ def geojson_points(spark: SparkSession, path: str) -> DataFrame:
 
 
 def file_digests(spark: SparkSession, path: str) -> DataFrame:
-    """path, length and sha256 of each file below a folder."""
+    """path, length and sha256 of each file below a folder. A file is one row, so none may reach 2 GB."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
