@@ -107,3 +107,10 @@ def full_sync_plan(old: DataFrame, new: DataFrame, key: str, fields: list[str],
     changed = differing({f: F.col(f"{f}__old") for f in fields}, {f: F.col(f"{f}__new") for f in fields})
     action = F.when(F.col("k").isin(protected), "excluded").when(F.col("owner").isNull(), "add").when(F.col("owner") != mine, "collision").when(F.col("is").isNull(), "delete").when(F.size(changed) > 0, "update").otherwise("unchanged")
     return both.select(F.col("k").alias(key), action.alias("action"), F.when(action == "update", changed).otherwise(F.array().cast("array<string>")).alias("changed"))
+
+
+def organizations(packages: DataFrame) -> DataFrame:
+    """slug, title, description and packages of each organization of packages(organization struct<name, title, description>); the first description by
+    alphabet, an empty one if there is none."""
+    o = packages.where("organization.title IS NOT NULL").select(F.col("organization.title").alias("title"), F.nullif(F.trim("organization.description"), F.lit("")).alias("text"))
+    return o.groupBy("title").agg(F.min("text").alias("text"), F.count("*").alias("packages")).select(folded_slug(F.col("title")).alias("slug"), "title", F.coalesce("text", F.lit("")).alias("description"), "packages")

@@ -117,3 +117,12 @@ def way_complete_clip(nodes: DataFrame, ways: DataFrame, relations: DataFrame) -
     members = relations.select("relation_id", F.explode("members").alias("way_id"))
     marked = members.join(kept_ways.select("way_id", F.lit(True).alias("here")), "way_id", "left").groupBy("relation_id").agg(F.bool_and(F.coalesce("here", F.lit(False))).alias("whole"))
     return kept_nodes, kept_ways, relations.join(marked.where("whole"), "relation_id", "left_semi")
+
+
+def clip_audit(nodes: DataFrame, ways: DataFrame, kept_nodes: DataFrame, kept_ways: DataFrame, bands: dict[str, tuple[int, int]]) -> DataFrame:
+    """(check, count): kept nodes outside the box that no kept way refers to, nodes and ways out of their bands, and a missing highway."""
+    outside = kept_nodes.join(nodes.where("inside").select("node_id"), "node_id", "left_anti")
+    stray = outside.join(kept_ways.select(F.explode("refs").alias("node_id")), "node_id", "left_anti").agg(F.count("*").alias("count")).select(F.lit("unreferenced node").alias("check"), "count")
+    counted = [df.agg(F.count("*").alias("count")).where(~F.col("count").between(*bands[n])).select(F.lit(f"{n} out of band").alias("check"), "count") for n, df in (("nodes", kept_nodes), ("ways", kept_ways))]
+    roads = kept_ways.agg(F.count_if(F.try_element_at("tags", F.lit("highway")).isNotNull()).alias("n")).where("n = 0").select(F.lit("no highway").alias("check"), F.lit(0).cast("bigint").alias("count"))
+    return stray.where("count > 0").unionByName(counted[0]).unionByName(counted[1]).unionByName(roads)

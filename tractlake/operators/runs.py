@@ -77,3 +77,29 @@ def feed_summary(feeds: DataFrame, present: DataFrame, required: list[str], run_
     out = feeds.join(names, "feed", "left")
     missing = F.array_sort(F.array_except(F.array(*map(F.lit, required)), F.coalesce("there", F.array().cast("array<string>"))))
     return out.select("feed", missing.alias("missing"), F.col(first_day).alias("first_day"), F.col(last_day).alias("last_day"), F.lit(run_day).cast("date").between(F.col(first_day), F.col(last_day)).alias("inside"))
+
+
+def run_comparison(a: DataFrame, b: DataFrame, keys: list[str], value: str, band: float) -> DataFrame:
+    """One row on two runs over the same keys: pairs in both, in one only, finite in both, with a difference beyond a band, and the difference b - a: least, mean, largest."""
+    both = a.select(*keys, F.col(value).alias("a"), F.lit(True).alias("in_a")).join(b.select(*keys, F.col(value).alias("b"), F.lit(True).alias("in_b")), keys, "full_outer")
+    d = F.col("b") - F.col("a")
+    return both.agg(F.count_if(F.col("in_a") & F.col("in_b")).alias("pairs"), F.count_if(F.col("in_a").isNull() | F.col("in_b").isNull()).alias("one_only"), F.count(d).alias("finite"), F.count_if(F.abs(d) > band).alias("beyond"), F.min(d).alias("least"), F.avg(d).alias("mean"), F.max(d).alias("largest"))
+
+
+def aggregation_sensitivity(parts: DataFrame, areas: DataFrame, area: str, value: str, weight: str) -> DataFrame:
+    """area, the value of its parts weighted, its own value, and the difference: parts(area, value, weight) against areas(area, value)."""
+    w = F.when(F.col(value).isNotNull(), F.col(weight))
+    fine = parts.groupBy(area).agg((F.sum(F.col(value) * w) / F.sum(w)).alias("of_parts"))
+    return fine.join(areas.select(area, F.col(value).alias("own")), area).select(area, "of_parts", "own", (F.col("of_parts") - F.col("own")).alias("difference"))
+
+
+def like_for_like(ours: DataFrame, theirs: DataFrame, key: str, value: str) -> DataFrame:
+    """key, ours and theirs on the keys that both have; and how many keys only one has, on each row."""
+    both = ours.select(key, F.col(value).alias("ours")).join(theirs.select(key, F.col(value).alias("theirs")), key, "full_outer")
+    left_out = both.agg(F.count_if(F.col("theirs").isNull()).alias("only_ours"), F.count_if(F.col("ours").isNull()).alias("only_theirs"))  # one row
+    return both.where("ours IS NOT NULL AND theirs IS NOT NULL").join(F.broadcast(left_out))
+
+
+def acquisitions(files: DataFrame, source: str, size: str, attempts: str, reused: str) -> DataFrame:
+    """source, files, bytes, attempts, files that were taken from before, and bytes that were fetched."""
+    return files.groupBy(source).agg(F.count("*").alias("files"), F.sum(size).alias("bytes"), F.sum(attempts).alias("attempts"), F.count_if(reused).alias("reused"), F.coalesce(F.sum(F.when(~F.col(reused), F.col(size))), F.lit(0)).alias("fetched"))

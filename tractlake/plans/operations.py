@@ -563,3 +563,73 @@ def _(spark, d):
 @query("g11_outer_rings", "SELECT 1 AS rings, 20 AS edges, CAST(2 * 27000 + 2 * 28000 AS DOUBLE) AS length FROM nation HAVING count(*) = 25")
 def _(spark, d):
     return spatial.outer_rings(_polygons(spark, d), "cell_id", "ring").agg(F.count("*").alias("rings"), F.sum("edges").alias("edges"), F.sum("length").alias("length"))
+
+
+# --- sensitivity, coverage, audits
+
+_SLOW = M + ", slow AS (SELECT o.origin_id, s.site_id, CASE WHEN (o.origin_id + s.site_id) % 17 <> 0 THEN (abs(o.x - s.x) + abs(o.y - s.y)) / 50.0 + 1 END AS minutes FROM origins o JOIN sites s ON o.origin_id % 5 = s.site_id % 5 WHERE o.origin_id % 9 <> 4), b AS (SELECT m.minutes AS a, s.minutes AS b, m.origin_id IS NOT NULL AND s.origin_id IS NOT NULL AS shared FROM matrix m FULL JOIN slow s ON m.origin_id = s.origin_id AND m.site_id = s.site_id)"
+
+
+@query("m8_slow_run_comparison", _SLOW + " SELECT count(*) FILTER (shared) AS pairs, count(*) FILTER (NOT shared) AS one_only, count(b - a) AS finite, count(*) FILTER (abs(b - a) > 60) AS beyond, round(min(b - a), 6) AS least, round(avg(b - a), 6) AS mean, round(max(b - a), 6) AS largest FROM b")
+def _(spark, d):
+    o = origins(spark, d).where("origin_id % 9 <> 4").withColumnsRenamed({"x": "ox", "y": "oy"})
+    metres = F.abs(F.col("ox") - F.col("x")) + F.abs(F.col("oy") - F.col("y"))
+    slow = o.join(sites(spark, d), F.col("origin_id") % 5 == F.col("site_id") % 5).select("origin_id", "site_id", F.when((F.col("origin_id") + F.col("site_id")) % 17 != 0, metres / 50.0 + 1).alias("minutes"))
+    out = runs.run_comparison(matrix(spark, d), slow, ["origin_id", "site_id"], "minutes", 60.0)
+    return out.select("pairs", "one_only", "finite", "beyond", *[F.round(c, 6).alias(c) for c in ("least", "mean", "largest")])
+
+
+_AREAS = with_sql("origins", "sites", "cells") + ", f AS (SELECT * FROM sites WHERE flagged), p AS (SELECT o.origin_id, o.x, o.y, c.cell_id, min(sqrt(power(CAST(o.x - f.x AS DOUBLE), 2) + power(CAST(o.y - f.y AS DOUBLE), 2))) AS m FROM origins o JOIN cells c ON o.x > c.x0 AND o.x < c.x1 AND o.y > c.y0 AND o.y < c.y1 CROSS JOIN f GROUP BY 1, 2, 3, 4), a AS (SELECT c.cell_id, min(sqrt(power((c.x0 + c.x1) / 2.0 - f.x, 2) + power((c.y0 + c.y1) / 2.0 - f.y, 2))) AS own FROM cells c CROSS JOIN f GROUP BY 1)"
+
+
+def _nearest_of(spark, d):
+    """Metres to the nearest flagged site of the origins inside a cell, with the cell, and of the middle of each cell."""
+    flagged, o = sites(spark, d).where("flagged"), origins(spark, d)
+    mine = spatial.assign_area(o, _polygons(spark, d), "origin_id", "cell_id", "ring", CELL).where("cell_id IS NOT NULL").select("origin_id", "cell_id")
+    parts = spatial.nearest(o, flagged, "origin_id", "site_id", CELL).select("origin_id", F.col("distance").alias("m")).join(mine, "origin_id")
+    middles = cells(spark, d).select("cell_id", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
+    return parts, spatial.nearest(middles, flagged, "cell_id", "site_id", CELL).select("cell_id", F.col("distance").alias("m"))
+
+
+@query("m7_parts_against_areas", _AREAS + " SELECT p.cell_id, round(sum(p.m * (origin_id % 50 + 1)) / sum(origin_id % 50 + 1), 6) AS of_parts, round(any_value(a.own), 6) AS own, round(sum(p.m * (origin_id % 50 + 1)) / sum(origin_id % 50 + 1) - any_value(a.own), 6) AS difference FROM p JOIN a ON p.cell_id = a.cell_id GROUP BY 1")
+def _(spark, d):
+    parts, own = _nearest_of(spark, d)
+    out = runs.aggregation_sensitivity(parts.withColumn("people", F.col("origin_id") % 50 + 1), own, "cell_id", "m", "people")
+    return out.select("cell_id", *[F.round(c, 6).alias(c) for c in ("of_parts", "own", "difference")])
+
+
+@query("m9_shared_keys_only", _AREAS + ", o AS (SELECT cell_id, min(m) AS m FROM p WHERE cell_id % 6 <> 1 GROUP BY 1), t AS (SELECT * FROM a WHERE cell_id % 4 <> 2), k AS (SELECT coalesce(o.cell_id, t.cell_id) AS cell_id, o.m AS ours, t.own AS theirs FROM o FULL JOIN t ON o.cell_id = t.cell_id) SELECT cell_id, round(ours, 6) AS ours, round(theirs, 6) AS theirs, (SELECT count(*) FROM k WHERE theirs IS NULL) AS only_ours, (SELECT count(*) FROM k WHERE ours IS NULL) AS only_theirs FROM k WHERE ours IS NOT NULL AND theirs IS NOT NULL")
+def _(spark, d):
+    parts, own = _nearest_of(spark, d)
+    ours = parts.where("cell_id % 6 <> 1").groupBy("cell_id").agg(F.min("m").alias("m"))
+    out = runs.like_for_like(ours, own.where("cell_id % 4 <> 2"), "cell_id", "m")
+    return out.select("cell_id", F.round("ours", 6).alias("ours"), F.round("theirs", 6).alias("theirs"), "only_ours", "only_theirs")
+
+
+@query("l7_acquired_bytes", "SELECT event_type, count(*) AS files, CAST(sum(length(props)) AS BIGINT) AS bytes, CAST(sum(event_id % 3 + 1) AS BIGINT) AS attempts, count(*) FILTER (user_id % 4 = 0) AS reused, CAST(coalesce(sum(length(props)) FILTER (user_id % 4 <> 0), 0) AS BIGINT) AS fetched FROM events GROUP BY 1")
+def _(spark, d):
+    e = read(spark, d, "events").select("event_type", F.length("props").cast("bigint").alias("size"), (F.col("event_id") % 3 + 1).alias("tries"), (F.col("user_id") % 4 == 0).alias("old"))
+    return runs.acquisitions(e, "event_type", "size", "tries", "old")
+
+
+@query("k10_organizations", "SELECT lower(p_type) || '-office' AS slug, p_type || ' Office' AS title, coalesce(min(CASE WHEN p_size > 10 THEN p_name END), '') AS description, count(*) AS packages FROM part GROUP BY p_type")
+def _(spark, d):
+    org = F.struct(F.lower("p_type").alias("name"), F.concat("p_type", F.lit(" Office")).alias("title"), F.when(F.col("p_size") > 10, F.col("p_name")).otherwise(" ").alias("description"))
+    return catalog.organizations(read(spark, d, "part").select(org.alias("organization")))
+
+
+@query("c13_audit_with_bands", "WITH i AS (SELECT p_partkey AS n FROM part WHERE p_size < 5), w AS (SELECT DISTINCT l_orderkey AS w FROM lineitem WHERE l_partkey IN (SELECT n FROM i)), n AS (SELECT l_partkey AS n FROM lineitem WHERE l_orderkey IN (SELECT w FROM w) UNION SELECT n FROM i) SELECT 'ways out of band' AS \"check\", count(*) AS count FROM w UNION ALL SELECT 'no highway', 0 FROM part HAVING count(*) > 0")
+def _(spark, d):
+    nodes = read(spark, d, "part").select(F.col("p_partkey").alias("node_id"), (F.col("p_size") < 5).alias("inside"))
+    ways = _ways(spark, d).withColumn("tags", F.create_map(F.lit("name"), F.lit("x")))
+    relations = read(spark, d, "orders").select(F.col("o_custkey").alias("relation_id"), F.array("o_orderkey").alias("members"))
+    kept_nodes, kept_ways, _ = network.way_complete_clip(nodes, ways, relations)
+    return network.clip_audit(nodes, ways, kept_nodes, kept_ways, {"nodes": (0, 10**12), "ways": (0, 0)})
+
+
+@query("c14_reach_and_extents", with_sql("origins", "sites") + " SELECT (SELECT count(*) FROM origins o JOIN sites s ON (o.x - s.x) * (o.x - s.x) + (o.y - s.y) * (o.y - s.y) <= 9600 * 9600) AS reached, min(x) AS west, min(y) AS south, max(x) AS east, max(y) AS north FROM (SELECT x, y FROM origins UNION ALL SELECT x, y FROM sites)")
+def _(spark, d):
+    o, s = origins(spark, d), sites(spark, d)
+    reached = spatial.within(o, s, "origin_id", "site_id", 9600.0).agg(F.count("*").alias("reached"))
+    extent = o.select("x", "y").unionByName(s.select("x", "y")).agg(F.min("x").alias("west"), F.min("y").alias("south"), F.max("x").alias("east"), F.max("y").alias("north"))
+    return reached.join(extent)  # one row each
