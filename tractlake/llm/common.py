@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
 from collections.abc import Iterable
 
@@ -37,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     if named is None:
         named = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if named is None:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
         named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", named)
