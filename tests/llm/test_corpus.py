@@ -554,11 +554,11 @@ def test_loser_tree_merges_front_coded_runs():
 
 @pytest.fixture(scope="module")
 def small_model():
-    """A vocabulary of 2,000 ids, pairs of some texts, and weights that are nowhere zero."""
+    """A vocabulary of 4,000 ids, more than are frequent, pairs of some texts, and weights that are nowhere zero."""
     dice = np.random.default_rng(1)
-    counts = dice.integers(0, 50, 2000).astype(float)
+    counts = dice.integers(0, 50, 4000).astype(float)
     vocabulary = causal_lm.Vocabulary.of(counts, 7)
-    texts = [dice.integers(0, 2000, n) for n in (0, 3, 32, 33, 90, 58, 59)]
+    texts = [dice.integers(0, 4000, n) for n in (0, 3, 32, 33, 90, 58, 59)]
     _, inputs, targets = causal_lm.framed(texts, 7, vocabulary)
     pairs = causal_lm.Pairs.of(causal_lm.pair_counts(inputs, vocabulary.slot[targets]))
     params = {k: (v + 0.2 * dice.standard_normal(v.shape)).astype(np.float64) for k, v in causal_lm.initial().items()}
@@ -570,7 +570,7 @@ def test_language_model_is_a_distribution_with_right_gradients(small_model):
     window = vocabulary.inputs(np.arange(32))
     top = causal_lm.attend(params, np.tile(window, (1, 1)))["top"][5:6]
     slots = vocabulary.slot
-    each = causal_lm.log_probabilities(params, pairs, np.repeat(top, 2000, 0), np.repeat(window[5:6], 2000), slots) / np.log(10) + np.where(slots < 0, vocabulary.rare_log10, 0)
+    each = causal_lm.log_probabilities(params, pairs, np.repeat(top, 4000, 0), np.repeat(window[5:6], 4000), slots) / np.log(10) + np.where(slots < 0, vocabulary.rare_log10, 0)
     assert abs((10.0**each).sum() - 1) < 1e-4
     lengths, inputs, targets = causal_lm.framed(texts, 7, vocabulary)
     at, exists, scored = causal_lm.windows_of(lengths)
