@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -90,22 +92,24 @@ def largest_component(edges: DataFrame) -> DataFrame:
     return edges.join(nodes, "src", "left_semi")
 
 
-def shortest(edges: DataFrame, sources: DataFrame, radius: float) -> DataFrame:
+def shortest(edges: DataFrame, sources: DataFrame, radius: float, merge_every: int = 8) -> DataFrame:
     """(source, node, distance) of all nodes within radius of each of sources(source, node), along edges(src, dst, length).
 
-    Each round relaxes the edges out of the nodes that got nearer in the round before; it ends when none did.
+    Each round relaxes the edges out of the nodes that got nearer in the round before, and writes only what got nearer; what is known is merged
+    every few rounds. It ends when nothing got nearer.
     """
-    reached = cut(sources.select("source", "node", F.lit(0.0).alias("distance")))
-    front = reached
+    nearest = lambda parts: reduce(DataFrame.unionByName, parts).groupBy("source", "node").agg(F.min("distance").alias("distance"))
+    known = [cut(sources.select("source", "node", F.lit(0.0).alias("distance")))]
+    front = known[0]
     while True:
         step = front.join(edges, front["node"] == edges["src"]).select("source", F.col("dst").alias("node"), (F.col("distance") + F.col("length")).alias("distance")).where(F.col("distance") <= radius)
-        step = step.groupBy("source", "node").agg(F.min("distance").alias("new"))
-        merged = cut(reached.join(step, ["source", "node"], "full_outer").withColumn("better", F.coalesce(F.col("new") < F.col("distance"), F.col("distance").isNull())))
-        now = F.when(F.col("better"), F.col("new")).otherwise(F.col("distance"))
-        reached = merged.select("source", "node", now.alias("distance"))
-        front = merged.where("better").select("source", "node", F.col("new").alias("distance"))
+        before = nearest(known).withColumnRenamed("distance", "before")
+        front = cut(nearest([step]).join(before, ["source", "node"], "left").where("before IS NULL OR distance < before").select("source", "node", "distance"))
         if not front.limit(1).count():
-            return reached
+            return nearest(known)
+        known.append(front)
+        if len(known) > merge_every:
+            known = [cut(nearest(known))]
 
 
 def way_complete_clip(nodes: DataFrame, ways: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
