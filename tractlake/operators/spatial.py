@@ -130,6 +130,24 @@ def quantiles(df: DataFrame, value: str, shares: list[float]) -> DataFrame:
     return counts.agg(F.array(*out).alias("q"))
 
 
+def quantiles_by(df: DataFrame, by: str, value: str, shares: list[float]) -> DataFrame:
+    """by, q, low and high: quantiles of each group, as quantiles gives them, its least and its largest value; a group's values may lie in many tasks."""
+    sizes = df.where(F.col(value).isNotNull()).groupBy(F.col(by).alias("g"), F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    ranged = cut(sizes.repartitionByRange(F.col("g"), F.col("v")).withColumn("part", F.spark_partition_id()))
+    totals = ranged.groupBy("g", "part").agg(F.sum("n").alias("t"))  # a row for each group and task
+    before = totals.withColumn("base", F.coalesce(F.sum("t").over(Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    before = before.withColumn("total", F.sum("t").over(Window.partitionBy("g"))).drop("t")
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("g", "part").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = ranged.withColumn("in", inside).join(before, ["g", "part"]).withColumn("at", F.col("base") + F.col("in"))
+    value_at = lambda k: F.max(F.when((F.col("at") <= k) & (F.col("at") + F.col("n") > k), F.col("v").cast("double")))
+    out = []
+    for share in shares:
+        place = (F.col("total") - 1) * share
+        low = F.floor(place)
+        out.append(value_at(low) + (value_at(F.least(low + 1, F.col("total") - 1)) - value_at(low)) * F.max(place - low))
+    return rows.groupBy(F.col("g").alias(by)).agg(F.array(*out).alias("q"), F.min("v").alias("low"), F.max("v").alias("high"))
+
+
 def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
     """Adds the average rank of a column: counts by value, running sums over the distinct values in ranges, and a join back."""
     ranks = _value_counts(df, value).select(F.col("v").alias(value), (F.col("before") + (F.col("n") + 1) / 2).alias(name))

@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
-from tractlake.operators import catalog, contracts, network
+from tractlake.operators import catalog, contracts, network, spatial
 from tractlake.operators.contracts import Contract, Field
 from tractlake.operators.keeping import shared_folder
 from tractlake.plans.base import Book
@@ -407,7 +407,8 @@ def _(spark, d, whole=False):
 @query("m8_run_sensitivity", M + " SELECT origin_id % 10 AS part, round(min(d), 6) AS low, round(median(d), 6) AS mid, round(max(d), 6) AS high FROM (SELECT origin_id, minutes * 1.6 - minutes AS d FROM matrix) GROUP BY 1")
 def _(spark, d, whole=False):
     diff = matrix(spark, d, whole).select((F.col("origin_id") % 10).alias("part"), (F.col("minutes") * 1.6 - F.col("minutes")).alias("d"))
-    return diff.groupBy("part").agg(F.round(F.min("d"), 6).alias("low"), F.round(F.percentile("d", 0.5), 6).alias("mid"), F.round(F.max("d"), 6).alias("high"))
+    q = spatial.quantiles_by(diff, "part", "d", [0.5])
+    return q.select("part", F.round("low", 6).alias("low"), F.round(F.get("q", F.lit(0)), 6).alias("mid"), F.round("high", 6).alias("high"))
 
 
 @query("m9_external_comparison", M + ", b AS (SELECT origin_id, min(minutes) AS m FROM matrix GROUP BY 1) SELECT count(*) AS n, round(corr(m, CAST((c_custkey * 31) % 90 AS DOUBLE)), 6) AS r, round(avg(abs(m - (c_custkey * 31) % 90)), 6) AS mean_difference FROM b JOIN customer ON c_custkey = origin_id WHERE m IS NOT NULL")

@@ -185,8 +185,8 @@ def _(spark, d):
 
 @query("d8_class_edges", "SELECT event_type, list_transform(quantile_cont(value, [0.0, 0.25, 0.5, 0.75, 1.0]), lambda x: round(x, 6)) AS edges FROM events GROUP BY 1")
 def _(spark, d):
-    q = F.percentile("value", [0.0, 0.25, 0.5, 0.75, 1.0])
-    return read(spark, d, "events").groupBy("event_type").agg(q.alias("q")).select("event_type", F.array_distinct(F.transform("q", lambda x: F.round(x, 6))).alias("edges"))
+    q = spatial.quantiles_by(read(spark, d, "events"), "event_type", "value", [0.0, 0.25, 0.5, 0.75, 1.0])
+    return q.select("event_type", F.array_distinct(F.transform("q", lambda x: F.round(x, 6))).alias("edges"))
 
 
 @query("d9_widen", "SELECT o_custkey, count(*) FILTER (o_orderstatus = 'F') AS f_orders, count(*) FILTER (o_orderstatus = 'O') AS o_orders, count(*) FILTER (o_orderstatus = 'P') AS p_orders FROM orders GROUP BY 1")
