@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from tractlake.llm import byte_bpe, filter_audit, jaccard, language, line_dedup, lm_scoring, packing, quality, suffix_dedup, topk, toxicity
+from tractlake.llm import byte_bpe, embedding_dedup, filter_audit, jaccard, language, line_dedup, lm_scoring, packing, prefix_trie, quality, suffix_dedup, topk, toxicity
 
-MODULES = (line_dedup, packing, toxicity, byte_bpe, topk, jaccard, language, suffix_dedup, quality, lm_scoring, filter_audit)
+MODULES = (line_dedup, packing, toxicity, byte_bpe, topk, jaccard, language, suffix_dedup, quality, lm_scoring, prefix_trie, embedding_dedup, filter_audit)
 QUERIES = {name: query for module in MODULES for name, query in module.QUERIES.items()}
 ORACLE = {name: sql for module in MODULES for name, sql in module.ORACLE.items()}
 
