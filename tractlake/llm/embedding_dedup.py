@@ -113,7 +113,7 @@ def described(vectors: DataFrame, chosen: dict[int, np.ndarray]) -> DataFrame:
 def dense_spots(rows: DataFrame, half: float) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     """Centres by dimension, those first that stand for most vectors: (ids, vectors). At most LOOKED_AT / DENSE for each pivot."""
     home = rows.select("dim", F.col("p")[0].alias("home"), "vec_id", "v")
-    sizes = home.groupBy("dim", "home").agg(F.count("*").alias("many"))
+    sizes = F.broadcast(home.groupBy("dim", "home").agg(F.count("*").alias("many")))  # a row for each pivot
     spread = home.join(sizes, ["dim", "home"]).where(F.pmod(F.xxhash64("vec_id"), F.greatest(F.floor(F.col("many") / LOOKED_AT), F.lit(1))) == 0)
 
     def run(part: pd.DataFrame) -> pd.DataFrame:
