@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
-from tractlake.operators import spatial
+from tractlake.operators import shapes, spatial
 from tractlake.operators.joins import repeated
 
 
@@ -37,23 +37,28 @@ def key_fault(df: DataFrame, key: str) -> DataFrame:
     return repeated(df, [key]).agg(F.count("*").alias("count")).where("count > 0").select(F.lit("key").alias("check"), F.lit(key).alias("detail"), "count")
 
 
-def ring_faults(polygons: DataFrame, key: str, ring: str, cell: float = 1000.0) -> DataFrame:
-    """key and reason of each invalid ring: empty, too short, open, or crossing itself."""
-    n = F.size(F.coalesce(ring, F.array().cast(polygons.schema[ring].dataType)))
-    r = F.col(ring)
-    shut = (F.element_at(r, 1)["x"] == F.element_at(r, -1)["x"]) & (F.element_at(r, 1)["y"] == F.element_at(r, -1)["y"])
-    early = F.when(n == 0, "empty").when(n < 4, "too short").when(~shut, "open")
-    sound = polygons.where(early.isNull())
-    crossed = spatial.self_crossings(sound, key, ring, cell).where("crossings > 0").select(key, F.lit("crosses itself").alias("reason"))
-    return polygons.select(key, early.alias("reason")).where("reason IS NOT NULL").unionByName(crossed)
+def ring_faults(polygons: DataFrame, key: str, ring: str) -> DataFrame:
+    """key and reason of each invalid shape, once for each reason; a missing one counts as empty."""
+    return shapes.shape_faults(polygons, key, ring).select(key, F.when(F.col("reason") == "null", "empty").otherwise(F.col("reason")).alias("reason")).distinct()
 
 
-def geometry_faults(polygons: DataFrame, key: str, ring: str, box: tuple[float, float, float, float], crs: str, wanted_crs: str, cell: float = 1000.0) -> DataFrame:
-    """Wrong reference system, invalid rings by reason, and rings that leave the box."""
-    by_reason = ring_faults(polygons, key, ring, cell).groupBy("reason").agg(F.count("*").alias("count")).select(F.lit("validity").alias("check"), F.col("reason").alias("detail"), "count")
-    b = spatial.bounds(polygons.where(F.size(ring) > 0), key, ring)
+def kind_of(shape: Column, depth: int) -> Column:
+    """Point, LineString, Polygon or MultiPolygon by how deep the points lie; MultiPolygon only with several parts."""
+    if depth < 3:
+        return F.when(shape.isNotNull(), ("LineString", "Polygon")[depth - 1])
+    return F.when(F.size(shape) > 1, "MultiPolygon").when(F.size(shape) == 1, "Polygon")
+
+
+def geometry_faults(areas: DataFrame, key: str, shape: str, box: tuple[float, float, float, float], crs: str, wanted_crs: str, kinds: tuple[str, ...] = ()) -> DataFrame:
+    """Wrong reference system, kinds of shape that aren't wanted, null and empty and invalid shapes by reason, and shapes that leave the box."""
+    by_reason = shapes.shape_faults(areas, key, shape).groupBy("reason").agg(F.count("*").alias("count")).select(F.lit("validity").alias("check"), F.col("reason").alias("detail"), "count")
+    b = spatial.bounds(areas.where(F.size(shape) > 0), key, shape)
     outside = faults(b, {("extent", "outside the box"): (F.col("x0") < box[0]) | (F.col("y0") < box[1]) | (F.col("x1") > box[2]) | (F.col("y1") > box[3])})
-    return union([by_reason, outside, *fixed_faults(polygons, [("crs", crs)] if crs != wanted_crs else [])])
+    parts = [by_reason, outside, *fixed_faults(areas, [("crs", crs)] if crs != wanted_crs else [])]
+    if kinds:
+        kind = kind_of(F.col(shape), shapes.nesting(areas, shape))
+        parts.append(areas.select(kind.alias("detail")).where(~F.col("detail").isin(*kinds)).groupBy("detail").agg(F.count("*").alias("count")).select(F.lit("type").alias("check"), "detail", "count"))
+    return union(parts)
 
 
 def label_faults(manifests: DataFrame, wanted: DataFrame, key: str, labels: list[str]) -> DataFrame:
@@ -63,13 +68,17 @@ def label_faults(manifests: DataFrame, wanted: DataFrame, key: str, labels: list
     return a.select(key, F.explode(each).alias("s")).select(key, "s.*").where(~F.col("found").eqNullSafe(F.col("wanted")))
 
 
-def spine_faults(areas: DataFrame, centers: DataFrame, key: str, pattern: str, count: tuple[int, int], box: tuple[float, float, float, float]) -> DataFrame:
-    """Key form, repeats and count of areas(key, x0, y0, x1, y1), bounds, and centers(key, x, y) that are missing, too many or outside of their area."""
-    own = faults(areas, {("key form", key): ~F.coalesce(F.col(key).cast("string").rlike(f"^(?:{pattern})$"), F.lit(False)), ("bounds", "outside the box"): (F.col("x0") < box[0]) | (F.col("y0") < box[1]) | (F.col("x1") > box[2]) | (F.col("y1") > box[3])})
-    met = areas.select(key, "x0", "y0", "x1", "y1").join(centers.groupBy(key).agg(F.count("*").alias("n"), F.min("x").alias("x"), F.min("y").alias("y")), key, "left")
-    inside = F.col("x").between(F.col("x0"), F.col("x1")) & F.col("y").between(F.col("y0"), F.col("y1"))
-    about = faults(met, {("centre", "missing"): F.col("n").isNull(), ("centre", "several"): F.col("n") > 1, ("centre", "outside of its area"): (F.col("n") == 1) & ~inside})
-    return union([own, count_fault(areas, *count), key_fault(areas, key), about])
+def spine_faults(areas: DataFrame, centers: DataFrame, key: str, shape: str, pattern: str, count: tuple[int, int], box: tuple[float, float, float, float], cell: float, crs: str = "", wanted_crs: str = "") -> DataFrame:
+    """Of areas(key, shape): key form, repeats, count, reference system, validity and bounds; of centers(key, x, y): those that are missing, too many, or
+    neither inside nor on the border of their own area."""
+    own = faults(areas, {("key form", key): ~F.coalesce(F.col(key).cast("string").rlike(f"^(?:{pattern})$"), F.lit(False))})
+    shapes_wrong = geometry_faults(areas, key, shape, box, crs, wanted_crs)
+    shapes_wrong = shapes_wrong.withColumn("check", F.when(F.col("check") == "extent", "bounds").otherwise(F.col("check")))
+    met = areas.select(key).join(centers.groupBy(key).agg(F.count("*").alias("n"), F.min(F.struct("x", "y")).alias("p")), key, "left")
+    one = met.where("n = 1").select(F.col(key).alias("of"), "p.x", "p.y")
+    home = shapes.located(one, areas, "of", key, shape, cell).where(F.col("of") == F.col(key)).select(key, F.lit(True).alias("home"))
+    about = faults(met.join(home, key, "left"), {("centre", "missing"): F.col("n").isNull(), ("centre", "several"): F.col("n") > 1, ("centre", "outside of its area"): (F.col("n") == 1) & F.col("home").isNull()})
+    return union([own, shapes_wrong, count_fault(areas, *count), key_fault(areas, key), about])
 
 
 def point_faults(points: DataFrame, areas: DataFrame, key: str, source: str, area: str, mapping: dict[str, tuple[str, bool]], kind: str, group: str, flag: str, box: tuple[float, float, float, float]) -> DataFrame:
@@ -91,12 +100,9 @@ def point_faults(points: DataFrame, areas: DataFrame, key: str, source: str, are
     return union([own, key_fault(points, key), strays])
 
 
-def road_faults(roads: DataFrame, key: str, classes: tuple[str, ...], types: tuple[str, ...], box: tuple[float, float, float, float], cells: DataFrame, cell: float) -> DataFrame:
-    """Of roads(key, class, type, x1, y1, x2, y2): unknown class or type, lines of no length, ends outside the box, and lines that touch no cell (cx, cy) of the spine."""
-    ends = X.in_box("x1", "y1", box) & X.in_box("x2", "y2", box)
-    own = faults(roads, {("class", "unknown"): ~F.coalesce(F.col("class").isin(*classes), F.lit(False)), ("type", "unknown"): ~F.coalesce(F.col("type").isin(*types), F.lit(False)), ("line", "no length"): F.coalesce((F.col("x1") == F.col("x2")) & (F.col("y1") == F.col("y2")), F.lit(True)), ("bounds", "outside the box"): ~ends})
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell)))
-    dealt = roads.select(key, span("x1", "x2").alias("cx"), "y1", "y2").select(key, "cx", span("y1", "y2").alias("cy"))
-    near = dealt.join(cells.select("cx", "cy"), ["cx", "cy"], "left_semi").select(key).distinct()
-    away = roads.select(key).join(near, key, "left_anti").agg(F.count("*").alias("count")).where("count > 0").select(F.lit("spine").alias("check"), F.lit("touches no area").alias("detail"), "count")
-    return union([own, key_fault(roads, key), away])
+def road_faults(roads: DataFrame, key: str, line: str, classes: tuple[str, ...], types: tuple[str, ...], box: tuple[float, float, float, float], spine: DataFrame, area: str, shape: str, cell: float) -> DataFrame:
+    """Of roads(key, class, type, line): unknown class or type, lines of no length, points outside the box, single keys, and lines that neither enter nor touch an area of the spine."""
+    away = F.exists(F.flatten(F.col(line)) if shapes.nesting(roads, line) == 2 else F.col(line), lambda p: ~F.coalesce(p["x"].between(box[0], box[2]) & p["y"].between(box[1], box[3]), F.lit(False)))
+    measured = roads.select(key, "class", "type", F.coalesce(away, F.lit(True)).alias("away")).join(shapes.overlay(roads, spine, key, line, area, shape, cell).select(key, "length", "touches"), key)
+    own = faults(measured, {("class", "unknown"): ~F.coalesce(F.col("class").isin(*classes), F.lit(False)), ("type", "unknown"): ~F.coalesce(F.col("type").isin(*types), F.lit(False)), ("line", "no length"): F.col("length") == 0, ("bounds", "outside the box"): F.col("away"), ("spine", "touches no area"): ~F.col("touches")})
+    return union([own, key_fault(roads, key)])

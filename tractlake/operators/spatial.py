@@ -5,38 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tractlake.functions import geometry as G
+from tractlake.operators import shapes
 from tractlake.operators.keeping import cut
 
 
 def edges(polygons: DataFrame, key: str, ring: str) -> DataFrame:
     """key, seq, x1, y1, x2, y2 of every edge of a closed ring."""
-    pairs = F.arrays_zip(F.slice(ring, 1, F.size(ring) - 1).alias("a"), F.slice(ring, 2, F.size(ring) - 1).alias("b"))
-    rows = polygons.select(key, F.posexplode(pairs).alias("seq", "e"))
-    return rows.select(key, "seq", F.col("e.a.x").alias("x1"), F.col("e.a.y").alias("y1"), F.col("e.b.x").alias("x2"), F.col("e.b.y").alias("y2"))
+    return shapes.shape_edges(polygons, key, ring).select(key, "seq", *shapes.ENDS)
 
 
 def bounds(polygons: DataFrame, key: str, ring: str) -> DataFrame:
-    """key, x0, y0, x1, y1 of each ring."""
-    x, y = F.transform(ring, lambda p: p["x"]), F.transform(ring, lambda p: p["y"])
+    """key, x0, y0, x1, y1 of each shape."""
+    points = F.flatten(F.flatten(shapes.as_parts(polygons, ring)))
+    x, y = F.transform(points, lambda p: p["x"]), F.transform(points, lambda p: p["y"])
     return polygons.select(key, F.array_min(x).alias("x0"), F.array_min(y).alias("y0"), F.array_max(x).alias("x1"), F.array_max(y).alias("y1"))
 
 
 def containing(points: DataFrame, polygons: DataFrame, point_key: str, key: str, ring: str, cell: float) -> DataFrame:
-    """(point_key, key) for each polygon that a point lies inside of; points on an edge are inside of nothing.
-
-    Polygons are dealt to all cells of their bounds, their edges to the rows of cells that they cross; a point meets the polygons of its own
-    cell, of each the edges of its own row only, and is inside if the number of edges east of it is odd.
-    """
-    spread = bounds(polygons, key, ring)
-    cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell)))
-    spread = spread.select(key, cells("x0", "x1").alias("cx"), "y0", "y1").select(key, "cx", cells("y0", "y1").alias("cy"))
-    dealt = points.select(point_key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.floor(F.col("x") / cell).alias("cx"), F.floor(F.col("y") / cell).alias("cy"))
-    row = F.explode(F.sequence(F.floor(F.least("y1", "y2") / cell), F.floor(F.greatest("y1", "y2") / cell)))
-    e = dealt.join(spread, ["cx", "cy"]).join(edges(polygons, key, ring).withColumn("cy", row), [key, "cy"])
-    c = [F.col(n) for n in ("x", "y", "x1", "y1", "x2", "y2")]
-    tested = e.groupBy(point_key, key).agg(F.sum(G.crosses_ray(*c).cast("int")).alias("n"), F.max(G.on_edge(*c)).alias("edge"))
-    return tested.where((F.col("n") % 2 == 1) & ~F.col("edge")).select(point_key, key)
+    """(point_key, key) for each area of any shape that a point lies inside of; points on a border or in a hole are inside of nothing."""
+    return shapes.located(points, polygons, point_key, key, ring, cell).where("inside").select(point_key, key)
 
 
 def assign_area(points: DataFrame, polygons: DataFrame, point_key: str, key: str, ring: str, cell: float) -> DataFrame:
@@ -86,25 +73,16 @@ def within(points: DataFrame, targets: DataFrame, point_key: str, target_key: st
     return met.withColumn("distance", F.hypot(F.col("px") - F.col("x"), F.col("py") - F.col("y"))).where(F.col("distance") <= radius).select(point_key, target_key, "distance")
 
 
-def self_crossings(polygons: DataFrame, key: str, ring: str, cell: float = 1000.0) -> DataFrame:
-    """key and number of proper crossings of a ring's own edges; edges meet those of their ring that share a cell with them."""
-    span = lambda p, q: F.explode(F.sequence(F.floor(F.least(p, q) / cell), F.floor(F.greatest(p, q) / cell)))
-    a = edges(polygons, key, ring).withColumn("cx", span("x1", "x2")).withColumn("cy", span("y1", "y2"))
-    b = a.select(key, "cx", "cy", *[F.col(c).alias(f"{c}_") for c in ("seq", "x1", "y1", "x2", "y2")])
-    both = a.join(b, [key, "cx", "cy"]).where("seq < seq_")
-    c = {n: F.col(n) for n in both.columns}
-    apart = lambda p, q, r, s: G.side(c[f"x1{p}"], c[f"y1{p}"], c[f"x2{p}"], c[f"y2{p}"], c[q], c[r]) * G.side(c[f"x1{p}"], c[f"y1{p}"], c[f"x2{p}"], c[f"y2{p}"], c[s[0]], c[s[1]]) < 0
-    crossed = apart("", "x1_", "y1_", ("x2_", "y2_")) & apart("_", "x1", "y1", ("x2", "y2"))
-    found = both.where(crossed).select(key, "seq", "seq_").distinct().groupBy(key).agg(F.count("*").alias("n"))
+def self_crossings(polygons: DataFrame, key: str, ring: str) -> DataFrame:
+    """key and number of proper crossings of a shape's own edges."""
+    edge = shapes.own_cells(shapes.shape_edges(polygons, key, ring), key)
+    found = shapes.meetings(edge, [key], shapes.ID, F.col("cell")).where("kind = 'cross'").groupBy(key).agg(F.count("*").alias("n"))
     return polygons.select(key).distinct().join(found, key, "left").select(key, F.coalesce("n", F.lit(0)).alias("crossings"))
 
 
-def outer_edges(polygons: DataFrame, key: str, ring: str) -> DataFrame:
-    """Edges that belong to one polygon of a coverage only: the outline of their union."""
-    e = edges(polygons, key, ring)
-    first = F.struct("x1", "y1") <= F.struct("x2", "y2")
-    low, high = F.when(first, F.struct("x1", "y1")).otherwise(F.struct(F.col("x2").alias("x1"), F.col("y2").alias("y1"))), F.when(first, F.struct("x2", "y2")).otherwise(F.struct(F.col("x1").alias("x2"), F.col("y1").alias("y2")))
-    return e.select(low.alias("a"), high.alias("b")).groupBy("a", "b").agg(F.count("*").alias("n")).where("n = 1").select(F.col("a.x1").alias("x1"), F.col("a.y1").alias("y1"), F.col("b.x2").alias("x2"), F.col("b.y2").alias("y2"))
+def outer_edges(polygons: DataFrame, key: str, ring: str, cell: float) -> DataFrame:
+    """The pieces of the outline of a union of areas."""
+    return shapes.outline(polygons, key, ring, cell)
 
 
 def _value_counts(df: DataFrame, value: str) -> DataFrame:
@@ -155,35 +133,11 @@ def average_rank(df: DataFrame, value: str, name: str) -> DataFrame:
 
 
 def outside_lengths(lines: DataFrame, polygons: DataFrame, line_key: str, key: str, ring: str, cell: float) -> DataFrame:
-    """line_key, length, length outside of all polygons and touches, of straight lines(line_key, x1, y1, x2, y2).
+    """line_key, length, length outside of all polygons and touches, of straight lines(line_key, x1, y1, x2, y2)."""
+    point = lambda k: F.struct(F.col(f"x{k}").cast("double").alias("x"), F.col(f"y{k}").cast("double").alias("y"))
+    return shapes.overlay(lines.select(line_key, F.array(point(1), point(2)).alias("line")), polygons, line_key, "line", key, ring, cell)
 
-    A line is cut where it crosses polygon edges that share a cell with it; the middle of each part tells whether the part lies inside.
-    """
-    span = lambda a, b: F.explode(F.sequence(F.floor(F.least(a, b) / cell), F.floor(F.greatest(a, b) / cell)))
-    own = lines.select(line_key, *[F.col(c).cast("double").alias(c) for c in ("x1", "y1", "x2", "y2")])
-    dealt = own.withColumn("cx", span("x1", "x2")).withColumn("cy", span("y1", "y2"))
-    e = edges(polygons, key, ring).select(*[F.col(c).alias(f"e{c}") for c in ("x1", "y1", "x2", "y2")]).withColumn("cx", span("ex1", "ex2")).withColumn("cy", span("ey1", "ey2"))
-    dx, dy, ex, ey = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("ex2") - F.col("ex1"), F.col("ey2") - F.col("ey1")
-    turn = dx * ey - dy * ex
-    t = ((F.col("ex1") - F.col("x1")) * ey - (F.col("ey1") - F.col("y1")) * ex) / turn
-    u = ((F.col("ex1") - F.col("x1")) * dy - (F.col("ey1") - F.col("y1")) * dx) / turn
-    cuts = dealt.join(e, ["cx", "cy"]).where((turn != 0) & t.between(0, 1) & u.between(0, 1)).groupBy(line_key).agg(F.collect_set(t).alias("cuts"))
-    at = F.array_sort(F.array_distinct(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.coalesce("cuts", F.array().cast("array<double>")))))
-    parts = own.join(cuts, line_key, "left").withColumn("at", at).withColumn("k", F.explode(F.sequence(F.lit(0), F.size("at") - 2)))
-    low, high = F.get("at", F.col("k")), F.get("at", F.col("k") + 1)
-    parts = parts.withColumn("part", F.concat_ws("-", F.col(line_key).cast("string"), F.col("k").cast("string"))).withColumn("share", high - low)
-    parts = parts.withColumn("x", F.col("x1") + dx * (low + high) / 2).withColumn("y", F.col("y1") + dy * (low + high) / 2)
-    inside = containing(parts.select("part", "x", "y"), polygons, "part", key, ring, cell).select("part").distinct().withColumn("in", F.lit(True))
-    length = F.hypot(dx, dy)
-    out = parts.join(inside, "part", "left").groupBy(line_key).agg(F.max(length).alias("length"), F.sum(F.when(F.col("in").isNull(), length * F.col("share")).otherwise(0.0)).alias("outside"), F.max(F.col("in").isNotNull() | F.col("cuts").isNotNull()).alias("touches"))
-    return out
-
-
-def outer_rings(polygons: DataFrame, key: str, ring: str) -> DataFrame:
-    """ring_id and the number of edges and length of each closed outline of a coverage: outer edges that hang together, each ring named by its smallest corner."""
-    e = outer_edges(polygons, key, ring)
-    name = lambda x, y: F.concat_ws(" ", F.format_string("%020.6f", x), F.format_string("%020.6f", y))
-    links = e.select(name(F.col("x1").cast("double"), F.col("y1").cast("double")).alias("src"), name(F.col("x2").cast("double"), F.col("y2").cast("double")).alias("dst"), F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1")).alias("length"))
-    from tractlake.operators.network import component_labels
-
-    return links.join(component_labels(links), links["src"] == F.col("node")).groupBy(F.col("label").alias("ring_id")).agg(F.count("*").alias("edges"), F.sum("length").alias("length"))
+
+def outer_rings(polygons: DataFrame, key: str, ring: str, cell: float) -> DataFrame:
+    """ring_id, hole, edges, length, area and ring of each closed outline of a union of areas."""
+    return shapes.dissolve(polygons, key, ring, cell)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
+from tractlake.functions import geometry as G
 from tractlake.operators import catalog, hours, joins, layers, lineage, network, publishing, runs, spatial
 from tractlake.operators import matrix as matrices
 from tractlake.operators.keeping import shared_folder
@@ -187,7 +188,7 @@ def _(spark, d):
     areas, k = cells(spark, d), F.col("cell_id") % 7
     x = F.when(k == 5, F.col("x0") - 1).otherwise((F.col("x0") + F.col("x1")) / 2)
     one = areas.where(k != 3).select("cell_id", x.alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
-    return layers.spine_faults(areas, one.unionByName(one.where(k == 4)), "cell_id", "[0-9]|1[0-9]", (1, 20), (0, 0, 22000, 28000))
+    return layers.spine_faults(_polygons(spark, d), one.unionByName(one.where(k == 4)), "cell_id", "ring", "[0-9]|1[0-9]", (1, 20), (0, 0, 22000, 28000), CELL)
 
 
 _POINTS = with_sql("sites") + ", p AS (SELECT site_id, x, y, s_nationkey AS area FROM sites JOIN supplier ON site_id = s_suppkey) "
@@ -205,17 +206,21 @@ def _(spark, d):
     return layers.point_faults(p, areas, "id", "src", "area", {"Super": ("large", True), "Small": ("little", False)}, "kind", "grp", "flag", (0, 0, 26000, 27000))
 
 
-_ROADS = "r AS (SELECT p_partkey AS id, p_type AS class, 'T' || (p_size % 3) AS type, p_partkey * 37 % 27000 AS x1, p_partkey * 91 % 28000 AS y1, p_partkey * 37 % 27000 + p_size % 7 * 300 AS x2, p_partkey * 91 % 28000 + p_size % 4 * 300 AS y2 FROM part), g AS (SELECT DISTINCT c_custkey * 7919 % 27000 // 3000 AS cx, c_custkey * 104729 % 28000 // 3000 AS cy FROM customer WHERE c_custkey % 4 = 0), c AS (SELECT id, unnest(range(x1 // 3000, x2 // 3000 + 1)) AS cx, y1, y2 FROM r), e AS (SELECT id, cx, unnest(range(y1 // 3000, y2 // 3000 + 1)) AS cy FROM c)"
-_ROAD_FAULTS = [("class", "unknown", "class NOT IN ('PROMO', 'SMALL')"), ("type", "unknown", "type = 'T0'"), ("line", "no length", "x1 = x2 AND y1 = y2"), ("bounds", "outside the box", "NOT (x1 <= 26000 AND x2 <= 26000 AND y1 <= 27000 AND y2 <= 27000)"), ("spine", "touches no area", "id NOT IN (SELECT id FROM e JOIN g ON e.cx = g.cx AND e.cy = g.cy)")]
+# A road meets a closed box if no lower limit of its parameter is above an upper one; limits are compared as whole numbers.
+_ROADS = "r AS (SELECT p_partkey AS id, p_type AS class, 'T' || (p_size % 3) AS type, p_partkey * 37 % 27000 AS x1, p_partkey * 91 % 28000 AS y1, p_size % 7 * 300 AS dx, p_size % 4 * 300 AS dy FROM part), g AS (SELECT DISTINCT c_custkey * 7919 % 27000 // 3000 * 3000 AS x, c_custkey * 104729 % 28000 // 3000 * 3000 AS y FROM customer WHERE c_custkey % 4 = 0), b AS (SELECT x - x1 AS xl, x + 3000 - x1 AS xh, y - y1 AS yl, y + 3000 - y1 AS yh, dx, dy, id FROM r, g), m AS (SELECT DISTINCT id FROM b WHERE xl <= dx AND yl <= dy AND xh >= 0 AND yh >= 0 AND xl * dy <= yh * dx AND yl * dx <= xh * dy)"
+_ROAD_FAULTS = [("class", "unknown", "class NOT IN ('PROMO', 'SMALL')"), ("type", "unknown", "type = 'T0'"), ("line", "no length", "dx = 0 AND dy = 0"), ("bounds", "outside the box", "NOT (x1 + dx <= 26000 AND y1 + dy <= 27000)"), ("spine", "touches no area", "id NOT IN (SELECT id FROM m)")]
 
 
 @query("q9_road_faults", f"WITH {_ROADS} " + " UNION ALL ".join(f"SELECT '{c}' AS \"check\", '{n}' AS detail, count(*) AS count FROM r WHERE {w} HAVING count(*) > 0" for c, n, w in _ROAD_FAULTS))
 def _(spark, d):
     k, s = F.col("p_partkey"), F.col("p_size")
     x, y = k * 37 % 27000, k * 91 % 28000
-    roads = read(spark, d, "part").select(k.alias("id"), F.col("p_type").alias("class"), F.concat(F.lit("T"), (s % 3).cast("string")).alias("type"), x.alias("x1"), y.alias("y1"), (x + s % 7 * 300).alias("x2"), (y + s % 4 * 300).alias("y2"))
-    spine = origins(spark, d).where("origin_id % 4 = 0").select(F.floor(F.col("x") / 3000).alias("cx"), F.floor(F.col("y") / 3000).alias("cy")).distinct()
-    return layers.road_faults(roads, "id", ("PROMO", "SMALL"), ("T1", "T2"), (0, 0, 26000, 27000), spine, 3000.0)
+    p = lambda x, y: F.struct(x.cast("double").alias("x"), y.cast("double").alias("y"))
+    roads = read(spark, d, "part").select(k.alias("id"), F.col("p_type").alias("class"), F.concat(F.lit("T"), (s % 3).cast("string")).alias("type"), F.array(p(x, y), p(x + s % 7 * 300, y + s % 4 * 300)).alias("line"))
+    corner = lambda c: F.floor(F.col(c) / 3000) * 3000
+    spine = origins(spark, d).where("origin_id % 4 = 0").select(corner("x").alias("x"), corner("y").alias("y")).distinct()
+    spine = spine.select(F.concat_ws(" ", "x", "y").alias("area"), G.box_ring(F.col("x"), F.col("y"), F.col("x") + 3000, F.col("y") + 3000).alias("ring"))
+    return layers.road_faults(roads, "id", "line", ("PROMO", "SMALL"), ("T1", "T2"), (0, 0, 26000, 27000), spine, "area", "ring", 1500.0)
 
 
 # --- hours
@@ -562,7 +567,7 @@ def _(spark, d):
 
 @query("g11_outer_rings", "SELECT 1 AS rings, 20 AS edges, CAST(2 * 27000 + 2 * 28000 AS DOUBLE) AS length FROM nation HAVING count(*) = 25")
 def _(spark, d):
-    return spatial.outer_rings(_polygons(spark, d), "cell_id", "ring").agg(F.count("*").alias("rings"), F.sum("edges").alias("edges"), F.sum("length").alias("length"))
+    return spatial.outer_rings(_polygons(spark, d), "cell_id", "ring", CELL).agg(F.count("*").alias("rings"), F.sum("edges").alias("edges"), F.sum("length").alias("length"))
 
 
 # --- sensitivity, coverage, audits

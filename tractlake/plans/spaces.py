@@ -108,7 +108,7 @@ def _(spark, d):
 
 @query("g11_dissolve", "SELECT CAST(20 AS BIGINT) AS outer_edges, CAST(2 * (5 * 5400 + 5 * 5600) AS DOUBLE) AS metres")
 def _(spark, d):
-    e = spatial.outer_edges(_polygons(spark, d), "cell_id", "ring")
+    e = spatial.outer_edges(_polygons(spark, d), "cell_id", "ring", CELL)
     return e.agg(F.count("*").alias("outer_edges"), F.sum(F.hypot(F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"))).alias("metres"))
 
 

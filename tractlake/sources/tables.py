@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
+from tractlake.functions import geometry as G
+from tractlake.operators import shapes
 
 POINT_SCHEMA = "type string, features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: array<double>>>>"
 SAMPLES = "utc string, elapsed_s double, rss_bytes bigint"
@@ -87,13 +89,44 @@ def read_feed(spark: SparkSession, folder: str, required: dict[str, list[str]])
 
 
 def geojson_shapes(spark: SparkSession, path: str) -> DataFrame:
-    """properties, type and paths (arrays of x, y points) of the line and polygon features of newline-delimited GeoJSON."""
-    schema = "properties map<string, string>, geometry struct<type: string, coordinates: string>"
-    f = spark.read.schema(schema).json(path).select("properties", "geometry.*")
-    line, polygon = F.from_json("coordinates", "array<array<double>>"), F.from_json("coordinates", "array<array<array<double>>>")
+    """id, properties, type, paths and parts of the line and area features of newline-delimited GeoJSON.
+
+    paths are arrays of points: of the lines of a LineString or MultiLineString, and of the rings of a Polygon; parts are the polygons of a
+    Polygon or MultiPolygon. Other features, and features without geometry, have neither.
+    """
+    schema = "id string, properties map<string, string>, geometry struct<type: string, coordinates: string>"
+    f = spark.read.schema(schema).json(path).select("id", "properties", "geometry.*")
+    line, lines, areas = (F.from_json("coordinates", "array<" * n + "double" + ">" * n) for n in (2, 3, 4))
     points = lambda path: F.transform(path, lambda p: F.struct(F.get(p, F.lit(0)).alias("x"), F.get(p, F.lit(1)).alias("y")))
-    paths = F.when(F.col("type") == "LineString", F.array(points(line))).when(F.col("type") == "Polygon", F.transform(polygon, points))
-    return f.select("properties", "type", paths.alias("paths"))
+    kind = F.col("type")
+    paths = F.when(kind == "LineString", F.array(points(line))).when(kind.isin("Polygon", "MultiLineString"), F.transform(lines, points))
+    parts = F.when(kind == "Polygon", F.array(F.transform(lines, points))).when(kind == "MultiPolygon", F.transform(areas, lambda a: F.transform(a, points)))
+    return f.select("id", "properties", "type", paths.alias("paths"), parts.alias("parts"))
+
+
+def shape_lines(df: DataFrame, key: str, shape: str, area: bool, decimals: int = 6, members: dict[str, str] | None = None) -> DataFrame:
+    """One GeoJSON feature a row as text: lines (of one or two levels) or areas (of one to three), in Multi types where there are several parts.
+
+    Coordinates are rounded, shells go left about and holes right about, all other columns become sorted properties with their nulls, and
+    members (such as a license label) stand at the top of every feature. A null shape gives a null geometry.
+    """
+    at = lambda c: F.rint(c.cast("double") * 10**decimals) / 10**decimals
+    path = lambda points: F.transform(points, lambda p: F.array(at(p["x"]), at(p["y"])))
+    turn = lambda ring, i: F.when((G.signed_area(ring) < 0) == (i == 0), F.reverse(ring)).otherwise(ring)
+    if area:
+        parts = F.transform(shapes.as_parts(df, shape), lambda rings: F.transform(rings, lambda ring, i: path(turn(ring, i))))
+        one, many = "Polygon", "MultiPolygon"
+    else:
+        parts = F.transform(F.array(F.col(shape)) if shapes.nesting(df, shape) == 1 else F.col(shape), path)
+        one, many = "LineString", "MultiLineString"
+    single = F.size("parts_") == 1
+    geometry = F.concat(F.lit('{"type":"'), F.when(single, one).otherwise(many), F.lit('","coordinates":'), F.when(single, F.to_json(F.get("parts_", F.lit(0)))).otherwise(F.to_json("parts_")), F.lit("}"))
+    whole = {"ignoreNullFields": "false"}
+    properties = F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns) if c != shape]), whole)
+    top = F.to_json(F.struct(*[F.lit(v).alias(k) for k, v in sorted((members or {}).items())], F.lit("Feature").alias("type")), whole)
+    id_ = F.regexp_extract(F.to_json(F.struct(F.col(key).alias("id")), whole), r"^\{(.*)\}$", 1)
+    text = F.concat(F.expr("left(top_, length(top_) - 1)"), F.lit(","), id_, F.lit(',"geometry":'), F.coalesce(F.when(F.col(shape).isNotNull(), geometry), F.lit("null")), F.lit(',"properties":'), properties, F.lit("}"))
+    return df.withColumn("parts_", parts).withColumn("top_", top).select(text.alias("value"))
 
 
 def read_roads(df: DataFrame, classes: tuple[str, ...], class_column: str, key: str) -> DataFrame:
