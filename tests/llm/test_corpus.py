@@ -61,6 +61,7 @@ def odd_texts() -> list[tuple[int | None, str | None]]:
         (20, "\u0085 \xa0 　 odd spaces"),
         (100, page[:400]),
         (21, page[200:700]),
+        (22, "a <|endoftext|> b<|startoftext|><|ENDOFTEXT|>\u212a <|endoftext|"),
     ]
     return rows
 
@@ -163,7 +164,6 @@ def test_line_removal_keeps_columns_and_empty_tables(odd, empty):
 @pytest.fixture(scope="module")
 def word_ids():
     t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    t.encode_special_tokens = True
     return {(d, x): np.asarray([*t.encode(x or "", add_special_tokens=False).ids, 0], "<u4") for d, x in odd_texts()}
 
 

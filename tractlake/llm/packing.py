@@ -85,6 +85,7 @@ class WordCoder:
         self.words = Tokenizer.from_file(file)
         self.words.encode_special_tokens = True
         self.words.normalizer = None
+        self.added = [t.content.lower() for t in self.words.get_added_tokens_decoder().values()]
         ends = [i for token, i in self.words.get_vocab().items() if token.endswith("</w>")]
         self.closes = np.zeros(max(self.words.get_vocab().values()) + 1, bool)
         self.closes[ends] = True
@@ -120,13 +121,14 @@ class WordCoder:
         """The ids of an odd text, by the tokenizer as it is; few workers ever need it."""
         if self.full is None:
             self.full = Tokenizer.from_file(self.file)
-            self.full.encode_special_tokens = True
         return np.asarray(self.full.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of each text, unsigned 32-bit."""
         odd = {i for i, x in enumerate(texts) if "Σ" in x}  # Python lower-cases it by its neighbours
         plain = ["" if i in odd else (x if x.isascii() else unicodedata.normalize("NFC", x)).lower() for i, x in enumerate(texts)]
+        for token in self.added:  # a marker in a text is the tokenizer's own token
+            odd.update(i for i, x in enumerate(plain) if token in x)
         text_ends = np.cumsum([len(x) + 1 for x in plain])
         joined = " ".join([*plain, ""])
         codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), "<u4")
