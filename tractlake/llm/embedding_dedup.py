@@ -252,8 +252,8 @@ def verified(pairs: DataFrame, vectors: DataFrame, linked: float) -> DataFrame:
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         for batch in batches:
-            if len(batch):
-                yield batch.loc[np.einsum("ij,ij->i", stack(batch["x"]), stack(batch["y"])) >= linked, ["a", "b"]]
+            for _, part in batch.groupby(batch["x"].map(len)):
+                yield part.loc[np.einsum("ij,ij->i", stack(part["x"]), stack(part["y"])) >= linked, ["a", "b"]]
 
     return pairs.join(x, "a").join(y, "b").select("a", "b", "x", "y").repartition("a", "b").mapInPandas(run, "a long, b long")
 

@@ -77,12 +77,12 @@ def rebuilt(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return convs.select("conv_id", "length"), own.unionByName(lent)
 
 
-def pieces_of(lengths: DataFrame, turns: DataFrame) -> DataFrame:
-    """conv_id, seg, piece (its id), ks and lens of every piece; the last one of a conversation is shorter than STRIDE, maybe empty."""
-    spot = F.struct((F.col("at") % STRIDE).alias("spot"), "k", "chars")
-    full = turns.groupBy("conv_id", F.floor(F.col("at") / STRIDE).alias("seg")).agg(F.array_sort(F.collect_list(spot)).alias("t"))  # STRIDE turns at most
+def pieces_of(lengths: DataFrame, turns: DataFrame, stride: int) -> DataFrame:
+    """conv_id, seg, piece (its id), ks and lens of every piece; the last one of a conversation is shorter than stride, maybe empty."""
+    spot = F.struct((F.col("at") % stride).alias("spot"), "k", "chars")
+    full = turns.groupBy("conv_id", F.floor(F.col("at") / stride).alias("seg")).agg(F.array_sort(F.collect_list(spot)).alias("t"))  # stride turns at most
     full = full.select("conv_id", "seg", F.col("t.k").alias("ks"), F.col("t.chars").alias("lens"))
-    empty = lengths.where(F.col("length") % STRIDE == 0).select("conv_id", F.floor(F.col("length") / STRIDE).alias("seg"), F.array().cast("array<string>").alias("ks"), F.array().cast("array<bigint>").alias("lens"))
+    empty = lengths.where(F.col("length") % stride == 0).select("conv_id", F.floor(F.col("length") / stride).alias("seg"), F.array().cast("array<string>").alias("ks"), F.array().cast("array<bigint>").alias("lens"))
     return full.unionByName(empty).withColumn("piece", F.md5(F.array_join("ks", "")))
 
 
@@ -95,13 +95,13 @@ def summed_before(rows: DataFrame, values: list[str]) -> DataFrame:
     return local.join(earlier, ["conv_id", "run"]).select("conv_id", "seg", *[(F.col(v) + F.col(f"{v}_before")).alias(v) for v in values])
 
 
-def sharded(pieces: DataFrame, lengths: DataFrame) -> DataFrame:
+def sharded(pieces: DataFrame, lengths: DataFrame, stride: int) -> DataFrame:
     """The pieces with shard (what all its pieces follow) and head_chars (of the turn just before)."""
     first = pieces.where("seg = 0").withColumn("shard", F.lit("0")).withColumn("head_chars", F.lit(0).cast("long"))
-    chain = pieces.join(lengths.where(F.col("length") >= STRIDE).select("conv_id"), "conv_id", "left_semi")
+    chain = pieces.join(lengths.where(F.col("length") >= stride).select("conv_id"), "conv_id", "left_semi")
     names = chain.select("conv_id", "seg", *[F.xxhash64(F.lit(salt), "seg", "piece").cast("decimal(38,0)").alias(f"s{salt}") for salt in (1, 2)])
     heads = summed_before(names, ["s1", "s2"]).where("seg > 0").select("conv_id", "seg", F.md5(F.concat_ws(" ", "seg", "s1", "s2")).alias("shard"))
-    lasts = chain.select("conv_id", (F.col("seg") + 1).alias("seg"), F.element_at("lens", -1).alias("head_chars"))
+    lasts = chain.select("conv_id", (F.col("seg") + 1).alias("seg"), F.try_element_at("lens", F.lit(-1)).alias("head_chars"))
     later = chain.where("seg > 0").join(heads, ["conv_id", "seg"]).join(lasts.where("head_chars is not null"), ["conv_id", "seg"])
     return first.unionByName(later)
 
@@ -180,18 +180,18 @@ class Open:
         self.n += n
         self.least = least if self.least is None else min(self.least, least)
 
-    def close(self, seg: int) -> tuple:
+    def close(self, seg: int, stride: int) -> tuple:
         """Its row but for the parent; those below it get theirs."""
-        if self.depth < STRIDE:  # a node at STRIDE is the head of a later shard, which has its row
+        if self.depth < stride:  # a node at stride is the head of a later shard, which has its row
             self.leaves += not self.children
             self.saved += (self.n - 1) * self.chars
-        return (self.least, seg * STRIDE + self.depth, self.n, self.children, self.leaves, self.saved, self.ends, (self.n - 1) * self.chars, self.depth == STRIDE)
+        return (self.least, seg * stride + self.depth, self.n, self.children, self.leaves, self.saved, self.ends, (self.n - 1) * self.chars, self.depth == stride)
 
 
 SWEPT = "conv_id long, depth long, n_convs long, n_children long, n_leaves long, saved_tokens long, ends_sha256 string, own long, link boolean, parent_conv_id long, up string, level int, top boolean"
 
 
-def sweep(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+def sweep(batches: Iterable[pd.DataFrame], stride: int) -> Iterable[pd.DataFrame]:
     """The rows of all nodes of sorted containers; the topmost of each container is marked."""
     rows: list[tuple] = []
     stack: list[Open] = []
@@ -202,7 +202,7 @@ def sweep(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         while len(stack) > 1 and stack[-1].depth > down_to:
             node = stack.pop()
             parent = stack[-1]
-            row = node.close(seg)
+            row = node.close(seg, stride)
             rows.extend((*x, node.least, None, None, False) for x in node.below)
             parent.below.append(row)
             parent.count(node.n, node.least)
@@ -213,7 +213,7 @@ def sweep(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
     def finish() -> None:
         shut(level)
         node = stack.pop()
-        row = node.close(seg)
+        row = node.close(seg, stride)
         rows.extend((*x, node.least, None, None, False) for x in node.below)
         rows.append((*row, up_conv, up, level, True))
 
@@ -236,7 +236,7 @@ def sweep(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
                 stack.append(Open(d + 1, int(lens[d])))
             node = stack[-1]
             node.count(n, least)
-            if len(ks) == STRIDE:
+            if len(ks) == stride:
                 node.leaves += leaves
                 node.saved += saved
             else:
@@ -249,43 +249,43 @@ def sweep(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=[x.split()[0] for x in SWEPT.split(", ")]).astype({"parent_conv_id": "Int64", "level": "Int32"})
 
 
-def nodes_of(pieces: DataFrame, ends: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+def nodes_of(pieces: DataFrame, ends: DataFrame, most: int, stride: int) -> tuple[DataFrame, DataFrame]:
     """The nodes (NODE and own, what each node itself saves) of the shards of pieces, and links(conv_id, depth, parent_conv_id) to the heads of later shards."""
     boxes, heads = burst(suffixes(pieces).join(ends, ["shard", "piece"], "left"), most)
-    swept = cut(boxes.repartition("box").sortWithinPartitions("box", "ks").mapInPandas(sweep, SWEPT))
+    swept = cut(boxes.repartition("box").sortWithinPartitions("box", "ks").mapInPandas(lambda batches: sweep(batches, stride), SWEPT))
     nodes = swept.where("not link").select(*NODE, "own")
     under = swept.where("top and up is not null").select("up", "level", "n_leaves", "saved_tokens")
     for level in reversed(range(len(heads))):
         sums = under.where(F.col("level") == level + 1).groupBy(F.col("up").alias("box")).agg(F.count("*").alias("n_children"), F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("below"))
         own = (F.col("n") - 1) * F.col("chars")
         done = heads[level].join(sums, "box").withColumn("own", own).withColumn("saved_tokens", F.col("below") + own)
-        done = cut(done.select(F.col("least").alias("conv_id"), (F.col("seg") * STRIDE + level).alias("depth"), F.col("up_conv").alias("parent_conv_id"), F.col("n").alias("n_convs"), "n_children", "n_leaves", "saved_tokens", "ends_sha256", "own", "up", F.lit(level).alias("level")))
+        done = cut(done.select(F.col("least").alias("conv_id"), (F.col("seg") * stride + level).alias("depth"), F.col("up_conv").alias("parent_conv_id"), F.col("n").alias("n_convs"), "n_children", "n_leaves", "saved_tokens", "ends_sha256", "own", "up", F.lit(level).alias("level")))
         nodes = nodes.unionByName(done.select(*NODE, "own"))
         under = under.unionByName(done.where("up is not null").select("up", "level", "n_leaves", "saved_tokens"))
     return nodes, swept.where("link").select("conv_id", "depth", "parent_conv_id")
 
 
-def trie(lengths: DataFrame, turns: DataFrame, most: int = MOST) -> DataFrame:
+def trie(lengths: DataFrame, turns: DataFrame, most: int = MOST, stride: int = STRIDE) -> DataFrame:
     """One row for each distinct beginning of the conversations (conv_id, length) with turns (conv_id, at, k, chars): NODE."""
-    pieces = cut(pieces_of(lengths, turns))
+    pieces = cut(pieces_of(lengths, turns, stride))
     longer = not pieces.where("seg > 0").isEmpty()
-    pieces = cut(sharded(pieces, lengths)) if longer else pieces.withColumn("shard", F.lit("0")).withColumn("head_chars", F.lit(0).cast("long"))
+    pieces = cut(sharded(pieces, lengths, stride)) if longer else pieces.withColumn("shard", F.lit("0")).withColumn("head_chars", F.lit(0).cast("long"))
     pieces = pieces.withColumn("tail_leaves", F.lit(0).cast("long")).withColumn("tail_saved", F.lit(0).cast("long"))
-    ends = digests(pieces.where(F.size("ks") < STRIDE).select("shard", "piece", "conv_id"))
+    ends = digests(pieces.where(F.size("ks") < stride).select("shard", "piece", "conv_id"))
     if longer:
         ends = cut(ends)
-        later, _ = nodes_of(pieces.where("seg > 0"), ends, most)
-        worth = later.groupBy("conv_id", F.floor(F.col("depth") / STRIDE).alias("seg")).agg(F.sum("own").alias("saved"), F.count_if(F.col("n_children") == 0).alias("leaves"))
-        chain = pieces.join(lengths.where(F.col("length") >= STRIDE).select("conv_id"), "conv_id", "left_semi").select("conv_id", "seg")
+        later, _ = nodes_of(pieces.where("seg > 0"), ends, most, stride)
+        worth = later.groupBy("conv_id", F.floor(F.col("depth") / stride).alias("seg")).agg(F.sum("own").alias("saved"), F.count_if(F.col("n_children") == 0).alias("leaves"))
+        chain = pieces.join(lengths.where(F.col("length") >= stride).select("conv_id"), "conv_id", "left_semi").select("conv_id", "seg")
         worth = cut(chain.join(worth, ["conv_id", "seg"], "left").na.fill(0, ["saved", "leaves"]))
         total = worth.groupBy("conv_id").agg(F.sum("saved").alias("all_saved"), F.sum("leaves").alias("all_leaves"))
         so_far = summed_before(worth, ["saved", "leaves"]).withColumnsRenamed({"saved": "was_saved", "leaves": "were_leaves"})
         tails = worth.join(so_far, ["conv_id", "seg"]).join(total, "conv_id").select("conv_id", "seg", (F.col("all_saved") - F.col("was_saved") - F.col("saved")).alias("s"), (F.col("all_leaves") - F.col("were_leaves") - F.col("leaves")).alias("l"))
         pieces = pieces.join(tails, ["conv_id", "seg"], "left").withColumn("tail_saved", F.coalesce("s", F.lit(0))).withColumn("tail_leaves", F.coalesce("l", F.lit(0))).drop("s", "l")
-    nodes, links = nodes_of(pieces, ends, most)
+    nodes, links = nodes_of(pieces, ends, most, stride)
     nodes = nodes.drop("own")
     if longer:
-        head = (F.col("depth") % STRIDE == 0) & (F.col("depth") > 0)
+        head = (F.col("depth") % stride == 0) & (F.col("depth") > 0)
         nodes = nodes.where(~head).unionByName(nodes.where(head).drop("parent_conv_id").join(links, ["conv_id", "depth"], "left"))
     return nodes.select(*[F.coalesce(c, F.lit(NOBODY)).alias(c) if c == "ends_sha256" else F.col(c) for c in NODE])
 
