@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tractlake.operators.keeping import cut
+
 
 def staleness(stages: DataFrame, recorded: DataFrame, current: DataFrame, outputs: DataFrame) -> DataFrame:
     """stage, status and the reasons, of stages(stage, params): recorded(stage, params, inputs map, outputs map) against current(stage, inputs map) and
@@ -38,3 +40,36 @@ def snapshot_report(listed: DataFrame, present: DataFrame) -> DataFrame:
     shape = r"^[a-z][a-z0-9_]*/\d{4}-\d{2}-\d{2}(-[1-9]\d*)?/[^/].*$"
     problem = F.when(F.col("there").isNull(), "missing").when(~F.col("path").rlike(shape), "layout").when(F.col("named").isNull(), "extra").when(F.col("wanted") != F.col("found"), "digest")
     return both.select("path", problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def closure(edges: DataFrame) -> DataFrame:
+    """(child, ancestor) of every path along edges(child, parent), each once.
+
+    Each round joins the pairs that are new to all known ones on both sides, so paths double in length: a chain of n edges takes about log2(n)
+    rounds, and a cycle ends as any other path does, once it brings nothing new. Nodes of a cycle are their own ancestors.
+    """
+    known = new = cut(edges.select("child", F.col("parent").alias("ancestor")).where("child is not null and ancestor is not null").distinct())
+    while True:
+        on = lambda a, b: a.join(b.select(F.col("child").alias("ancestor"), F.col("ancestor").alias("far")), "ancestor").select("child", F.col("far").alias("ancestor"))
+        longer = on(new, known).unionByName(on(known, new)).distinct()
+        new = cut(longer.join(known, ["child", "ancestor"], "left_anti"))
+        if new.isEmpty():
+            return known
+        known = cut(known.unionByName(new))
+
+
+def raw_sources(edges: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(child, source) of each of wanted(child): its ancestors that come from nothing else."""
+    return closure(edges).join(wanted, "child", "left_semi").join(edges.select(F.col("child").alias("ancestor")), "ancestor", "left_anti").select("child", F.col("ancestor").alias("source"))
+
+
+def cycles(edges: DataFrame) -> DataFrame:
+    """The nodes that are their own ancestors."""
+    return closure(edges).where("child = ancestor").select("child")
+
+
+def next_free(taken: DataFrame, by: list[str], number: str) -> DataFrame:
+    """by and next: the smallest number from 0 on that no row of taken(by, number) has; the first gap, without an upper limit."""
+    used = taken.select(*by, F.col(number).cast("long").alias("n")).where("n >= 0").unionByName(taken.select(*by).distinct().withColumn("n", F.lit(-1).cast("long"))).distinct()
+    after = F.lead("n").over(Window.partitionBy(*by).orderBy("n"))
+    return used.withColumn("after", after).where("after is null or after > n + 1").groupBy(*by).agg((F.min("n") + 1).alias("next"))

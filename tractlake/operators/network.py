@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import heapq
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,25 +51,34 @@ def measured(ways: DataFrame, nodes: DataFrame) -> DataFrame:
     return two_way(one_way).groupBy("src", "dst").agg(F.min("length").alias("length"))
 
 
-def walk_times(edges: DataFrame, origins: DataFrame, sites: DataFrame, origin_snaps: DataFrame, site_snaps: DataFrame, speed: float, cap: float) -> DataFrame:
-    """origin_id, site_id, minutes of all pairs: snap, shortest path and snap again at a speed in metres a minute; null beyond the cap.
+def reached_times(edges: DataFrame, origin_snaps: DataFrame, site_snaps: DataFrame, speed: float, cap: float, homes: DataFrame | None = None) -> DataFrame:
+    """origin_id, site_id, minutes of the pairs within the cap: snap, shortest path and snap again at a speed in metres a minute.
 
-    Snaps are (id, node_id, distance). Paths are searched up to the radius of the cap only.
+    Snaps are (id, node_id, distance). Paths are searched up to the radius of the cap only; with homes(node, home), part by part.
     """
     starts = origin_snaps.select(F.col("node_id").alias("source"), F.col("node_id").alias("node")).distinct()
-    paths = shortest(edges, starts, speed * cap)
+    paths = shortest(edges, starts, speed * cap) if homes is None else shortest_by_parts(edges, starts, speed * cap, homes)
     a = origin_snaps.select("origin_id", F.col("node_id").alias("source"), F.col("distance").alias("before"))
     b = site_snaps.select("site_id", F.col("node_id").alias("node"), F.col("distance").alias("after"))
-    found = a.join(paths, "source").join(b, "node").select("origin_id", "site_id", ((F.col("before") + F.col("distance") + F.col("after")) / speed).alias("minutes")).where(F.col("minutes") <= cap)
+    minutes = (F.col("before") + F.col("distance") + F.col("after")) / speed
+    return paths.join(a, "source").join(b, "node").select("origin_id", "site_id", minutes.alias("minutes")).where(F.col("minutes") <= cap)
+
+
+def walk_times(edges: DataFrame, origins: DataFrame, sites: DataFrame, origin_snaps: DataFrame, site_snaps: DataFrame, speed: float, cap: float, homes: DataFrame | None = None) -> DataFrame:
+    """origin_id, site_id, minutes of all pairs, as reached_times has them; null beyond the cap."""
+    found = reached_times(edges, origin_snaps, site_snaps, speed, cap, homes)
     return origins.select("origin_id").crossJoin(sites.select("site_id")).join(found, ["origin_id", "site_id"], "left")  # the whole product is the result
 
 
 def graph_counts(edges: DataFrame, snaps: DataFrame) -> DataFrame:
-    """One row: nodes, edges (each once), metres, and the largest and the mean of the snap distances."""
+    """One row: nodes, edges (each once), metres, and the largest, the mean and the median of the snap distances."""
+    from tractlake.operators.spatial import quantiles  # which needs components for its outlines
+
     once = edges.where("src < dst")
     nodes = edges.select("src").distinct().agg(F.count("*").alias("nodes"))
     sums = once.agg(F.count("*").alias("edges"), F.coalesce(F.sum("length"), F.lit(0.0)).alias("metres"))
-    return nodes.join(sums).join(snaps.agg(F.max("distance").alias("snap_max"), F.avg("distance").alias("snap_mean")))  # one row each
+    middle = quantiles(snaps, "distance", [0.5]).select(F.col("q")[0].alias("snap_median"))
+    return nodes.join(sums).join(snaps.agg(F.max("distance").alias("snap_max"), F.avg("distance").alias("snap_mean"))).join(middle)  # one row each
 
 
 def component_labels(edges: DataFrame) -> DataFrame:
@@ -112,6 +123,61 @@ def shortest(edges: DataFrame, sources: DataFrame, radius: float, merge_every: i
             known = [cut(nearest(known))]
 
 
+def grown(seeds: pd.DataFrame, edges: pd.DataFrame, radius: float) -> list[tuple]:
+    """(source, node, distance) of the nodes of one part that each source reaches from its seeds(source, node, distance) along edges(src, dst, length)."""
+    ways: dict = {}
+    for a, b, length in zip(edges["src"], edges["dst"], edges["length"], strict=True):
+        ways.setdefault(a, []).append((b, length))
+    out = []
+    for source, own in seeds.groupby("source"):
+        heap, done = [(d, n) for n, d in zip(own["node"], own["distance"], strict=True)], {}
+        heapq.heapify(heap)
+        while heap:
+            d, n = heapq.heappop(heap)
+            if n not in done:
+                done[n] = d
+                for b, length in ways.get(n, ()):
+                    if b not in done and d + length <= radius:
+                        heapq.heappush(heap, (d + length, b))
+        out += [(source, n, d) for n, d in done.items()]
+    return out
+
+
+def shortest_by_parts(edges: DataFrame, sources: DataFrame, radius: float, homes: DataFrame, sources_a_task: int = 256) -> DataFrame:
+    """What `shortest` gives, in rounds over parts of the graph: homes(node, home) deals the nodes to parts of bounded size.
+
+    In a round each part that a source has entered at a smaller distance is searched to its borders, and what crosses a border enters the next part.
+    So rounds follow the number of borders on a shortest path, not the number of its edges. A task holds one part and the seeds
+    of sources_a_task sources or so; a part that more sources enter is searched in several tasks.
+    """
+    at = lambda end: homes.select(F.col("node").alias(end), F.col("home").alias(f"home_{end}"))
+    placed = cut(edges.join(at("src"), "src").join(at("dst"), "dst"))
+    inner = placed.where("home_src = home_dst").select(F.col("home_src").alias("home"), "src", "dst", "length")
+    across = placed.where("home_src <> home_dst").select("src", "dst", "length", F.col("home_dst").alias("home"))
+    kinds = dict(sources.dtypes)
+    schema = f"source {kinds['source']}, node {kinds['node']}, distance double"
+    nearest = lambda df: df.groupBy("source", "node").agg(F.min("distance").alias("distance"))
+    front, known = cut(sources.select("source", "node", F.lit(0.0).alias("distance")).join(homes, "node")), None
+
+    def run(_, seeds: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame(grown(seeds, part, radius), columns=["source", "node", "distance"])
+
+    while True:
+        load = cut(front.groupBy("home").agg(F.ceil(F.count_distinct("source") / sources_a_task).cast("int").alias("tasks")))
+        seeds = front.join(load, "home").withColumn("task", F.pmod(F.xxhash64("source"), F.col("tasks").cast("long")).cast("int"))
+        parts = inner.join(load, "home").withColumn("task", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)))
+        found = seeds.groupBy("home", "task").cogroup(parts.groupBy("home", "task")).applyInPandas(run, schema)
+        if known is not None:
+            found = found.join(known.withColumnRenamed("distance", "before"), ["source", "node"], "left").where("before is null or distance < before").drop("before")
+        found = cut(found)
+        known = cut(nearest(found if known is None else known.unionByName(found)))
+        entered = found.join(across, found["node"] == across["src"]).select("source", F.col("dst").alias("node"), (F.col("distance") + F.col("length")).alias("distance"), "home").where(F.col("distance") <= radius)
+        entered = entered.groupBy("source", "node", "home").agg(F.min("distance").alias("distance"))
+        front = cut(entered.join(known.withColumnRenamed("distance", "before"), ["source", "node"], "left").where("before is null or distance < before").drop("before"))
+        if front.isEmpty():
+            return known
+
+
 def way_complete_clip(nodes: DataFrame, ways: DataFrame, relations: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Ways that touch a node with inside, these with all their nodes and the inside ones, and relations whose members all stay."""
     refs = ways.select("way_id", F.explode("refs").alias("node_id"))

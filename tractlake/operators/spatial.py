@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tractlake.operators import shapes
+from tractlake.operators import shapes, tree
 from tractlake.operators.keeping import cut
 
 
@@ -32,35 +32,9 @@ def assign_area(points: DataFrame, polygons: DataFrame, point_key: str, key: str
     return points.join(found, point_key, "left")
 
 
-def nearest(points: DataFrame, targets: DataFrame, point_key: str, target_key: str, cell: float) -> DataFrame:
-    """point_key, target_key and distance of the nearest target, ties to the smaller key; exact.
-
-    A point meets the targets of its own and the eight cells around it, and is done if its best one is no farther than a
-    cell is wide. The others go on with cells four times as wide, until one cell is as wide as all points and targets together.
-    """
-    extent = None
-    for side in (points, targets):
-        e = side.agg(F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-        extent = e if extent is None else extent.unionByName(e)
-    e = extent.agg(F.max("x1") - F.min("x0"), F.max("y1") - F.min("y0")).first()
-    widest = max(float(e[0] or 0), float(e[1] or 0), cell)
-    around = F.explode(F.array(*[F.lit(k).cast("bigint") for k in (-1, 0, 1)]))
-    found, size = None, float(cell)
-    left = points.select(point_key, F.col("x").cast("double").alias("px"), F.col("y").cast("double").alias("py"))
-    while True:
-        near = left.select("*", F.floor(F.col("px") / size).alias("ax"), F.floor(F.col("py") / size).alias("ay")).withColumn("dx", around).withColumn("dy", around)
-        near = near.select(point_key, "px", "py", (F.col("ax") + F.col("dx")).alias("cx"), (F.col("ay") + F.col("dy")).alias("cy"))
-        dealt = targets.select(target_key, "x", "y", F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy"))
-        met = near.join(dealt, ["cx", "cy"]).withColumn("distance", F.hypot(F.col("px") - F.col("x"), F.col("py") - F.col("y")))
-        best = met.groupBy(point_key).agg(F.min(F.struct("distance", target_key)).alias("b")).select(point_key, f"b.{target_key}", "b.distance")
-        last = size >= widest
-        done = cut(best if last else best.where(F.col("distance") <= size))
-        found = done if found is None else found.unionByName(done)
-        if not last:
-            left = cut(left.join(done.select(point_key), point_key, "left_anti"))
-        if last or not left.limit(1).count():
-            return points.select(point_key).join(found, point_key, "left")
-        size *= 4
+def nearest(points: DataFrame, targets: DataFrame, point_key: str, target_key: str, most: float = tree.LEAF) -> DataFrame:
+    """point_key, target_key and distance of the nearest target, ties to the smaller key; exact, whatever the points' and targets' density; most: targets of a leaf."""
+    return tree.nearest(points, targets, point_key, target_key, most)
 
 
 def within(points: DataFrame, targets: DataFrame, point_key: str, target_key: str, radius: float) -> DataFrame:

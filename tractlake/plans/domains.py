@@ -8,7 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
-from tractlake.operators import catalog, contracts, network, spatial
+from tractlake.operators import catalog, contracts, lineage, network, spatial, tree
 from tractlake.operators.contracts import Contract, Field
 from tractlake.operators.keeping import shared_folder
 from tractlake.plans.base import Book
@@ -245,6 +245,12 @@ def grid(spark, d):
     return row.unionByName(down).join(there, "dst", "left_semi").select("src", "dst", "length")
 
 
+def homes(spark, d):
+    """The nodes of the grid in parts of at most 500."""
+    k = F.col("p_partkey")
+    return tree.even_parts(read(spark, d, "part").select(k.alias("node"), (k % 50).alias("x"), F.floor(k / 50).alias("y")), "node", 500)
+
+
 def _ways(spark, d):
     refs = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey"))), lambda x: x["l_partkey"])
     return read(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("way_id")).agg(refs.alias("refs"))
@@ -269,7 +275,7 @@ def _(spark, d):
 @query("n4_shortest_times", f"WITH RECURSIVE {GRID}, e AS (SELECT src, dst, length FROM g UNION ALL SELECT dst, src, length FROM g), r AS (SELECT p_partkey AS source, p_partkey AS node, CAST(0 AS DOUBLE) AS distance FROM part WHERE p_partkey % 100 = 0 UNION SELECT r.source, e.dst, r.distance + e.length FROM r JOIN e ON r.node = e.src WHERE r.distance + e.length <= 60) SELECT source, node, min(distance) AS distance FROM r GROUP BY 1, 2")
 def _(spark, d):
     sources = read(spark, d, "part").where("p_partkey % 100 = 0").select(F.col("p_partkey").alias("source"), F.col("p_partkey").alias("node"))
-    return network.shortest(network.two_way(grid(spark, d)), sources, 60.0)
+    return network.shortest_by_parts(network.two_way(grid(spark, d)), sources, 60.0, homes(spark, d))
 
 
 @query("n5_graph_counts", f"WITH {GRID}, e AS (SELECT src FROM g UNION SELECT dst FROM g) SELECT (SELECT count(*) FROM e) AS nodes, count(*) AS edges, CAST(sum(length) AS BIGINT) AS metres FROM g")
@@ -307,8 +313,8 @@ def _(spark, d):
     n, r = read(spark, d, "nation"), read(spark, d, "region")
     edges = n.select(F.concat(F.lit("n"), "n_nationkey").alias("child"), F.concat(F.lit("r"), "n_regionkey").alias("parent"))
     edges = edges.unionByName(r.select(F.concat(F.lit("r"), "r_regionkey").alias("child"), F.lit("PLANET").alias("parent"))).unionByName(r.select(F.concat(F.lit("r"), "r_regionkey").alias("child"), F.col("r_name").alias("parent")))
-    closure = spark.sql("WITH RECURSIVE up AS (SELECT child AS root, parent FROM {edges} WHERE child LIKE 'n%' UNION ALL SELECT up.root, e.parent FROM up JOIN {edges} e ON up.parent = e.child) SELECT DISTINCT root, parent FROM up WHERE parent NOT RLIKE '^r[0-9]+$'", edges=edges)
-    return closure.select(F.substring("root", 2, 10).cast("int").alias("n_nationkey"), F.col("parent").alias("source"))
+    wanted = edges.where("child RLIKE '^n'").select("child").distinct()
+    return lineage.raw_sources(edges, wanted).select(F.substring("child", 2, 10).cast("int").alias("n_nationkey"), "source")
 
 
 STALE = f"WITH o AS ({OLD}), n AS ({NEW}) SELECT coalesce(o.c_custkey, n.c_custkey) AS k, CASE WHEN o.c_custkey IS NULL THEN 'incomplete' WHEN n.c_custkey IS NULL THEN 'missing' WHEN o.c_nationkey <> n.c_nationkey THEN 'stale' ELSE 'fresh' END AS status FROM o FULL JOIN n ON o.c_custkey = n.c_custkey"
@@ -330,11 +336,10 @@ def _(spark, d):
     return _staleness(spark, d).groupBy("status").agg(F.count("*").alias("n"))
 
 
-@query("l4_next_snapshot", "WITH t AS (SELECT DISTINCT l_suppkey AS s, l_linenumber AS n FROM lineitem WHERE l_suppkey % 2 = 0 OR l_linenumber <> 2) SELECT s AS source, min(c) AS next FROM (SELECT s, unnest(range(0, 9)) AS c FROM (SELECT DISTINCT s FROM t)) x WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.s = x.s AND t.n = x.c + 1) GROUP BY 1")
+@query("l4_next_snapshot", "WITH t AS (SELECT DISTINCT l_suppkey AS s, l_linenumber - 1 + 7 * (l_orderkey % 3) AS n FROM lineitem WHERE l_suppkey % 2 = 0 OR l_linenumber <> 2), c AS (SELECT s, n + 1 AS c FROM t UNION SELECT s, 0 FROM t) SELECT s AS source, CAST(min(c) AS BIGINT) AS next FROM c WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.s = c.s AND t.n = c.c) GROUP BY 1")
 def _(spark, d):
-    taken = read(spark, d, "lineitem").where("l_suppkey % 2 = 0 OR l_linenumber <> 2").select(F.col("l_suppkey").alias("source"), (F.col("l_linenumber") - 1).alias("next")).distinct()
-    free = taken.select("source").distinct().withColumn("next", F.explode(F.sequence(F.lit(0), F.lit(8)))).join(taken, ["source", "next"], "left_anti")
-    return free.groupBy("source").agg(F.min("next").cast("bigint").alias("next"))
+    taken = read(spark, d, "lineitem").where("l_suppkey % 2 = 0 OR l_linenumber <> 2").select(F.col("l_suppkey").alias("source"), (F.col("l_linenumber") - 1 + 7 * (F.col("l_orderkey") % 3)).alias("n"))
+    return lineage.next_free(taken, ["source"], "n")
 
 
 @query("l5_reusable_run", "SELECT o_custkey, max(o_orderkey) AS run FROM orders WHERE o_orderstatus IN ('F', 'O') AND o_orderpriority = '3-MEDIUM' GROUP BY 1")

@@ -6,11 +6,11 @@ from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
 from tractlake.functions import geometry as G
-from tractlake.operators import catalog, hours, joins, layers, lineage, network, publishing, runs, spatial
+from tractlake.operators import catalog, hours, joins, layers, lineage, network, publishing, runs, spatial, tree
 from tractlake.operators import matrix as matrices
 from tractlake.operators.keeping import shared_folder
 from tractlake.plans.base import Book
-from tractlake.plans.domains import GRID, _ways, grid, scratch
+from tractlake.plans.domains import GRID, _ways, grid, homes, scratch
 from tractlake.plans.relations import M, NEW, OLD, versions
 from tractlake.plans.spaces import CELL, _polygons
 from tractlake.plans.standins import cells, matrix, origins, read, sites, with_sql
@@ -295,10 +295,10 @@ def _(spark, d):
     return _street_edges(spark, d).select("src", "dst", F.round("length", 6).alias("length"))
 
 
-@query("n5_counts_and_snaps", f"WITH {_METRES}, e AS (SELECT a, b, min(m) AS m FROM q WHERE a < b GROUP BY 1, 2) SELECT (SELECT count(DISTINCT a) FROM q) AS nodes, count(*) AS edges, round(sum(m), 3) AS metres, (SELECT max(s_suppkey % 37) FROM supplier) AS snap_max, (SELECT round(avg(s_suppkey % 37), 6) FROM supplier) AS snap_mean FROM e")
+@query("n5_counts_and_snaps", f"WITH {_METRES}, e AS (SELECT a, b, min(m) AS m FROM q WHERE a < b GROUP BY 1, 2) SELECT (SELECT count(DISTINCT a) FROM q) AS nodes, count(*) AS edges, round(sum(m), 3) AS metres, (SELECT max(s_suppkey % 37) FROM supplier) AS snap_max, (SELECT round(avg(s_suppkey % 37), 6) FROM supplier) AS snap_mean, (SELECT median(s_suppkey % 37) FROM supplier) AS snap_median FROM e")
 def _(spark, d):
     snaps = read(spark, d, "supplier").select((F.col("s_suppkey") % 37).alias("distance"))
-    return network.graph_counts(_street_edges(spark, d), snaps).select("nodes", "edges", F.round("metres", 3).alias("metres"), "snap_max", F.round("snap_mean", 6).alias("snap_mean"))
+    return network.graph_counts(_street_edges(spark, d), snaps).select("nodes", "edges", F.round("metres", 3).alias("metres"), "snap_max", F.round("snap_mean", 6).alias("snap_mean"), "snap_median")
 
 
 @query("n4_times_with_snaps", f"WITH RECURSIVE {GRID}, e AS (SELECT src, dst, length FROM g UNION ALL SELECT dst, src, length FROM g), o AS (SELECT p_partkey AS origin_id FROM part WHERE p_partkey % 200 = 0), s AS (SELECT p_partkey AS site_id FROM part WHERE p_partkey % 50 = 3), r AS (SELECT origin_id, origin_id AS node, CAST(0 AS DOUBLE) AS distance FROM o UNION SELECT r.origin_id, e.dst, r.distance + e.length FROM r JOIN e ON r.node = e.src WHERE r.distance + e.length <= 60), t AS (SELECT origin_id, node, min(distance) AS m FROM r GROUP BY 1, 2) SELECT o.origin_id, s.site_id, CASE WHEN (o.origin_id % 7 + t.m + s.site_id % 5) / 10.0 <= 6 THEN round((o.origin_id % 7 + t.m + s.site_id % 5) / 10.0, 6) END AS minutes FROM o CROSS JOIN s LEFT JOIN t ON t.origin_id = o.origin_id AND t.node = s.site_id")
@@ -306,7 +306,7 @@ def _(spark, d):
     p = read(spark, d, "part")
     o, s = p.where("p_partkey % 200 = 0").select(F.col("p_partkey").alias("origin_id")), p.where("p_partkey % 50 = 3").select(F.col("p_partkey").alias("site_id"))
     a, b = o.select("origin_id", F.col("origin_id").alias("node_id"), (F.col("origin_id") % 7).alias("distance")), s.select("site_id", F.col("site_id").alias("node_id"), (F.col("site_id") % 5).alias("distance"))
-    return network.walk_times(network.two_way(grid(spark, d)), o, s, a, b, 10.0, 6.0).select("origin_id", "site_id", F.round("minutes", 6).alias("minutes"))
+    return network.walk_times(network.two_way(grid(spark, d)), o, s, a, b, 10.0, 6.0, homes(spark, d)).select("origin_id", "site_id", F.round("minutes", 6).alias("minutes"))
 
 
 # --- matrices
@@ -591,9 +591,9 @@ def _nearest_of(spark, d):
     """Metres to the nearest flagged site of the origins inside a cell, with the cell, and of the middle of each cell."""
     flagged, o = sites(spark, d).where("flagged"), origins(spark, d)
     mine = spatial.assign_area(o, _polygons(spark, d), "origin_id", "cell_id", "ring", CELL).where("cell_id IS NOT NULL").select("origin_id", "cell_id")
-    parts = spatial.nearest(o, flagged, "origin_id", "site_id", CELL).select("origin_id", F.col("distance").alias("m")).join(mine, "origin_id")
+    parts = spatial.nearest(o, flagged, "origin_id", "site_id").select("origin_id", F.col("distance").alias("m")).join(mine, "origin_id")
     middles = cells(spark, d).select("cell_id", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
-    return parts, spatial.nearest(middles, flagged, "cell_id", "site_id", CELL).select("cell_id", F.col("distance").alias("m"))
+    return parts, spatial.nearest(middles, flagged, "cell_id", "site_id").select("cell_id", F.col("distance").alias("m"))
 
 
 @query("m7_parts_against_areas", _AREAS + " SELECT p.cell_id, round(sum(p.m * (origin_id % 50 + 1)) / sum(origin_id % 50 + 1), 6) AS of_parts, round(any_value(a.own), 6) AS own, round(sum(p.m * (origin_id % 50 + 1)) / sum(origin_id % 50 + 1) - any_value(a.own), 6) AS difference FROM p JOIN a ON p.cell_id = a.cell_id GROUP BY 1")
@@ -635,6 +635,6 @@ def _(spark, d):
 @query("c14_reach_and_extents", with_sql("origins", "sites") + " SELECT (SELECT count(*) FROM origins o JOIN sites s ON (o.x - s.x) * (o.x - s.x) + (o.y - s.y) * (o.y - s.y) <= 9600 * 9600) AS reached, min(x) AS west, min(y) AS south, max(x) AS east, max(y) AS north FROM (SELECT x, y FROM origins UNION ALL SELECT x, y FROM sites)")
 def _(spark, d):
     o, s = origins(spark, d), sites(spark, d)
-    reached = spatial.within(o, s, "origin_id", "site_id", 9600.0).agg(F.count("*").alias("reached"))
+    reached = tree.counts_within(o, s, "origin_id", 9600.0).agg(F.sum("n").alias("reached"))
     extent = o.select("x", "y").unionByName(s.select("x", "y")).agg(F.min("x").alias("west"), F.min("y").alias("south"), F.max("x").alias("east"), F.max("y").alias("north"))
     return reached.join(extent)  # one row each

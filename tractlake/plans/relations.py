@@ -376,10 +376,3 @@ def _(spark, d):
     counts = old.agg(F.count("*").alias("a")).join(new.agg(F.count("*").alias("b")))
     missing = old.select("c_custkey").subtract(new.select("c_custkey")).agg(F.count("*").alias("missing"))
     return counts.join(missing).select((F.col("a") == F.col("b")).alias("same_count"), "missing")
-
-
-@query("u5_conflation", "SELECT count(*) AS records, count(DISTINCT (c_nationkey, name)) AS kept FROM (SELECT c_nationkey, lower(c_mktsegment) || c_custkey % 40 AS name FROM customer)")
-def _(spark, d):
-    rows = read(spark, d, "customer").select("c_custkey", "c_nationkey", F.concat(F.lower("c_mktsegment"), F.col("c_custkey") % 40).alias("name"))
-    kept = rows.groupBy("c_nationkey", "name").agg(F.min("c_custkey").alias("keep"), F.count("*").alias("n"))
-    return kept.agg(F.sum("n").alias("records"), F.count("*").alias("kept"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
 from tractlake.functions import geometry as G
-from tractlake.operators import spatial
+from tractlake.operators import spatial, tree
 from tractlake.plans.base import Book
 from tractlake.plans.standins import cells, origins, pairs, sites, with_sql
 
@@ -137,31 +137,31 @@ _NEAR = "SELECT o.origin_id, s.site_id, sqrt((o.x - s.x) * (o.x - s.x) + (o.y -
 @query("c7_nearest", with_sql("origins", "sites") + f" SELECT origin_id, round(m, 1) AS metres FROM ({_NEAR} WHERE s.flagged) WHERE r = 1")
 def _(spark, d):
     flagged = sites(spark, d).where("flagged")
-    return spatial.nearest(origins(spark, d), flagged, "origin_id", "site_id", CELL).select("origin_id", F.round("distance", 1).alias("metres"))
+    return spatial.nearest(origins(spark, d), flagged, "origin_id", "site_id").select("origin_id", F.round("distance", 1).alias("metres"))
 
 
 @query("c21_snap_to_node", with_sql("origins", "sites") + f" SELECT origin_id, site_id AS node_id, round(m, 3) AS metres FROM ({_NEAR}) WHERE r = 1")
 def _(spark, d):
-    return spatial.nearest(origins(spark, d), sites(spark, d), "origin_id", "site_id", CELL).select("origin_id", F.col("site_id").alias("node_id"), F.round("distance", 3).alias("metres"))
+    return spatial.nearest(origins(spark, d), sites(spark, d), "origin_id", "site_id").select("origin_id", F.col("site_id").alias("node_id"), F.round("distance", 3).alias("metres"))
 
 
 @query("c14_within_reach", with_sql("origins", "sites") + " SELECT count(*) AS reached, round(count(*) / ((SELECT count(*) FROM origins) * (SELECT count(*) FROM sites)), 6) AS share FROM origins o JOIN sites s ON (o.x - s.x) * (o.x - s.x) + (o.y - s.y) * (o.y - s.y) <= 9600 * 9600")
 def _(spark, d):
     o, s = origins(spark, d), sites(spark, d)
     all_pairs = o.agg(F.count("*").alias("n")).join(s.agg(F.count("*").alias("m")))  # one row each
-    return spatial.within(o, s, "origin_id", "site_id", 9600.0).agg(F.count("*").alias("reached")).join(all_pairs).select("reached", F.round(F.col("reached") / (F.col("n") * F.col("m")), 6).alias("share"))
+    return tree.counts_within(o, s, "origin_id", 9600.0).agg(F.sum("n").alias("reached")).join(all_pairs).select("reached", F.round(F.col("reached") / (F.col("n") * F.col("m")), 6).alias("share"))
 
 
 @query("c22_pair_selection", with_sql("origins", "sites") + f" SELECT origin_id, site_id FROM ({_NEAR}) WHERE r = 1 AND origin_id % 10 = 0")
 def _(spark, d):
     picked = origins(spark, d).where(F.col("origin_id") % 10 == 0)
-    return spatial.nearest(picked, sites(spark, d), "origin_id", "site_id", CELL).select("origin_id", "site_id")
+    return spatial.nearest(picked, sites(spark, d), "origin_id", "site_id").select("origin_id", "site_id")
 
 
 @query("m1_nearest_access", with_sql("origins", "sites") + f", n AS (SELECT origin_id, round(m, 1) AS estimate FROM ({_NEAR} WHERE s.flagged) WHERE r = 1), q AS (SELECT quantile_cont(estimate, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]) AS e FROM n) SELECT origin_id AS geoid, 'qa_nearest_m' AS metric_id, estimate, CAST(greatest(1, least(5, len(list_filter(list_transform(e, lambda x: round(x, 6)), lambda x: x < estimate)))) AS INTEGER) AS class FROM n, q")
 def nearest_access(spark, d):
     flagged = sites(spark, d).where("flagged")
-    near = spatial.nearest(origins(spark, d), flagged, "origin_id", "site_id", CELL).select(F.col("origin_id").alias("geoid"), F.round("distance", 1).alias("estimate"))
+    near = spatial.nearest(origins(spark, d), flagged, "origin_id", "site_id").select(F.col("origin_id").alias("geoid"), F.round("distance", 1).alias("estimate"))
     edges = spatial.quantiles(near, "estimate", [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]).select(F.array_distinct(F.transform("q", lambda x: F.round(x, 6))).alias("edges"))
     return near.join(F.broadcast(edges)).select("geoid", F.lit("qa_nearest_m").alias("metric_id"), "estimate", X.class_of("estimate", F.col("edges")).alias("class"))  # edges is one row
 

@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Iterable
+
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
 from tractlake.functions import geometry as G
 from tractlake.operators import shapes
+from tractlake.operators.keeping import cut
 
 POINT_SCHEMA = "type string, features array<struct<properties: map<string, string>, geometry: struct<type: string, coordinates: array<double>>>>"
 SAMPLES = "utc string, elapsed_s double, rss_bytes bigint"
@@ -35,6 +42,35 @@ def file_digests(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
+def read_ranges(rows: Iterable[pd.DataFrame], leaf: int) -> Iterable[pd.DataFrame]:
+    """(path, leaf, digest) of every leaf of the ranges (path, start, stop) of files, read one leaf at a time."""
+    for batch in rows:
+        out = []
+        for path, start, stop in zip(batch["path"], batch["start"], batch["stop"], strict=True):
+            store, name = fs.FileSystem.from_uri(re.sub(r"^file:/+", "file:///", path))
+            with store.open_input_file(name) as file:
+                out += [(path, at // leaf, hashlib.sha256(file.read_at(min(leaf, stop - at), at)).digest()) for at in range(start, stop, leaf)]
+        yield pd.DataFrame(out, columns=["path", "leaf", "digest"])
+
+
+def tree_digests(spark: SparkSession, path: str, leaf: int = 1 << 20, leaves_a_split: int = 64, fan: int = 1024) -> DataFrame:
+    """path, length and tree_sha256 of each file below a folder, of files of any size.
+
+    A file is dealt out as ranges of whole leaves of a fixed size; each leaf has a SHA-256, each `fan` digests in a row have one of their own, and so on up to
+    one for the file. So the digest doesn't depend on how many leaves a task reads, and no task holds more than a leaf or a row of digests. An empty file
+    has the digest of nothing. Files are listed by Spark and read through Arrow's file systems, so their store has to be one of those.
+    """
+    files = cut(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length"))
+    step = leaf * leaves_a_split
+    ranges = files.where("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / step))).alias("k"))
+    ranges = ranges.select("path", (F.col("k") * step).alias("start"), F.least((F.col("k") + 1) * step, "length").alias("stop")).repartition("path", "start")
+    level = cut(ranges.mapInPandas(lambda rows: read_ranges(rows, leaf), "path string, leaf long, digest binary"))
+    while not level.where("leaf > 0").isEmpty():
+        row = F.array_sort(F.collect_list(F.struct("leaf", F.hex("digest").alias("d"))))  # fan digests at most
+        level = cut(level.groupBy("path", F.floor(F.col("leaf") / fan).alias("up")).agg(row.alias("r")).select("path", F.col("up").alias("leaf"), F.unhex(F.sha2(F.unhex(F.array_join(F.transform("r", lambda x: x["d"]), "")), 256)).alias("digest")))
+    return files.join(level.select("path", F.lower(F.hex("digest")).alias("d")), "path", "left").select("path", "length", F.coalesce("d", F.sha2(F.lit(""), 256)).alias("tree_sha256"))
+
+
 def feature_lines(df: DataFrame, key: str, x: Column, y: Column, decimals: int = 6) -> DataFrame:
     """One GeoJSON feature a row as text, with the key as id, sorted properties and rounded coordinates."""
     at = lambda c: F.rint(c * 10**decimals) / 10**decimals
