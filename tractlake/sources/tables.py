@@ -57,18 +57,21 @@ def tree_digests(spark: SparkSession, path: str, leaf: int = 1 << 20, leaves_a_s
     """path, length and tree_sha256 of each file below a folder, of files of any size.
 
     A file is dealt out as ranges of whole leaves of a fixed size; each leaf has a SHA-256, each `fan` digests in a row have one of their own, and so on up to
-    one for the file. So the digest doesn't depend on how many leaves a task reads, and no task holds more than a leaf or a row of digests. An empty file
-    has the digest of nothing. Files are listed by Spark and read through Arrow's file systems, so their store has to be one of those.
+    one for the file. So the digest doesn't depend on how many leaves a task reads, and no task holds more than a leaf or a row of digests. Files are
+    listed by Spark, which passes over empty ones, and read through Arrow's file systems, so their store has to be one of those.
     """
     files = cut(spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length"))
     step = leaf * leaves_a_split
-    ranges = files.where("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / step))).alias("k"))
+    ranges = files.select("path", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("length") - 1) / step))).alias("k"))
     ranges = ranges.select("path", (F.col("k") * step).alias("start"), F.least((F.col("k") + 1) * step, "length").alias("stop")).repartition("path", "start")
-    level = cut(ranges.mapInPandas(lambda rows: read_ranges(rows, leaf), "path string, leaf long, digest binary"))
-    while not level.where("leaf > 0").isEmpty():
+    level = ranges.mapInPandas(lambda rows: read_ranges(rows, leaf), "path string, leaf long, digest binary")
+    level = cut(level.join(files.select("path", F.ceil(F.col("length") / leaf).alias("many")), "path"))
+    while not level.where("many > 1").isEmpty():
         row = F.array_sort(F.collect_list(F.struct("leaf", F.hex("digest").alias("d"))))  # fan digests at most
-        level = cut(level.groupBy("path", F.floor(F.col("leaf") / fan).alias("up")).agg(row.alias("r")).select("path", F.col("up").alias("leaf"), F.unhex(F.sha2(F.unhex(F.array_join(F.transform("r", lambda x: x["d"]), "")), 256)).alias("digest")))
-    return files.join(level.select("path", F.lower(F.hex("digest")).alias("d")), "path", "left").select("path", "length", F.coalesce("d", F.sha2(F.lit(""), 256)).alias("tree_sha256"))
+        up = level.groupBy("path", "many", F.floor(F.col("leaf") / fan).alias("up")).agg(row.alias("r"), F.first("digest").alias("own"))
+        one = F.unhex(F.sha2(F.unhex(F.array_join(F.transform("r", lambda x: x["d"]), "")), 256))
+        level = cut(up.select("path", F.col("up").alias("leaf"), F.when(F.col("many") > 1, one).otherwise(F.col("own")).alias("digest"), F.ceil(F.col("many") / fan).alias("many")))
+    return files.join(level.select("path", F.lower(F.hex("digest")).alias("tree_sha256")), "path")
 
 
 def feature_lines(df: DataFrame, key: str, x: Column, y: Column, decimals: int = 6) -> DataFrame:
