@@ -83,19 +83,36 @@ def test_components_and_shortest_paths(spark):
 
 def test_whole_matrix_has_all_pairs_and_the_nearest_sites(spark):
     from tractlake.plans import registry, standins
-    from tractlake.plans.base import RESIDUE
 
     data = "/root/testdata/sf0.001"
     o, s = standins.origins(spark, data).collect(), standins.sites(spark, data).collect()
     want = {(a["origin_id"], b["site_id"]): (abs(a["x"] - b["x"]) + abs(a["y"] - b["y"])) / 80 + 1 for a in o for b in s}
-    for name in ("c9_grid_completion_whole", "b26_proxy_times_whole", "g6_distance_whole"):
+    for name in ("c9_grid_completion", "b26_proxy_times", "g6_distance"):
         rows = registry.QUERIES[name](spark, data).select("origin_id", "site_id").collect()
         assert len(rows) == len(want) and {tuple(r) for r in rows} == set(want)
-    got = {(r["origin_id"], r["site_id"]): r["minutes"] for r in standins.matrix(spark, data, whole=True).collect()}
+    got = {(r["origin_id"], r["site_id"]): r["minutes"] for r in standins.matrix(spark, data).collect()}
     assert got.keys() == want.keys()
     finite = {k: v for k, v in got.items() if v is not None}
     for a in o:
         k = a["origin_id"]
         assert min(v for (i, _), v in finite.items() if i == k) == pytest.approx(min(v for (i, j), v in want.items() if i == k and (i + j) % 17))
-    whole = [n for n in registry.QUERIES if n.endswith("_whole")]
-    assert len(whole) == 20 and all("CROSS JOIN sites s" in registry.ORACLE[n] and not RESIDUE.search(registry.ORACLE[n]) for n in whole)
+    near = {(r["origin_id"], r["site_id"]): r["minutes"] for r in standins.sparse_matrix(spark, data).checked().pairs.collect()}
+    assert near == {k: v for k, v in finite.items() if v < standins.CAP}
+
+
+def test_sparse_matrices_refuse_and_count(spark):
+    from tractlake.operators.sparse import SparseMatrix
+
+    origins, sites = spark.createDataFrame([(1,), (2,), (3,)], "origin_id long"), spark.createDataFrame([(7, "a"), (8, "b")], "site_id long, kind string")
+    pairs = lambda rows: SparseMatrix(spark.createDataFrame(rows, "origin_id long, site_id long, minutes double"), origins, sites.select("site_id"), 120.0)
+    m = pairs([(1, 7, 10.0), (1, 8, 30.0), (2, 8, 50.0)]).checked()
+    assert tuple(m.completion().first()) == (6, 3, 3, 0.5)
+    assert [r["origin_id"] for r in m.stranded().collect()] == [3]
+    assert tuple(m.compared(pairs([(1, 7, 10.5), (3, 7, 119.0)]), [1.0, 5.0]).first()) == (6, 2, 90.0, 2, 0, 2)
+    assert {tuple(r) for r in m.nearest_by(sites, "kind", ["a", "b"]).collect()} == {(1, "a", 10.0), (1, "b", 30.0), (2, "a", 120.0), (2, "b", 50.0), (3, "a", 120.0), (3, "b", 120.0)}
+    assert {tuple(r) for r in m.reached([15.0, 60.0]).collect()} == {(1, 15.0, 1), (1, 60.0, 2), (2, 15.0, 0), (2, 60.0, 1), (3, 15.0, 0), (3, 60.0, 0)}
+    s = m.summary([0.0, 0.2, 0.5, 1.0]).first()
+    assert (s["n"], s["finite"], s["low"]) == (6, 3, 10.0) and s["q"] == pytest.approx([10.0, 30.0, 85.0, 120.0])
+    for rows, what in (([(1, 7, 1.0)] * 2, "repeated"), ([(9, 7, 1.0)], "unknown origin"), ([(1, 9, 1.0)], "unknown site"), ([(1, 7, 120.0)], "not below"), ([(1, 7, None)], "not below")):
+        with pytest.raises(ValueError, match=what):
+            pairs(rows).checked()

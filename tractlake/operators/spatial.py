@@ -69,11 +69,15 @@ def _value_counts(df: DataFrame, value: str) -> DataFrame:
     return ranged.withColumn("in", inside).join(before, "part").select("v", "n", (F.col("base") + F.col("in")).alias("before"))
 
 
-def quantiles(df: DataFrame, value: str, shares: list[float]) -> DataFrame:
-    """One row: q, the values at these shares of the sorted non-null values, between two of them by straight line; nulls without a value."""
+def quantiles(df: DataFrame, value: str, shares: list[float], rest: tuple[int, float] | None = None) -> DataFrame:
+    """One row: q, the values at these shares of the sorted non-null values, between two of them by straight line; nulls without a value.
+
+    rest: how many values there are in all, and the value, no smaller than those of df, that the ones not listed have.
+    """
     counts = cut(_value_counts(df, value))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    at = lambda k: F.max(F.when((F.col("before") <= k) & (F.col("before") + F.col("n") > k), F.col("v").cast("double")))
+    total = rest[0] if rest else counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    there = lambda k: F.max(F.when((F.col("before") <= k) & (F.col("before") + F.col("n") > k), F.col("v").cast("double")))
+    at = lambda k: F.coalesce(there(k), F.lit(rest[1] if rest and total else None).cast("double"))
     out = []
     for share in shares:
         place = share * (total - 1) if total else 0.0

@@ -133,6 +133,25 @@ def counts_within(points: DataFrame, targets: DataFrame, point_key: str, radius:
     return out.groupBy(point_key).agg(F.sum("n").alias("n"))
 
 
+def pairs_within(points: DataFrame, targets: DataFrame, point_key: str, target_key: str, reach_: float, most: int = LEAF) -> DataFrame:
+    """(point_key, target_key, distance) of all pairs whose Manhattan distance is at most reach_."""
+    left = cut(targets.select(target_key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.lit(1).alias("weight")).where("x is not null and y is not null"))
+    within = square(left)
+    front, level, found = start(points, point_key), 1, points.join(targets, F.lit(False)).select(point_key, target_key, F.lit(0.0).alias("distance"))
+    apart = F.abs(F.col("qx") - F.col("x")) + F.abs(F.col("qy") - F.col("y"))
+    while within is not None:
+        cells = cut(children(left, within, level, most))
+        near = F.greatest(F.col("x0") - F.col("qx"), F.col("qx") - F.col("x1"), F.lit(0.0)) + F.greatest(F.col("y0") - F.col("qy"), F.col("qy") - F.col("y1"), F.lit(0.0))
+        looked = cut(front.join(cells, ["px", "py"]).where(near <= reach_).select(point_key, "qx", "qy", "ix", "iy", "open"))
+        leaves, left = parted(left, cells, within, level)
+        found = found.unionByName(looked.where("not open").join(leaves, ["ix", "iy"]).select(point_key, target_key, apart.alias("distance")).where(F.col("distance") <= reach_))
+        front = looked.where("open").select(point_key, "qx", "qy", F.col("ix").alias("px"), F.col("iy").alias("py"))
+        if front.isEmpty():
+            break
+        left, level = cut(left), level + 1
+    return found
+
+
 def even_parts(points: DataFrame, key: str, most: int) -> DataFrame:
     """key and home: points(key, x, y) parted into cells of at most `most` places each, small where they are dense."""
     left = cut(points.select(key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), F.lit(1).alias("weight")))

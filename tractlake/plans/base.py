@@ -2,13 +2,7 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable
-from functools import partial
-from inspect import signature
-
-#: The residue that keeps a part of the pairs of origins and sites.
-RESIDUE = re.compile(r"JOIN sites s ON \S+ % (\d+) = \S+ % \1\b")
 
 
 class Book:
@@ -23,9 +17,6 @@ class Book:
             self.queries[name] = f
             if sql:
                 self.oracle[name] = sql
-            if "whole" in signature(f).parameters:  # the same over all pairs
-                self.queries[f"{name}_whole"] = partial(f, whole=True)
-                self.oracle[f"{name}_whole"] = RESIDUE.sub("CROSS JOIN sites s", sql)
             return f
 
         return keep

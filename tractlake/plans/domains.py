@@ -13,7 +13,7 @@ from tractlake.operators.contracts import Contract, Field
 from tractlake.operators.keeping import shared_folder
 from tractlake.plans.base import Book
 from tractlake.plans.relations import M, NEW, OLD, versions
-from tractlake.plans.standins import CAP, matrix, origins, read, sites, with_sql
+from tractlake.plans.standins import CAP, matrix, origins, read, sites, sparse_matrix, with_sql
 from tractlake.sources import tables
 
 BOOK = Book()
@@ -171,13 +171,6 @@ def _(spark, d):
     return p.agg(F.count_if(F.col("x").isNull()).alias("empty"), F.count_if(F.col("x").isNotNull() & ~X.in_box("x", "y", (1000, 1000, 26000, 27000))).alias("outside"))
 
 
-@query("q5_labels", "SELECT 'bucket' AS detail, (SELECT count(*) FROM nation) AS n")
-def _(spark, d):
-    n = read(spark, d, "nation")
-    found = contracts.violations(n, Contract("nation", (), labels={"bucket": ("A", "B"), "schema_version": ("2", "2")}))
-    return found.select("detail").join(n.agg(F.count("*").alias("n")))
-
-
 @query("q6_whole_contract", f"SELECT \"check\", count(*) AS kinds, CAST(sum(count) AS BIGINT) AS rows FROM (SELECT \"check\", count FROM ({Q2}) UNION ALL SELECT 'missing column', 1 UNION ALL {Q3} UNION ALL SELECT 'rows', count(*) FROM orders HAVING count(*) > 100) GROUP BY 1")
 def _(spark, d):
     return _orders(spark, d).groupBy("check").agg(F.count("*").alias("kinds"), F.sum("count").alias("rows"))
@@ -220,8 +213,8 @@ def _(spark, d):
 
 
 @query("q12_analytic_contract", M + " SELECT 'maximum' AS check, 'estimate' AS detail, count(*) AS count FROM matrix WHERE minutes > 120 HAVING count(*) > 0 UNION ALL SELECT 'nulls', 'estimate', count(*) FROM matrix WHERE minutes IS NULL HAVING count(*) > 0")
-def _(spark, d, whole=False):
-    table = matrix(spark, d, whole).select(F.concat_ws("-", "origin_id", "site_id").alias("geoid"), F.col("minutes").alias("estimate"))
+def _(spark, d):
+    table = matrix(spark, d).select(F.concat_ws("-", "origin_id", "site_id").alias("geoid"), F.col("minutes").alias("estimate"))
     return contracts.violations(table, Contract("analytic", (Field("geoid", "str", nullable=False), Field("estimate", "float", nullable=False, high=120)), key=("geoid",))).select("check", "detail", "count")
 
 
@@ -370,14 +363,13 @@ def _(spark, d):
 # --- access metrics
 
 @query("m2_threshold_counts", M + " SELECT origin_id, t AS threshold, count(*) FILTER (minutes <= t) AS sites FROM matrix, (VALUES (10), (15), (20), (30), (45)) v(t) GROUP BY 1, 2")
-def _(spark, d, whole=False):
-    reached = matrix(spark, d, whole).withColumn("threshold", F.explode(F.array(*map(F.lit, (10, 15, 20, 30, 45)))))
-    return reached.groupBy("origin_id", "threshold").agg(F.count_if(F.col("minutes") <= F.col("threshold")).alias("sites"))
+def _(spark, d):
+    return sparse_matrix(spark, d).reached([10, 15, 20, 30, 45])
 
 
 @query("m3_weighted", M + " SELECT o.nation, round(sum((o.origin_id % 100) * m) / sum(o.origin_id % 100), 6) AS minutes FROM origins o JOIN (SELECT origin_id, min(minutes) AS m FROM matrix GROUP BY 1) x ON o.origin_id = x.origin_id GROUP BY 1 HAVING sum(o.origin_id % 100) > 0")
-def _(spark, d, whole=False):
-    best = matrix(spark, d, whole).groupBy("origin_id").agg(F.min("minutes").alias("m"))
+def _(spark, d):
+    best = matrix(spark, d).groupBy("origin_id").agg(F.min("minutes").alias("m"))
     w = F.col("origin_id") % 100
     return origins(spark, d).join(best, "origin_id").groupBy("nation").agg(F.sum(w * F.col("m")).alias("a"), F.sum(w).alias("w")).where("w > 0").select("nation", F.round(F.col("a") / F.col("w"), 6).alias("minutes"))
 
@@ -390,9 +382,9 @@ def _(spark, d):
 
 
 @query("m5_two_tier_label", M + " SELECT origin_id, CASE WHEN bool_or(coalesce(minutes <= 60, false) AND site_id % 2 = 0) THEN 'open' WHEN bool_or(coalesce(minutes <= 60, false)) THEN 'exists' ELSE 'none' END AS label FROM matrix GROUP BY 1")
-def _(spark, d, whole=False):
-    near = F.coalesce(F.col("minutes") <= 60, F.lit(False))
-    return matrix(spark, d, whole).groupBy("origin_id").agg(F.when(F.bool_or(near & (F.col("site_id") % 2 == 0)), "open").when(F.bool_or(near), "exists").otherwise("none").alias("label"))
+def _(spark, d):
+    near = sparse_matrix(spark, d).pairs.where("minutes <= 60").groupBy("origin_id").agg(F.bool_or(F.col("site_id") % 2 == 0).alias("open"))
+    return origins(spark, d).select("origin_id").join(near, "origin_id", "left").select("origin_id", F.when(F.col("open"), "open").when(F.col("open").isNotNull(), "exists").otherwise("none").alias("label"))
 
 
 @query("m6_hours_coverage", "SELECT event_type, round(100.0 * count(*) FILTER (event_id % 7 > 1) / count(*), 6) AS percent FROM events GROUP BY 1")
@@ -401,8 +393,8 @@ def _(spark, d):
 
 
 @query("m7_aggregation_sensitivity", M + ", b AS (SELECT origin_id, min(minutes) AS m FROM matrix GROUP BY 1), t AS (SELECT o.nation, sum(m * (o.origin_id % 50 + 1)) / sum(o.origin_id % 50 + 1) AS fine, avg(m) AS coarse FROM origins o JOIN b ON o.origin_id = b.origin_id WHERE m IS NOT NULL GROUP BY 1) SELECT count(*) AS areas, round(avg(abs(fine - coarse)), 6) AS mean_difference, round(max(abs(fine - coarse)), 6) AS largest FROM t")
-def _(spark, d, whole=False):
-    best = matrix(spark, d, whole).groupBy("origin_id").agg(F.min("minutes").alias("m")).where("m IS NOT NULL")
+def _(spark, d):
+    best = matrix(spark, d).groupBy("origin_id").agg(F.min("minutes").alias("m")).where("m IS NOT NULL")
     w = F.col("origin_id") % 50 + 1
     t = origins(spark, d).join(best, "origin_id").groupBy("nation").agg((F.sum(F.col("m") * w) / F.sum(w)).alias("fine"), F.avg("m").alias("coarse"))
     diff = F.abs(F.col("fine") - F.col("coarse"))
@@ -410,15 +402,15 @@ def _(spark, d, whole=False):
 
 
 @query("m8_run_sensitivity", M + " SELECT origin_id % 10 AS part, round(min(d), 6) AS low, round(median(d), 6) AS mid, round(max(d), 6) AS high FROM (SELECT origin_id, minutes * 1.6 - minutes AS d FROM matrix) GROUP BY 1")
-def _(spark, d, whole=False):
-    diff = matrix(spark, d, whole).select((F.col("origin_id") % 10).alias("part"), (F.col("minutes") * 1.6 - F.col("minutes")).alias("d"))
+def _(spark, d):
+    diff = matrix(spark, d).select((F.col("origin_id") % 10).alias("part"), (F.col("minutes") * 1.6 - F.col("minutes")).alias("d"))
     q = spatial.quantiles_by(diff, "part", "d", [0.5])
     return q.select("part", F.round("low", 6).alias("low"), F.round(F.get("q", F.lit(0)), 6).alias("mid"), F.round("high", 6).alias("high"))
 
 
 @query("m9_external_comparison", M + ", b AS (SELECT origin_id, min(minutes) AS m FROM matrix GROUP BY 1) SELECT count(*) AS n, round(corr(m, CAST((c_custkey * 31) % 90 AS DOUBLE)), 6) AS r, round(avg(abs(m - (c_custkey * 31) % 90)), 6) AS mean_difference FROM b JOIN customer ON c_custkey = origin_id WHERE m IS NOT NULL")
-def _(spark, d, whole=False):
-    best = matrix(spark, d, whole).groupBy("origin_id").agg(F.min("minutes").alias("m")).where("m IS NOT NULL")
+def _(spark, d):
+    best = matrix(spark, d).groupBy("origin_id").agg(F.min("minutes").alias("m")).where("m IS NOT NULL")
     other = read(spark, d, "customer").select(F.col("c_custkey").alias("origin_id"), ((F.col("c_custkey") * 31) % 90).cast("double").alias("other"))
     return best.join(other, "origin_id").agg(F.count("*").alias("n"), F.round(F.corr("m", "other"), 6).alias("r"), F.round(F.avg(F.abs(F.col("m") - F.col("other"))), 6).alias("mean_difference"))
 

@@ -311,7 +311,7 @@ def _(spark, d):
 
 # --- matrices
 
-_COMPLETE = M + " SELECT (SELECT count(*) FROM origins) * (SELECT count(*) FROM sites) AS expected, count(*) AS rows, (SELECT count(*) FROM origins) * (SELECT count(*) FROM sites) - count(*) AS missing, 0 AS repeated, count(*) FILTER (minutes IS NULL) AS unreachable, count(minutes) AS finite, round(count(minutes) / ((SELECT count(*) FROM origins) * (SELECT count(*) FROM sites)), 6) AS share, count(*) FILTER (minutes > 120) AS censored, false AS gate FROM matrix"
+_COMPLETE = M + " SELECT (SELECT count(*) FROM origins) * (SELECT count(*) FROM sites) AS expected, count(*) AS rows, (SELECT count(*) FROM origins) * (SELECT count(*) FROM sites) - count(*) AS missing, 0 AS repeated, count(*) FILTER (minutes IS NULL) AS unreachable, count(minutes) AS finite, round(count(minutes) / ((SELECT count(*) FROM origins) * (SELECT count(*) FROM sites)), 6) AS share, count(*) FILTER (minutes > 120) AS censored, count(minutes) >= 0.9 * count(*) AS gate FROM matrix"
 
 
 @query("d6_completeness_and_gate", _COMPLETE)
@@ -572,14 +572,14 @@ def _(spark, d):
 
 # --- sensitivity, coverage, audits
 
-_SLOW = M + ", slow AS (SELECT o.origin_id, s.site_id, CASE WHEN (o.origin_id + s.site_id) % 17 <> 0 THEN (abs(o.x - s.x) + abs(o.y - s.y)) / 50.0 + 1 END AS minutes FROM origins o JOIN sites s ON o.origin_id % 5 = s.site_id % 5 WHERE o.origin_id % 9 <> 4), b AS (SELECT m.minutes AS a, s.minutes AS b, m.origin_id IS NOT NULL AND s.origin_id IS NOT NULL AS shared FROM matrix m FULL JOIN slow s ON m.origin_id = s.origin_id AND m.site_id = s.site_id)"
+_SLOW = M + ", slow AS (SELECT o.origin_id, s.site_id, CASE WHEN (o.origin_id + s.site_id) % 17 <> 0 THEN (abs(o.x - s.x) + abs(o.y - s.y)) / 50.0 + 1 END AS minutes FROM origins o CROSS JOIN sites s WHERE o.origin_id % 9 <> 4), b AS (SELECT m.minutes AS a, s.minutes AS b, m.origin_id IS NOT NULL AND s.origin_id IS NOT NULL AS shared FROM matrix m FULL JOIN slow s ON m.origin_id = s.origin_id AND m.site_id = s.site_id)"
 
 
 @query("m8_slow_run_comparison", _SLOW + " SELECT count(*) FILTER (shared) AS pairs, count(*) FILTER (NOT shared) AS one_only, count(b - a) AS finite, count(*) FILTER (abs(b - a) > 60) AS beyond, round(min(b - a), 6) AS least, round(avg(b - a), 6) AS mean, round(max(b - a), 6) AS largest FROM b")
 def _(spark, d):
     o = origins(spark, d).where("origin_id % 9 <> 4").withColumnsRenamed({"x": "ox", "y": "oy"})
     metres = F.abs(F.col("ox") - F.col("x")) + F.abs(F.col("oy") - F.col("y"))
-    slow = o.join(sites(spark, d), F.col("origin_id") % 5 == F.col("site_id") % 5).select("origin_id", "site_id", F.when((F.col("origin_id") + F.col("site_id")) % 17 != 0, metres / 50.0 + 1).alias("minutes"))
+    slow = o.crossJoin(sites(spark, d)).select("origin_id", "site_id", F.when((F.col("origin_id") + F.col("site_id")) % 17 != 0, metres / 50.0 + 1).alias("minutes"))
     out = runs.run_comparison(matrix(spark, d), slow, ["origin_id", "site_id"], "minutes", 60.0)
     return out.select("pairs", "one_only", "finite", "beyond", *[F.round(c, 6).alias(c) for c in ("least", "mean", "largest")])
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tractlake.functions import expr as X
 from tractlake.operators import spatial
 from tractlake.plans.base import Book
-from tractlake.plans.standins import CAP, matrix, origins, pairs, read, sites, with_sql
+from tractlake.plans.standins import CAP, matrix, origins, read, sites, sparse_matrix, with_sql
 
 BOOK = Book()
 query = BOOK.add
@@ -58,38 +58,38 @@ def _(spark, d):
     return read(spark, d, "supplier").join(names, F.col("s_nationkey") == F.col("n_nationkey"), "left").select("s_suppkey", "n_name", "r_name")
 
 
-@query("c9_grid_completion", M + ", g AS (SELECT origin_id, site_id FROM origins o JOIN sites s ON s.site_id % 10 = o.origin_id % 10) SELECT g.origin_id, g.site_id, least(coalesce(m.minutes, 120.0), 120.0) AS minutes FROM g LEFT JOIN matrix m ON g.origin_id = m.origin_id AND g.site_id = m.site_id")
-def _(spark, d, whole=False):
-    grid = pairs(origins(spark, d).select("origin_id"), sites(spark, d).select("site_id"), 10, whole)
-    return grid.join(matrix(spark, d, whole), ["origin_id", "site_id"], "left").select("origin_id", "site_id", X.censored("minutes", CAP).alias("minutes"))
+@query("c9_grid_completion", M + ", g AS (SELECT origin_id, site_id FROM origins o CROSS JOIN sites s) SELECT g.origin_id, g.site_id, least(coalesce(m.minutes, 120.0), 120.0) AS minutes FROM g LEFT JOIN matrix m ON g.origin_id = m.origin_id AND g.site_id = m.site_id")
+def _(spark, d):
+    grid = origins(spark, d).select("origin_id").crossJoin(sites(spark, d).select("site_id"))
+    return grid.join(matrix(spark, d), ["origin_id", "site_id"], "left").select("origin_id", "site_id", X.censored("minutes", CAP).alias("minutes"))
 
 
 SLOW = "SELECT origin_id, site_id, minutes + CASE WHEN origin_id % 10 = 0 THEN site_id % 4 ELSE 0 END AS minutes FROM matrix"
 
 
-def slow(spark, d, whole=False):
-    return matrix(spark, d, whole).withColumn("minutes", F.col("minutes") + F.when(F.col("origin_id") % 10 == 0, F.col("site_id") % 4).otherwise(0))
+def slow(spark, d):
+    return matrix(spark, d).withColumn("minutes", F.col("minutes") + F.when(F.col("origin_id") % 10 == 0, F.col("site_id") % 4).otherwise(0))
 
 
 @query("c10_matrix_comparison", M + f", b AS ({SLOW}), j AS (SELECT round(abs(coalesce(a.minutes, 120) - coalesce(b.minutes, 120)), 9) AS diff FROM matrix a FULL JOIN b ON a.origin_id = b.origin_id AND a.site_id = b.site_id) SELECT count(*) AS pairs, count(*) FILTER (diff = 0) AS identical, round(max(diff), 6) AS largest, count(*) FILTER (diff > 0 AND diff <= 1) AS upto1, count(*) FILTER (diff > 1 AND diff <= 5) AS upto5, count(*) FILTER (diff > 5) AS more FROM j")
-def _(spark, d, whole=False):
-    both = matrix(spark, d, whole).join(slow(spark, d, whole).withColumnRenamed("minutes", "other"), ["origin_id", "site_id"], "full_outer")
+def _(spark, d):
+    both = matrix(spark, d).join(slow(spark, d).withColumnRenamed("minutes", "other"), ["origin_id", "site_id"], "full_outer")
     diff = F.round(F.abs(F.coalesce("minutes", F.lit(120.0)) - F.coalesce("other", F.lit(120.0))), 9)
     c = F.col("diff")
     return both.select(diff.alias("diff")).agg(F.count("*").alias("pairs"), F.count_if(c == 0).alias("identical"), F.round(F.max("diff"), 6).alias("largest"), F.count_if((c > 0) & (c <= 1)).alias("upto1"), F.count_if((c > 1) & (c <= 5)).alias("upto5"), F.count_if(c > 5).alias("more"))
 
 
 @query("c11_engine_concordance", M + ", f AS (SELECT origin_id, site_id, CASE WHEN site_id % 13 = 0 THEN NULL ELSE minutes * 1.1 END AS other FROM matrix) SELECT count(*) FILTER (minutes IS NOT NULL AND other IS NOT NULL) AS compared, count(*) FILTER (minutes IS NULL AND other IS NULL) AS neither, count(*) FILTER (minutes IS NULL AND other IS NOT NULL) AS other_only, count(*) FILTER (minutes IS NOT NULL AND other IS NULL) AS first_only, round(avg(abs(minutes - other)), 4) AS mean_difference FROM matrix m JOIN f ON m.origin_id = f.origin_id AND m.site_id = f.site_id")
-def _(spark, d, whole=False):
-    other = matrix(spark, d, whole).select("origin_id", "site_id", F.when(F.col("site_id") % 13 != 0, F.col("minutes") * 1.1).alias("other"))
+def _(spark, d):
+    other = matrix(spark, d).select("origin_id", "site_id", F.when(F.col("site_id") % 13 != 0, F.col("minutes") * 1.1).alias("other"))
     a, b = F.col("minutes"), F.col("other")
-    return matrix(spark, d, whole).join(other, ["origin_id", "site_id"]).agg(F.count_if(a.isNotNull() & b.isNotNull()).alias("compared"), F.count_if(a.isNull() & b.isNull()).alias("neither"), F.count_if(a.isNull() & b.isNotNull()).alias("other_only"), F.count_if(a.isNotNull() & b.isNull()).alias("first_only"), F.round(F.avg(F.abs(a - b)), 4).alias("mean_difference"))
+    return matrix(spark, d).join(other, ["origin_id", "site_id"]).agg(F.count_if(a.isNotNull() & b.isNotNull()).alias("compared"), F.count_if(a.isNull() & b.isNull()).alias("neither"), F.count_if(a.isNull() & b.isNotNull()).alias("other_only"), F.count_if(a.isNotNull() & b.isNull()).alias("first_only"), F.round(F.avg(F.abs(a - b)), 4).alias("mean_difference"))
 
 
 @query("c15_restrict_matrix", M + " SELECT origin_id, site_id FROM matrix WHERE origin_id IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'FURNITURE') AND site_id IN (SELECT site_id FROM sites WHERE flagged)")
-def _(spark, d, whole=False):
+def _(spark, d):
     known = read(spark, d, "customer").where("c_mktsegment = 'FURNITURE'").select(F.col("c_custkey").alias("origin_id"))
-    return matrix(spark, d, whole).join(known, "origin_id", "left_semi").join(sites(spark, d).where("flagged"), "site_id", "left_semi").select("origin_id", "site_id")
+    return matrix(spark, d).join(known, "origin_id", "left_semi").join(sites(spark, d).where("flagged"), "site_id", "left_semi").select("origin_id", "site_id")
 
 
 @query("c16_subset_check", f"WITH o AS ({OLD}), n AS ({NEW}) SELECT c_custkey FROM n WHERE c_custkey NOT IN (SELECT c_custkey FROM o)")
@@ -99,8 +99,8 @@ def _(spark, d):
 
 
 @query("c17_answers", M + " SELECT origin_id, site_id, CASE WHEN answer IS NULL THEN 'no answer' WHEN minutes IS NULL AND answer >= 120 THEN 'both over' WHEN minutes IS NULL THEN 'censored' WHEN abs(minutes - answer) <= greatest(3.0, answer * 0.15) THEN 'within' ELSE 'outside' END AS verdict FROM (SELECT *, CASE WHEN site_id % 8 = 0 THEN NULL ELSE CAST((origin_id * 7 + site_id * 3) % 400 AS DOUBLE) END AS answer FROM matrix)")
-def _(spark, d, whole=False):
-    rows = matrix(spark, d, whole).withColumn("answer", F.when(F.col("site_id") % 8 != 0, ((F.col("origin_id") * 7 + F.col("site_id") * 3) % 400).cast("double")))
+def _(spark, d):
+    rows = matrix(spark, d).withColumn("answer", F.when(F.col("site_id") % 8 != 0, ((F.col("origin_id") * 7 + F.col("site_id") * 3) % 400).cast("double")))
     m, a = F.col("minutes"), F.col("answer")
     close = F.abs(m - a) <= X.tolerance("answer", F.lit("walk"))
     verdict = F.when(a.isNull(), "no answer").when(m.isNull() & (a >= CAP), "both over").when(m.isNull(), "censored").when(close, "within").otherwise("outside")
@@ -135,17 +135,16 @@ def _(spark, d):
 
 
 @query("d1_time_to_nearest", M + " SELECT origin_id, s.flagged, min(minutes) AS minutes FROM matrix m JOIN sites s ON m.site_id = s.site_id GROUP BY 1, 2")
-def _(spark, d, whole=False):
-    return matrix(spark, d, whole).join(sites(spark, d).select("site_id", "flagged"), "site_id").groupBy("origin_id", "flagged").agg(F.min("minutes").alias("minutes"))
+def _(spark, d):
+    return matrix(spark, d).join(sites(spark, d).select("site_id", "flagged"), "site_id").groupBy("origin_id", "flagged").agg(F.min("minutes").alias("minutes"))
 
 
 @query("d2_analytic_table", M + ", keys AS (SELECT origin_id, category FROM origins, (VALUES ('flagged'), ('other')) c(category)), t AS (SELECT origin_id, CASE WHEN s.flagged THEN 'flagged' ELSE 'other' END AS category, min(minutes) AS m FROM matrix m JOIN sites s ON m.site_id = s.site_id GROUP BY 1, 2) SELECT k.origin_id AS geoid, 'time_nearest' AS metric_id, k.category, least(coalesce(t.m, 120.0), 120.0) AS estimate FROM keys k LEFT JOIN t ON k.origin_id = t.origin_id AND k.category = t.category UNION ALL SELECT origin_id, 'population', NULL, CAST(origin_id % 1000 AS DOUBLE) FROM origins")
-def _(spark, d, whole=False):
+def _(spark, d):
     o = origins(spark, d)
-    keys = o.select("origin_id", F.explode(F.array(F.lit("flagged"), F.lit("other"))).alias("category"))
-    category = F.when(F.col("flagged"), "flagged").otherwise("other")
-    t = matrix(spark, d, whole).join(sites(spark, d).select("site_id", category.alias("category")), "site_id").groupBy("origin_id", "category").agg(F.min("minutes").alias("m"))
-    times = keys.join(t, ["origin_id", "category"], "left").select(F.col("origin_id").alias("geoid"), F.lit("time_nearest").alias("metric_id"), "category", X.censored("m", CAP).alias("estimate"))
+    kinds = sites(spark, d).select("site_id", F.when(F.col("flagged"), "flagged").otherwise("other").alias("category"))
+    times = sparse_matrix(spark, d).nearest_by(kinds, "category", ["flagged", "other"])
+    times = times.select(F.col("origin_id").alias("geoid"), F.lit("time_nearest").alias("metric_id"), "category", F.col("minutes").alias("estimate"))
     people = o.select(F.col("origin_id").alias("geoid"), F.lit("population").alias("metric_id"), F.lit(None).cast("string").alias("category"), (F.col("origin_id") % 1000).cast("double").alias("estimate"))
     return times.unionByName(people)
 
@@ -162,16 +161,16 @@ def _(spark, d):
 
 
 @query("d5_metric_summary", M + " SELECT count(*) AS n, count(*) FILTER (minutes IS NULL) AS nulls, min(minutes) AS low, median(minutes) AS mid, max(minutes) AS high FROM matrix")
-def _(spark, d, whole=False):
-    m = matrix(spark, d, whole)
+def _(spark, d):
+    m = matrix(spark, d)
     mid = spatial.quantiles(m, "minutes", [0.5])  # one row, as the counts
     counts = m.agg(F.count("*").alias("n"), F.count_if(F.col("minutes").isNull()).alias("nulls"), F.min("minutes").alias("low"), F.max("minutes").alias("high"))
     return counts.join(F.broadcast(mid)).select("n", "nulls", "low", F.get("q", F.lit(0)).alias("mid"), "high")
 
 
 @query("d6_matrix_sanity", M + " SELECT count(*) AS n, count(*) FILTER (minutes IS NULL) AS unreachable, count(*) FILTER (minutes > 120) AS censored, round(count(minutes) / count(*), 6) AS finite_share, round(quantile_cont(minutes, 0.25), 6) AS q1, round(quantile_cont(minutes, 0.75), 6) AS q3 FROM matrix")
-def _(spark, d, whole=False):
-    table, m = matrix(spark, d, whole), F.col("minutes")
+def _(spark, d):
+    table, m = matrix(spark, d), F.col("minutes")
     counts = table.agg(F.count("*").alias("n"), F.count_if(m.isNull()).alias("unreachable"), F.count_if(m > CAP).alias("censored"), F.round(F.count("minutes") / F.count("*"), 6).alias("finite_share"))
     return counts.join(F.broadcast(spatial.quantiles(table, "minutes", [0.25, 0.75]))).select(*counts.columns, *[F.round(F.get("q", F.lit(k)), 6).alias(n) for k, n in ((0, "q1"), (1, "q3"))])
 
@@ -279,8 +278,8 @@ def _(spark, d):
 
 
 @query("d24_criteria", M + ", m AS (SELECT round(count(minutes) / count(*), 6) AS share, max(minutes) AS longest FROM matrix) SELECT 'finite share' AS criterion, CASE WHEN share >= 0.9 THEN 'pass' ELSE 'fail' END AS status FROM m UNION ALL SELECT 'longest', CASE WHEN longest <= 120 THEN 'pass' WHEN longest <= 1000 THEN 'finding' ELSE 'fail' END FROM m UNION ALL SELECT 'planner', 'pending' FROM m")
-def _(spark, d, whole=False):
-    m = matrix(spark, d, whole).agg(F.round(F.count("minutes") / F.count("*"), 6).alias("share"), F.max("minutes").alias("longest"))
+def _(spark, d):
+    m = matrix(spark, d).agg(F.round(F.count("minutes") / F.count("*"), 6).alias("share"), F.max("minutes").alias("longest"))
     rows = F.array(
         F.struct(F.lit("finite share").alias("criterion"), F.when(F.col("share") >= 0.9, "pass").otherwise("fail").alias("status")),
         F.struct(F.lit("longest").alias("criterion"), F.when(F.col("longest") <= 120, "pass").when(F.col("longest") <= 1000, "finding").otherwise("fail").alias("status")),
@@ -358,8 +357,8 @@ def _(spark, d):
 
 
 @query("u2_combined_runs", M + " SELECT count(*) AS n, count(DISTINCT (mode, origin_id, site_id)) AS keys FROM (SELECT 'walk' AS mode, * FROM matrix UNION ALL SELECT 'slow', * FROM matrix)")
-def _(spark, d, whole=False):
-    both = matrix(spark, d, whole).withColumn("mode", F.lit("walk")).unionByName(slow(spark, d, whole).withColumn("mode", F.lit("slow")))
+def _(spark, d):
+    both = matrix(spark, d).withColumn("mode", F.lit("walk")).unionByName(slow(spark, d).withColumn("mode", F.lit("slow")))
     return both.groupBy("mode", "origin_id", "site_id").agg(F.count("*").alias("c")).agg(F.sum("c").alias("n"), F.count("*").alias("keys"))
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tractlake.functions import expr as X
 from tractlake.plans.base import Book
-from tractlake.plans.standins import origins, pairs, read, sites, with_sql
+from tractlake.plans.standins import origins, read, sites, with_sql
 
 BOOK = Book()
 query = BOOK.add
@@ -98,12 +98,12 @@ def _(spark, d):
     return joined.select("p_partkey", known.alias("format_class"), "supermarket_format")
 
 
-CELL = "CASE doc_id % 6 WHEN 0 THEN '=' WHEN 1 THEN '+' WHEN 2 THEN '-' WHEN 3 THEN '@' ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN CAST(doc_id AS VARCHAR) ELSE substr(text, 1, 30) END"
+CELL = "CASE doc_id % 6 WHEN 0 THEN '=' WHEN 1 THEN '+' WHEN 2 THEN '-' WHEN 3 THEN '@' ELSE '' END || CASE WHEN doc_id % 5 = 0 THEN CAST(doc_id AS VARCHAR) ELSE text END"
 
 
 def _cells(spark, d):
     lead = F.when(F.col("doc_id") % 6 == 0, "=").when(F.col("doc_id") % 6 == 1, "+").when(F.col("doc_id") % 6 == 2, "-").when(F.col("doc_id") % 6 == 3, "@").otherwise("")
-    return read(spark, d, "documents").select("doc_id", F.concat(lead, F.when(F.col("doc_id") % 5 == 0, F.col("doc_id").cast("string")).otherwise(F.substring("text", 1, 30))).alias("cell"))
+    return read(spark, d, "documents").select("doc_id", F.concat(lead, F.when(F.col("doc_id") % 5 == 0, F.col("doc_id").cast("string")).otherwise(F.col("text"))).alias("cell"))
 
 
 @query("b14_escape_formula", f"SELECT doc_id, CASE WHEN regexp_matches(cell, '^[=+\\-@\\t\\r]') THEN '''' || cell ELSE cell END AS cell FROM (SELECT doc_id, {CELL} AS cell FROM documents)")
@@ -116,25 +116,6 @@ def _(spark, d):
     return _cells(spark, d).select("doc_id", X.safe_cell("cell").alias("safe"))
 
 
-WHOLE_CELL = CELL.replace("substr(text, 1, 30)", "text")
-
-
-def _whole_cells(spark, d):
-    """The same cells with whole texts in them."""
-    lead = F.when(F.col("doc_id") % 6 == 0, "=").when(F.col("doc_id") % 6 == 1, "+").when(F.col("doc_id") % 6 == 2, "-").when(F.col("doc_id") % 6 == 3, "@").otherwise("")
-    return read(spark, d, "documents").select("doc_id", F.concat(lead, F.when(F.col("doc_id") % 5 == 0, F.col("doc_id").cast("string")).otherwise(F.col("text"))).alias("cell"))
-
-
-@query("b14_whole_cells", f"SELECT doc_id, CASE WHEN regexp_matches(cell, '^[=+\\-@\\t\\r]') THEN '''' || cell ELSE cell END AS cell FROM (SELECT doc_id, {WHOLE_CELL} AS cell FROM documents)")
-def _(spark, d):
-    return _whole_cells(spark, d).select("doc_id", X.escaped_formula("cell").alias("cell"))
-
-
-@query("b15_whole_cells", f"SELECT doc_id, NOT regexp_matches(cell, '^[=+\\-@\\t\\r]') OR (starts_with(cell, '-') AND regexp_matches(cell, '^-?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][-+]?[0-9]+)?$')) AS safe FROM (SELECT doc_id, {WHOLE_CELL} AS cell FROM documents)")
-def _(spark, d):
-    return _whole_cells(spark, d).select("doc_id", X.safe_cell("cell").alias("safe"))
-
-
 @query("b16_name_rule", "SELECT p_partkey, regexp_matches(name, '^[a-z][a-z0-9_]*$') AND NOT regexp_matches(name, 'healthy|unhealthy|nutritious|quality|desert|insecur|score|rank|index') AS ok FROM (SELECT p_partkey, replace(p_name, ' ', CASE WHEN p_partkey % 3 = 0 THEN '_' ELSE ' ' END) || CASE WHEN p_partkey % 7 = 0 THEN '_rank' ELSE '' END AS name FROM part)")
 def _(spark, d):
     name = F.concat(F.when(F.col("p_partkey") % 3 == 0, F.replace(F.col("p_name"), F.lit(" "), F.lit("_"))).otherwise(F.col("p_name")), F.when(F.col("p_partkey") % 7 == 0, "_rank").otherwise(""))
@@ -201,11 +182,11 @@ def _(spark, d):
     return read(spark, d, "events").select("event_id", X.censored(F.when(F.col("event_id") % 10 != 3, F.col("value")), 120.0).alias("minutes"))
 
 
-@query("b26_proxy_times", with_sql("origins", "sites") + " SELECT origin_id, site_id, least((abs(o.x - s.x) + abs(o.y - s.y)) / 80.0 + 1, 120.0) AS walk, least((abs(o.x - s.x) + abs(o.y - s.y)) / 250.0 + 6, 120.0) AS transit FROM origins o JOIN sites s ON o.origin_id % 50 = s.site_id % 50")
-def _(spark, d, whole=False):
+@query("b26_proxy_times", with_sql("origins", "sites") + " SELECT origin_id, site_id, least((abs(o.x - s.x) + abs(o.y - s.y)) / 80.0 + 1, 120.0) AS walk, least((abs(o.x - s.x) + abs(o.y - s.y)) / 250.0 + 6, 120.0) AS transit FROM origins o CROSS JOIN sites s")
+def _(spark, d):
     o = origins(spark, d).withColumnsRenamed({"x": "ox", "y": "oy"})
     metres = F.abs(F.col("ox") - F.col("x")) + F.abs(F.col("oy") - F.col("y"))
-    return pairs(o, sites(spark, d), 50, whole).select("origin_id", "site_id", X.censored(metres / F.lit(80.0) + 1, 120.0).alias("walk"), X.censored(metres / F.lit(250.0) + 6, 120.0).alias("transit"))
+    return o.crossJoin(sites(spark, d)).select("origin_id", "site_id", X.censored(metres / F.lit(80.0) + 1, 120.0).alias("walk"), X.censored(metres / F.lit(250.0) + 6, 120.0).alias("transit"))
 
 
 @query("b27_feed_window", "SELECT event_type, strftime(min(ts), '%Y-%m-%d') AS first_day, strftime(max(ts), '%Y-%m-%d') AS last_day, DATE '2024-01-15' BETWEEN CAST(min(ts) AS DATE) AND CAST(max(ts) AS DATE) AS inside FROM events GROUP BY event_type")

@@ -8,7 +8,7 @@ from tractlake.functions import expr as X
 from tractlake.functions import geometry as G
 from tractlake.operators import spatial, tree
 from tractlake.plans.base import Book
-from tractlake.plans.standins import cells, origins, pairs, sites, with_sql
+from tractlake.plans.standins import cells, origins, sites, with_sql
 
 BOOK = Book()
 query = BOOK.add
@@ -70,10 +70,10 @@ def _(spark, d):
     return spatial.containing(origins(spark, d), _polygons(spark, d), "origin_id", "cell_id", "ring", CELL)
 
 
-@query("g6_distance", with_sql("origins", "sites") + " SELECT origin_id, site_id, round(sqrt((o.x - s.x) * (o.x - s.x) + (o.y - s.y) * (o.y - s.y)), 3) AS metres FROM origins o JOIN sites s ON o.origin_id % 60 = s.site_id % 60")
-def _(spark, d, whole=False):
+@query("g6_distance", with_sql("origins", "sites") + " SELECT origin_id, site_id, round(sqrt((o.x - s.x) * (o.x - s.x) + (o.y - s.y) * (o.y - s.y)), 3) AS metres FROM origins o CROSS JOIN sites s")
+def _(spark, d):
     o = origins(spark, d).withColumnsRenamed({"x": "ox", "y": "oy"})
-    return pairs(o, sites(spark, d), 60, whole).select("origin_id", "site_id", F.round(F.hypot(F.col("ox") - F.col("x"), F.col("oy") - F.col("y")), 3).alias("metres"))
+    return o.crossJoin(sites(spark, d)).select("origin_id", "site_id", F.round(F.hypot(F.col("ox") - F.col("x"), F.col("oy") - F.col("y")), 3).alias("metres"))
 
 
 @query("g7_validity", "SELECT n_nationkey AS cell_id, n_nationkey % 4 <> 0 AS closed, CAST(n_nationkey % 3 = 0 AS BIGINT) AS crossings FROM nation")

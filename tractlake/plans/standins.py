@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tractlake.operators.sparse import SparseMatrix
+
 CAP = 120.0
 #: The same tables as SQL common table expressions.
 SQL = {
     "origins": "SELECT c_custkey AS origin_id, c_nationkey AS nation, (c_custkey * 7919) % 27000 AS x, (c_custkey * 104729) % 28000 AS y FROM customer",
     "sites": "SELECT s_suppkey AS site_id, (s_suppkey * 15485863 + 3571) % 27000 AS x, (s_suppkey * 32452843 + 7) % 28000 AS y, s_suppkey % 3 = 0 AS flagged FROM supplier",
     "cells": "SELECT n_nationkey AS cell_id, (n_nationkey % 5) * 5400 AS x0, CAST(floor(n_nationkey / 5) AS INTEGER) * 5600 AS y0, (n_nationkey % 5) * 5400 + 5400 AS x1, CAST(floor(n_nationkey / 5) AS INTEGER) * 5600 + 5600 AS y1 FROM nation",
-    "matrix": "SELECT o.origin_id, s.site_id, CASE WHEN (o.origin_id + s.site_id) % 17 = 0 THEN NULL ELSE (abs(o.x - s.x) + abs(o.y - s.y)) / 80.0 + 1 END AS minutes FROM origins o JOIN sites s ON o.origin_id % 5 = s.site_id % 5",
+    "matrix": "SELECT o.origin_id, s.site_id, CASE WHEN (o.origin_id + s.site_id) % 17 = 0 THEN NULL ELSE (abs(o.x - s.x) + abs(o.y - s.y)) / 80.0 + 1 END AS minutes FROM origins o CROSS JOIN sites s",
 }
 
 
@@ -39,13 +41,14 @@ def cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "nation").select(n.alias("cell_id"), x0.alias("x0"), y0.alias("y0"), (x0 + 5400).alias("x1"), (y0 + 5600).alias("y1"))
 
 
-def pairs(o: DataFrame, s: DataFrame, divisor: int, whole: bool) -> DataFrame:
-    """Origins beside sites: all pairs, or those whose ids have the same residue."""
-    return o.crossJoin(s) if whole else o.join(s, F.col("origin_id") % divisor == F.col("site_id") % divisor)
-
-
-def matrix(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """Manhattan minutes of all origins and sites, or of those of one residue; every 17th pair has no time."""
+def matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manhattan minutes of all origins and sites; every 17th pair has no time."""
     o = origins(spark, sf_dir).withColumnsRenamed({"x": "ox", "y": "oy"})
     minutes = (F.abs(F.col("ox") - F.col("x")) + F.abs(F.col("oy") - F.col("y"))) / F.lit(80.0) + 1
-    return pairs(o, sites(spark, sf_dir), 5, whole).select("origin_id", "site_id", F.when((F.col("origin_id") + F.col("site_id")) % 17 != 0, minutes).alias("minutes"))
+    return o.crossJoin(sites(spark, sf_dir)).select("origin_id", "site_id", F.when((F.col("origin_id") + F.col("site_id")) % 17 != 0, minutes).alias("minutes"))
+
+
+def sparse_matrix(spark: SparkSession, sf_dir: str, speed: float = 80.0) -> SparseMatrix:
+    """The pairs of that matrix below the cap; all others are at the cap."""
+    reached = SparseMatrix.within_reach(origins(spark, sf_dir), sites(spark, sf_dir), speed, 1.0, CAP)
+    return reached.where((F.col("origin_id") + F.col("site_id")) % 17 != 0)
