@@ -230,6 +230,23 @@ def test_quality_keeps_good_and_drops_bad(spark):
     assert got[1] > 0.98 and got[0] < 0.1
 
 
+def test_mixed_documents_get_the_share_of_their_content(spark):
+    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    model = quality.fit_on(docs, labels)
+    some = lambda y: [r["text"] for r in docs.join(labels.where(F.col("quality") == y), "doc_id").orderBy("doc_id").limit(60).collect()]
+    lines = lambda t: [x for x in t.split("\n") if x.strip()]
+    size = lambda x: sum(len(re.sub(r"[\x20\x09-\x0D]", "", y)) for y in x)
+    off, between, n = [], 0, 0
+    for good, bad in zip(some(1), some(0), strict=False):
+        prose, menu = lines(good)[:12], lines(bad)[:6]
+        half = len(prose) // 2
+        share = model.content_share("\n".join(prose[:half] + menu + prose[half:]))
+        off.append(abs(share - size(prose) / (size(prose) + size(menu))))
+        between, n = between + (0 < share < 1), n + 1
+    assert n == 60 and between >= 0.9 * n and sum(off) / n < 0.08
+    assert model.content_share(some(1)[0]) > 0.95
+
+
 def test_models_on_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(d, d % 2, d % 2) for d in (1, 4, 5, 6, 15, 16, 19)], "doc_id long, quality int, toxic int")
     scored = rows_of(toxicity.score(odd, toxicity.fit_on(odd, labels)))

@@ -110,16 +110,25 @@ def from_planes(raw: bytes, size: int, n: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, most: int, may_learn: Column | None = None) -> dict[int, list[str]]:
-    """Whole texts of documents labelled 0 and 1 in a column: those of `most` labelled ids of each kind, in the order of a hash of the id."""
-    usable = labels.select("doc_id", F.col(column).cast("int").alias("label")).where(F.col("doc_id").isNotNull())
+def labelled_docs(docs: DataFrame, labels: DataFrame, column: str, most: int, may_learn: Column | None = None) -> DataFrame:
+    """doc_id, label and text of the documents of `most` ids labelled 0 and as many labelled 1 in a column, in the order of a hash of the id.
+
+    Ids that are labelled both ways teach nothing; of rows that repeat an id the least text counts.
+    """
+    usable = labels.select("doc_id", F.col(column).cast("int").alias("label")).where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     if may_learn is not None:
         usable = usable.where(may_learn)
-    ids = [usable.where(F.col("label") == x).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for x in (0, 1)]
+    usable = usable.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most")).where("label = most").drop("most")
+    ids = [usable.where(F.col("label") == x).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for x in (0, 1)]
     chosen = F.broadcast(ids[0].unionByName(ids[1]))  # 2 * most rows at most
     found = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(chosen, "doc_id")
+    return found.groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, column: str, most: int, may_learn: Column | None = None) -> dict[int, list[str]]:
+    """Whole texts of labelled_docs on the driver, by label."""
     out: dict[int, list[str]] = {0: [], 1: []}
-    for r in found.orderBy("label", F.xxhash64("doc_id"), "doc_id", "text").collect():
+    for r in labelled_docs(docs, labels, column, most, may_learn).orderBy("label", F.xxhash64("doc_id"), "doc_id").collect():
         out[r["label"]].append(r["text"])
     return out
 

@@ -13,7 +13,7 @@ with the norms an upper bound of their inner product.
 
 Defined results: vectors that are null, empty, or hold null or non-finite components, and rows without vec_id, take no
 part; vectors of different dimension never meet; equal scores go to the smaller vec_id; repeated rows count once each,
-though none is a candidate of its own vec_id; a score that has no 64-bit integer is an error; an empty table gives no rows; extra
+though none is a candidate of its own vec_id; a query id that repeats asks with its least vector; a score that has no 64-bit integer is an error; an empty table gives no rows; extra
 columns are not looked at.
 """
 
@@ -179,6 +179,11 @@ def searched(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
     return queries.groupBy(*keys).cogroup(vectors.groupBy(*keys)).applyInPandas(run, "query_id long, vec_id long, score long")
 
 
+def once(queries: DataFrame) -> DataFrame:
+    """One row for each vec_id, the least vector of those that repeat it."""
+    return queries.groupBy("vec_id").agg(F.min(F.struct("v", "d")).alias("q")).select("vec_id", "q.v", "q.d")
+
+
 def top_k(vectors: DataFrame, queries: DataFrame, points: np.ndarray, k: int) -> DataFrame:
     """query_id, rank, vec_id, score; both inputs as pivot_table gives them."""
     placed, ranges = in_blocks(vectors, points)
@@ -197,7 +202,7 @@ def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = to_integers(table(spark, sf_dir, "embeddings"))
     points = choose_pivots(vectors)
     with_pivots = cut(pivot_table(vectors, points))
-    return top_k(with_pivots, with_pivots.where(F.col("vec_id") % 100 == 0).dropDuplicates(["vec_id"]), points, 10)
+    return top_k(with_pivots, once(with_pivots.where(F.col("vec_id") % 100 == 0)), points, 10)
 
 
 QUERIES = {"op5_topk": op5_topk}
