@@ -208,3 +208,57 @@ def test_filter_audit_matches_brute_force(spark):
     assert len(got) == len(want) == len({p or "" for *_, p in rows}) * 600 and set(got) == want
     assert filter_audit.audit(docs.limit(0), marks).count() == 0
     assert {r["good_lost"] + r["toxic_lost"] for r in filter_audit.audit(docs, marks.limit(0)).collect()} == {0}
+
+
+# 3, 7: a plain call and plain sets in place of caches and filters ---------------------------------
+
+
+def test_window_savings_match_a_plain_call(spark):
+    import zstandard
+
+    from tractlake.llm import toxicity
+    from tractlake.llm.common import labelled_texts
+
+    data = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet")
+    model = toxicity.fit_on(docs, labels)
+    texts = labelled_texts(docs, labels, "toxic", 20)
+
+    def saved(window):
+        raw = f" {window} ".encode() + model.ordinary[-toxicity.TRAIL_BYTES :]
+        sizes = []
+        for content in (model.ordinary, model.toxic + model.ordinary):
+            book = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            how = zstandard.ZstdCompressionParameters(window_log=15, hash_log=14, chain_log=14, search_log=8, min_match=6, target_length=256, strategy=zstandard.STRATEGY_GREEDY, write_content_size=False, write_checksum=False, write_dict_id=False)
+            sizes.append(len(zstandard.ZstdCompressor(dict_data=book, compression_params=how).compress(raw)))
+        return max(toxicity.LOW, min(toxicity.HIGH, sizes[0] - sizes[1]))
+
+    for text in [*texts[0], *texts[1], "", "moron moron x"]:
+        want = np.zeros(toxicity.HIGH - toxicity.LOW + 1)
+        for w in toxicity.windows(text):
+            want[saved(w) - toxicity.LOW] += 1
+        assert np.allclose(toxicity.Savings(model).count(text), np.log1p(want))
+
+
+def test_language_counts_match_plain_sets(spark, monkeypatch):
+    from tractlake.llm import language
+
+    dice = random.Random(8)
+    words = {x: ["".join(dice.choice(letters) for _ in range(dice.randint(2, 6))) for _ in range(60)] for x, letters in (("a", "abcdexyz"), ("b", "defghxyz"), ("c", "éèêëabx"))}
+    texts = [(k, " ".join(dice.choice(words[x]) for _ in range(120)), x) for k, x in enumerate("abc" * 20)]
+    model = language.fit_on(spark.createDataFrame(texts, "doc_id long, text string, lang string"))
+    learned = [(t, x) for k, t, x in texts if zlib.crc32(str(k).encode()) % 4 != 2]
+    grams = {x: {} for x in "abc"}
+    for t, x in learned:
+        for g in language.grams(language.codes_of(t)).tolist():
+            grams[x][g] = grams[x].get(g, 0) + 1
+    total = {x: sum(c.values()) for x, c in grams.items()}
+    often = {x: {g: n / total[x] for g, n in c.items() if n >= language.LEAST} for x, c in grams.items()}
+    own = {x: {g for g, s in often[x].items() if s >= language.SHARE * max(o.get(g, 0) for o in often.values())} for x in often}
+    for _, t, x in texts:
+        found = language.grams(language.codes_of(t))
+        counts = dict(zip(model.languages, model.count(found), strict=True))
+        for y in "abc":  # the filter finds all of a language's grams and, corrected, hardly any other
+            exact = sum(g in own[y] for g in found.tolist())
+            assert abs(counts[y] - exact) <= 2 + 0.01 * len(found)
+        assert model.predict(t)[0] == x == max("abc", key=lambda y: sum(g in own[y] for g in found.tolist()))

@@ -10,7 +10,8 @@ no length below min_lines is passed over. Longer runs are covered by their parts
 
 DataFrame functions only. Defined results: a null text counts as empty; lines without a word are never deleted and don't part a
 run; rows without doc_id keep all lines and match nothing; equal rows (doc_id and text) count as one document; an empty table gives
-no rows; extra columns are kept by remove_repeats and not looked at. Ranks are 64-bit hashes of what they name.
+no rows; extra columns are kept by remove_repeats and not looked at. Ranks are 128-bit hashes of what they name, so that no two
+of 10^12 lines are likely to share one.
 """
 
 from __future__ import annotations
@@ -39,6 +40,11 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def name_of(*values: Column | str) -> Column:
+    """128 bits that name a line, or a run of runs that have such names."""
+    return F.unhex(F.md5(F.concat(*values)))
+
+
 def repeated(positions: DataFrame) -> DataFrame:
     """The positions(doc_id, h, pos, rank) whose rank occurs again, and later: whether an earlier position has it too."""
     groups = positions.groupBy("rank").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "h", "pos")).alias("first")).where("n > 1")
@@ -50,8 +56,8 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int |
     """(doc_id, h, pos, length, later): where runs of min_lines lines, or of min_words words in fewer lines, start that occur more
     than once; h is a hash of the text."""
     lines = with_words(lines_of(F.col("text")))
-    named = lambda x: F.struct(F.xxhash64(x).alias("rank"), F.regexp_count(x, F.lit(f"{A_WORD}+")).alias("last"))
-    ids = F.posexplode(F.transform(lines, named if min_words else lambda x: F.struct(F.xxhash64(x).alias("rank")))).alias("pos", "line")
+    named = lambda x: F.struct(name_of(x).alias("rank"), F.regexp_count(x, F.lit(f"{A_WORD}+")).alias("last"))
+    ids = F.posexplode(F.transform(lines, named if min_words else lambda x: F.struct(name_of(x).alias("rank")))).alias("pos", "line")
     active = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("h"), ids)
     active = cut(active.select("doc_id", "h", "pos", "line.*"))
     active = cut(repeated(active).dropDuplicates(["doc_id", "h", "pos"]))
@@ -64,7 +70,7 @@ def repeated_runs(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int |
         sums = [F.col("more").alias("last"), (F.col("words") + F.col("more")).alias("words")] if min_words else []
         if min_words:
             short.append(active.where(F.col("words") >= min_words).select("doc_id", "h", "pos", F.lit(length).alias("length"), "later"))
-        paired = cut(active.join(ahead, ["doc_id", "h", "pos"]).select("doc_id", "h", "pos", F.xxhash64("rank", "next").alias("rank"), *sums))
+        paired = cut(active.join(ahead, ["doc_id", "h", "pos"]).select("doc_id", "h", "pos", name_of("rank", "next").alias("rank"), *sums))
         active = cut(repeated(paired))
         length += step
     found = active.select("doc_id", "h", "pos", F.lit(min_lines).alias("length"), "later")

@@ -1,9 +1,9 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained on a bounded sample of labelled documents: one on ordinary text, and one on toxic
-text, whose samples are the words and beginnings of words that are far commoner in toxic documents. A text is cut into
-windows of one word each, spaces included; each is compressed with the ordinary dictionary and with toxic before ordinary
-content. How many windows of the whole text save how many bytes by the toxic content is what a logistic curve, calibrated on
+Two zstandard dictionaries are made from a bounded sample of labelled documents. Neither is what zstandard's own trainer gives: the
+ordinary one holds the commonest words of ordinary documents, the toxic one is a list of the words and beginnings of words that are
+far commoner in toxic documents (the README says why, with figures). A text is cut into windows of one word each, spaces included;
+each is compressed with the ordinary dictionary and with toxic before ordinary content. How many windows of the whole text save how many bytes by the toxic content is what a logistic curve, calibrated on
 the training rows, turns into a score.
 
 Defined results: null and empty texts get the score of a text with nothing saved; a table without usable labels (no toxic or no
@@ -135,7 +135,7 @@ def without_copies(texts: list[str]) -> list[str]:
 
 
 def dictionaries(toxic: list[str], ordinary: list[str]) -> Model:
-    """A model with trained dictionaries, and no weights yet."""
+    """A model with both dictionaries, and no weights yet."""
     count = [Counter(), Counter()]
     for k, texts in enumerate((ordinary, toxic)):
         for t in texts:
