@@ -159,3 +159,40 @@ def slug(c: Column | str) -> Column:
 
 def url_escaped(c: Column | str) -> Column:
     return reduce(lambda a, kv: F.replace(a, F.lit(kv[0]), F.lit(kv[1])), ((" ", "%20"), ("|", "%7C"), ("*", "%2A"), ("<", "%3C"), (">", "%3E")), col(c))
+
+
+def strict_number(c: Column | str) -> Column:
+    """The number that a text is; any other text fails the job."""
+    return col(c).cast("double")
+
+
+def bare_name(c: Column | str) -> Column:
+    """Whether a name of a file is one, and not a path."""
+    return F.coalesce((col(c) != "") & ~col(c).isin(".", "..", "manifest.json") & ~col(c).rlike(r"[/\\\\:]") & ~col(c).rlike(r"^(\.\.|~)"), F.lit(False))
+
+
+def web_address(c: Column | str) -> Column:
+    """Whether a text is an address by http or https with a host and without credentials."""
+    part = lambda name: F.try_parse_url(col(c), F.lit(name))
+    return F.coalesce(part("PROTOCOL").isin("http", "https") & (part("HOST") != "") & part("USERINFO").isNull(), F.lit(False))
+
+
+def manifest_faults(source: Column, snapshot: Column, acquired_at: Column, urls: list[Column], bucket: Column, version: Column, files: Column, terms: Column) -> Column:
+    """What is wrong with a manifest, rule by rule: files maps names to digests; the second address may be null; version is a whole number."""
+    day, _ = snapshot_parts(snapshot)
+    names, digests = F.map_keys(files), F.map_values(files)
+    utc = F.coalesce(acquired_at.rlike(r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d{1,6})?)?(Z|[+-]00:00)$") & F.try_to_timestamp(F.regexp_replace(F.substring(acquired_at, 1, 16), "T", " "), F.lit("yyyy-MM-dd HH:mm")).isNotNull(), F.lit(False))
+    rules = {
+        "source": F.coalesce(source.rlike(SLUG), F.lit(False)),
+        "snapshot": day.isNotNull(),
+        "acquired_at": utc,
+        "url": web_address(urls[0]),
+        "second url": F.when(urls[1].isNull(), True).otherwise(web_address(urls[1])),
+        "bucket": F.coalesce(bucket.isin("A", "B"), F.lit(False)),
+        "version": F.coalesce(version >= 1, F.lit(False)),
+        "files": F.coalesce(F.size(files) > 0, F.lit(False)),
+        "file name": ~F.coalesce(F.exists(names, lambda n: ~bare_name(n)), F.lit(False)),
+        "digest": ~F.coalesce(F.exists(digests, lambda x: ~F.coalesce(x.rlike("^[0-9a-f]{64}$"), F.lit(False))), F.lit(False)),
+        "terms": F.coalesce(bare_name(terms) & F.array_contains(names, terms), F.lit(False)),
+    }
+    return F.array_compact(F.array(*[F.when(~ok, F.lit(name)) for name, ok in rules.items()]))

@@ -106,3 +106,12 @@ def road_faults(roads: DataFrame, key: str, line: str, classes: tuple[str, ...],
     measured = roads.select(key, "class", "type", F.coalesce(away, F.lit(True)).alias("away")).join(shapes.overlay(roads, spine, key, line, area, shape, cell).select(key, "length", "touches"), key)
     own = faults(measured, {("class", "unknown"): ~F.coalesce(F.col("class").isin(*classes), F.lit(False)), ("type", "unknown"): ~F.coalesce(F.col("type").isin(*types), F.lit(False)), ("line", "no length"): F.col("length") == 0, ("bounds", "outside the box"): F.col("away"), ("spine", "touches no area"): ~F.col("touches")})
     return union([own, key_fault(roads, key)])
+
+
+def plan_faults(points: DataFrame, key: str, counts: dict[str, int]) -> DataFrame:
+    """Of the points(role, key, x, y) of a routing plan: keys that a role has twice or null, missing coordinates, roles that aren't planned, and counts that aren't exact."""
+    own = faults(points, {("coordinates", "missing"): F.col("x").isNull() | F.col("y").isNull(), ("key", "null"): F.col(key).isNull(), ("role", "unplanned"): ~F.coalesce(F.col("role").isin(*counts), F.lit(False))})
+    twice = repeated(points.where(F.col(key).isNotNull()), ["role", key]).agg(F.count("*").alias("count")).where("count > 0").select(F.lit("key").alias("check"), F.lit("repeated").alias("detail"), "count")
+    seen = points.agg(*[F.count_if(F.col("role") == r).alias(f"n{k}") for k, r in enumerate(counts)])
+    rows = F.inline(F.array(*[F.struct(F.lit("count").alias("check"), F.lit(r).alias("detail"), F.col(f"n{k}").alias("count"), F.lit(n).alias("wanted")) for k, (r, n) in enumerate(counts.items())]))
+    return union([own, twice, seen.select(rows).where("count <> wanted").select("check", "detail", "count")])

@@ -95,3 +95,16 @@ class SparseMatrix:
         n = self.expected().first()[0]  # one number
         counts = found.agg(F.count("*").alias("finite"), F.coalesce(F.min("minutes"), F.lit(self.default)).alias("low"))
         return counts.join(quantiles(found, "minutes", shares, (n, self.default))).select(F.lit(n).alias("n"), "finite", "low", "q")  # one row each
+
+    def tiers(self, flags: DataFrame, limit: float) -> DataFrame:
+        """origin_id and label: open where a site within the limit is known to be open, else exists where there is one, else none; flags(site_id, open)."""
+        near = self.pairs.where(F.col("minutes") <= limit).join(flags.select("site_id", F.coalesce("open", F.lit(False)).alias("open")), "site_id").groupBy("origin_id").agg(F.bool_or("open").alias("open"))
+        label = F.when(F.col("open"), "open").when(F.col("open").isNotNull(), "exists").otherwise("none")
+        return self.origins.join(near, "origin_id", "left").select("origin_id", label.alias("label"))
+
+    def wider_mapping(self, kinds: DataFrame, counted: list, extra: list) -> DataFrame:
+        """One row on nearest times when sites of more kinds count, kinds(site_id, kind): origins, nearer (how many get nearer), and the mean and the largest gain."""
+        both = kinds.select("site_id", F.explode(F.array(F.when(F.col("kind").isin(counted), "now"), F.when(F.col("kind").isin([*counted, *extra]), "then"))).alias("mapping")).where("mapping is not null")
+        times = self.nearest_by(both, "mapping", ["now", "then"]).groupBy("origin_id").agg(F.max(F.when(F.col("mapping") == "now", F.col("minutes"))).alias("now"), F.max(F.when(F.col("mapping") == "then", F.col("minutes"))).alias("then"))
+        gain = F.col("now") - F.col("then")
+        return times.agg(F.count("*").alias("origins"), F.count_if(gain > 0).alias("nearer"), F.avg(gain).alias("mean_gain"), F.max(gain).alias("largest_gain"))

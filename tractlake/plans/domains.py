@@ -43,7 +43,7 @@ def _(spark, d):
 def _(spark, d):
     raw = read(spark, d, "part").select("p_partkey", F.when(F.col("p_partkey") % 5 == 0, "  ").otherwise(F.concat("p_name", F.lit(" "))).alias("name"))
     raw.write.csv(path := scratch(spark), header=True)
-    return tables.trimmed(tables.delimited(spark, path, "p_partkey bigint, name string"))
+    return tables.read_retailers(spark, path, ["p_partkey", "name"]).withColumn("p_partkey", X.strict_number("p_partkey").cast("bigint"))
 
 
 @query("a4_geojson", with_sql("sites") + " SELECT CAST(site_id AS VARCHAR) AS site_id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM sites")
@@ -75,7 +75,7 @@ def _(spark, d):
 
 @query("a8_roads", "SELECT p_partkey, p_name FROM part WHERE p_type IN ('PROMO', 'LARGE') ORDER BY p_partkey")
 def _(spark, d):
-    return read(spark, d, "part").where(F.col("p_type").isin("PROMO", "LARGE")).select("p_partkey", "p_name").orderBy("p_partkey")
+    return tables.read_roads(read(spark, d, "part"), ("PROMO", "LARGE"), "p_type", "p_partkey").select("p_partkey", "p_name")
 
 
 @query("a9_file_digests")

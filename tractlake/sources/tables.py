@@ -171,3 +171,18 @@ def shape_lines(df: DataFrame, key: str, shape: str, area: bool, decimals: int =
 def read_roads(df: DataFrame, classes: tuple[str, ...], class_column: str, key: str) -> DataFrame:
     """The rows of some classes in the order of their identifier."""
     return df.where(F.col(class_column).isin(*classes)).orderBy(key)
+
+
+NODES = "node_id bigint, lon double, lat double, tags map<string, string>"
+WAYS = "way_id bigint, refs array<bigint>, tags map<string, string>"
+RELATIONS = "relation_id bigint, members array<struct<kind: string, ref: bigint, role: string>>, tags map<string, string>"
+
+
+def read_street(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """nodes, ways (refs in order, tags) and relations (members of any kind with their roles, tags) of a decoded street extract."""
+    return {name: spark.read.schema(schema).parquet(f"{folder}/{name}") for name, schema in (("nodes", NODES), ("ways", WAYS), ("relations", RELATIONS))}
+
+
+def read_retailers(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """Every cell of a retailer table as text, trimmed, blanks null; its header has to be these columns."""
+    return trimmed(asserted(spark, path, columns))
