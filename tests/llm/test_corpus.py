@@ -392,7 +392,7 @@ def test_queries_reach_few_blocks_of_clustered_vectors(spark, monkeypatch):
     points = topk.choose_pivots(vectors, 12)
     placed, ranges = topk.in_blocks(topk.pivot_table(vectors, points), points)
     asking = placed.where("vec_id % 100 = 0").select("vec_id", "v", "d", "dim", F.lit(float("-inf")).alias("floor"))
-    first = rows_of(topk.searched(placed, topk.asked_blocks(asking, ranges, 12, True), 10))
+    first = rows_of(topk.searched(placed, topk.asked_blocks(asking, ranges, 12, True), 10, points))
     least = {}
     for r in first:
         least[r["query_id"]] = min(least.get(r["query_id"], r["score"]), r["score"])

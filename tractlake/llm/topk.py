@@ -1,8 +1,9 @@
 """Exact top-k search by inner product with a pivot table.
 
 Components become integers floor(1024 x), so scores are exact. Each vector's distances to a fixed number of pivots are
-computed once; for a query q and a vector x, the largest |d(q,p) - d(x,p)| is a lower bound of their distance, and
-with the norms an upper bound of their inner product.
+computed once; for a query q and a block of vectors, the largest |d(q,p) - d(x,p)| over all pivots p is a lower bound of their distance, and
+with the norms an upper bound of their inner product. For a query and one vector the distances to all pivots together give the largest lower
+bound there is (see Frame).
 
 1. Vectors are dealt to blocks of neighbours: those with the same nearest pivot, parted by a hash where they are many. A block has the
    range of its vectors' distances to every pivot, so it has bounds too.
@@ -26,8 +27,8 @@ from pyspark.sql import functions as F
 
 from tractlake.llm.common import cut, table
 
-#: Pivots are chosen, far from each other, among so many vectors.
-PIVOTS, PIVOT_SAMPLE = 32, 512
+#: So many pivots are chosen, far from each other, among so many vectors.
+PIVOTS, PIVOT_SAMPLE = 48, 512
 VECTORS_A_BLOCK, QUERIES_A_PART = 4096, 4096
 #: Blocks whose ranges reach every task; a table with more gets larger blocks.
 MOST_BLOCKS = 1 << 15
@@ -73,6 +74,41 @@ def pivot_table(vectors: DataFrame, points: np.ndarray) -> DataFrame:
     return vectors.mapInPandas(run, "vec_id long, v array<bigint>, d array<double>")
 
 
+class Frame:
+    """What distances to all pivots say together: where a vector lies in the space that the pivots span, and how far off it.
+
+    Two vectors are at least as far apart as their places in that space and the difference of their distances from it allow; no larger lower bound
+    follows from the pivot table. Pivots that (nearly) depend on others add nothing and are left out.
+    """
+
+    def __init__(self, points: np.ndarray) -> None:
+        self.dim = points.shape[1] if len(points) else 0
+        chosen, basis = [], np.zeros((0, self.dim))
+        for k, p in enumerate(points):
+            rest = p - (p @ basis.T) @ basis
+            rest -= (rest @ basis.T) @ basis
+            if np.sqrt(rest @ rest) > 1e-3 * np.sqrt(p @ p):
+                chosen.append(k)
+                basis = np.vstack([basis, rest / np.sqrt(rest @ rest)])
+        self.chosen, self.square = np.array(chosen, np.int64), (points[chosen] ** 2).sum(1) if chosen else np.zeros(0)
+        self.turn = np.linalg.inv(points[chosen] @ basis.T) if chosen else np.zeros((0, 0))
+
+    def place(self, x: np.ndarray, d: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Coordinates in the span of the pivots and the distance from it, from the vectors' norms and their distances to the pivots."""
+        square = (x.astype(np.float64) ** 2).sum(1)
+        if x.shape[1] != self.dim:
+            return np.zeros((len(x), 0)), np.sqrt(square)
+        at = ((square[:, None] + self.square - d[:, self.chosen] ** 2) / 2) @ self.turn.T
+        return at, np.sqrt(np.maximum(square - (at**2).sum(1), 0))
+
+    def bounds(self, q: np.ndarray, q_d: np.ndarray, x: np.ndarray, x_d: np.ndarray) -> np.ndarray:
+        """The largest inner product of each query and vector that their pivot distances allow; rounding never makes it too small."""
+        (q_at, q_off), (x_at, x_off) = self.place(q, q_d), self.place(x, x_d)
+        size = np.sqrt((q_at**2).sum(1) + q_off**2)[:, None] * np.sqrt((x_at**2).sum(1) + x_off**2)[None, :]
+        # A residual is the root of a difference of squares, so its own rounding is the root of theirs.
+        return q_at @ x_at.T + (q_off[:, None] + 1e-5 * np.sqrt(size)) * (x_off[None, :] + 1e-5 * np.sqrt(size)) + 1e-6 * size + 1
+
+
 def scores_of(x: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Exact inner products of integer vectors: in floats where every sum stays a whole number below 2**53, else in 64 bits, else in Python's integers."""
     most = int(np.abs(x).max(initial=0)) * int(np.abs(q).max(initial=0)) * x.shape[1]
@@ -94,10 +130,9 @@ def upper_bounds(q_norm: np.ndarray, q_d: np.ndarray, norm: np.ndarray, low: np.
     return bound + 1e-9 * np.abs(bound) + 1
 
 
-def search_block(q_ids: np.ndarray, q: np.ndarray, q_d: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, x_d: np.ndarray, k: int) -> list[tuple[int, int, int]]:
+def search_block(q_ids: np.ndarray, q: np.ndarray, q_d: np.ndarray, floor: np.ndarray, ids: np.ndarray, x: np.ndarray, x_d: np.ndarray, k: int, frame: Frame) -> list[tuple[int, int, int]]:
     """(query, vector, score) of the k best of this block for each query, of those that reach its floor."""
-    square = lambda v: (v.astype(np.float64) ** 2).sum(1)
-    bound = upper_bounds(square(q), q_d, square(x), x_d, x_d)
+    bound = frame.bounds(q, q_d, x, x_d)
     bound[q_ids[:, None] == ids[None, :]] = -np.inf
     bound[bound < floor[:, None]] = -np.inf
     order = np.argsort(-bound, axis=1, kind="stable")
@@ -159,8 +194,9 @@ def asked_blocks(queries: DataFrame, ranges: pd.DataFrame, pivots: int, first: b
     return queries.mapInPandas(run, "vec_id long, v array<bigint>, d array<double>, dim int, floor double, block long")
 
 
-def searched(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+def searched(placed: DataFrame, asked: DataFrame, k: int, points: np.ndarray) -> DataFrame:
     """(query_id, vec_id, score) of the k best of each block for the queries that ask it."""
+    frame = Frame(points)
     load = asked.groupBy("dim", "block").agg(F.ceil(F.count("*") / QUERIES_A_PART).cast("int").alias("parts"))
     load = cut(load)
     queries = asked.join(load, ["dim", "block"]).withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("parts").cast("long")).cast("int"))
@@ -172,7 +208,7 @@ def searched(placed: DataFrame, asked: DataFrame, k: int) -> DataFrame:
             whole, real = (lambda c: np.stack(c.to_numpy()).astype(np.int64)), (lambda c: np.stack(c.to_numpy()).astype(np.float64))
             for at in range(0, len(a), 512):
                 some = a.iloc[at : at + 512]
-                found += search_block(some["vec_id"].to_numpy(), whole(some["v"]), real(some["d"]), some["floor"].to_numpy(np.float64), b["vec_id"].to_numpy(), whole(b["v"]), real(b["d"]), k)
+                found += search_block(some["vec_id"].to_numpy(), whole(some["v"]), real(some["d"]), some["floor"].to_numpy(np.float64), b["vec_id"].to_numpy(), whole(b["v"]), real(b["d"]), k, frame)
         return pd.DataFrame(found, columns=["query_id", "vec_id", "score"])
 
     keys = ["dim", "block", "part"]
@@ -189,11 +225,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, points: np.ndarray, k: int) ->
     placed, ranges = in_blocks(vectors, points)
     placed = cut(placed)
     asking = queries.select("vec_id", "v", "d", F.size("v").alias("dim"), F.lit(float("-inf")).alias("floor"))
-    first = cut(searched(placed, asked_blocks(asking, ranges, len(points), True), k))
+    first = cut(searched(placed, asked_blocks(asking, ranges, len(points), True), k, points))
     kth = first.groupBy(F.col("query_id").alias("vec_id")).agg(F.count("*").alias("n"), F.min("score").alias("least"))
     floor = F.when(F.col("n") >= k, F.col("least").cast("double")).otherwise(F.lit(float("-inf")))
     rest = asking.drop("floor").join(kth, "vec_id", "left").select("vec_id", "v", "d", "dim", F.coalesce(floor, F.lit(float("-inf"))).alias("floor"))
-    best = first.unionByName(searched(placed, asked_blocks(rest, ranges, len(points), False), k))
+    best = first.unionByName(searched(placed, asked_blocks(rest, ranges, len(points), False), k, points))
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
