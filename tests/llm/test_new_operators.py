@@ -262,3 +262,40 @@ def test_language_counts_match_plain_sets(spark, monkeypatch):
             exact = sum(g in own[y] for g in found.tolist())
             assert abs(counts[y] - exact) <= 2 + 0.01 * len(found)
         assert model.predict(t)[0] == x == max("abc", key=lambda y: sum(g in own[y] for g in found.tolist()))
+
+
+# 2: against the exact optimum -----------------------------------------------------------------------
+
+
+def fewest_bins(lengths, capacity):
+    """The least number of bins, by trying sets of pieces that fill a bin together with the largest one left."""
+    from functools import cache
+
+    @cache
+    def least(left):
+        if not left:
+            return 0
+        first, rest = left[-1], left[:-1]
+        best = len(left)
+        for picked in range(1 << len(rest)):
+            some = [x for k, x in enumerate(rest) if picked >> k & 1]
+            if first + sum(some) <= capacity:
+                best = min(best, 1 + least(tuple(x for k, x in enumerate(rest) if not picked >> k & 1)))
+        return best
+
+    return least(tuple(sorted(lengths)))
+
+
+def test_bins_are_as_few_as_can_be(spark):
+    from collections import Counter
+
+    from tractlake.llm import packing
+
+    dice, more = random.Random(12), 0
+    for _ in range(150):
+        capacity = dice.choice([10, 23, 60])
+        lengths = [dice.randint(1, capacity) for _ in range(dice.randint(1, 9))]
+        plan = packing.plan_bins(dict(Counter(lengths)), capacity)
+        more += plan[-1][0] + plan[-1][1] - fewest_bins(lengths, capacity)
+        assert plan[-1][0] + plan[-1][1] <= fewest_bins(lengths, capacity) + 1
+    assert more <= 3

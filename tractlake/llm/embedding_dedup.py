@@ -14,7 +14,8 @@ SHARED pivots; candidates are then verified in double precision.
    worked out once. Long lists are parted into blocks, and blocks meet pairwise.
 4. Links of vectors and clumps are joined to components.
 
-What the index loses is measured, not assumed: pairs whose descriptions share too few pivots (about 3 in 100 at a cosine of 0.9, almost none at 0.95).
+What the index loses are pairs whose descriptions share too few pivots: of pairs right at a cosine of 0.9, 1 in 1,000 with the pivots of 10,000 vectors,
+7 in 1,000 with those of 50,000 and 38 in 1,000 with those of a million and more (64 dimensions); at 0.95 hardly any.
 
 Defined results: one row for each vec_id; rows without vec_id take no part; of rows that repeat a vec_id the least vector counts; vectors
 that are null, empty, all zero, or hold null or non-finite components link with nothing and are kept; vectors of different dimension never

@@ -12,7 +12,8 @@
    is checked on the whole sets. A shingle of very many documents is split by size, and each size into blocks.
 
 Defined results: null texts and texts without words have no set and no link (n_shingles 0, component their own id); rows
-without doc_id keep a null component; repeated rows give repeated results; extra columns are not looked at. Hashes have 64 bits.
+without doc_id keep a null component; repeated rows give repeated results; extra columns are not looked at. Shingles have 64-bit
+hashes; sets are compared by 48 bits of them, and prefixes meet by 40 (what meets by chance is told apart by the sets).
 """
 
 from __future__ import annotations

@@ -3,7 +3,7 @@
 Texts become subword ids once; a causal self-attention model (causal_lm) starts from how often each id follows which in all training
 documents and is trained by rounds of local training and averaging: the training documents are parted over the rounds, so that each
 one trains, whole, in one group of one round, whatever the size of the table. A round deals its documents to groups of about
-GROUP_TOKENS tokens, trains a copy of the model in each group, and averages the copies, as whole numbers, so that no order matters. Then every text is scored in overlapping windows that score each id
+GROUP_TOKENS tokens, trains a copy of the model in each group, and averages the copies, as whole numbers, so that their order doesn't matter; inside a call sums run in the order of its rows, so scores can differ in the seventh digit with how rows are dealt. Then every text is scored in overlapping windows that score each id
 once, its end included.
 
 The base counts the words of all training documents. A bounded table of the commonest words goes to every task; all other words
