@@ -62,10 +62,15 @@ def reach(c: str, low: str, high: str) -> tuple[Column, Column]:
     return F.greatest(F.col(low) - F.col(c), F.col(c) - F.col(high), F.lit(0.0)), F.greatest(F.abs(F.col(c) - F.col(low)), F.abs(F.col(c) - F.col(high)))
 
 
-def met(front: DataFrame, cells: DataFrame) -> DataFrame:
-    """front(qx, qy, px, py, ...) beside the children of its cells, with near and far: the least and largest distance to a target of each."""
+def beneath(front: DataFrame, cells: DataFrame, level: int) -> DataFrame:
+    """front(qx, qy, px, py, ...) beside the children of its cells. All points start at the one cell of the top, whose FAN x FAN children go to every task."""
+    return front.join(F.broadcast(cells) if level == 1 else cells, ["px", "py"])
+
+
+def met(front: DataFrame, cells: DataFrame, level: int) -> DataFrame:
+    """front beside the children of its cells, with near and far: the least and largest distance to a target of each."""
     (ax, bx), (ay, by) = reach("qx", "x0", "x1"), reach("qy", "y0", "y1")
-    return front.join(cells, ["px", "py"]).withColumn("near", F.hypot(ax, ay)).withColumn("far", F.hypot(bx, by))
+    return beneath(front, cells, level).withColumn("near", F.hypot(ax, ay)).withColumn("far", F.hypot(bx, by))
 
 
 def start(points: DataFrame, key: str) -> DataFrame:
@@ -92,7 +97,7 @@ def nearest(points: DataFrame, targets: DataFrame, point_key: str, target_key: s
     while True:
         cells = cut(children(left, within, level, most))
         bound = F.least("bound", F.min("far").over(mine))
-        looked = met(front, cells).withColumn("bound", bound * (1 + 1e-12)).where("near <= bound")
+        looked = met(front, cells, level).withColumn("bound", bound * (1 + 1e-12)).where("near <= bound")
         looked = cut(looked.select(point_key, "qx", "qy", "ix", "iy", "open", "near", "bound"))
         leaves, left = parted(left, cells, within, level)
         # The targets of a leaf meet the points that look into it; the best one of each point is a bound for what it still looks into.
@@ -117,7 +122,7 @@ def counts_within(points: DataFrame, targets: DataFrame, point_key: str, radius:
     front, level, parts = start(points, point_key), 1, []
     while within is not None:
         cells = cut(children(left, within, level, most))
-        looked = met(front, cells).where(F.col("near") <= radius)
+        looked = met(front, cells, level).where(F.col("near") <= radius)
         looked = cut(looked.select(point_key, "qx", "qy", "ix", "iy", "open", "weight", (F.col("far") <= radius * (1 - 1e-12)).alias("whole")))
         parts.append(looked.where("whole").groupBy(point_key).agg(F.sum("weight").alias("n")))
         leaves, left = parted(left, cells, within, level)
@@ -142,7 +147,7 @@ def pairs_within(points: DataFrame, targets: DataFrame, point_key: str, target_k
     while within is not None:
         cells = cut(children(left, within, level, most))
         near = F.greatest(F.col("x0") - F.col("qx"), F.col("qx") - F.col("x1"), F.lit(0.0)) + F.greatest(F.col("y0") - F.col("qy"), F.col("qy") - F.col("y1"), F.lit(0.0))
-        looked = cut(front.join(cells, ["px", "py"]).where(near <= reach_).select(point_key, "qx", "qy", "ix", "iy", "open"))
+        looked = cut(beneath(front, cells, level).where(near <= reach_).select(point_key, "qx", "qy", "ix", "iy", "open"))
         leaves, left = parted(left, cells, within, level)
         found = found.unionByName(looked.where("not open").join(leaves, ["ix", "iy"]).select(point_key, target_key, apart.alias("distance")).where(F.col("distance") <= reach_))
         front = looked.where("open").select(point_key, "qx", "qy", F.col("ix").alias("px"), F.col("iy").alias("py"))
