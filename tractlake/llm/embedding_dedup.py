@@ -14,8 +14,8 @@ SHARED pivots; candidates are then verified in double precision.
    worked out once. Long lists are parted into blocks, and blocks meet pairwise.
 4. Links of vectors and clumps are joined to components.
 
-What the index loses are pairs whose descriptions share too few pivots: of pairs right at a cosine of 0.9, 1 in 1,000 with the pivots of 10,000 vectors,
-7 in 1,000 with those of 50,000 and 38 in 1,000 with those of a million and more (64 dimensions); at 0.95 hardly any.
+What the index loses are pairs whose descriptions share too few pivots: of pairs right at a cosine of 0.9, 7 in 1,000 with the pivots of 10,000 vectors,
+2 in 100 with those of 50,000 and 4 in 100 with those of 250,000 and more (64 dimensions); at 0.95 hardly any.
 
 Defined results: one row for each vec_id; rows without vec_id take no part; of rows that repeat a vec_id the least vector counts; vectors
 that are null, empty, all zero, or hold null or non-finite components link with nothing and are kept; vectors of different dimension never
@@ -37,12 +37,14 @@ from tractlake.llm.components import components
 LINKED = 0.9
 #: Pivots in a description, and those that candidates share at least.
 NEAREST, SHARED = 10, 3
-#: Reference points: about twice the root of the number of vectors, between these, from a sample of so many vectors.
+#: Reference points: about four times the root of the number of vectors, between these, from a sample of so many vectors.
 PIVOTS, PIVOT_SAMPLE = (128, 2048), 4096
 #: Vectors of a pivot that are looked at for dense spots, and how many have to lie together.
 LOOKED_AT, DENSE = 64, 8
 #: Vectors of a clump, or postings of a list, that meet in one task.
 BLOCK = 2048
+#: Pairs of postings that are compared at once.
+PAIRS_A_STEP = 1 << 14
 #: Radians that rounding may cost.
 SLACK = 1e-6
 VECTOR = "vec_id long, v array<double>"
@@ -222,29 +224,51 @@ def candidates(single: DataFrame) -> DataFrame:
     met = posted.join(sizes.select(*key, "blocks"), key).withColumn("block", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     met = met.select("vec_id", "p", "block", *key, F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"))
 
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        """The pairs of one list, or of two of its blocks, that share enough pivots and none rarer than the list's own two."""
-        part = part.sort_values("vec_id")
+    dealt = met.repartition(*key, "x", "y").sortWithinPartitions(*key, "x", "y", "vec_id")
+    return dealt.mapInPandas(lists_met, "a long, b long")
+
+
+def lists_met(batches: Iterable[pd.DataFrame]) -> Iterable[pd.DataFrame]:
+    """The pairs of sorted lists, many lists at once; a list whose postings go on in the next batch waits for them."""
+    key, rest = ["dim", "p1", "p2", "x", "y"], None
+    for batch in batches:
+        rows = batch if rest is None else pd.concat([rest, batch], ignore_index=True)
+        if len(rows):
+            last = (rows[key] == rows[key].iloc[-1]).all(axis=1).to_numpy()
+            at = len(rows) - int(last[::-1].argmin()) if not last.all() else 0
+            rest = rows.iloc[at:]
+            yield pairs_of_lists(rows.iloc[:at])
+    if rest is not None:
+        yield pairs_of_lists(rest)
+
+
+def pairs_of_lists(rows: pd.DataFrame) -> pd.DataFrame:
+    """(a, b) of whole lists, each at most 2 * BLOCK postings, that share enough pivots and none rarer than the list's own two.
+
+    Rows of a list follow each other, so the pairs of all lists come up by how far apart two rows are.
+    """
+    out = [np.zeros((0, 2), np.int64)]
+    for _, part in rows.groupby("dim", sort=False):
+        key = part[["p1", "p2", "x", "y"]].to_numpy()
+        first = np.concatenate(([True], (key[1:] != key[:-1]).any(1)))
+        starts = np.flatnonzero(first)
+        sizes = np.diff(np.append(starts, len(part)))
+        place, size = np.arange(len(part)) - np.repeat(starts, sizes), np.repeat(sizes, sizes)
         ids, block, p = part["vec_id"].to_numpy(), part["block"].to_numpy(), stack(part["p"]).astype(np.int64)
-        names, places = np.unique(p, return_inverse=True)
-        places = places.reshape(p.shape)
-        has, rarer = np.zeros((len(part), len(names)), np.float32), np.zeros((len(part), len(names)), np.float32)
-        who = np.arange(len(part))[:, None]
-        has[who, places] = 1
-        rarer[who, places] = np.cumsum(p == part["p2"].iloc[0], axis=1) == 0
-        two = part["x"].iloc[0] != part["y"].iloc[0]
-        out = [np.zeros((0, 2), np.int64)]
-        for at in range(0, len(part), 256):
-            i, j = np.nonzero(has[at : at + 256] @ has.T >= min(SHARED, p.shape[1]))
-            i += at
-            keep = (i < j) & ((block[i] != block[j]) | (not two))
-            if p.shape[1] > 1:
-                keep &= (rarer[i] * rarer[j]).sum(1) == 1
-            out.append(np.stack([ids[i[keep]], ids[j[keep]]], 1))
-        pairs = np.concatenate(out)
-        return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return met.groupBy(*key, "x", "y").applyInPandas(run, "a long, b long")
+        rarer = np.cumsum(p == key[:, 1, None], axis=1) == 0
+        two = key[:, 2] != key[:, 3]
+        for step in range(1, int(sizes.max())):
+            every = np.flatnonzero(place + step < size)
+            for at in range(0, len(every), PAIRS_A_STEP):
+                i = every[at : at + PAIRS_A_STEP]
+                j = i + step
+                same = (p[i][:, :, None] == p[j][:, None, :]).any(2)
+                keep = (same.sum(1) >= min(SHARED, p.shape[1])) & ((block[i] != block[j]) | ~two[i])
+                if p.shape[1] > 1:
+                    keep &= (same & rarer[i]).sum(1) == 1
+                out.append(np.stack([ids[i[keep]], ids[j[keep]]], 1))
+    pairs = np.concatenate(out)
+    return pd.DataFrame({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
 def verified(pairs: DataFrame, vectors: DataFrame, linked: float) -> DataFrame:
@@ -263,7 +287,7 @@ def near_duplicates(embeddings: DataFrame, linked: float = LINKED) -> DataFrame:
     """vec_id, n_links, component_id, kept and clump (null outside of clumps)."""
     every = cut(directions(embeddings))
     vectors = every.where("v is not null")
-    number = 1 << int(np.ceil(np.log2(2 * np.sqrt(vectors.count() + 1))))
+    number = 1 << int(np.ceil(np.log2(4 * np.sqrt(vectors.count() + 1))))
     rows = cut(described(vectors, choose_pivots(vectors, min(max(number, PIVOTS[0]), PIVOTS[1]))))
     angle = float(np.arccos(linked))
     centres = dense_spots(rows, angle / 2)
