@@ -59,9 +59,9 @@ def outer_edges(polygons: DataFrame, key: str, ring: str, cell: float) -> DataFr
     return shapes.outline(polygons, key, ring, cell)
 
 
-def _value_counts(df: DataFrame, value: str) -> DataFrame:
+def _value_counts(df: DataFrame, value: str, weight: str | None = None) -> DataFrame:
     """The distinct values of a column with their counts, and how many rows lie before each: ranges of values, and running counts inside."""
-    sizes = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    sizes = df.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("v")).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
     ranged = cut(sizes.repartitionByRange(F.col("v")).withColumn("part", F.spark_partition_id()))
     totals = ranged.groupBy("part").agg(F.sum("n").alias("t"))
     before = totals.select("part", F.coalesce(F.sum("t").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))  # a row for each task
@@ -69,12 +69,12 @@ def _value_counts(df: DataFrame, value: str) -> DataFrame:
     return ranged.withColumn("in", inside).join(before, "part").select("v", "n", (F.col("base") + F.col("in")).alias("before"))
 
 
-def quantiles(df: DataFrame, value: str, shares: list[float], rest: tuple[int, float] | None = None) -> DataFrame:
+def quantiles(df: DataFrame, value: str, shares: list[float], rest: tuple[int, float] | None = None, weight: str | None = None) -> DataFrame:
     """One row: q, the values at these shares of the sorted non-null values, between two of them by straight line; nulls without a value.
 
-    rest: how many values there are in all, and the value, no smaller than those of df, that the ones not listed have.
+    rest: how many values there are in all, and the value, no smaller than those of df, that the ones not listed have. weight: how often each row counts.
     """
-    counts = cut(_value_counts(df, value))
+    counts = cut(_value_counts(df, value, weight))
     total = rest[0] if rest else counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     there = lambda k: F.max(F.when((F.col("before") <= k) & (F.col("before") + F.col("n") > k), F.col("v").cast("double")))
     at = lambda k: F.coalesce(there(k), F.lit(rest[1] if rest and total else None).cast("double"))
@@ -86,9 +86,9 @@ def quantiles(df: DataFrame, value: str, shares: list[float], rest: tuple[int, f
     return counts.agg(F.array(*out).alias("q"))
 
 
-def quantiles_by(df: DataFrame, by: str, value: str, shares: list[float]) -> DataFrame:
+def quantiles_by(df: DataFrame, by: str, value: str, shares: list[float], weight: str | None = None) -> DataFrame:
     """by, q, low and high: quantiles of each group, as quantiles gives them, its least and its largest value; a group's values may lie in many tasks."""
-    sizes = df.where(F.col(value).isNotNull()).groupBy(F.col(by).alias("g"), F.col(value).alias("v")).agg(F.count("*").alias("n"))
+    sizes = df.where(F.col(value).isNotNull()).groupBy(F.col(by).alias("g"), F.col(value).alias("v")).agg((F.sum(weight) if weight else F.count("*")).alias("n"))
     ranged = cut(sizes.repartitionByRange(F.col("g"), F.col("v")).withColumn("part", F.spark_partition_id()))
     totals = ranged.groupBy("g", "part").agg(F.sum("n").alias("t"))  # a row for each group and task
     before = totals.withColumn("base", F.coalesce(F.sum("t").over(Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
