@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tractlake.functions.expr import censored
+from tractlake.operators.distances import pairs_where
 from tractlake.operators.joins import refuse, repeated
 
 
@@ -86,6 +87,13 @@ def run_comparison(a: DataFrame, b: DataFrame, keys: list[str], value: str, band
     return both.agg(F.count_if(F.col("in_a") & F.col("in_b")).alias("pairs"), F.count_if(F.col("in_a").isNull() | F.col("in_b").isNull()).alias("one_only"), F.count(d).alias("finite"), F.count_if(F.abs(d) > band).alias("beyond"), F.min(d).alias("least"), F.avg(d).alias("mean"), F.max(d).alias("largest"))
 
 
+def comparison_of_counts(rows: DataFrame, band: float) -> DataFrame:
+    """The same of rows(a, b, shared, pairs), each of which stands for so many pairs, in both runs or in one only."""
+    d = F.col("b") - F.col("a")
+    mean = F.sum(d * F.col("pairs")) / F.sum(F.when(d.isNotNull(), F.col("pairs")))
+    return rows.agg(pairs_where(F.col("shared")).alias("pairs"), pairs_where(~F.col("shared")).alias("one_only"), pairs_where(d.isNotNull()).alias("finite"), pairs_where(F.abs(d) > band).alias("beyond"), F.min(d).alias("least"), mean.alias("mean"), F.max(d).alias("largest"))
+
+
 def aggregation_sensitivity(parts: DataFrame, areas: DataFrame, area: str, value: str, weight: str) -> DataFrame:
     """area, the value of its parts weighted, its own value, and the difference: parts(area, value, weight) against areas(area, value)."""
     w = F.when(F.col(value).isNotNull(), F.col(weight))
