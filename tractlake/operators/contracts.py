@@ -59,17 +59,19 @@ def _row_checks(contract: Contract, columns: dict[str, str]) -> list[tuple[str,
     return out
 
 
-def violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """Every violation of a contract: schema, values, keys, row count and labels, in one pass and one aggregate by key."""
+def violations(df: DataFrame, contract: Contract, weight: str | None = None) -> DataFrame:
+    """Every violation of a contract: schema, values, keys, row count and labels, in one pass and one aggregate by key. weight: for how many rows each one stands."""
+    times = F.col(weight) if weight else F.lit(1)
+    number = lambda bad: F.coalesce(F.sum(F.when(bad, times)), F.lit(0).cast("long"))
     spark = df.sparkSession
     columns = dict(df.dtypes)
     fixed = [(contract.name, "missing column", f.name, 1, []) for f in contract.fields if f.name not in columns]
     fixed += [(contract.name, "kind", f.name, 1, [columns[f.name]]) for f in contract.fields if f.name in columns and columns[f.name] not in KINDS[f.kind]]
     fixed += [(contract.name, "label", k, 1, [found, wanted]) for k, (found, wanted) in contract.labels.items() if found != wanted]
     checks = _row_checks(contract, columns)
-    sums = [F.count("*").alias("rows")]
+    sums = [number(F.lit(True)).alias("rows")]
     for k, (_, _, bad, value) in enumerate(checks):
-        sums += [F.count_if(bad).alias(f"n{k}"), F.min(F.when(bad, value)).alias(f"low{k}"), F.max(F.when(bad, value)).alias(f"high{k}")]
+        sums += [number(bad).alias(f"n{k}"), F.min(F.when(bad, value)).alias(f"low{k}"), F.max(F.when(bad, value)).alias(f"high{k}")]
     one = df.agg(*sums)
     sample = lambda k: F.array_distinct(F.array_compact(F.array(f"low{k}", f"high{k}")))
     rows = [F.struct(F.lit(check).alias("check"), F.lit(detail).alias("detail"), F.col(f"n{k}").alias("count"), sample(k).alias("sample")) for k, (check, detail, _, _) in enumerate(checks)]
@@ -77,7 +79,7 @@ def violations(df: DataFrame, contract: Contract) -> DataFrame:
     rows.append(F.struct(F.lit("rows").alias("check"), F.lit("row count").alias("detail"), F.when(few | many, F.col("rows")).otherwise(0).alias("count"), F.array(F.col("rows").cast("string")).alias("sample")))
     out = one.select(F.inline(F.array(*rows))).where("count > 0").select(F.lit(contract.name).alias("contract"), "check", "detail", "count", "sample")
     if contract.key and all(k in columns for k in contract.key):
-        keys = df.groupBy(*contract.key).agg(F.count("*").alias("n"))
+        keys = df.groupBy(*contract.key).agg(F.sum(times).alias("n"))
         empty = F.lit(False)
         for k in contract.key:
             empty = empty | F.col(k).isNull()
