@@ -154,3 +154,14 @@ def test_no_match_within_the_edits_is_lost(spark, seed):
 
     want = {(a[0], b[0], levenshtein(a[2], b[2])) for a in rows for b in rows if a[1] != b[1] and math.hypot(a[3] - b[3], a[4] - b[4]) <= 10 and levenshtein(a[2], b[2]) <= 2}
     assert {(r["a"], r["b"], r["edits"]) for r in conflation.candidates(df, 10.0, 2).collect()} == want
+
+
+def test_nearest_of_allowed_kinds_matches_brute_force(spark):
+    points = [(k, k * 37 % 101, k * 53 % 97, 0b111 ^ 1 << k % 3) for k in range(120)]
+    targets = [(k, k * 29 % 103 if k > 60 else 50 + k % 3, k * 31 % 89 if k > 60 else 40, 1 << k % 3) for k in range(150)]
+    p, t = spark.createDataFrame(points, "p int, x int, y int, sees int"), spark.createDataFrame(targets, "t int, x int, y int, kind int")
+    got = tree.nearest(p, t, "p", "t", 4, manhattan=True, kind="kind", allowed="sees").collect()
+    want = {a: min((float(abs(x - u) + abs(y - v)), b) for b, u, v, kind in targets if kind & sees) for a, x, y, sees in points}
+    assert {r["p"]: (r["distance"], r["t"]) for r in got} == want
+    nothing = tree.nearest(p.withColumn("sees", p["sees"] * 0), t, "p", "t", 4, kind="kind", allowed="sees").collect()
+    assert len(nothing) == 120 and all(r["t"] is None for r in nothing)

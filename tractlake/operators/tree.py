@@ -47,19 +47,20 @@ def square(targets: DataFrame) -> Square | None:
 def children(targets: DataFrame, within: Square, level: int, most: int) -> DataFrame:
     """Of the targets left at this level the cells with their bounds, how many targets they have (n places, weight in all) and whether they are parted further."""
     box = [f(c).alias(name) for name, f, c in (("x0", F.min, "x"), ("y0", F.min, "y"), ("x1", F.max, "x"), ("y1", F.max, "y"))]
-    counted = targets.select("x", "y", "weight", *within.cells(level)).groupBy("px", "py", "ix", "iy").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"), *box)
+    kinds = F.bit_or("kinds") if "kinds" in targets.columns else F.lit(1).cast("long")
+    counted = targets.select("*", *within.cells(level)).groupBy("px", "py", "ix", "iy").agg(F.count("*").alias("n"), F.sum("weight").alias("weight"), kinds.alias("kinds"), *box)
     return counted.withColumn("open", (F.col("n") > most) & F.lit(level < LEVELS))
 
 
-def places(targets: DataFrame, key: str | None = None) -> DataFrame:
-    """x, y, weight, and the smallest key of the targets at each place."""
-    at = targets.select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), *([key] if key else [])).where("x is not null and y is not null")
-    return at.groupBy("x", "y").agg(F.count("*").alias("weight"), *([F.min(key).alias(key)] if key else []))
+def places(targets: DataFrame, key: str | None = None, kind: str | None = None) -> DataFrame:
+    """x, y, weight, and the smallest key of the targets at each place, for each kind of its own if there are kinds."""
+    at = targets.select(F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"), *([key] if key else []), *([kind] if kind else [])).where("x is not null and y is not null")
+    return at.groupBy("x", "y", *([kind] if kind else [])).agg(F.count("*").alias("weight"), *([F.min(key).alias(key)] if key else []))
 
 
-def reach(c: str, low: str, high: str) -> tuple[Column, Column]:
+def reach(c: str, low: Column, high: Column) -> tuple[Column, Column]:
     """The least and the largest distance along one axis from a point to a cell's bounds."""
-    return F.greatest(F.col(low) - F.col(c), F.col(c) - F.col(high), F.lit(0.0)), F.greatest(F.abs(F.col(c) - F.col(low)), F.abs(F.col(c) - F.col(high)))
+    return F.greatest(low - F.col(c), F.col(c) - high, F.lit(0.0)), F.greatest(F.abs(F.col(c) - low), F.abs(F.col(c) - high))
 
 
 def beneath(front: DataFrame, cells: DataFrame, level: int) -> DataFrame:
@@ -69,13 +70,13 @@ def beneath(front: DataFrame, cells: DataFrame, level: int) -> DataFrame:
 
 def met(front: DataFrame, cells: DataFrame, level: int) -> DataFrame:
     """front beside the children of its cells, with near and far: the least and largest distance to a target of each."""
-    (ax, bx), (ay, by) = reach("qx", "x0", "x1"), reach("qy", "y0", "y1")
+    (ax, bx), (ay, by) = reach("qx", F.col("x0"), F.col("x1")), reach("qy", F.col("y0"), F.col("y1"))
     return beneath(front, cells, level).withColumn("near", F.hypot(ax, ay)).withColumn("far", F.hypot(bx, by))
 
 
-def start(points: DataFrame, key: str) -> DataFrame:
+def start(points: DataFrame, key: str, *more: str) -> DataFrame:
     top = F.lit(0).cast("long")
-    placed = points.select(key, F.col("x").cast("double").alias("qx"), F.col("y").cast("double").alias("qy")).where("qx is not null and qy is not null")
+    placed = points.select(key, *more, F.col("x").cast("double").alias("qx"), F.col("y").cast("double").alias("qy")).where("qx is not null and qy is not null")
     return placed.withColumn("px", top).withColumn("py", top)
 
 
@@ -85,23 +86,33 @@ def parted(targets: DataFrame, cells: DataFrame, within: Square, level: int) ->
     return named.where("not open").drop("open"), named.where("open").drop("open", "ix", "iy")
 
 
-def nearest(points: DataFrame, targets: DataFrame, point_key: str, target_key: str, most: int = LEAF) -> DataFrame:
-    """point_key, target_key and distance of the nearest target, ties to the smaller key; exact. Points without coordinates, and all where there are no targets, get nulls."""
-    left = cut(places(targets, target_key))
+def nearest(points: DataFrame, targets: DataFrame, point_key: str, target_key: str, most: int = LEAF, manhattan: bool = False, kind: str | None = None, allowed: str | None = None) -> DataFrame:
+    """point_key, target_key and distance of the nearest target, ties to the smaller key; exact. Points without coordinates, and all where there are no targets, get nulls.
+
+    kind and allowed: columns of the targets and of the points; a kind is one bit, and a point only sees targets whose kind is among its allowed bits.
+    """
+    apart = (lambda a, b: a + b) if manhattan else F.hypot
+    one = F.lit(1).cast("long")
+    left = cut(places(targets.withColumn("kinds", F.col(kind).cast("long") if kind else one), target_key, "kinds"))
     within = square(left)
     if within is None:
         nothing = targets.select(F.lit(None).cast(points.schema[point_key].dataType).alias(point_key), target_key, F.lit(0.0).alias("distance")).limit(0)
         return points.select(point_key).join(nothing, point_key, "left")
-    front, level, found = start(points, point_key).withColumn("bound", F.lit(float("inf"))), 1, None
-    mine = Window.partitionBy(point_key)
+    front, level, found = start(points.withColumn("sees", F.col(allowed).cast("long") if allowed else one), point_key, "sees").repartition(F.col(point_key)).withColumn("bound", F.lit(float("inf"))), 1, None
+    (ax, bx), (ay, by) = reach("qx", F.col("x0"), F.col("x1")), reach("qy", F.col("y0"), F.col("y1"))
     while True:
         cells = cut(children(left, within, level, most))
-        bound = F.least("bound", F.min("far").over(mine))
-        looked = met(front, cells, level).withColumn("bound", bound * (1 + 1e-12)).where("near <= bound")
-        looked = cut(looked.select(point_key, "qx", "qy", "ix", "iy", "open", "near", "bound"))
+        # The bound of a point is the least of its children's, found by an aggregate that leaves a row for each cell it looks into before anything travels.
+        few = F.broadcast(cells) if level <= 2 else cells  # FAN ** 4 at most in the first two levels
+        beside = lambda f: f.join(few, ["px", "py"]).where(F.col("kinds").bitwiseAND(F.col("sees")) != 0)  # noqa: B023, E731
+        least = beside(front).groupBy(point_key).agg(F.min(apart(bx, by)).alias("least"))
+        front = front.join(least, point_key).withColumn("bound", F.least("bound", F.col("least") * (1 + 1e-12)))
+        looked = beside(front).withColumn("near", apart(ax, ay)).where("near <= bound")
+        looked = cut(looked.select(point_key, "qx", "qy", "sees", "ix", "iy", "open", "near", "bound"))
         leaves, left = parted(left, cells, within, level)
         # The targets of a leaf meet the points that look into it; the best one of each point is a bound for what it still looks into.
-        best = looked.where("not open").join(leaves, ["ix", "iy"]).withColumn("distance", F.hypot(F.col("qx") - F.col("x"), F.col("qy") - F.col("y")))
+        best = looked.where("not open").join(leaves, ["ix", "iy"]).where(F.col("kinds").bitwiseAND(F.col("sees")) != 0)
+        best = best.withColumn("distance", apart(F.abs(F.col("qx") - F.col("x")), F.abs(F.col("qy") - F.col("y"))))
         best = best.groupBy(point_key).agg(F.min(F.struct("distance", target_key)).alias("b"))
         more = not cells.where("open").isEmpty()
         found = best if found is None else found.unionByName(best).groupBy(point_key).agg(F.min("b").alias("b"))
@@ -110,7 +121,7 @@ def nearest(points: DataFrame, targets: DataFrame, point_key: str, target_key: s
         found = cut(found)
         known = found.select(point_key, F.col("b.distance").alias("d"))
         front = looked.where("open").join(known, point_key, "left").withColumn("bound", F.least("bound", F.coalesce("d", "bound") * (1 + 1e-12))).where("near <= bound")
-        front = front.select(point_key, "qx", "qy", F.col("ix").alias("px"), F.col("iy").alias("py"), "bound")
+        front = front.select(point_key, "qx", "qy", "sees", F.col("ix").alias("px"), F.col("iy").alias("py"), "bound")
         left, level = cut(left), level + 1
 
 
