@@ -165,3 +165,11 @@ def test_nearest_of_allowed_kinds_matches_brute_force(spark):
     assert {r["p"]: (r["distance"], r["t"]) for r in got} == want
     nothing = tree.nearest(p.withColumn("sees", p["sees"] * 0), t, "p", "t", 4, kind="kind", allowed="sees").collect()
     assert len(nothing) == 120 and all(r["t"] is None for r in nothing)
+
+
+def test_reusable_run_keeps_one_run_of_each_key(spark):
+    runs = spark.createDataFrame([(k, "finished", "p", "a", "b") for k in range(50)], "run int, status string, plan string, points string, inputs string")
+    wanted = spark.createDataFrame([("n", "p", "a", "b"), ("m", "p", "a", "c")], "name string, plan string, points string, inputs string")
+    out = lineage.reusable_run(runs, wanted)
+    assert {r["name"]: r["run"] for r in out.collect()} == {"n": 49, "m": None}
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 2  # runs are reduced before they meet what is wanted

@@ -28,7 +28,7 @@ def staleness(stages: DataFrame, recorded: DataFrame, current: DataFrame, output
 def reusable_run(runs: DataFrame, wanted: DataFrame) -> DataFrame:
     """name and the latest run of runs(run, status, plan, points, inputs) for each of wanted(name, plan, points, inputs): the same plan, points and input
     digests, finished or stopped; null if there is none."""
-    usable = runs.where(F.col("status").isin("finished", "stopped")).select("run", "plan", "points", "inputs")
+    usable = runs.where(F.col("status").isin("finished", "stopped")).groupBy("plan", "points", "inputs").agg(F.max("run").alias("run"))
     found = wanted.join(usable, ["plan", "points", "inputs"]).groupBy("name").agg(F.max("run").alias("run"))
     return wanted.select("name").join(found, "name", "left")
 
