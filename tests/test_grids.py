@@ -54,3 +54,12 @@ def test_rounding_without_decimals_is_rounding(spark):
     wrong = df.where(~X.rounded(F.col("v"), 3).eqNullSafe(F.round("v", 3)))
     assert wrong.count() == 0
     assert standins.CAP == 120.0
+
+
+def test_threshold_counts_list_no_pair_beyond_the_largest_threshold(spark, monkeypatch):
+    from tractlake.operators.sparse import SparseMatrix
+
+    listed, reached = [], SparseMatrix.reached
+    monkeypatch.setattr(SparseMatrix, "reached", lambda m, t: listed.append(m.pairs.agg(F.max("minutes")).first()[0]) or reached(m, t))
+    registry.QUERIES["m2_threshold_counts"](spark, DATA)
+    assert listed and 44 < listed[0] < 46
