@@ -1,7 +1,9 @@
-"""Areas that lie over each other: what they are in bands, and points in them."""
+"""Areas that lie over each other: what they are in bands, points in them, and lines over them."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tractlake.operators import shapes
 
 AREA = "array<array<array<struct<x:double,y:double>>>>"
@@ -37,6 +39,16 @@ def test_points_by_strips(spark):
     assert got == want
 
 
+def test_copies_are_one_cover(spark):
+    """Areas that lie over each other leave as few stretches as one of them, and lines over them the lengths of one."""
+    assert sorted(shapes.united(_areas(spark, 40), "area_id", "area", 16.0).collect()) == sorted(shapes.united(_areas(spark, 1), "area_id", "area", 16.0).collect())
+    lines = spark.createDataFrame([(0, [(0.0, 40.0), (80.0, 40.0)]), (1, [(0.0, 0.0), (80.0, 80.0)]), (2, [(0.0, 1.0), (5.0, 1.0)]), (3, [(40.0, 40.0), (40.0, 40.0)]), (4, [(40.0, 10.0), (60.0, 10.0)])], "line_id long, line array<struct<x:double,y:double>>")
+    for copies in (1, 40):
+        got = shapes.overlay(lines, _areas(spark, copies), "line_id", "line", "area_id", "area", 16.0)
+        got = {r["line_id"]: (r["outside"], r["touches"]) for r in got.select("line_id", F.round("outside", 6).alias("outside"), "touches").collect()}
+        assert got == {0: (34.0, True), 1: (round((80 - 23) * 2**0.5, 6), True), 2: (5.0, False), 3: (0.0, True), 4: (20.0, True)}
+
+
 def test_open_rings_have_no_stretches(spark):
     rows = [(1, [[[(0.0, 0.0), (30.0, 0.0), (30.0, 30.0), (0.0, 30.0)]]]), (2, [[_box(40.0, 0.0, 70.0, 30.0)]])]
     inner = shapes.strips(spark.createDataFrame(rows, f"area_id long, area {AREA}"), "area_id", "area", 16.0).where("n = 0")
