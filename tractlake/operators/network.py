@@ -66,8 +66,15 @@ def reached_times(edges: DataFrame, origin_snaps: DataFrame, site_snaps: DataFra
 
 def walk_times(edges: DataFrame, origins: DataFrame, sites: DataFrame, origin_snaps: DataFrame, site_snaps: DataFrame, speed: float, cap: float, homes: DataFrame | None = None) -> DataFrame:
     """origin_id, site_id, minutes of all pairs, as reached_times has them; null beyond the cap."""
+    from tractlake.operators.joins import crossed  # which needs components for its areas
+
     found = reached_times(edges, origin_snaps, site_snaps, speed, cap, homes)
-    return origins.select("origin_id").crossJoin(sites.select("site_id")).join(found, ["origin_id", "site_id"], "left")  # the whole product is the result
+    # The whole product is the result. Each origin carries what it reached, so nothing of the product travels or is sorted.
+    key = F.col("site_id").cast(sites.schema["site_id"].dataType).alias("site_id")
+    each = found.where("site_id is not null").groupBy("origin_id", key).agg(F.collect_list("minutes").alias("minutes"))
+    reached = each.groupBy("origin_id").agg(F.map_from_entries(F.collect_list(F.struct("site_id", "minutes"))).alias("reached"))
+    o = cut(origins.select("origin_id").join(reached, "origin_id", "left"))
+    return crossed(o, sites.select("site_id"), "origin_id").select("origin_id", "site_id", F.explode_outer(F.try_element_at("reached", "site_id")).alias("minutes"))
 
 
 def graph_counts(edges: DataFrame, snaps: DataFrame) -> DataFrame:
