@@ -646,6 +646,22 @@ def test_base_scores_match_brute_force(odd, monkeypatch, common):
     assert sorted((str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 6)) for r in got) == want
 
 
+def test_pair_counts_are_smoothed_in_tasks(spark, monkeypatch):
+    """The driver gets a packed row for each slot, no row for each pair, and the shares are those of the whole table of counts."""
+    docs = spark.createDataFrame([(i, f"text {i} of the {i % 7}th kind, " * (i % 5)) for i in range(300)], "doc_id long, text string")
+    encoded = lm_scoring.subword_ids(lm_scoring.with_key(docs), public_tokenizers.path(lm_scoring.TOKENIZER)).localCheckpoint()
+    vocabulary = causal_lm.Vocabulary.of(lm_scoring.id_counts(encoded), lm_scoring.END_ID)
+    _, inputs, targets = causal_lm.framed([np.frombuffer(r["ids"], "<u2") for r in encoded.where("not held_out").collect()], lm_scoring.END_ID, vocabulary)
+    counts = causal_lm.pair_counts(inputs, vocabulary.slot[targets])
+    want, frames = causal_lm.Pairs.of(counts), []
+    plain = type(encoded).toPandas
+    monkeypatch.setattr(type(encoded), "toPandas", lambda df: frames.append(plain(df)) or frames[-1])
+    got = lm_scoring.pairs_of(encoded, vocabulary)
+    assert np.array_equal(got.classes, want.classes) and np.array_equal(got.members, want.members)
+    assert {tuple(f.columns) for f in frames} == {("target", "n"), ("input", "classes", "members")}
+    assert max(map(len, frames)) < (counts > 0).sum()
+
+
 def test_each_training_document_trains_once(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(400)], "doc_id long, text string")
     encoded = lm_scoring.subword_ids(lm_scoring.with_key(docs), public_tokenizers.path(lm_scoring.TOKENIZER))

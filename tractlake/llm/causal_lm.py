@@ -73,10 +73,18 @@ class Pairs:
 
     @staticmethod
     def of(followers: np.ndarray) -> Pairs:
-        """From how often each target (a slot, or FREQUENT for another id) follows each input slot; Witten and Bell's smoothing by how many
-        different slots each target follows, and one half more each."""
-        alone = (followers > 0).sum(0) + 0.5
-        alone /= alone.sum()
+        """From how often each target (a slot, or FREQUENT for another id) follows each input slot."""
+        return Pairs.smoothed(followers, Pairs.shares((followers > 0).sum(0)))
+
+    @staticmethod
+    def shares(followed: np.ndarray) -> np.ndarray:
+        """The share of each target by how many different slots it follows, and one half more each."""
+        alone = followed + 0.5
+        return alone / alone.sum()
+
+    @staticmethod
+    def smoothed(followers: np.ndarray, alone: np.ndarray) -> Pairs:
+        """Witten and Bell's smoothing by the shares `alone`, each row by itself: followers may be any rows of the whole table."""
         kinds = (followers > 0).sum(1, keepdims=True) + 1.0
         joint = (followers + kinds * alone) / (followers.sum(1, keepdims=True) + kinds)
         inside = joint[:, :FREQUENT].reshape(len(joint), CLASSES - 1, CLASS_SIZE)

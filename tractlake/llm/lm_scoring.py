@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tractlake.llm import causal_lm
-from tractlake.llm.common import chunks, cut, held_out, table, text_calls, tidy
+from tractlake.llm.common import chunks, cut, give_back, held_out, table, text_calls, tidy
 from tractlake.llm.packing import CHARS_A_CALL, coder
 from tractlake.llm.words import word_hashes
 
@@ -92,7 +92,8 @@ def id_counts(encoded: DataFrame) -> np.ndarray:
 
 
 def pairs_of(encoded: DataFrame, vocabulary: causal_lm.Vocabulary) -> causal_lm.Pairs:
-    """How often each id follows which in training documents; at most causal_lm.INPUTS x (FREQUENT + 1) rows reach the driver."""
+    """The smoothed shares of what follows each id in training documents. Tasks smooth the counts of an input slot each, so that the driver
+    gets one packed row for each of at most causal_lm.INPUTS slots, not their counts."""
     sent = encoded.sparkSession.sparkContext.broadcast(vocabulary)
     width = causal_lm.FREQUENT + 1
 
@@ -106,10 +107,25 @@ def pairs_of(encoded: DataFrame, vocabulary: causal_lm.Vocabulary) -> causal_lm.
         at = np.flatnonzero(total)
         yield pd.DataFrame({"pair": at.astype(np.int32), "n": total[at].astype(np.int64)})
 
-    found = encoded.where(~F.col("held_out")).select("ids").mapInPandas(tidy(run), "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n")).toPandas()
-    out = np.zeros(causal_lm.INPUTS * width)
-    out[found["pair"].to_numpy(np.int64)] = found["n"].to_numpy(np.float64)
-    return causal_lm.Pairs.of(out.reshape(causal_lm.INPUTS, width))
+    found = encoded.where(~F.col("held_out")).select("ids").mapInPandas(tidy(run), "pair int, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = cut(found.select(F.floor(F.col("pair") / width).cast("int").alias("input"), (F.col("pair") % width).alias("target"), "n"))
+    followed = np.zeros(width)
+    kinds = counts.groupBy("target").agg(F.count("*").alias("n")).toPandas()  # `width` rows at most
+    followed[kinds["target"].to_numpy(np.int64)] = kinds["n"].to_numpy(np.float64)
+    alone = causal_lm.Pairs.shares(followed)
+
+    def smooth(group: pd.DataFrame) -> pd.DataFrame:
+        row = np.zeros((1, width))
+        row[0, group["target"].to_numpy(np.int64)] = group["n"].to_numpy(np.float64)
+        got = causal_lm.Pairs.smoothed(row, alone)
+        return pd.DataFrame({"input": group["input"].iloc[:1], "classes": [got.classes.tobytes()], "members": [got.members.tobytes()]})
+
+    never = causal_lm.Pairs.smoothed(np.zeros((1, width)), alone)  # of a slot that nothing follows
+    out = causal_lm.Pairs(np.repeat(never.classes, causal_lm.INPUTS, 0), np.repeat(never.members, causal_lm.INPUTS, 0))
+    rows = counts.groupBy("input").applyInPandas(smooth, "input int, classes binary, members binary").toPandas()
+    for slot, classes, members in rows.itertuples(index=False):
+        out.classes[slot], out.members[slot] = np.frombuffer(classes, np.float32), np.frombuffer(members, np.float32)
+    return out
 
 
 def local_training(sent, params: causal_lm.Params, rate: float, number: int):
@@ -156,6 +172,7 @@ def train(encoded: DataFrame) -> Model:
         if len(mean):
             by_name = {name: part.sort_values("at")["value"].to_numpy(np.float32) for name, part in mean.groupby("name")}
             params = {k: by_name[k].reshape(causal_lm.SHAPES[k]) for k in params}
+        give_back()
     return Model(vocabulary, pairs, params)
 
 
