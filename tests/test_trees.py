@@ -35,6 +35,21 @@ def test_nearest_and_counts_on_crowded_points(spark):
     assert parts.count() == len(points) and parts.groupBy("home").count().agg({"count": "max"}).first()[0] <= 20
 
 
+def test_points_look_into_the_tree_together(spark, monkeypatch):
+    """Rows kept follow the groups of places, not the points; counts are those of plain loops, also with several tasks a group and repeated or missing places."""
+    dice = random.Random(5)
+    spots = [(dice.randrange(100), dice.randrange(100)) for _ in range(600)]
+    points = [(i, *map(float, spots[i % 600])) for i in range(3000)] + [(3000, None, 1.0), (3001, math.nan, 1.0), (3002, math.inf, 1.0)]
+    targets = [(float(dice.randrange(100)), float(dice.randrange(100))) for _ in range(900)]
+    p, t = spark.createDataFrame(points, "id long, x double, y double"), spark.createDataFrame(targets, "x double, y double")
+    kept, plain = [], tree.cut
+    monkeypatch.setattr(tree, "cut", lambda df: kept.append(plain(df)) or kept[-1])
+    monkeypatch.setattr(tree, "TARGETS_A_TASK", 100)
+    got = {r["id"]: r["n"] for r in tree.counts_within(p, t, "id", 25.0, most=16, together=50).collect()}
+    assert max(df.count() for df in kept) < 3000
+    assert got == {i: x is not None and sum((x - a) ** 2 + (y - b) ** 2 <= 625 for a, b in targets) for i, x, y in points}
+
+
 def brute_times(edges, sources, radius):
     ways = {}
     for a, b, length in edges:

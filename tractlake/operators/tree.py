@@ -7,8 +7,12 @@ many points or targets one spot holds, no task gets more than the children of a
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
+from functools import reduce
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +20,8 @@ from tractlake.operators.keeping import cut
 
 #: Targets of a cell that isn't parted further, cells that one is parted into along each axis, and the most levels.
 LEAF, FAN, LEVELS = 32, 8, 9
+#: Where circles are counted: targets of a leaf, places that go down the tree together, those that are met at once, and targets that meet a group in one task.
+CIRCLE_LEAF, TOGETHER, BOX, TARGETS_A_TASK = 256, 2048, 64, 200_000
 
 
 @dataclass(frozen=True)
@@ -125,28 +131,69 @@ def nearest(points: DataFrame, targets: DataFrame, point_key: str, target_key: s
         left, level = cut(left), level + 1
 
 
-def counts_within(points: DataFrame, targets: DataFrame, point_key: str, radius: float, most: int = LEAF) -> DataFrame:
-    """point_key and n: how many targets are at most radius away. Cells that lie inside the circle as a whole count as they are; only
-    leaves that its edge runs through are looked at target by target."""
-    left = cut(places(targets))
-    within = square(left)
-    front, level, parts = start(points, point_key), 1, []
-    while within is not None:
+def counts_in_circles(places_: np.ndarray, targets: np.ndarray, radius: float) -> np.ndarray:
+    """How much weight of targets (x, y, weight) each of places_ (x, y) has at most radius away. Places are taken in small boxes: what lies inside or outside
+    of the circles of a whole box isn't looked at place by place."""
+    out, (x, y), weight = np.zeros(len(places_), np.int64), targets[:, :2].T, targets[:, 2]
+    strip = max(1, math.isqrt(len(places_) // BOX))
+    rank = np.argsort(np.argsort(places_[:, 0], kind="stable"), kind="stable") * strip // max(1, len(places_))
+    order = np.lexsort((places_[:, 1], rank))
+    for k in range(0, len(order), BOX):
+        here = order[k : k + BOX]
+        px, py = places_[here].T
+        left, right, low, high = px.min(), px.max(), py.min(), py.max()
+        near = np.hypot(np.maximum(np.maximum(left - x, x - right), 0), np.maximum(np.maximum(low - y, y - high), 0))
+        whole = np.hypot(np.maximum(x - left, right - x), np.maximum(y - low, high - y)) <= radius * (1 - 1e-12)
+        edge = np.flatnonzero((near <= radius * (1 + 1e-12)) & ~whole)
+        found = np.full(len(here), weight[whole].sum())
+        for e in np.array_split(edge, 1 + len(edge) // 4096):
+            found += ((px[:, None] - x[e]) ** 2 + (py[:, None] - y[e]) ** 2 <= radius * radius) @ weight[e]
+        out[here] = np.rint(found).astype(np.int64)
+    return out
+
+
+def counts_within(points: DataFrame, targets: DataFrame, point_key: str, radius: float, most: int = CIRCLE_LEAF, together: int = TOGETHER) -> DataFrame:
+    """point_key and n: how many targets are at most radius away. Places of points go down the tree in groups of at most `together` that lie near each other, each
+    place once. Cells that lie inside the circles of a whole group count as they are; the leaves that an edge of them runs through meet the group in tasks of a bounded number of targets."""
+    finite = "abs(x) < double('infinity') and abs(y) < double('infinity')"
+    at = points.select(point_key, F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    left = cut(places(targets).where(finite))
+    within, level, whole, edges, loads = square(left), 1, [], [], []
+    if within is None:
+        return points.groupBy(point_key).agg(F.lit(0).cast("long").alias("n"))
+    spots = at.where(finite).select("x", "y").distinct().select("x", "y", F.struct("x", "y").alias("at"))
+    homes = cut(even_parts(spots, "at", together).select("home", "at.x", "at.y"))
+    box = [f(c).alias(name) for name, f, c in (("qx0", F.min, "x"), ("qy0", F.min, "y"), ("qx1", F.max, "x"), ("qy1", F.max, "y"))]
+    top = F.lit(0).cast("long")
+    front = homes.groupBy("home").agg(*box).withColumn("px", top).withColumn("py", top)
+    near = F.hypot(*[F.greatest(F.col(f"{c}0") - F.col(f"q{c}1"), F.col(f"q{c}0") - F.col(f"{c}1"), F.lit(0.0)) for c in "xy"])
+    far = F.hypot(*[F.greatest(F.col(f"{c}1") - F.col(f"q{c}0"), F.col(f"q{c}1") - F.col(f"{c}0")) for c in "xy"])
+    while True:
         cells = cut(children(left, within, level, most))
-        looked = met(front, cells, level).where(F.col("near") <= radius)
-        looked = cut(looked.select(point_key, "qx", "qy", "ix", "iy", "open", "weight", (F.col("far") <= radius * (1 - 1e-12)).alias("whole")))
-        parts.append(looked.where("whole").groupBy(point_key).agg(F.sum("weight").alias("n")))
+        looked = beneath(front, cells, level).where(near <= radius * (1 + 1e-12)).withColumn("whole", far <= radius * (1 - 1e-12))
+        looked = cut(looked.select("home", "qx0", "qy0", "qx1", "qy1", "ix", "iy", "open", "n", "weight", "whole"))
+        whole.append(looked.where("whole").select("home", "weight"))
         leaves, left = parted(left, cells, within, level)
-        tested = looked.where("not whole and not open").drop("weight").join(leaves, ["ix", "iy"]).where(F.hypot(F.col("qx") - F.col("x"), F.col("qy") - F.col("y")) <= radius)
-        parts.append(tested.groupBy(point_key).agg(F.sum("weight").alias("n")))
-        front = looked.where("open and not whole").select(point_key, "qx", "qy", F.col("ix").alias("px"), F.col("iy").alias("py"))
+        cutting = looked.where("not whole and not open")
+        loads.append(cutting.select("home", "n"))
+        edges.append(cutting.select("home", "ix", "iy").join(leaves, ["ix", "iy"]).select("home", F.xxhash64("ix", "iy").alias("cell"), "x", "y", "weight"))
+        front = looked.where("open and not whole").select("home", "qx0", "qy0", "qx1", "qy1", F.col("ix").alias("px"), F.col("iy").alias("py"))
         if front.isEmpty():
             break
         left, level = cut(left), level + 1
-    out = points.select(point_key).withColumn("n", F.lit(0).cast("long"))
-    for p in parts:
-        out = out.unionByName(p)
-    return out.groupBy(point_key).agg(F.sum("n").alias("n"))
+    stacked = lambda parts: reduce(DataFrame.unionByName, parts)
+    load = cut(stacked(loads).groupBy("home").agg(F.ceil(F.sum("n") / TARGETS_A_TASK).cast("int").alias("tasks")))
+    met = stacked(edges).join(load, "home").select(F.col("home").alias("circles"), F.pmod("cell", F.col("tasks").cast("long")).cast("int").alias("part"), "x", "y", "weight")
+    looking = homes.join(load, "home").select("home", F.explode(F.sequence(F.lit(0), F.col("tasks") - 1)).alias("task"), "x", "y")
+
+    def run(_, own: pd.DataFrame, other: pd.DataFrame) -> pd.DataFrame:
+        n = counts_in_circles(own[["x", "y"]].to_numpy(), other[["x", "y", "weight"]].to_numpy(np.float64), radius)
+        return pd.DataFrame({"x": own["x"], "y": own["y"], "n": n})
+
+    tested = looking.groupBy("home", "task").cogroup(met.groupBy("circles", "part")).applyInPandas(run, "x double, y double, n long")
+    inside = homes.join(stacked(whole).groupBy("home").agg(F.sum("weight").alias("n")), "home").select("x", "y", "n")
+    counts = tested.unionByName(inside).groupBy("x", "y").agg(F.sum("n").alias("n"))
+    return at.join(counts, ["x", "y"], "left").groupBy(point_key).agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
 
 
 def pairs_within(points: DataFrame, targets: DataFrame, point_key: str, target_key: str, reach_: float, most: int = LEAF) -> DataFrame:
