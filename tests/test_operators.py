@@ -1,6 +1,7 @@
 """Operators on small literal inputs with known answers."""
 
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,6 +82,19 @@ def test_components_and_shortest_paths(spark):
     assert got == {1: 0.0, 2: 1.0, 3: 2.0}
 
 
+def test_nodes_of_components_are_not_sent_to_the_driver(spark, monkeypatch):
+    """No join of the loop, of the last step or of the grid is a broadcast of a table that grows with the nodes."""
+    from tractlake.plans import domains
+
+    seen, plain = [], network.cut
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(network, "cut", lambda df: seen.append(plan(df)) or plain(df))
+    edges = domains.grid(spark, "/root/testdata/sf0.001")
+    last = plan(network.largest_component(edges))
+    assert len(seen) >= 4 and not any("BroadcastHashJoin" in p for p in [plan(edges), *seen])
+    assert "SortMergeJoin" in last and set(re.findall(r"BroadcastHashJoin \[(\w+)#", last)) == {"label"}  # the one row of the largest
+
+
 def test_whole_matrix_has_all_pairs_and_the_nearest_sites(spark):
     from tractlake.plans import registry, standins
 

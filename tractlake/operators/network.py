@@ -89,14 +89,17 @@ def graph_counts(edges: DataFrame, snaps: DataFrame) -> DataFrame:
 
 
 def component_labels(edges: DataFrame) -> DataFrame:
-    """(node, label): label is the smallest node that it reaches; labels of labels shorten long chains."""
+    """(node, label): label is the smallest node that it reaches; labels of labels shorten long chains.
+
+    The joins are merge joins in any case: a table of nodes that the planner takes for small would pass through the driver in each round.
+    """
     both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
     labels = cut(both.groupBy("src").agg(F.min("dst").alias("m")).select(F.col("src").alias("node"), F.least("src", "m").alias("label")))
     while True:
-        heard = both.join(labels.withColumnRenamed("node", "dst"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("label").alias("heard"))
-        told = cut(labels.join(heard, "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("near")))
+        heard = both.join(labels.withColumnRenamed("node", "dst").hint("merge"), "dst").groupBy(F.col("src").alias("node")).agg(F.min("label").alias("heard"))
+        told = cut(labels.join(heard.hint("merge"), "node").select("node", F.col("label").alias("old"), F.least("label", "heard").alias("near")))
         far = told.select(F.col("node").alias("near"), F.col("near").alias("far"))
-        new = cut(told.join(far, "near", "left").select("node", "old", F.least("near", F.coalesce("far", "near")).alias("label")))
+        new = cut(told.join(far.hint("merge"), "near", "left").select("node", "old", F.least("near", F.coalesce("far", "near")).alias("label")))
         labels = new.select("node", "label")
         if not new.where("old <> label").limit(1).count():
             return labels
@@ -107,7 +110,7 @@ def largest_component(edges: DataFrame) -> DataFrame:
     labels = component_labels(edges)
     top = labels.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(1).select("label")
     nodes = labels.join(F.broadcast(top), "label").select(F.col("node").alias("src"))  # top is one row
-    return edges.join(nodes, "src", "left_semi")
+    return edges.join(nodes.hint("merge"), "src", "left_semi")
 
 
 def shortest(edges: DataFrame, sources: DataFrame, radius: float, merge_every: int = 8) -> DataFrame:
