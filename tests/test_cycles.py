@@ -38,3 +38,33 @@ def test_cycles_are_those_of_a_search(spark):
     assert want
     for rounds in (40, 1):
         assert {r["child"] for r in lineage.cycles(df, rounds).collect()} == want
+
+
+def sources_by_hand(edges):
+    up, out = {}, set()
+    for a, b in edges:
+        up.setdefault(a, set()).add(b)
+    for start in up:
+        seen, todo = set(), list(up[start])
+        while todo:
+            n = todo.pop()
+            if n is not None and n not in seen:
+                seen.add(n)
+                todo += up.get(n, ())
+        out |= {(start, n) for n in seen if n not in up}
+    return {(a, b) for a, b in out if a is not None}
+
+
+def test_sources_are_those_of_a_search_and_no_closure_is_made(spark, monkeypatch):
+    def refused(*_):
+        raise AssertionError("all pairs of ancestors are listed")
+
+    monkeypatch.setattr(lineage, "closure", refused)
+    pick = random.Random(7)
+    sparse = [(pick.randrange(50), pick.randrange(70)) for _ in range(60)] + [(k, k - 1) for k in range(200, 240)]
+    odd = [(80, 80), (81, 82), (82, 81), (83, 84), (84, 83), (84, 85), (None, 3), (86, None), (87, 86), (3, None), (87, 88), (87, 88)]
+    dense = [(100 + a, 100 + b) for a in range(12) for b in range(12) if a != b] + [(111, 300), (105, 301)]
+    for edges in (sparse + odd + dense, []):
+        df = spark.createDataFrame(edges, "child long, parent long")
+        got = [tuple(r) for r in lineage.raw_sources(df, df.select("child").distinct()).collect()]
+        assert set(got) == sources_by_hand(edges) and len(got) == len(set(got))

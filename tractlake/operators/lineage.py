@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tractlake.operators.keeping import cut
+from tractlake.operators.keeping import cut, settled
 
 
 def staleness(stages: DataFrame, recorded: DataFrame, current: DataFrame, outputs: DataFrame) -> DataFrame:
@@ -58,9 +58,44 @@ def closure(edges: DataFrame) -> DataFrame:
         known = cut(known.unionByName(new))
 
 
+def taken_out(left: DataFrame, seed: int) -> DataFrame:
+    """node, of those of left(child, parent) that can go at once: edges that lead past them are no more than their own, and they have the least hash among their neighbours."""
+    rank = lambda c: F.xxhash64(c, F.lit(seed))
+    side = lambda node, other, up: left.select(F.col(node).alias("node"), rank(other).alias("other"), F.lit(up).alias("up"), F.lit(1 - up).alias("down"))
+    nodes = side("child", "parent", 1).unionByName(side("parent", "child", 0)).groupBy("node").agg(F.sum("up").alias("up"), F.sum("down").alias("down"), F.min("other").alias("other"))
+    return settled(nodes.where((F.col("up") * F.col("down") <= F.col("up") + F.col("down")) & (rank("node") < F.col("other"))).select("node"))
+
+
 def raw_sources(edges: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(child, source) of each of wanted(child): its ancestors that come from nothing else."""
-    return closure(edges).join(wanted, "child", "left_semi").join(edges.select(F.col("child").alias("ancestor")), "ancestor", "left_anti").select("child", F.col("ancestor").alias("source"))
+    """(child, source) of each of wanted(child): its ancestors that come from nothing else.
+
+    Pairs of ancestors aren't listed. Each round takes out many nodes that don't touch and that add no edges by going: their children get edges to their
+    parents and sources. A chain of n edges is gone in about log(n) rounds. Then the nodes hear, the last one out first, what the parents know that they
+    had when they went. What is too dense for that is told edge by edge, in as many rounds as its paths are long; cycles end as nothing is new.
+    """
+    given = edges.select("child", "parent").where("child is not null and parent is not null").distinct()
+    derived = edges.select(F.col("child").alias("parent"), F.lit(False).alias("raw")).where("parent is not null").distinct()
+    left = settled(given.join(derived, "parent", "left").select("child", "parent", F.coalesce("raw", F.lit(True)).alias("raw")).where("raw or child <> parent"))
+    inner = lambda: left.where("not raw")
+    was, now, gone = float("inf"), inner().count(), []
+    while 0 < now < 0.95 * was:
+        out = taken_out(inner(), len(gone))
+        goes = lambda name: out.select(F.col("node").alias(name), F.lit(True).alias(f"{name}_goes"))  # noqa: B023, E731
+        seen = settled(left.join(goes("child"), "child", "left").join(goes("parent"), "parent", "left"))
+        into = seen.where("parent_goes and not raw").select(F.col("child").alias("below"), F.col("parent").alias("child"))
+        gone.append(seen.where("child_goes").select("child", "parent", "raw"))
+        past = into.join(gone[-1], "child").select(F.col("below").alias("child"), "parent", "raw").where("child <> parent")
+        left = settled(seen.where("child_goes is null and (raw or parent_goes is null)").select("child", "parent", "raw").unionByName(past).distinct())
+        was, now = now, inner().count()
+    found = new = left.where("raw").select("child", F.col("parent").alias("source"))
+    while now and not new.isEmpty():
+        heard = inner().join(new.withColumnRenamed("child", "parent"), "parent").select("child", "source").distinct()
+        new = settled(heard.join(found, ["child", "source"], "left_anti"))
+        found = settled(found.unionByName(new))
+    for above in reversed(gone):
+        heard = above.where("not raw").join(found.withColumnRenamed("child", "parent"), "parent").select("child", "source")
+        found = found.unionByName(settled(heard.unionByName(above.where("raw").select("child", F.col("parent").alias("source"))).distinct()))
+    return found.join(wanted, "child", "left_semi").select("child", "source")
 
 
 def ancestor_range(edges: DataFrame, rounds: int) -> DataFrame | None:
