@@ -22,6 +22,24 @@ def test_a_product_is_made_in_as_many_tasks_as_it_has_work(spark, monkeypatch):
     assert made.count() == made.distinct().count() == 2400
 
 
+def test_products_in_blocks_are_whole_and_repeat_blocks(spark, monkeypatch):
+    ids = lambda n: spark.range(n).select(((F.col("id") * 7919 + 5) % 900_001).alias("other"))
+    left = spark.range(20).union(spark.sql("select cast(null as long)"))
+    rows = [tuple(r) for r in joins.crossed_in_blocks(left, ids(2_000), "id").collect()]  # one task
+    runs_ = [rows[k : k + 504] for k in range(0, 21 * 504, 504)]
+    assert all(len({i for i, _ in run}) == 1 and [j for _, j in run] == [j for _, j in rows[:504]] for run in runs_)
+    monkeypatch.setattr(joins, "PAIRS_A_TASK", 10_000)
+    made = joins.crossed_in_blocks(left, ids(3_000), "id")
+    assert made.count() == made.distinct().count() == 21 * 3_000
+    assert joins.crossed_in_blocks(left, ids(3_000).union(ids(1)), "id").count() == 21 * 3_001
+    assert joins.crossed_in_blocks(left, ids(0), "id").count() == 0
+
+
+def test_restricted_matrices_are_made_in_blocks(spark):
+    text = registry.QUERIES["c15_restrict_matrix"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in text and "BroadcastNestedLoopJoin" not in text
+
+
 @pytest.mark.parametrize("name", ["c17_answers", "c15_restrict_matrix", "g6_distance", "b26_proxy_times", "b26_percentiles_by_mode", "c9_grid_completion", "c9_completed_grid"])
 def test_queries_of_all_pairs_deal_the_origins_to_tasks(spark, name):
     assert "RepartitionByExpression [origin_id" in plan(registry.QUERIES[name](spark, DATA))
