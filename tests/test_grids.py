@@ -35,8 +35,9 @@ def test_products_in_blocks_are_whole_and_repeat_blocks(spark, monkeypatch):
     assert joins.crossed_in_blocks(left, ids(0), "id").count() == 0
 
 
-def test_restricted_matrices_are_made_in_blocks(spark):
-    text = registry.QUERIES["c15_restrict_matrix"](spark, DATA)._jdf.queryExecution().executedPlan().toString()
+@pytest.mark.parametrize("name", ["c17_answers", "c15_restrict_matrix", "g6_distance", "b26_proxy_times", "b26_percentiles_by_mode", "c9_grid_completion", "c9_completed_grid"])
+def test_products_are_made_in_blocks(spark, name):
+    text = registry.QUERIES[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" in text and "BroadcastNestedLoopJoin" not in text
 
 
